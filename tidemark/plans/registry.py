@@ -13,9 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import oracle as O
-from ..functions.timeutil import day_window
+from ..functions.timeutil import day_window, epoch_parts, epoch_to_date, partition_path
 from ..operators import cdc
+from ..session import scratch_path
+from ..sinks import lake
 from ..sources.canonical import read_changelog, read_snapshot
+from ..specs import TABLE_NAMES, spec_for
+from . import refresh as refresh_plan
 
 RUN_DATE = _dt.date(2024, 1, 15)
 TABLE = "order"
@@ -135,3 +139,120 @@ def q_emptied_partitions(spark, sf_dir):
     deleted = cdc.net_changes(log, TABLE, LO, HI).filter(F.col("net_action") == "D").select("id")
     after = snap.join(deleted, "id", "left_anti")
     return cdc.emptied_partitions(affected, after)
+
+
+# --- lake writes: rewrite, refresh, backfill, all tables (C5, C6, K1-K3, K8, J4, S3) --
+
+
+def _edited_source(snap: DataFrame, net: DataFrame) -> DataFrame:
+    """The source after the changes: net-deleted keys gone, net-updated keys' amount + 1."""
+    deleted = net.filter(F.col("net_action") == "D").select("id").distinct()
+    updated = net.filter(F.col("net_action") == "U").select("id", F.lit(True).alias("_upd")).distinct()
+    return (
+        snap.join(deleted, "id", "left_anti")
+        .join(updated, "id", "left")
+        .withColumn("amount", F.when(F.col("_upd"), F.col("amount") + 1).otherwise(F.col("amount")))
+        .drop("_upd")
+        .select(*snap.columns)
+    )
+
+
+def _edited_source_sql(net: str = "net", src: str = "snapshot", name: str = "source") -> str:
+    return f"""{name} AS (
+  SELECT id, customer_id,
+         CASE WHEN id IN (SELECT id FROM {net} WHERE net_action = 'U') THEN amount + 1 ELSE amount END AS amount,
+         created_at, updated_at, year, month, day
+  FROM {src} WHERE id NOT IN (SELECT id FROM {net} WHERE net_action = 'D'))"""
+
+
+_IN_A = "EXISTS (SELECT 1 FROM affected a WHERE a.year = s.year AND a.month = s.month AND a.day = s.day)"
+
+
+@register(
+    "rewrite_partitions",
+    _with(O.changelog_cte(), O.snapshot_cte(), O.net_cte(TABLE, RUN_DATE), O.affected_cte(TABLE, RUN_DATE))
+    + f"SELECT * FROM snapshot s WHERE {_IN_A}",
+)
+def q_rewrite_partitions(spark, sf_dir):
+    snap = read_snapshot(spark, sf_dir, TABLE)
+    affected = cdc.affected_partitions(spark, read_changelog(spark, sf_dir, LO, HI), snap, TABLE, RUN_DATE)
+    path = scratch_path(spark, "rewrite")
+    lake.rewrite_partitions(spark, snap, affected, path)
+    return lake.read_lake(spark, path)
+
+
+@register(
+    "refresh",
+    _with(
+        O.changelog_cte(),
+        O.snapshot_cte(),
+        O.net_cte(TABLE, RUN_DATE),
+        O.affected_cte(TABLE, RUN_DATE),
+        _edited_source_sql(),
+    )
+    + f"""SELECT * FROM snapshot s WHERE NOT {_IN_A}
+UNION ALL
+SELECT * FROM source s WHERE {_IN_A}""",
+)
+def q_refresh(spark, sf_dir):
+    """Lake = old snapshot; source = snapshot after the day's changes; one-day refresh, read back."""
+    snap = read_snapshot(spark, sf_dir, TABLE)
+    log = read_changelog(spark, sf_dir, LO, HI)
+    path = scratch_path(spark, "refresh")
+    lake.backfill(snap, path)
+    source = _edited_source(snap, cdc.net_changes(log, TABLE, LO, HI))
+    refresh_plan.refresh(spark, log, source, spec_for(TABLE), path, RUN_DATE)
+    return lake.read_lake(spark, path)
+
+
+@register(
+    "backfill",
+    _with(O.snapshot_cte()) + "SELECT year, month, day, count(*) AS n_rows FROM snapshot GROUP BY year, month, day",
+)
+def q_backfill(spark, sf_dir):
+    path = scratch_path(spark, "backfill")
+    lake.backfill(read_snapshot(spark, sf_dir, TABLE), path)
+    back = lake.read_lake(spark, path)
+    return back.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _run_all_sql() -> str:
+    ctes = [O.changelog_cte(), O.net_cte(None, RUN_DATE)]
+    sel = []
+    for i, t in enumerate(TABLE_NAMES):
+        ctes.append(O.snapshot_cte(t, name=f"snap{i}"))
+        ctes.append(O.affected_cte(t, RUN_DATE, src=f"snap{i}", name=f"aff{i}"))
+        sel.append(f"SELECT '{t}' AS table_name, year, month, day FROM aff{i}")
+    return _with(*ctes) + "\nUNION ALL\n".join(sel)
+
+
+@register("run_all", _run_all_sql())
+def q_run_all(spark, sf_dir):
+    log = read_changelog(spark, sf_dir, LO, HI)
+    sources = {t: read_snapshot(spark, sf_dir, t) for t in TABLE_NAMES}
+    return refresh_plan.affected_all_tables(spark, log, sources, RUN_DATE)
+
+
+@register(
+    "partition_path",
+    _with(O.snapshot_cte()) + "SELECT id, printf('year=%d/month=%d/day=%d', year, month, day) AS partition_path FROM snapshot",
+)
+def q_partition_path(spark, sf_dir):
+    return read_snapshot(spark, sf_dir, TABLE).select("id", partition_path().alias("partition_path"))
+
+
+@register(
+    "epoch_to_date",
+    _with(O.changelog_cte()) + f"SELECT event_id, action_tstamp_tx, {O.epoch_date('action_tstamp_tx')} AS change_date FROM changelog",
+)
+def q_epoch_to_date(spark, sf_dir):
+    log = read_changelog(spark, sf_dir)
+    return log.select("event_id", "action_tstamp_tx", epoch_to_date("action_tstamp_tx").alias("change_date"))
+
+
+@register(
+    "date_parts",
+    _with(O.changelog_cte()) + f"SELECT event_id, {O.parts('action_tstamp_tx')} FROM changelog",
+)
+def q_date_parts(spark, sf_dir):
+    return read_changelog(spark, sf_dir).select("event_id", *epoch_parts("action_tstamp_tx"))
