@@ -75,7 +75,9 @@ def now_epoch(now: _dt.datetime | None = None) -> Column:
     """Epoch seconds of an injected ``now`` (UTC), or of the current timestamp."""
     if now is None:
         return F.unix_timestamp(F.current_timestamp())
-    return F.lit(int(now.replace(tzinfo=_dt.timezone.utc).timestamp())).cast("bigint")
+    if now.tzinfo is None:
+        now = now.replace(tzinfo=_dt.timezone.utc)
+    return F.lit(int(now.timestamp())).cast("bigint")
 
 
 def days_before(run_date: _dt.date, n: int) -> _dt.date:

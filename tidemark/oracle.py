@@ -85,3 +85,30 @@ def affected_cte(table: str, run_date: _dt.date, days_back: int = 0, net: str =
   UNION
   SELECT DISTINCT {parts('deleted_updated_at')} FROM {net}
     WHERE net_action = 'D' AND deleted_updated_at IS NOT NULL AND table_name = '{table}')"""
+
+
+def edit_pair_ctes(table: str = "order") -> list[str]:
+    k = TABLE_NAMES.index(table)
+    upd = f"CAST({BASE_EPOCH} + 86400 * ((o_orderkey + {k}) % {N_DATES}) AS BIGINT)"
+    return [
+        f"""base AS (
+  SELECT o_orderkey AS id, o_custkey AS customer_id, o_totalprice AS amount, {upd} AS updated_at,
+         {parts(upd)}, o_orderstatus AS st, o_orderpriority AS pr FROM orders)""",
+        """old AS (SELECT id, customer_id, amount, updated_at, year, month, day FROM base
+  WHERE NOT (st = 'O' AND pr = '5-LOW'))""",
+        """new AS (SELECT id, customer_id, CASE WHEN st = 'P' THEN amount + 1 ELSE amount END AS amount,
+  CASE WHEN pr = '2-HIGH' THEN updated_at + 1 ELSE updated_at END AS updated_at, year, month, day
+  FROM base WHERE NOT (st = 'F' AND pr = '1-URGENT'))""",
+    ]
+
+
+def diff_cte(table: str, now_epoch: int, compare=("customer_id", "amount", "updated_at", "year", "month", "day"),
+             old: str = "old", new: str = "new", name: str = "diff") -> str:
+    differs = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in compare) or "false"
+    return f"""{name} AS (
+  SELECT '{table}' AS table_name,
+         CASE WHEN o.id IS NULL THEN 'I' WHEN n.id IS NULL THEN 'D' ELSE 'U' END AS action,
+         CAST({now_epoch} AS BIGINT) AS action_tstamp_tx, COALESCE(o.id, n.id) AS row_data,
+         CASE WHEN n.id IS NULL THEN o.updated_at END AS changed_fields, false AS statement_only
+  FROM {old} o FULL JOIN {new} n ON o.id = n.id
+  WHERE o.id IS NULL OR n.id IS NULL OR {differs})"""

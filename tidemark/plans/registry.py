@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from .. import oracle as O
 from ..functions.timeutil import day_window, epoch_parts, epoch_to_date, partition_path
-from ..operators import cdc
+from ..operators import capture, cdc
 from ..session import scratch_path
 from ..sinks import lake
-from ..sources.canonical import read_changelog, read_snapshot
-from ..specs import TABLE_NAMES, spec_for
+from ..sources.canonical import read_changelog, read_edit_pair, read_snapshot
+from ..specs import TABLE_NAMES, TableSpec, spec_for
 from . import refresh as refresh_plan
 
 RUN_DATE = _dt.date(2024, 1, 15)
@@ -256,3 +256,91 @@ def q_epoch_to_date(spark, sf_dir):
 )
 def q_date_parts(spark, sf_dir):
     return read_changelog(spark, sf_dir).select("event_id", *epoch_parts("action_tstamp_tx"))
+
+
+# --- change capture and application (C8-C12, C15, J6, J7, X7, F10) --------------------
+
+NOW = _dt.datetime(2024, 1, 15, 12, 0, 0)
+NOW_EPOCH = 1705320000
+DIFF_OUT = ["table_name", "action", "action_tstamp_tx", "row_data", "changed_fields", "statement_only"]
+
+
+@register("snapshot_diff", _with(*O.edit_pair_ctes(), O.diff_cte(TABLE, NOW_EPOCH)) + "SELECT * FROM diff")
+def q_snapshot_diff(spark, sf_dir):
+    old, new = read_edit_pair(spark, sf_dir)
+    return capture.snapshot_diff(old, new, TABLE, now=NOW).select(*DIFF_OUT)
+
+
+@register(
+    "snapshot_diff_ignore",
+    _with(*O.edit_pair_ctes(), O.diff_cte(TABLE, NOW_EPOCH, ("customer_id", "amount", "year", "month", "day")))
+    + "SELECT * FROM diff",
+)
+def q_snapshot_diff_ignore(spark, sf_dir):
+    old, new = read_edit_pair(spark, sf_dir)
+    return capture.snapshot_diff(old, new, TABLE, ignore_cols=("updated_at",), now=NOW).select(*DIFF_OUT)
+
+
+@register(
+    "statement_events",
+    _with(*O.edit_pair_ctes(), O.diff_cte(TABLE, NOW_EPOCH))
+    + f"""SELECT '{TABLE}' AS table_name, 'edit' AS batch, action, CAST(NULL AS BIGINT) AS row_data,
+       true AS statement_only, count(*) AS n_rows FROM diff GROUP BY action
+UNION ALL
+SELECT '{TABLE}', 'truncate', 'T', CAST(NULL AS BIGINT), true, count(*) FROM old""",
+)
+def q_statement_events(spark, sf_dir):
+    old, new = read_edit_pair(spark, sf_dir)
+    edit = capture.statement_events(old, new, TABLE).withColumn("batch", F.lit("edit"))
+    trunc = capture.statement_events(old, new.filter(F.lit(False)), TABLE).withColumn("batch", F.lit("truncate"))
+    return edit.unionByName(trunc)
+
+
+@register(
+    "apply_changes",
+    _with(*O.edit_pair_ctes(), O.diff_cte(TABLE, NOW_EPOCH))
+    + """SELECT * FROM old WHERE id NOT IN (SELECT row_data FROM diff WHERE action IN ('U','D'))
+UNION ALL
+SELECT * FROM new WHERE id IN (SELECT row_data FROM diff WHERE action IN ('I','U'))""",
+)
+def q_apply_changes(spark, sf_dir):
+    old, new = read_edit_pair(spark, sf_dir)
+    return capture.apply_changes(old, capture.snapshot_diff(old, new, TABLE, now=NOW), new)
+
+
+@register(
+    "touch_rows",
+    _with(O.changelog_cte(), O.snapshot_cte(), O.net_cte(TABLE, None))
+    + f"""SELECT id, customer_id, amount, created_at,
+  CASE WHEN t THEN {NOW_EPOCH} ELSE updated_at END AS updated_at,
+  CASE WHEN t THEN 2024 ELSE year END AS year,
+  CASE WHEN t THEN 1 ELSE month END AS month,
+  CASE WHEN t THEN 15 ELSE day END AS day
+FROM (SELECT *, id IN (SELECT id FROM net WHERE net_action = 'U') AS t FROM snapshot)""",
+)
+def q_touch_rows(spark, sf_dir):
+    """Rows updated anywhere in the log get the touch trigger's new timestamp and date."""
+    net = cdc.net_changes(read_changelog(spark, sf_dir), TABLE)
+    keys = net.filter(F.col("net_action") == "U").select("id")
+    return capture.touch_rows(read_snapshot(spark, sf_dir, TABLE), keys, NOW)
+
+
+REDACT_SPECS = (
+    TableSpec("customer"),
+    TableSpec("manufacturer", audit_query_text=None),
+    TableSpec("product", audit_query_text=False),
+    TableSpec("order"),
+    TableSpec("order_items", audit_query_text=False),
+)
+
+
+@register(
+    "redact_query_text",
+    _with(O.changelog_cte())
+    + """SELECT event_id, table_name,
+  CASE WHEN table_name IN ('product', 'order_items') THEN NULL ELSE client_query END AS client_query
+FROM changelog""",
+)
+def q_redact_query_text(spark, sf_dir):
+    log = capture.redact_query_text(read_changelog(spark, sf_dir), REDACT_SPECS)
+    return log.select("event_id", "table_name", "client_query")

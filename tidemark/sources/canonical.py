@@ -95,3 +95,36 @@ def read_snapshot(spark: SparkSession, sf_dir: str, table: str = "order", n_date
         upd.cast("bigint").alias("updated_at"),
         *epoch_parts(upd),
     )
+
+
+def read_edit_pair(spark: SparkSession, sf_dir: str, table: str = "order") -> tuple[DataFrame, DataFrame]:
+    """Two snapshots of the same table whose differences follow the rows' own attributes.
+
+    Old lacks the open low-priority orders (they are inserted later); new lacks the
+    finished urgent ones (deleted), has ``amount + 1`` on pending orders (updated) and
+    ``updated_at + 1`` on high-priority ones (a change to that column only).
+    """
+    k = table_index(table)
+    o = spark.read.parquet(table_path(sf_dir, "orders"))
+    upd = synthetic_updated_at(F.col("o_orderkey"), k)
+    base = o.select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_totalprice").alias("amount"),
+        upd.cast("bigint").alias("updated_at"),
+        *epoch_parts(upd),
+        F.col("o_orderstatus").alias("_st"),
+        F.col("o_orderpriority").alias("_pr"),
+    )
+    cols = ["id", "customer_id", "amount", "updated_at", "year", "month", "day"]
+    old = base.filter(~((F.col("_st") == "O") & (F.col("_pr") == "5-LOW"))).select(*cols)
+    new = base.filter(~((F.col("_st") == "F") & (F.col("_pr") == "1-URGENT"))).select(
+        "id",
+        "customer_id",
+        F.when(F.col("_st") == "P", F.col("amount") + 1).otherwise(F.col("amount")).alias("amount"),
+        F.when(F.col("_pr") == "2-HIGH", F.col("updated_at") + 1).otherwise(F.col("updated_at")).alias("updated_at"),
+        "year",
+        "month",
+        "day",
+    )
+    return old, new
