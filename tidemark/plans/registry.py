@@ -8,17 +8,21 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import oracle as O
+from ..functions import exprs
 from ..functions.timeutil import day_window, epoch_parts, epoch_to_date, partition_path
-from ..operators import capture, cdc
+from ..operators import capture, cdc, extract, quality, seed
 from ..session import scratch_path
 from ..sinks import lake
-from ..sources.canonical import read_changelog, read_edit_pair, read_snapshot
-from ..specs import TABLE_NAMES, TableSpec, spec_for
+from ..sources import files, jdbc
+from ..sources.canonical import read_changelog, read_edit_pair, read_snapshot, table_path
+from ..specs import SCHEMAS, TABLE_NAMES, VARCHAR_LENGTHS, TableSpec, spec_for
 from . import refresh as refresh_plan
 
 RUN_DATE = _dt.date(2024, 1, 15)
@@ -344,3 +348,346 @@ FROM changelog""",
 def q_redact_query_text(spark, sf_dir):
     log = capture.redact_query_text(read_changelog(spark, sf_dir), REDACT_SPECS)
     return log.select("event_id", "table_name", "client_query")
+
+
+# --- browsing, watermarks, previews, defaults
+
+
+@register(
+    "audit_history",
+    _with(O.changelog_cte()) + "SELECT * FROM changelog WHERE table_name = 'product'",
+)
+def q_audit_history(spark, sf_dir):
+    return extract.audit_history(read_changelog(spark, sf_dir), "product")
+
+
+@register(
+    "audited_tables",
+    _with(O.changelog_cte())
+    + """SELECT DISTINCT schema_name AS schema, table_name AS audited_table FROM changelog
+WHERE action IN ('I','D','U','T') ORDER BY 1, 2""",
+)
+def q_audited_tables(spark, sf_dir):
+    return extract.audited_tables(read_changelog(spark, sf_dir))
+
+
+@register(
+    "preview_topn",
+    _with(O.snapshot_cte()) + "SELECT * FROM snapshot ORDER BY created_at, id LIMIT 20",
+)
+def q_preview_topn(spark, sf_dir):
+    return extract.preview_topn(read_snapshot(spark, sf_dir, TABLE), ["created_at", "id"], 20)
+
+
+@register(
+    "high_watermark",
+    _with(O.changelog_cte())
+    + f"SELECT table_name, max(action_tstamp_tx) AS high_watermark FROM changelog WHERE action_tstamp_tx < {LO} GROUP BY table_name",
+)
+def q_high_watermark(spark, sf_dir):
+    """What each table's previous run had seen: the latest change before the run day."""
+    log = read_changelog(spark, sf_dir, hi=LO - 1)
+    return extract.high_watermark(log, "action_tstamp_tx", by=["table_name"])
+
+
+@register(
+    "row_as_json",
+    _with(O.changelog_cte()) + "SELECT table_name, max(action_tstamp_tx) AS max_tstamp FROM changelog GROUP BY table_name",
+)
+def q_row_as_json(spark, sf_dir):
+    agg = extract.high_watermark(read_changelog(spark, sf_dir), "action_tstamp_tx", by=["table_name"], alias="max_tstamp")
+    js = extract.row_as_json(agg, ["max_tstamp"], "json")
+    return js.select("table_name", extract.json_field("json", "max_tstamp").cast("bigint").alias("max_tstamp"))
+
+
+@register(
+    "incremental_extract",
+    _with(O.changelog_cte(), O.snapshot_cte())
+    + f"""SELECT * FROM snapshot
+WHERE updated_at > (SELECT max(action_tstamp_tx) FROM changelog WHERE table_name = '{TABLE}' AND action_tstamp_tx < {LO})""",
+)
+def q_incremental_extract(spark, sf_dir):
+    """Rows updated after the previous run's high watermark, written as a partitioned slice (K6)."""
+    prev = cdc.changelog_window(read_changelog(spark, sf_dir, hi=LO - 1), TABLE, hi=LO - 1)
+    wm = extract.scalar_watermark(prev, "action_tstamp_tx")
+    slice_ = extract.incremental_extract(read_snapshot(spark, sf_dir, TABLE), wm)
+    path = scratch_path(spark, "incremental")
+    lake.write_incremental(slice_, path)
+    return lake.read_lake(spark, path)
+
+
+@register(
+    "with_defaults",
+    f"""SELECT c_custkey AS id, c_name AS name, 'somewhere' AS address, 'user@domain.com' AS contact,
+  c_acctbal AS credit_limit, CAST(2024 AS BIGINT) AS year, CAST(1 AS BIGINT) AS month, CAST(15 AS BIGINT) AS day,
+  CAST({NOW_EPOCH} AS BIGINT) AS created_at, CAST({NOW_EPOCH} AS BIGINT) AS updated_at
+FROM customer""",
+)
+def q_with_defaults(spark, sf_dir):
+    c = spark.read.parquet(table_path(sf_dir, "customer")).select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("credit_limit")
+    )
+    return exprs.with_defaults(c, "customer", NOW)
+
+
+@register(
+    "arith_expr",
+    "SELECT l_orderkey, l_linenumber, l_extendedprice + l_tax * l_quantity AS arith FROM lineitem",
+)
+def q_arith_expr(spark, sf_dir):
+    li = spark.read.parquet(table_path(sf_dir, "lineitem"))
+    return li.select("l_orderkey", "l_linenumber", exprs.arith_expr("l_extendedprice", "l_tax", "l_quantity").alias("arith"))
+
+
+# --- parquet scans, export, source read (S1, S5-S8, K5) --------------------------------
+
+_LI_BY_MONTH = """SELECT CAST(year(l_shipdate) AS BIGINT) AS year, CAST(month(l_shipdate) AS BIGINT) AS month,
+  count(*) AS n_rows FROM lineitem GROUP BY 1, 2"""
+
+
+def _lineitem_lake(spark, sf_dir) -> str:
+    li = spark.read.parquet(table_path(sf_dir, "lineitem"))
+    li = li.withColumns({"year": F.year("l_shipdate").cast("bigint"), "month": F.month("l_shipdate").cast("bigint")})
+    path = scratch_path(spark, "lineitem-lake")
+    li.repartition("year", "month").write.partitionBy("year", "month").parquet(path)
+    return path
+
+
+@register("scan_parquet_file", _LI_BY_MONTH)
+def q_scan_parquet_file(spark, sf_dir):
+    path = _lineitem_lake(spark, sf_dir)
+    df = files.scan_parquet_files(spark, files.list_files(spark, path), path)
+    return df.groupBy(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+@register("scan_parquet_glob", _LI_BY_MONTH)
+def q_scan_parquet_glob(spark, sf_dir):
+    path = _lineitem_lake(spark, sf_dir)
+    df = files.scan_parquet_glob(spark, f"{path}/year=????/month=*", path)
+    return df.groupBy(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+@register(
+    "schema_from_sample",
+    """SELECT CAST(year(l_shipdate) AS BIGINT) AS year, CAST(month(l_shipdate) AS BIGINT) AS month,
+  count(*) AS n_rows, sum(l_quantity) AS sum_qty FROM lineitem GROUP BY 1, 2""",
+)
+def q_schema_from_sample(spark, sf_dir):
+    path = _lineitem_lake(spark, sf_dir)
+    sample = files.list_files(spark, path)[0]
+    sch = files.schema_from_sample(spark, sample, path, {"year": T.LongType(), "month": T.LongType()})
+    df = spark.read.schema(sch).option("basePath", path).parquet(path)
+    return df.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("sum_qty"))
+
+
+@register(
+    "schema_apply",
+    """SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS BIGINT) AS year,
+  CAST(month(l_shipdate) AS BIGINT) AS month FROM lineitem""",
+)
+def q_schema_apply(spark, sf_dir):
+    path = _lineitem_lake(spark, sf_dir)
+    sch = files.schema_from_sample(spark, files.list_files(spark, path)[0], path, {"year": T.LongType(), "month": T.LongType()})
+    return files.schema_apply(spark, sch, path).select("l_orderkey", "l_linenumber", "year", "month")
+
+
+@register("export_flat", "SELECT * FROM customer")
+def q_export_flat(spark, sf_dir):
+    path = scratch_path(spark, "export")
+    lake.export_flat(spark.read.parquet(table_path(sf_dir, "customer")), path)
+    return spark.read.parquet(path)
+
+
+@register(
+    "read_source",
+    "SELECT c_custkey AS id, c_name AS name, c_nationkey, c_acctbal AS credit_limit, c_mktsegment FROM customer",
+)
+def q_read_source(spark, sf_dir):
+    return jdbc.read_source(
+        spark,
+        "customer",
+        fmt="parquet",
+        path=table_path(sf_dir, "customer"),
+        schema=SCHEMAS["customer"],
+        rename={"c_custkey": "id", "c_name": "name", "c_acctbal": "credit_limit"},
+    )
+
+
+# --- data-quality checks (Q1-Q5, A6, J5) -----------------------------------------------
+
+
+def _dq_sql(rows: list[tuple[str, str, str, str]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"check\", '{t}' AS table_name, '{col}' AS column_name, CAST(({expr}) AS BIGINT) AS n_violations"
+        for c, t, col, expr in rows
+    )
+
+
+@register(
+    "dq_not_null",
+    _with(O.changelog_cte(), O.snapshot_cte())
+    + _dq_sql(
+        [("not_null", "order", c, f"SELECT count(*) FILTER (WHERE {c} IS NULL) FROM snapshot") for c in ("id", "customer_id")]
+        + [
+            ("not_null", "logged_actions", c, f"SELECT count(*) FILTER (WHERE {c} IS NULL) FROM changelog")
+            for c in ("event_id", "schema_name", "table_name", "action", "statement_only")
+        ]
+    ),
+)
+def q_dq_not_null(spark, sf_dir):
+    return quality.dq_not_null(read_snapshot(spark, sf_dir, TABLE), "order", ["id", "customer_id"]).unionByName(
+        quality.dq_not_null(
+            read_changelog(spark, sf_dir),
+            "logged_actions",
+            ["event_id", "schema_name", "table_name", "action", "statement_only"],
+        )
+    )
+
+
+_PKS = (("orders", ("o_orderkey",)), ("customer", ("c_custkey",)), ("part", ("p_partkey",)),
+        ("supplier", ("s_suppkey",)), ("lineitem", ("l_orderkey", "l_linenumber")))
+
+
+@register(
+    "dq_pk_duplicates",
+    _dq_sql(
+        [
+            ("pk_unique", t, ",".join(k), f"SELECT count(*) FROM (SELECT {', '.join(k)} FROM {t} GROUP BY ALL HAVING count(*) > 1)")
+            for t, k in _PKS
+        ]
+    ),
+)
+def q_dq_pk_duplicates(spark, sf_dir):
+    parts = [quality.dq_pk_duplicates(spark.read.parquet(table_path(sf_dir, t)), t, list(k)) for t, k in _PKS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_FKS = (("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+        ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"))
+
+
+@register(
+    "dq_fk_orphans",
+    _dq_sql(
+        [
+            ("fk_exists", c, fk, f"SELECT count(*) FROM {c} WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {p} WHERE {pk} IS NOT NULL)")
+            for c, fk, p, pk in _FKS
+        ]
+    ),
+)
+def q_dq_fk_orphans(spark, sf_dir):
+    rd = lambda t: spark.read.parquet(table_path(sf_dir, t))
+    return reduce(DataFrame.unionByName, [quality.dq_fk_orphans(rd(c), fk, rd(p), pk, c) for c, fk, p, pk in _FKS])
+
+
+@register(
+    "dq_action_domain",
+    _with(O.changelog_cte())
+    + _dq_sql([("action_domain", "logged_actions", "action",
+                "SELECT count(*) FILTER (WHERE action IS NOT NULL AND action NOT IN ('I','D','U','T')) FROM changelog")]),
+)
+def q_dq_action_domain(spark, sf_dir):
+    return quality.dq_action_domain(read_changelog(spark, sf_dir))
+
+
+@register(
+    "dq_length",
+    _dq_sql(
+        [
+            ("length<=50", "customer", "name", "SELECT count(*) FILTER (WHERE length(c_name) > 50) FROM customer"),
+            ("length<=50", "manufacturer", "name", "SELECT count(*) FILTER (WHERE length(s_name) > 50) FROM supplier"),
+        ]
+    ),
+)
+def q_dq_length(spark, sf_dir):
+    c = spark.read.parquet(table_path(sf_dir, "customer")).select(F.col("c_name").alias("name"))
+    s = spark.read.parquet(table_path(sf_dir, "supplier")).select(F.col("s_name").alias("name"))
+    return quality.dq_length(c, "customer", {"name": VARCHAR_LENGTHS["customer"]["name"]}).unionByName(
+        quality.dq_length(s, "manufacturer", {"name": VARCHAR_LENGTHS["manufacturer"]["name"]})
+    )
+
+
+# --- seeds (G1, G2, X9-X11, X13, F11) ---------------------------------------------------
+
+_SEED_KEYS = (
+    ("customer", "customer", "c_custkey"),
+    ("manufacturer", "supplier", "s_suppkey"),
+    ("product", "part", "p_partkey"),
+    ("order", "orders", "o_orderkey"),
+    ("order_items", "lineitem", None),
+)
+_SEED_FKS = {"product": ["manufacture_id"], "order": ["customer_id"], "order_items": ["order_id", "product_id"]}
+
+
+def _seed_keys(spark, sf_dir, src, key):
+    df = spark.read.parquet(table_path(sf_dir, src))
+    if key is None:  # a line item is keyed by (order, line number); lines per order are at most 7
+        return df.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k")), "k"
+    return df, key
+
+
+def _seed_summary(df: DataFrame, table: str) -> DataFrame:
+    fks = _SEED_FKS.get(table, [])
+    fk_sum = reduce(lambda a, b: a + b, [F.sum(c) for c in fks]) if fks else F.lit(0)
+    names = F.count_distinct("name") if "name" in df.columns else F.lit(0)
+    return df.agg(
+        F.lit(table).alias("table_name"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("id").alias("min_id"),
+        F.max("id").alias("max_id"),
+        fk_sum.cast("bigint").alias("fk_sum"),
+        names.cast("bigint").alias("n_names"),
+        F.max("updated_at").alias("max_updated_at"),
+    )
+
+
+def _seed_sql() -> str:
+    out = []
+    for t, src, key in _SEED_KEYS:
+        idx = "l_orderkey * 8 + l_linenumber" if key is None else key
+        fks = _SEED_FKS.get(t, [])
+        fk = " + ".join(f"sum(1 + ({idx}) % 101)" for _ in fks) or "0"
+        names = f"count(DISTINCT md5(CAST({idx} AS VARCHAR)))" if t in ("customer", "manufacturer") else "0"
+        out.append(
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows, min({idx}) AS min_id, max({idx}) AS max_id, "
+            f"CAST({fk} AS BIGINT) AS fk_sum, CAST({names} AS BIGINT) AS n_names, "
+            f"CAST({NOW_EPOCH} AS BIGINT) AS max_updated_at FROM {src}"
+        )
+    return "\nUNION ALL\n".join(out)
+
+
+@register("seed_tables", _seed_sql())
+def q_seed_tables(spark, sf_dir):
+    parts = []
+    for t, src, key in _SEED_KEYS:
+        keys, k = _seed_keys(spark, sf_dir, src, key)
+        parts.append(_seed_summary(seed.seed_table(keys, t, k, NOW), t))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _backdate_sql() -> str:
+    whens = []
+    for lo, hi, days in seed.BACKDATE_BANDS:
+        cond = f"id < {hi}" if lo is None else f"id > {lo} AND id < {hi}"
+        whens.append(f"WHEN {cond} THEN {days}")
+    band = "CASE " + " ".join(whens) + " END"
+    moved = f"({NOW_EPOCH} - b * 86400)"
+    d = O.epoch_date(moved)
+    return f"""SELECT id,
+  CASE WHEN b IS NULL THEN {NOW_EPOCH} ELSE {moved} END AS created_at,
+  CASE WHEN b IS NULL THEN {NOW_EPOCH} ELSE {moved} END AS updated_at,
+  CASE WHEN b IS NULL THEN 2024 ELSE CAST(year({d}) AS BIGINT) END AS year,
+  CASE WHEN b IS NULL THEN 1 ELSE CAST(month({d}) AS BIGINT) END AS month,
+  CASE WHEN b IS NULL THEN 15 ELSE CAST(day({d}) AS BIGINT) END AS day
+FROM (SELECT o_orderkey AS id, {band.replace('id', 'o_orderkey')} AS b FROM orders)"""
+
+
+@register("seed_backdate", _backdate_sql())
+def q_seed_backdate(spark, sf_dir):
+    keys = spark.read.parquet(table_path(sf_dir, "orders"))
+    seeded = seed.seed_table(keys, "order", "o_orderkey", NOW)
+    return seed.seed_backdate(seeded, NOW).select("id", "created_at", "updated_at", "year", "month", "day")
