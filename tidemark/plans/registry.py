@@ -16,13 +16,14 @@ from pyspark.sql import types as T
 
 from .. import oracle as O
 from ..functions import exprs
-from ..functions.timeutil import day_window, epoch_parts, epoch_to_date, partition_path
+from ..functions.timeutil import day_window, epoch_parts, epoch_seconds, epoch_to_date, partition_path
 from ..operators import capture, cdc, extract, quality, seed
 from ..session import scratch_path
 from ..sinks import lake
 from ..sources import files, jdbc
 from ..sources.canonical import read_changelog, read_edit_pair, read_snapshot, table_path
-from ..specs import SCHEMAS, TABLE_NAMES, VARCHAR_LENGTHS, TableSpec, spec_for
+from ..specs import CHANGELOG_SCHEMA, PARTITION_COLS, SCHEMAS, TABLE_NAMES, VARCHAR_LENGTHS, TableSpec, spec_for
+from ..streaming import lake_stream as streams
 from . import refresh as refresh_plan
 
 RUN_DATE = _dt.date(2024, 1, 15)
@@ -691,3 +692,56 @@ def q_seed_backdate(spark, sf_dir):
     keys = spark.read.parquet(table_path(sf_dir, "orders"))
     seeded = seed.seed_table(keys, "order", "o_orderkey", NOW)
     return seed.seed_backdate(seeded, NOW).select("id", "created_at", "updated_at", "year", "month", "day")
+
+
+# --- streaming (T1-T3, S9, K7) ------------------------------------------------------------
+
+
+@register(
+    "stream_lake_copy",
+    f"""SELECT {O.parts('epoch_us(ts) // 1000000')}, count(*) AS n_rows, sum(user_id) AS sum_user FROM events GROUP BY ALL""",
+)
+def q_stream_lake_copy(spark, sf_dir):
+    """Events dropped as date-partitioned files, copied by a file stream into a lake, read back."""
+    ev = spark.read.parquet(table_path(sf_dir, "events")).withColumn("_e", epoch_seconds("ts"))
+    ev = ev.select("event_id", "ts", "user_id", "event_type", "value", "props", *epoch_parts("_e"))
+    src = scratch_path(spark, "stream-src")
+    ev.repartition(*PARTITION_COLS).write.partitionBy(*PARTITION_COLS).parquet(src)
+    sample = files.list_files(spark, src)[0]
+    sch = files.schema_from_sample(spark, sample, src, {c: T.LongType() for c in PARTITION_COLS})
+    dst, ck = scratch_path(spark, "stream-dst"), scratch_path(spark, "stream-ck")
+    streams.stream_lake_copy(spark, src, dst, ck, sch, max_files_per_trigger=8).awaitTermination()
+    back = lake.read_lake(spark, dst)
+    return back.groupBy(*PARTITION_COLS).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("user_id").alias("sum_user"))
+
+
+def _stream_refresh_sql() -> str:
+    aff = f"""affected AS (
+  SELECT DISTINCT {O.parts('action_tstamp_tx')} FROM changelog
+  UNION SELECT DISTINCT s.year, s.month, s.day FROM source s
+    WHERE s.id IN (SELECT id FROM net WHERE net_action = 'U')
+  UNION SELECT DISTINCT {O.parts('deleted_updated_at')} FROM net
+    WHERE net_action = 'D' AND deleted_updated_at IS NOT NULL)"""
+    return _with(O.changelog_cte(), O.snapshot_cte(), O.net_cte(TABLE, None), _edited_source_sql(), aff) + (
+        f"SELECT * FROM snapshot s WHERE NOT {_IN_A}\nUNION ALL\nSELECT * FROM source s WHERE {_IN_A}"
+    )
+
+
+@register("stream_partition_refresh", _stream_refresh_sql())
+def q_stream_partition_refresh(spark, sf_dir):
+    """Change-log files, one folder per day, refresh the lake micro-batch by micro-batch."""
+    snap = read_snapshot(spark, sf_dir, TABLE)
+    log = read_changelog(spark, sf_dir)
+    source = _edited_source(snap, cdc.net_changes(log, TABLE))
+    log_dir = scratch_path(spark, "changelog-files")
+    log.withColumns({"log_date": epoch_to_date("action_tstamp_tx")}).repartition("log_date").write.partitionBy(
+        "log_date"
+    ).parquet(log_dir)
+    path, ck = scratch_path(spark, "stream-lake"), scratch_path(spark, "stream-refresh-ck")
+    lake.backfill(snap, path)
+    # one file per day folder, ten files per micro-batch: a day is never split across batches
+    q = streams.stream_partition_refresh(
+        spark, log_dir, CHANGELOG_SCHEMA, source, spec_for(TABLE), path, ck, max_files_per_trigger=10
+    )
+    q.awaitTermination()
+    return lake.read_lake(spark, path)
