@@ -118,7 +118,11 @@ def rewrite_partitions(
         .partitionBy(*PARTITION_COLS)
         .parquet(path)
     )
-    written = {int(k) for k in (obs.get.get("written") or [])}
+    written = _observed_days(obs)
+    if written is None:
+        # the optimizer may drop the metrics node (e.g. a slice it proves empty); ask directly,
+        # the answer is bounded by the affected set
+        written = {int(r[0]) for r in src.filter(date_key().isin(day_keys)).select(date_key()).distinct().collect()}
     result.written = [_split_key(k) for k in sorted(written)]
     result.emptied = [_split_key(k) for k in day_keys if k not in written]
     if clear_emptied and result.emptied:
@@ -126,6 +130,16 @@ def rewrite_partitions(
     return result
 
 
+def _observed_days(obs: Observation) -> set[int] | None:
+    try:
+        metrics = obs.get
+    except Exception:  # noqa: BLE001 - metrics missing when the observed node was optimized away
+        return None
+    if "written" not in metrics:
+        return None
+    return {int(k) for k in (metrics["written"] or [])}
+
+
 def export_flat(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One flat parquet export; by default fails if the target exists (K5)."""
     df.write.mode(mode).parquet(path)
