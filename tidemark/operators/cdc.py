@@ -1,9 +1,9 @@
 """Change-log resolution: window, id sets, net change, affected partitions.
 
 Everything here is lazy. The three id sets of a table come from one scan and one
-grouped aggregate; the net change per key is a single partial/final hash aggregate
-(so a hot key is pre-combined on the map side and never lands whole in one task);
-update dates come from one semi-join of the source with the net-updated keys.
+grouped aggregate; the net change per key is a single partial/final aggregate (so a
+hot key is pre-combined on the map side and never lands whole in one task); update
+dates come from one join of the source (streamed) with the net-updated keys.
 """
 
 from __future__ import annotations
@@ -135,8 +135,9 @@ def affected_delete_dates(net: DataFrame, table: str | None = None, zone: str |
 
 def run_date_partitions(spark: SparkSession, run_date: _dt.date, days_back: int = 0) -> DataFrame:
     """The run's own day(s) as partition rows (the 'today' partition of every run)."""
-    rows = [(d.year, d.month, d.day) for d in run_dates(run_date, days_back)]
-    return spark.createDataFrame(rows, "year bigint, month bigint, day bigint")
+    first = run_date - _dt.timedelta(days=days_back)
+    days = spark.range(days_back + 1).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("d"))
+    return days.select(*date_parts("d"))
 
 
 def lake_partitions_of_keys(lake: DataFrame, net: DataFrame, table: str | None, key: str = "id") -> DataFrame:
@@ -150,6 +151,70 @@ def lake_partitions_of_keys(lake: DataFrame, net: DataFrame, table: str | None,
     )
 
 
+#: Most net-changed keys that may be broadcast to find their source dates. Above it the
+#: keys meet the source in a shuffled join instead. ~16 bytes a key: 4M keys ~ 64 MB.
+MAX_BROADCAST_KEYS = 4_000_000
+
+
+def changed_dates(
+    net: DataFrame,
+    source: DataFrame,
+    table: str | None = None,
+    key: str = "id",
+    date_col: str = "updated_at",
+    source_actions=("U",),
+    zone: str | None = None,
+    broadcast_keys: bool = False,
+) -> DataFrame:
+    """Update and delete dates of a net-change set.
+
+    Keys whose date comes from the source (U; I too with the B13 option) are joined to
+    the source, the source being the streamed side, so it is scanned (key and date
+    only) and never shuffled when the key set is broadcast. Pass ``broadcast_keys=True``
+    only after checking the key count (``refresh`` does, against ``MAX_BROADCAST_KEYS``).
+    Deletes keep the OLD.updated_at they carry. Both branches read the same aggregate
+    columns, so Spark reuses one shuffle of the log for both.
+    """
+    rows = net if table is None else net.filter(F.col("table_name") == table)
+    keyed = rows.filter(F.col("net_action").isin(*source_actions)).select(
+        F.col("id").alias(key), F.col("deleted_updated_at").alias("_old")
+    )
+    if broadcast_keys:
+        keyed = F.broadcast(keyed)
+    from_source = source.select(key, date_col).join(keyed, key, "inner").select(
+        F.coalesce(F.col(date_col), F.col("_old")).alias("_e")
+    )
+    from_deletes = rows.filter((F.col("net_action") == "D") & F.col("deleted_updated_at").isNotNull()).select(
+        F.col("deleted_updated_at").alias("_e")
+    )
+    return from_source.unionByName(from_deletes).select(*date_parts(epoch_to_date("_e", zone)))
+
+
+def affected_from_net(
+    spark: SparkSession,
+    net: DataFrame,
+    source: DataFrame,
+    table: str,
+    run_date: _dt.date,
+    days_back: int = 0,
+    key: str = "id",
+    date_col: str = "updated_at",
+    include_insert_dates: bool = False,
+    lake: DataFrame | None = None,
+    zone: str | None = None,
+    broadcast_keys: bool = False,
+) -> DataFrame:
+    """Set A from an already resolved net-change set (see ``affected_partitions``)."""
+    actions = ("U", "I") if include_insert_dates else ("U",)
+    parts = [
+        run_date_partitions(spark, run_date, days_back),
+        changed_dates(net, source, table, key, date_col, actions, zone, broadcast_keys),
+    ]
+    if lake is not None:
+        parts.append(lake_partitions_of_keys(lake, net, table, key))
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
 def affected_partitions(
     spark: SparkSession,
     log: DataFrame,
@@ -172,20 +237,14 @@ def affected_partitions(
     """
     from ..functions.timeutil import day_window
 
+    if include_previous_partition and lake is None:
+        raise ValueError("include_previous_partition needs the current lake")
     lo, hi = day_window(run_date, days_back)
     net = net_changes(log, table, lo, hi)
-    parts = [
-        run_date_partitions(spark, run_date, days_back),
-        affected_update_dates(net, source, table, key, date_col, zone=zone),
-        affected_delete_dates(net, table, zone=zone),
-    ]
-    if include_insert_dates:
-        parts.append(affected_update_dates(net, source, table, key, date_col, action="I", zone=zone))
-    if include_previous_partition:
-        if lake is None:
-            raise ValueError("include_previous_partition needs the current lake")
-        parts.append(lake_partitions_of_keys(lake, net, table, key))
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return affected_from_net(
+        spark, net, source, table, run_date, days_back, key, date_col, include_insert_dates,
+        lake if include_previous_partition else None, zone,
+    )
 
 
 def partition_slice(df: DataFrame, year: int, month: int, day: int) -> DataFrame:

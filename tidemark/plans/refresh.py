@@ -5,14 +5,48 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.timeutil import day_window
 from ..operators import cdc
 from ..sinks import lake
 from ..specs import DEFAULT_SPECS, TableSpec
 
 
+def resolve_affected(
+    spark: SparkSession,
+    log: DataFrame,
+    source: DataFrame,
+    spec: TableSpec,
+    run_date: _dt.date,
+    days_back: int = 0,
+    include_insert_dates: bool = False,
+    lake_df: DataFrame | None = None,
+    zone: str | None = None,
+) -> list[tuple[int, int, int]]:
+    """Affected days of one run, on the driver (bounded by the calendar).
+
+    The net-change set is persisted once and read three times: to count the keys that
+    need a source date (the size check that allows broadcasting them), for the update
+    dates and for the delete dates. Its lineage is one log scan and one aggregate, so a
+    lost cached block is simply recomputed.
+    """
+    lo, hi = day_window(run_date, days_back)
+    net = cdc.net_changes(log, spec.name, lo, hi).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        actions = ["U", "I"] if include_insert_dates else ["U"]
+        n_keys = net.filter(F.col("net_action").isin(*actions)).count()
+        affected = cdc.affected_from_net(
+            spark, net, source, spec.name, run_date, days_back, spec.key, spec.date_col,
+            include_insert_dates, lake_df, zone, broadcast_keys=n_keys <= cdc.MAX_BROADCAST_KEYS,
+        )
+        return lake.collect_affected(affected)
+    finally:
+        net.unpersist()
+
+
 def refresh(
     spark: SparkSession,
     log: DataFrame,
@@ -27,25 +61,13 @@ def refresh(
 ) -> lake.RewriteResult:
     """Bring the lake copy of one table in step with its source for one run.
 
-    Jobs: one to resolve the affected days (log aggregate + source semi-join), one to
-    write them; emptied days are then removed with metadata operations only.
+    Jobs: a fixed handful to resolve the affected days (net-change count, then the
+    source join) and one to write them; emptied days are then removed with metadata
+    operations only. None of it depends on how many keys changed.
     """
     current = lake.read_lake(spark, lake_path) if include_previous_partition else None
-    affected = cdc.affected_partitions(
-        spark,
-        log,
-        source,
-        spec.name,
-        run_date,
-        days_back,
-        key=spec.key,
-        date_col=spec.date_col,
-        include_insert_dates=include_insert_dates,
-        include_previous_partition=include_previous_partition,
-        lake=current,
-        zone=zone,
-    )
-    return lake.rewrite_partitions(spark, source, affected, lake_path)
+    keys = resolve_affected(spark, log, source, spec, run_date, days_back, include_insert_dates, current, zone)
+    return lake.rewrite_partitions(spark, source, keys, lake_path)
 
 
 def affected_all_tables(

@@ -11,8 +11,6 @@ store and no watermark are needed.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,14 +56,7 @@ def batch_affected(batch: DataFrame, source: DataFrame, spec: TableSpec, zone: s
     """
     net = cdc.net_changes(batch, spec.name)
     days = batch.select(*epoch_parts("action_tstamp_tx", zone)).distinct()
-    return reduce(
-        DataFrame.unionByName,
-        [
-            days,
-            cdc.affected_update_dates(net, source, spec.name, spec.key, spec.date_col, zone=zone),
-            cdc.affected_delete_dates(net, spec.name, zone=zone),
-        ],
-    ).distinct()
+    return days.unionByName(cdc.changed_dates(net, source, spec.name, spec.key, spec.date_col, zone=zone)).distinct()
 
 
 def stream_partition_refresh(
