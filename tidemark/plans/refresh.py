@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeutil import day_window
 from ..operators import cdc
+from ..session import scratch_path
 from ..sinks import lake
 from ..specs import DEFAULT_SPECS, TableSpec
 
@@ -25,6 +26,7 @@ def resolve_affected(
     include_insert_dates: bool = False,
     lake_df: DataFrame | None = None,
     zone: str | None = None,
+    net: DataFrame | None = None,
 ) -> list[tuple[int, int, int]]:
     """Affected days of one run, on the driver (bounded by the calendar).
 
@@ -34,7 +36,11 @@ def resolve_affected(
     lost cached block is simply recomputed.
     """
     lo, hi = day_window(run_date, days_back)
-    net = cdc.net_changes(log, spec.name, lo, hi).persist(StorageLevel.MEMORY_AND_DISK)
+    shared = net is not None
+    if shared:
+        net = net.filter(F.col("table_name") == spec.name)
+    else:
+        net = cdc.net_changes(log, spec.name, lo, hi).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         actions = ["U", "I"] if include_insert_dates else ["U"]
         n_keys = net.filter(F.col("net_action").isin(*actions)).count()
@@ -44,7 +50,8 @@ def resolve_affected(
         )
         return lake.collect_affected(affected)
     finally:
-        net.unpersist()
+        if not shared:
+            net.unpersist()
 
 
 def refresh(
@@ -80,10 +87,17 @@ def affected_all_tables(
 ) -> DataFrame:
     """Affected partitions of every spec'd table as one plan (S3): ``table_name, year, month, day``.
 
-    A table with no events in the window still gets the run day(s) (B9).
+    The net change of all tables is aggregated once and written as a table in the
+    shared folder (lineage cut, computed once), so the log window is scanned once
+    however many tables there are. A table with no events in the window still gets the
+    run day(s) (B9).
     """
+    lo, hi = day_window(run_date, days_back)
+    net_path = scratch_path(spark, "net-all")
+    cdc.net_changes(log, None, lo, hi).write.parquet(net_path)
+    net = spark.read.parquet(net_path)
     parts = [
-        cdc.affected_partitions(spark, log, sources[s.name], s.name, run_date, days_back, s.key, s.date_col).select(
+        cdc.affected_from_net(spark, net, sources[s.name], s.name, run_date, days_back, s.key, s.date_col).select(
             F.lit(s.name).alias("table_name"), "year", "month", "day"
         )
         for s in specs
@@ -101,9 +115,20 @@ def run_all(
     days_back: int = 0,
     specs=DEFAULT_SPECS,
 ) -> dict[str, lake.RewriteResult]:
-    """Refresh every spec'd table under ``lake_root/<folder>``."""
+    """Refresh every spec'd table under ``lake_root/<folder>``.
+
+    One net-change aggregate over all tables is persisted and shared; each table then
+    resolves its own days and gets one write.
+    """
+    lo, hi = day_window(run_date, days_back)
+    net_all = cdc.net_changes(log, None, lo, hi).persist(StorageLevel.MEMORY_AND_DISK)
     out = {}
-    for s in specs:
-        if s.name in sources:
-            out[s.name] = refresh(spark, log, sources[s.name], s, f"{lake_root.rstrip('/')}/{s.folder}", run_date, days_back)
+    try:
+        for s in specs:
+            if s.name not in sources:
+                continue
+            keys = resolve_affected(spark, log, sources[s.name], s, run_date, days_back, net=net_all)
+            out[s.name] = lake.rewrite_partitions(spark, sources[s.name], keys, f"{lake_root.rstrip('/')}/{s.folder}")
+    finally:
+        net_all.unpersist()
     return out

@@ -450,7 +450,7 @@ def _lineitem_lake(spark, sf_dir) -> str:
     li = spark.read.parquet(table_path(sf_dir, "lineitem"))
     li = li.withColumns({"year": F.year("l_shipdate").cast("bigint"), "month": F.month("l_shipdate").cast("bigint")})
     path = scratch_path(spark, "lineitem-lake")
-    li.repartition("year", "month").write.partitionBy("year", "month").parquet(path)
+    li.hint("rebalance", "year", "month").write.partitionBy("year", "month").parquet(path)
     return path
 
 
@@ -706,7 +706,7 @@ def q_stream_lake_copy(spark, sf_dir):
     ev = spark.read.parquet(table_path(sf_dir, "events")).withColumn("_e", epoch_seconds("ts"))
     ev = ev.select("event_id", "ts", "user_id", "event_type", "value", "props", *epoch_parts("_e"))
     src = scratch_path(spark, "stream-src")
-    ev.repartition(*PARTITION_COLS).write.partitionBy(*PARTITION_COLS).parquet(src)
+    ev.hint("rebalance", *PARTITION_COLS).write.partitionBy(*PARTITION_COLS).parquet(src)
     sample = files.list_files(spark, src)[0]
     sch = files.schema_from_sample(spark, sample, src, {c: T.LongType() for c in PARTITION_COLS})
     dst, ck = scratch_path(spark, "stream-dst"), scratch_path(spark, "stream-ck")
@@ -734,12 +734,12 @@ def q_stream_partition_refresh(spark, sf_dir):
     log = read_changelog(spark, sf_dir)
     source = _edited_source(snap, cdc.net_changes(log, TABLE))
     log_dir = scratch_path(spark, "changelog-files")
-    log.withColumns({"log_date": epoch_to_date("action_tstamp_tx")}).repartition("log_date").write.partitionBy(
+    log.withColumns({"log_date": epoch_to_date("action_tstamp_tx")}).hint("rebalance", "log_date").write.partitionBy(
         "log_date"
     ).parquet(log_dir)
     path, ck = scratch_path(spark, "stream-lake"), scratch_path(spark, "stream-refresh-ck")
     lake.backfill(snap, path)
-    # one file per day folder, ten files per micro-batch: a day is never split across batches
+    # ten files per micro-batch; a day small enough for one file is never split across batches
     q = streams.stream_partition_refresh(
         spark, log_dir, CHANGELOG_SCHEMA, source, spec_for(TABLE), path, ck, max_files_per_trigger=10
     )
