@@ -86,3 +86,9 @@ def test_redact_query_text_null_flag_keeps_text(spark):
 def test_first_letter(spark):
     df = spark.createDataFrame([("INSERT",), ("truncate",)], "op string")
     assert [r[0] for r in df.select(capture.first_letter("op")).collect()] == ["I", "T"]
+
+
+def test_diff_session_columns(spark):
+    old, new = snap(spark, [(1, "a", 1.0, 100)]), snap(spark, [])
+    r = capture.snapshot_diff(old, new, "t", now=NOW, session_columns=True).first()
+    assert r.action == "D" and r.session_user_name and r.application_name == spark.conf.get("spark.app.name")

@@ -132,3 +132,18 @@ def test_jobs_do_not_grow_with_changed_keys(spark, tmpdir_fresh):
         return _jobs_for(spark, lambda: refresh(spark, log, src, TableSpec("order"), path, RUN))
 
     assert run(10, "a") == run(1000, "b")
+
+
+def test_truncate_marks_all_partitions(spark, tmpdir_fresh):
+    """B15 option: a TRUNCATE in the window rewrites (here: clears) every lake partition."""
+    from helpers import log_df
+
+    path = f"{tmpdir_fresh}/order"
+    lake.backfill(_before(spark), path)
+    log = log_df(spark, [(1, "order", "T", ep(RUN, 60), None, None)])
+    empty = _before(spark).filter(F.lit(False))
+    plain = refresh(spark, log, empty, TableSpec("order"), path, RUN)
+    assert len(_contents(spark, path)) == 3 and plain.affected == [(2024, 1, 15)]
+    res = refresh(spark, log, empty, TableSpec("order"), path, RUN, truncate_marks_all=True)
+    assert len(res.emptied) == 4
+    assert not [d for d in os.listdir(path) if d.startswith("year=")]

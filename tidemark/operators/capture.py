@@ -58,6 +58,7 @@ def snapshot_diff(
     ignore_cols=(),
     now=None,
     date_col: str = "updated_at",
+    session_columns: bool = False,
 ) -> DataFrame:
     """Row events that turn ``old`` into ``new`` (C8), in the change-log layout.
 
@@ -77,9 +78,16 @@ def snapshot_diff(
         F.when(action == "D", F.col(f"_o_{date_col}")).cast("bigint").alias("changed_fields"),
         F.lit(False).alias("statement_only"),
     ).filter(F.col("action").isNotNull())
-    return ev.withColumn(
+    out = ev.withColumn(
         "event_id", F.xxhash64("table_name", "row_data", "action", "action_tstamp_tx")
     ).select(*DIFF_COLS)
+    if session_columns:
+        # Who and what produced the events; the clock is the injected now
+        app = old.sparkSession.conf.get("spark.app.name", None)
+        out = out.withColumns(
+            {"session_user_name": F.current_user(), "application_name": F.lit(app).cast("string")}
+        )
+    return out
 
 
 def statement_events(

@@ -247,6 +247,16 @@ def affected_partitions(
     )
 
 
+def truncated_in_window(log: DataFrame, table: str, lo: int | None = None, hi: int | None = None) -> bool:
+    """Whether the window holds a statement-level TRUNCATE of ``table`` (one bounded probe job)."""
+    return bool(changelog_window(log, table, lo, hi, ("T",), ("action",)).limit(1).count())
+
+
+def lake_partitions(lake: DataFrame) -> DataFrame:
+    """Every partition currently in the lake (partition columns only)."""
+    return lake.select(*[F.col(c).cast("bigint").alias(c) for c in PARTITION_COLS]).distinct()
+
+
 def partition_slice(df: DataFrame, year: int, month: int, day: int) -> DataFrame:
     """Rows of one date partition (F4); on a partitioned lake this prunes to one folder."""
     return df.filter((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))

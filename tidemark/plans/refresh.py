@@ -64,6 +64,7 @@ def refresh(
     days_back: int = 0,
     include_insert_dates: bool = False,
     include_previous_partition: bool = False,
+    truncate_marks_all: bool = False,
     zone: str | None = None,
 ) -> lake.RewriteResult:
     """Bring the lake copy of one table in step with its source for one run.
@@ -74,6 +75,11 @@ def refresh(
     """
     current = lake.read_lake(spark, lake_path) if include_previous_partition else None
     keys = resolve_affected(spark, log, source, spec, run_date, days_back, include_insert_dates, current, zone)
+    if truncate_marks_all:
+        # B15 option: a TRUNCATE in the window makes every lake partition of the table affected
+        lo, hi = day_window(run_date, days_back)
+        if cdc.truncated_in_window(log, spec.name, lo, hi):
+            keys = sorted(set(keys) | set(lake.collect_affected(cdc.lake_partitions(lake.read_lake(spark, lake_path)))))
     return lake.rewrite_partitions(spark, source, keys, lake_path)
 
 
