@@ -81,12 +81,18 @@ def clear_partitions(spark: SparkSession, path: str, parts, cols=PARTITION_COLS)
     so a partition that became empty must be removed explicitly (B6, B7).
     """
     n = 0
+    root = path.rstrip("/")
     for p in parts:
         sub = "/".join(f"{c}={int(v)}" for c, v in zip(cols, p))
-        fs, hp = hadoop_fs(spark, f"{path.rstrip('/')}/{sub}")
+        fs, hp = hadoop_fs(spark, f"{root}/{sub}")
         if fs.exists(hp):
             fs.delete(hp, True)
             n += 1
+        # drop parent folders (month=, year=) left without any child
+        for depth in range(len(cols) - 1, 0, -1):
+            fs, parent = hadoop_fs(spark, f"{root}/" + "/".join(f"{c}={int(v)}" for c, v in zip(cols[:depth], p)))
+            if fs.exists(parent) and len(fs.listStatus(parent)) == 0:
+                fs.delete(parent, False)
     return n
 
 
