@@ -60,14 +60,28 @@ def backfill(source: DataFrame, path: str, cols=PARTITION_COLS) -> None:
     )
 
 
-def collect_affected(affected: DataFrame, limit: int = MAX_AFFECTED) -> list[tuple[int, int, int]]:
-    """Bring the affected days to the driver, refusing a set larger than ``limit``."""
+def try_collect_affected(affected: DataFrame, limit: int = MAX_AFFECTED) -> list[tuple[int, int, int]] | None:
+    """The affected days on the driver, or None when there are more than ``limit``."""
     rows = affected.select(*PARTITION_COLS).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"affected set has more than {limit} partitions; refusing to collect it")
+        return None
     return sorted((int(r[0]), int(r[1]), int(r[2])) for r in rows if None not in tuple(r))
 
 
+def collect_affected(affected: DataFrame, limit: int = MAX_AFFECTED) -> list[tuple[int, int, int]]:
+    """Bring the affected days to the driver, refusing a set larger than ``limit``."""
+    keys = try_collect_affected(affected, limit)
+    if keys is None:
+        raise ValueError(f"affected set has more than {limit} partitions; refusing to collect it")
+    return keys
+
+
+def slice_days(source: DataFrame, day_keys) -> DataFrame:
+    """Rows of the given days (yyyymmdd keys). On a date-partitioned source the predicate
+    references partition columns only, so it becomes a partition filter (folders pruned)."""
+    return _cast_parts(source).filter(date_key().isin(sorted(day_keys)))
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -108,13 +122,15 @@ def rewrite_partitions(
     Partitions outside the set keep their files; affected partitions with no source row
     are removed. One write job regardless of how many keys changed.
     """
-    keys = affected if isinstance(affected, list) else collect_affected(affected)
+    keys = affected if isinstance(affected, list) else try_collect_affected(affected)
+    if keys is None:
+        return _rewrite_by_join(spark, source, affected, path, clear_emptied)
     result = RewriteResult(affected=list(keys))
     if not keys:
         return result
     day_keys = sorted({y * 10000 + m * 100 + d for y, m, d in keys})
     src = _cast_parts(source)
-    slice_ = src.filter(date_key().isin(day_keys))
+    slice_ = slice_days(source, day_keys)
     obs = Observation("tidemark_rewrite")
     slice_ = slice_.observe(obs, F.collect_set(date_key()).alias("written"))
     (
@@ -136,6 +152,34 @@ def rewrite_partitions(
     return result
 
 
+def _rewrite_by_join(
+    spark: SparkSession, source: DataFrame, affected: DataFrame, path: str, clear_emptied: bool
+) -> RewriteResult:
+    """Rewrite for an affected set too large to collect: a semi-join instead of a literal
+    filter, and emptied days found by an anti-join and streamed to the driver one
+    partition at a time for clearing (never the whole set at once)."""
+    aff = _cast_parts(affected.select(*PARTITION_COLS)).distinct()
+    src = _cast_parts(source)
+    (
+        src.join(aff, list(PARTITION_COLS), "left_semi")
+        .hint("rebalance", *PARTITION_COLS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTITION_COLS)
+        .parquet(path)
+    )
+    if clear_emptied:
+        emptied = aff.join(src.select(*PARTITION_COLS), list(PARTITION_COLS), "left_anti")
+        batch = []
+        for r in emptied.toLocalIterator():
+            batch.append((int(r[0]), int(r[1]), int(r[2])))
+            if len(batch) >= 10_000:
+                clear_partitions(spark, path, batch)
+                batch = []
+        clear_partitions(spark, path, batch)
+    return RewriteResult()
+
+
 def _observed_days(obs: Observation) -> set[int] | None:
     try:
         metrics = obs.get
