@@ -61,7 +61,7 @@ def test_affected_dates(spark):
     log, src = scenario_log(spark), scenario_source_after(spark)
     net = cdc.net_changes(log, "order", LO, HI)
     assert _dates(cdc.affected_update_dates(net, src, "order")) == {D10}
-    assert _dates(cdc.affected_delete_dates(net, "order")) == {D11, RUN}
+    assert _dates(cdc.affected_delete_dates(log, "order", LO, HI)) == {D11, RUN}
     assert _dates(cdc.affected_partitions(spark, log, src, "order", RUN)) == {D10, D11, RUN}
 
 
@@ -150,3 +150,21 @@ def test_emptied_partitions(spark):
 def test_partition_slice(spark):
     got = cdc.partition_slice(scenario_source_after(spark), 2024, 1, 10).select("id").collect()
     assert sorted(r.id for r in got) == [1, 2]
+
+
+def test_delete_reinsert_delete_keeps_first_partition(spark):
+    """Every delete's OLD date is affected, not only the latest one's."""
+    log = log_df(
+        spark,
+        [(1, "order", "D", ep(RUN, 60), 5, ep(D10, 3600)), (2, "order", "I", ep(RUN, 120), 5, None),
+         (3, "order", "D", ep(RUN, 180), 5, ep(RUN, 120))],
+    )
+    aff = _dates(cdc.affected_partitions(spark, log, scenario_source_after(spark), "order", RUN))
+    assert aff == {D10, RUN}
+    (row,) = cdc.net_changes(log, "order", LO, HI).collect()
+    assert row.net_action == "D" and row.deleted_updated_at == ep(RUN, 120)
+
+
+def test_net_actions_is_hash_aggregate(spark):
+    plan = cdc.net_actions(scenario_log(spark), "order", LO, HI)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -59,12 +59,39 @@ def cdc_ids(log: DataFrame, table: str, lo: int | None = None, hi: int | None =
     )
 
 
+def _row_events(log: DataFrame, table: str | None, lo: int | None, hi: int | None) -> DataFrame:
+    return changelog_window(log, table, lo, hi, ROW_ACTIONS).filter(F.col("row_data").isNotNull())
+
+
+def _net_action() -> Column:
+    return F.when(F.col("_has_d"), "D").when(F.col("_has_i"), "I").otherwise("U")
+
+
+def net_actions(
+    log: DataFrame,
+    table: str | None = None,
+    lo: int | None = None,
+    hi: int | None = None,
+) -> DataFrame:
+    """Net action per (table, change day, key) only: ``table_name, change_date, id, net_action``.
+
+    Two boolean maxima per group, so this is a hash aggregate with a map-side partial
+    step. The refresh uses it to find net-updated keys.
+    """
+    grouped = (
+        _row_events(log, table, lo, hi)
+        .withColumn("change_date", epoch_to_date("action_tstamp_tx"))
+        .groupBy("table_name", "change_date", F.col("row_data").alias("id"))
+        .agg(F.max(F.col("action") == "D").alias("_has_d"), F.max(F.col("action") == "I").alias("_has_i"))
+    )
+    return grouped.select("table_name", "change_date", "id", _net_action().alias("net_action"))
+
+
 def net_changes(
     log: DataFrame,
     table: str | None = None,
     lo: int | None = None,
     hi: int | None = None,
-    per_day: bool = True,
 ) -> DataFrame:
     """Net action per (table, change day, key): D over I over U, whatever the order in time.
 
@@ -72,26 +99,24 @@ def net_changes(
     delete of that key in the same table and window, latest by
     ``(action_tstamp_tx, event_id)`` (B2). Output columns:
     ``table_name, change_date, id, net_action, deleted_updated_at``.
+
+    The struct ordering of ``max_by`` makes this a sort-based aggregate; the refresh
+    itself needs only ``net_actions`` and ``delete_dates``, which hash-aggregate.
     """
-    rows = changelog_window(log, table, lo, hi, ROW_ACTIONS).filter(F.col("row_data").isNotNull())
-    day = epoch_to_date("action_tstamp_tx") if per_day else F.lit(None).cast("date")
     is_d = F.col("action") == "D"
     grouped = (
-        rows.withColumn("change_date", day)
+        _row_events(log, table, lo, hi)
+        .withColumn("change_date", epoch_to_date("action_tstamp_tx"))
         .groupBy("table_name", "change_date", F.col("row_data").alias("id"))
         .agg(
             F.max(is_d).alias("_has_d"),
             F.max(F.col("action") == "I").alias("_has_i"),
-            F.max_by(
-                "changed_fields",
-                F.when(is_d, F.struct("action_tstamp_tx", "event_id")),
-            ).alias("deleted_updated_at"),
+            F.max_by("changed_fields", F.when(is_d, F.struct("action_tstamp_tx", "event_id"))).alias(
+                "deleted_updated_at"
+            ),
         )
     )
-    net = F.when(F.col("_has_d"), "D").when(F.col("_has_i"), "I").otherwise("U")
-    return grouped.select(
-        "table_name", "change_date", "id", net.alias("net_action"), "deleted_updated_at"
-    )
+    return grouped.select("table_name", "change_date", "id", _net_action().alias("net_action"), "deleted_updated_at")
 
 
 def _ids_of(net: DataFrame, action: str, table: str | None) -> DataFrame:
@@ -110,27 +135,34 @@ def affected_update_dates(
     action: str = "U",
     zone: str | None = None,
 ) -> DataFrame:
-    """Partitions of the *current* ``updated_at`` of net-updated keys.
+    """``update_dates`` under its inventory name, for one action."""
+    return update_dates(net, source, table, key, date_col, (action,), zone)
+
+
+def delete_dates(
+    log: DataFrame,
+    table: str | None = None,
+    lo: int | None = None,
+    hi: int | None = None,
+    zone: str | None = None,
+) -> DataFrame:
+    """Partitions that held deleted keys: the OLD.updated_at of *every* delete in the window.
 
-    One semi-join of the source (key and date only) with the net-updated keys; keys
-    gone from the source simply drop out (B10). AQE turns the join into a broadcast
-    at run time only when the measured key set is small.
+    Any delete makes a key's net action D, so no net step is needed. Taking every
+    delete, not only the latest, also covers a key deleted, re-inserted and deleted
+    again within the window: the first delete's partition lost the row too.
     """
-    ids = _ids_of(net, action, table).withColumnRenamed("id", key)
-    return (
-        source.select(key, date_col)
-        .join(ids, key, "left_semi")
-        .select(*date_parts(epoch_to_date(date_col, zone)))
-        .distinct()
+    rows = changelog_window(log, table, lo, hi, ("D",), ("changed_fields",)).filter(
+        F.col("changed_fields").isNotNull()
     )
+    return rows.select(*date_parts(epoch_to_date("changed_fields", zone))).distinct()
 
 
-def affected_delete_dates(net: DataFrame, table: str | None = None, zone: str | None = None) -> DataFrame:
-    """Partitions that held net-deleted keys, from the delete's OLD.updated_at."""
-    cond = (F.col("net_action") == "D") & F.col("deleted_updated_at").isNotNull()
-    if table is not None:
-        cond = cond & (F.col("table_name") == table)
-    return net.filter(cond).select(*date_parts(epoch_to_date("deleted_updated_at", zone))).distinct()
+def affected_delete_dates(
+    log: DataFrame, table: str | None = None, lo: int | None = None, hi: int | None = None, zone: str | None = None
+) -> DataFrame:
+    """Alias of ``delete_dates`` under its inventory name."""
+    return delete_dates(log, table, lo, hi, zone)
 
 
 def run_date_partitions(spark: SparkSession, run_date: _dt.date, days_back: int = 0) -> DataFrame:
@@ -156,7 +188,7 @@ def lake_partitions_of_keys(lake: DataFrame, net: DataFrame, table: str | None,
 MAX_BROADCAST_KEYS = 4_000_000
 
 
-def changed_dates(
+def update_dates(
     net: DataFrame,
     source: DataFrame,
     table: str | None = None,
@@ -166,33 +198,37 @@ def changed_dates(
     zone: str | None = None,
     broadcast_keys: bool = False,
 ) -> DataFrame:
-    """Update and delete dates of a net-change set.
-
-    Keys whose date comes from the source (U; I too with the B13 option) are joined to
-    the source, the source being the streamed side, so it is scanned (key and date
-    only) and never shuffled when the key set is broadcast. Pass ``broadcast_keys=True``
-    only after checking the key count (``refresh`` does, against ``MAX_BROADCAST_KEYS``).
-    Deletes keep the OLD.updated_at they carry. Both branches read the same aggregate
-    columns, so Spark reuses one shuffle of the log for both.
+    """Partitions of the *current* ``updated_at`` of net-updated keys.
+
+    The source (key and date only) is the streamed side of the join, so it is scanned
+    and never shuffled when the key set is broadcast. Pass ``broadcast_keys=True`` only
+    after checking the key count (``refresh`` does, against ``MAX_BROADCAST_KEYS``);
+    otherwise the planner and AQE choose. Keys gone from the source drop out (B10).
     """
     rows = net if table is None else net.filter(F.col("table_name") == table)
-    keyed = rows.filter(F.col("net_action").isin(*source_actions)).select(
-        F.col("id").alias(key), F.col("deleted_updated_at").alias("_old")
-    )
+    keyed = rows.filter(F.col("net_action").isin(*source_actions)).select(F.col("id").alias(key)).distinct()
     if broadcast_keys:
         keyed = F.broadcast(keyed)
-    from_source = source.select(key, date_col).join(keyed, key, "inner").select(
-        F.coalesce(F.col(date_col), F.col("_old")).alias("_e")
+    return (
+        source.select(key, date_col)
+        .join(keyed, key, "inner")
+        .select(*date_parts(epoch_to_date(date_col, zone)))
+        .distinct()
     )
-    from_deletes = rows.filter((F.col("net_action") == "D") & F.col("deleted_updated_at").isNotNull()).select(
-        F.col("deleted_updated_at").alias("_e")
+
+
+def delete_dates_by_table(log: DataFrame, lo: int | None = None, hi: int | None = None, zone: str | None = None) -> DataFrame:
+    """``delete_dates`` of every table at once: ``table_name, year, month, day``."""
+    rows = changelog_window(log, None, lo, hi, ("D",), ("table_name", "changed_fields")).filter(
+        F.col("changed_fields").isNotNull()
     )
-    return from_source.unionByName(from_deletes).select(*date_parts(epoch_to_date("_e", zone)))
+    return rows.select("table_name", *date_parts(epoch_to_date("changed_fields", zone))).distinct()
 
 
 def affected_from_net(
     spark: SparkSession,
     net: DataFrame,
+    deletes: DataFrame,
     source: DataFrame,
     table: str,
     run_date: _dt.date,
@@ -204,11 +240,17 @@ def affected_from_net(
     zone: str | None = None,
     broadcast_keys: bool = False,
 ) -> DataFrame:
-    """Set A from an already resolved net-change set (see ``affected_partitions``)."""
+    """Set A from resolved net actions and delete dates (see ``affected_partitions``).
+
+    ``deletes`` holds ``year, month, day`` (optionally with ``table_name``, then filtered).
+    """
+    if "table_name" in deletes.columns:
+        deletes = deletes.filter(F.col("table_name") == table)
     actions = ("U", "I") if include_insert_dates else ("U",)
     parts = [
         run_date_partitions(spark, run_date, days_back),
-        changed_dates(net, source, table, key, date_col, actions, zone, broadcast_keys),
+        update_dates(net, source, table, key, date_col, actions, zone, broadcast_keys),
+        deletes.select(*PARTITION_COLS),
     ]
     if lake is not None:
         parts.append(lake_partitions_of_keys(lake, net, table, key))
@@ -240,10 +282,9 @@ def affected_partitions(
     if include_previous_partition and lake is None:
         raise ValueError("include_previous_partition needs the current lake")
     lo, hi = day_window(run_date, days_back)
-    net = net_changes(log, table, lo, hi)
     return affected_from_net(
-        spark, net, source, table, run_date, days_back, key, date_col, include_insert_dates,
-        lake if include_previous_partition else None, zone,
+        spark, net_actions(log, table, lo, hi), delete_dates(log, table, lo, hi, zone), source, table, run_date,
+        days_back, key, date_col, include_insert_dates, lake if include_previous_partition else None, zone,
     )
 
 

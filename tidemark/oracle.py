@@ -72,7 +72,8 @@ def net_cte(table: str | None, run_date: _dt.date | None, days_back: int = 0, sr
 
 
 def affected_cte(table: str, run_date: _dt.date, days_back: int = 0, net: str = "net", src: str = "snapshot",
-                 name: str = "affected") -> str:
+                 name: str = "affected", log: str = "changelog") -> str:
+    lo, hi = day_window(run_date, days_back)
     runs = " UNION ".join(
         f"SELECT {d.year}::BIGINT AS year, {d.month}::BIGINT AS month, {d.day}::BIGINT AS day"
         for d in (run_date - _dt.timedelta(days=i) for i in range(days_back, -1, -1))
@@ -83,8 +84,9 @@ def affected_cte(table: str, run_date: _dt.date, days_back: int = 0, net: str =
   SELECT DISTINCT s.year, s.month, s.day FROM {src} s
     WHERE s.id IN (SELECT id FROM {net} WHERE net_action = 'U' AND table_name = '{table}')
   UNION
-  SELECT DISTINCT {parts('deleted_updated_at')} FROM {net}
-    WHERE net_action = 'D' AND deleted_updated_at IS NOT NULL AND table_name = '{table}')"""
+  SELECT DISTINCT {parts('changed_fields')} FROM {log}
+    WHERE action = 'D' AND changed_fields IS NOT NULL AND table_name = '{table}'
+      AND action_tstamp_tx BETWEEN {lo} AND {hi})"""
 
 
 def edit_pair_ctes(table: str = "order") -> list[str]:

@@ -27,25 +27,28 @@ def resolve_affected(
     lake_df: DataFrame | None = None,
     zone: str | None = None,
     net: DataFrame | None = None,
+    deletes: DataFrame | None = None,
 ) -> list[tuple[int, int, int]]:
     """Affected days of one run, on the driver (bounded by the calendar).
 
-    The net-change set is persisted once and read three times: to count the keys that
-    need a source date (the size check that allows broadcasting them), for the update
-    dates and for the delete dates. Its lineage is one log scan and one aggregate, so a
-    lost cached block is simply recomputed.
+    The net actions (one hash aggregate of the log window) are persisted and read twice:
+    to count the keys that need a source date (the size check that allows broadcasting
+    them) and for the join that finds those dates. Delete dates come straight from the
+    log's delete rows. A lost cached block is simply recomputed from the log.
     """
     lo, hi = day_window(run_date, days_back)
     shared = net is not None
     if shared:
         net = net.filter(F.col("table_name") == spec.name)
     else:
-        net = cdc.net_changes(log, spec.name, lo, hi).persist(StorageLevel.MEMORY_AND_DISK)
+        net = cdc.net_actions(log, spec.name, lo, hi).persist(StorageLevel.MEMORY_AND_DISK)
+    if deletes is None:
+        deletes = cdc.delete_dates(log, spec.name, lo, hi, zone)
     try:
         actions = ["U", "I"] if include_insert_dates else ["U"]
         n_keys = net.filter(F.col("net_action").isin(*actions)).count()
         affected = cdc.affected_from_net(
-            spark, net, source, spec.name, run_date, days_back, spec.key, spec.date_col,
+            spark, net, deletes, source, spec.name, run_date, days_back, spec.key, spec.date_col,
             include_insert_dates, lake_df, zone, broadcast_keys=n_keys <= cdc.MAX_BROADCAST_KEYS,
         )
         return lake.collect_affected(affected)
@@ -99,11 +102,12 @@ def affected_all_tables(
     run day(s) (B9).
     """
     lo, hi = day_window(run_date, days_back)
-    net_path = scratch_path(spark, "net-all")
-    cdc.net_changes(log, None, lo, hi).write.parquet(net_path)
-    net = spark.read.parquet(net_path)
+    net_path, del_path = scratch_path(spark, "net-all"), scratch_path(spark, "deletes-all")
+    cdc.net_actions(log, None, lo, hi).write.parquet(net_path)
+    cdc.delete_dates_by_table(log, lo, hi).write.parquet(del_path)
+    net, deletes = spark.read.parquet(net_path), spark.read.parquet(del_path)
     parts = [
-        cdc.affected_from_net(spark, net, sources[s.name], s.name, run_date, days_back, s.key, s.date_col).select(
+        cdc.affected_from_net(spark, net, deletes, sources[s.name], s.name, run_date, days_back, s.key, s.date_col).select(
             F.lit(s.name).alias("table_name"), "year", "month", "day"
         )
         for s in specs
@@ -123,18 +127,20 @@ def run_all(
 ) -> dict[str, lake.RewriteResult]:
     """Refresh every spec'd table under ``lake_root/<folder>``.
 
-    One net-change aggregate over all tables is persisted and shared; each table then
-    resolves its own days and gets one write.
+    One net-action aggregate and one delete-date set over all tables are persisted and
+    shared; each table then resolves its own days and gets one write.
     """
     lo, hi = day_window(run_date, days_back)
-    net_all = cdc.net_changes(log, None, lo, hi).persist(StorageLevel.MEMORY_AND_DISK)
+    net_all = cdc.net_actions(log, None, lo, hi).persist(StorageLevel.MEMORY_AND_DISK)
+    dels_all = cdc.delete_dates_by_table(log, lo, hi).persist(StorageLevel.MEMORY_AND_DISK)
     out = {}
     try:
         for s in specs:
             if s.name not in sources:
                 continue
-            keys = resolve_affected(spark, log, sources[s.name], s, run_date, days_back, net=net_all)
+            keys = resolve_affected(spark, log, sources[s.name], s, run_date, days_back, net=net_all, deletes=dels_all)
             out[s.name] = lake.rewrite_partitions(spark, sources[s.name], keys, f"{lake_root.rstrip('/')}/{s.folder}")
     finally:
         net_all.unpersist()
+        dels_all.unpersist()
     return out

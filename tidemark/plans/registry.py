@@ -96,13 +96,13 @@ def q_affected_update_dates(spark, sf_dir):
 
 @register(
     "affected_delete_dates",
-    _with(O.changelog_cte(), O.net_cte(TABLE, RUN_DATE))
-    + f"""SELECT DISTINCT {O.parts('deleted_updated_at')} FROM net
-WHERE net_action = 'D' AND deleted_updated_at IS NOT NULL""",
+    _with(O.changelog_cte())
+    + f"""SELECT DISTINCT {O.parts('changed_fields')} FROM changelog
+WHERE action = 'D' AND changed_fields IS NOT NULL AND table_name = '{TABLE}'
+  AND action_tstamp_tx BETWEEN {LO} AND {HI}""",
 )
 def q_affected_delete_dates(spark, sf_dir):
-    net = cdc.net_changes(read_changelog(spark, sf_dir, LO, HI), TABLE, LO, HI)
-    return cdc.affected_delete_dates(net, TABLE)
+    return cdc.affected_delete_dates(read_changelog(spark, sf_dir, LO, HI), TABLE, LO, HI)
 
 
 @register(
@@ -720,8 +720,8 @@ def _stream_refresh_sql() -> str:
   SELECT DISTINCT {O.parts('action_tstamp_tx')} FROM changelog
   UNION SELECT DISTINCT s.year, s.month, s.day FROM source s
     WHERE s.id IN (SELECT id FROM net WHERE net_action = 'U')
-  UNION SELECT DISTINCT {O.parts('deleted_updated_at')} FROM net
-    WHERE net_action = 'D' AND deleted_updated_at IS NOT NULL)"""
+  UNION SELECT DISTINCT {O.parts('changed_fields')} FROM changelog
+    WHERE action = 'D' AND changed_fields IS NOT NULL AND table_name = '{TABLE}')"""
     return _with(O.changelog_cte(), O.snapshot_cte(), O.net_cte(TABLE, None), _edited_source_sql(), aff) + (
         f"SELECT * FROM snapshot s WHERE NOT {_IN_A}\nUNION ALL\nSELECT * FROM source s WHERE {_IN_A}"
     )

@@ -54,9 +54,13 @@ def batch_affected(batch: DataFrame, source: DataFrame, spec: TableSpec, zone: s
     The batch's own days play the role of the run day; net change is per
     (table, day, key) exactly as in the batch refresh.
     """
-    net = cdc.net_changes(batch, spec.name)
+    net = cdc.net_actions(batch, spec.name)
     days = batch.select(*epoch_parts("action_tstamp_tx", zone)).distinct()
-    return days.unionByName(cdc.changed_dates(net, source, spec.name, spec.key, spec.date_col, zone=zone)).distinct()
+    return (
+        days.unionByName(cdc.update_dates(net, source, spec.name, spec.key, spec.date_col, zone=zone))
+        .unionByName(cdc.delete_dates(batch, spec.name, zone=zone))
+        .distinct()
+    )
 
 
 def stream_partition_refresh(
