@@ -13,6 +13,8 @@ from check_oracle import TABLES, digest  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 QUERIES = E.queries()
+# no all-pairs joins and no per-row Python anywhere in a registered plan
+FORBIDDEN_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 ORACLE = E.oracle_sql()
 
 
@@ -38,6 +40,9 @@ def test_entry_runs(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in FORBIDDEN_NODES:
+        assert bad not in plan, f"{name} plans a {bad}"
     rows = [tuple(r) for r in df.collect()]
     res = con.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]

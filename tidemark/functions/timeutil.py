@@ -30,9 +30,14 @@ def run_dates(run_date: _dt.date, days_back: int = 0) -> list[_dt.date]:
     return [run_date - _dt.timedelta(days=d) for d in range(days_back, -1, -1)]
 
 
+def ntz_literal(when: _dt.datetime) -> Column:
+    """A ``timestamp_ntz`` literal built from text, so no session time zone is involved."""
+    return F.lit(when.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def epoch_seconds(ts) -> Column:
     """Whole epoch seconds of a ``timestamp_ntz`` column (floored for post-1970 values)."""
-    return F.timestamp_diff("SECOND", F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz"), _c(ts))
+    return F.timestamp_diff("SECOND", ntz_literal(_dt.datetime(1970, 1, 1)), _c(ts))
 
 
 def epoch_to_date(epoch, zone: str | None = None) -> Column:

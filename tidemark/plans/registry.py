@@ -90,7 +90,7 @@ def q_net_changes(spark, sf_dir):
 WHERE id IN (SELECT id FROM net WHERE net_action = 'U')""",
 )
 def q_affected_update_dates(spark, sf_dir):
-    net = cdc.net_changes(read_changelog(spark, sf_dir, LO, HI), TABLE, LO, HI)
+    net = cdc.net_actions(read_changelog(spark, sf_dir, LO, HI), TABLE, LO, HI)
     return cdc.affected_update_dates(net, read_snapshot(spark, sf_dir, TABLE), TABLE)
 
 
@@ -141,7 +141,7 @@ def q_emptied_partitions(spark, sf_dir):
     log = read_changelog(spark, sf_dir, LO, HI, n_dates=None)
     snap = read_snapshot(spark, sf_dir, TABLE, n_dates=None)
     affected = cdc.affected_partitions(spark, log, snap, TABLE, RUN_DATE)
-    deleted = cdc.net_changes(log, TABLE, LO, HI).filter(F.col("net_action") == "D").select("id")
+    deleted = cdc.net_actions(log, TABLE, LO, HI).filter(F.col("net_action") == "D").select("id")
     after = snap.join(deleted, "id", "left_anti")
     return cdc.emptied_partitions(affected, after)
 

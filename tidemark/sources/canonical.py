@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timeutil import epoch_parts, epoch_seconds
+from ..functions.timeutil import epoch_parts, epoch_seconds, ntz_literal
 from ..specs import TABLE_NAMES
 
 # Fixed values of the canonical fixture: first synthetic date 2024-01-01 (epoch
@@ -52,12 +52,11 @@ def read_changelog(
     ``ts`` column, so parquet row groups outside the window are skipped at the scan.
     """
     ev = spark.read.parquet(table_path(sf_dir, "events"))
+    epoch = _dt.datetime(1970, 1, 1)
     if lo is not None:
-        ev = ev.filter(F.col("ts") >= F.lit(_dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=lo)).cast("timestamp_ntz"))
+        ev = ev.filter(F.col("ts") >= ntz_literal(epoch + _dt.timedelta(seconds=lo)))
     if hi is not None:
-        ev = ev.filter(
-            F.col("ts") < F.lit(_dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=hi + 1)).cast("timestamp_ntz")
-        )
+        ev = ev.filter(F.col("ts") < ntz_literal(epoch + _dt.timedelta(seconds=hi + 1)))
     k = F.pmod(F.col("event_id"), F.lit(len(TABLE_NAMES)))
     table_name = F.element_at(F.array(*[F.lit(t) for t in TABLE_NAMES]), (k + 1).cast("int"))
     action = F.coalesce(
