@@ -168,3 +168,24 @@ def test_delete_reinsert_delete_keeps_first_partition(spark):
 def test_net_actions_is_hash_aggregate(spark):
     plan = cdc.net_actions(scenario_log(spark), "order", LO, HI)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_net_changes_is_hash_aggregate(spark):
+    plan = cdc.net_changes(scenario_log(spark), "order", LO, HI)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_latest_delete_orders_by_time_then_event_id(spark):
+    """Same second: the larger event id wins, negative and extreme ids included; a later
+    second beats any event id."""
+    t = ep(RUN, 600)
+    big, small = 2**63 - 1, -(2**63)
+    cases = {
+        1: [(10, t, 100), (-5, t, 200)],  # same second: 10 > -5
+        2: [(big, t, 300), (small, t + 1, 400)],  # later second wins over the largest id
+        3: [(small, t, 500), (small + 1, t, 600)],
+        4: [(7, t, 700), (8, t - 1, 800), (6, t, 900)],
+    }
+    rows = [(e, "order", "D", ts, k, cf) for k, evs in cases.items() for e, ts, cf in evs]
+    got = {r.id: r.deleted_updated_at for r in cdc.net_changes(log_df(spark, rows), "order", LO, HI).collect()}
+    assert got == {1: 100, 2: 400, 3: 600, 4: 700}

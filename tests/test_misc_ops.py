@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions import exprs
-from tidemark.functions.timeutil import day_window, epoch_to_date, partition_path
+from tidemark.functions.timeutil import day_window, epoch_seconds, epoch_to_date, partition_path
 from tidemark.operators import extract, quality, seed
 from tidemark.sinks import lake
 from tidemark.sources import files, jdbc
@@ -28,6 +28,21 @@ def test_epoch_to_date_ignores_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
+def test_epoch_seconds_ignores_session_zone(spark):
+    """A wall time inside New York's spring-forward gap still reads as UTC seconds."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.sql(
+                "SELECT timestamp_ntz'2024-03-10 02:30:00' AS ts UNION ALL SELECT timestamp_ntz'2024-11-03 01:30:00'"
+            )
+            got = sorted(r.e for r in df.select(epoch_seconds("ts").alias("e")).collect())
+            assert got == [1710037800, 1730597400], zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_partition_path_unpadded(spark):
     df = spark.createDataFrame([(2024, 1, 5)], "year bigint, month bigint, day bigint")
     assert df.select(partition_path()).first()[0] == "year=2024/month=1/day=5"

@@ -36,8 +36,13 @@ def ntz_literal(when: _dt.datetime) -> Column:
 
 
 def epoch_seconds(ts) -> Column:
-    """Whole epoch seconds of a ``timestamp_ntz`` column (floored for post-1970 values)."""
-    return F.timestamp_diff("SECOND", ntz_literal(_dt.datetime(1970, 1, 1)), _c(ts))
+    """Whole epoch seconds of a ``timestamp_ntz`` (read as UTC) or ``timestamp`` column.
+
+    ``unix_timestamp`` converts a ``timestamp_ntz`` without the session zone. A
+    ``timestamp_diff`` against 1970 does not: it goes through the session zone and is
+    an hour off for wall times inside a daylight-saving gap.
+    """
+    return F.unix_timestamp(_c(ts))
 
 
 def epoch_to_date(epoch, zone: str | None = None) -> Column:

@@ -63,6 +63,22 @@ def _row_events(log: DataFrame, table: str | None, lo: int | None, hi: int | Non
     return changelog_window(log, table, lo, hi, ROW_ACTIONS).filter(F.col("row_data").isNotNull())
 
 
+_TWO_62 = 2**62
+
+
+def event_order(tstamp: str = "action_tstamp_tx", event_id: str = "event_id") -> Column:
+    """One ``decimal(38,0)`` whose order is the order of ``(tstamp, event_id)``.
+
+    ``tstamp * 2^64 + (event_id + 2^63)``: exact for every event id, and for transaction
+    times within +-2^62 seconds of 1970 (beyond that they are clamped). Unlike a struct,
+    a decimal fits a hash-aggregate buffer, so ``max_by`` over it keeps the partial
+    (map-side) aggregation instead of falling back to a sort-based aggregate.
+    """
+    dec = lambda v: F.lit(str(v)).cast("decimal(38,0)")  # noqa: E731 - exact big literals
+    t = F.least(F.greatest(F.col(tstamp), F.lit(-_TWO_62)), F.lit(_TWO_62)).cast("decimal(38,0)")
+    return t * dec(2**64) + (F.col(event_id).cast("decimal(38,0)") + dec(2**63))
+
+
 def _net_action() -> Column:
     return F.when(F.col("_has_d"), "D").when(F.col("_has_i"), "I").otherwise("U")
 
@@ -100,8 +116,9 @@ def net_changes(
     ``(action_tstamp_tx, event_id)`` (B2). Output columns:
     ``table_name, change_date, id, net_action, deleted_updated_at``.
 
-    The struct ordering of ``max_by`` makes this a sort-based aggregate; the refresh
-    itself needs only ``net_actions`` and ``delete_dates``, which hash-aggregate.
+    All three aggregates have fixed-width buffers (the delete ordering is packed into
+    one decimal by ``event_order``), so this is one hash aggregate with a map-side
+    partial step: a key holding a third of the log is combined before the shuffle.
     """
     is_d = F.col("action") == "D"
     grouped = (
@@ -111,9 +128,7 @@ def net_changes(
         .agg(
             F.max(is_d).alias("_has_d"),
             F.max(F.col("action") == "I").alias("_has_i"),
-            F.max_by("changed_fields", F.when(is_d, F.struct("action_tstamp_tx", "event_id"))).alias(
-                "deleted_updated_at"
-            ),
+            F.max_by("changed_fields", F.when(is_d, event_order())).alias("deleted_updated_at"),
         )
     )
     return grouped.select("table_name", "change_date", "id", _net_action().alias("net_action"), "deleted_updated_at")
@@ -303,9 +318,15 @@ def partition_slice(df: DataFrame, year: int, month: int, day: int) -> DataFrame
     return df.filter((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
 
 
+def source_days(source: DataFrame) -> DataFrame:
+    """Distinct partitions present in ``source``.
+
+    The distinct runs before anything else, so its partial aggregate leaves at most one
+    row per day in each task. A day holding a third of the rows never moves as a whole.
+    """
+    return source.select(*[F.col(c).cast("bigint").alias(c) for c in PARTITION_COLS]).distinct()
+
+
 def emptied_partitions(affected: DataFrame, source: DataFrame) -> DataFrame:
     """Affected partitions with no row left in the source."""
-    present = source.select(*[F.col(c).cast("bigint").alias(c) for c in PARTITION_COLS]).join(
-        affected, list(PARTITION_COLS), "left_semi"
-    )
-    return affected.join(present.distinct(), list(PARTITION_COLS), "left_anti")
+    return affected.join(source_days(source), list(PARTITION_COLS), "left_anti")

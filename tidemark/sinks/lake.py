@@ -169,7 +169,8 @@ def _rewrite_by_join(
         .parquet(path)
     )
     if clear_emptied:
-        emptied = aff.join(src.select(*PARTITION_COLS), list(PARTITION_COLS), "left_anti")
+        # distinct days first (map-side), so a hot day does not move whole into one task
+        emptied = aff.join(src.select(*PARTITION_COLS).distinct(), list(PARTITION_COLS), "left_anti")
         batch = []
         for r in emptied.toLocalIterator():
             batch.append((int(r[0]), int(r[1]), int(r[2])))
