@@ -21,12 +21,17 @@ def spark():
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     # tests bring their own shared folder only where the session names none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="tidemark-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-test-ckpt-"))
     yield s
 
 
 @pytest.fixture()
-def tmpdir_fresh():
-    return tempfile.mkdtemp(prefix="tidemark-test-")
+def tmpdir_fresh(spark):
+    """A fresh folder under the session's shared folder (local in tests, so os calls work)."""
+    from tidemark.session import scratch_path
+
+    p = scratch_path(spark, "test")
+    local = p[len("file:"):] if p.startswith("file:") else p
+    os.makedirs(local, exist_ok=True)
+    return local

@@ -134,13 +134,6 @@ def net_changes(
     return grouped.select("table_name", "change_date", "id", _net_action().alias("net_action"), "deleted_updated_at")
 
 
-def _ids_of(net: DataFrame, action: str, table: str | None) -> DataFrame:
-    cond = F.col("net_action") == action
-    if table is not None:
-        cond = cond & (F.col("table_name") == table)
-    return net.filter(cond).select("id").distinct()
-
-
 def affected_update_dates(
     net: DataFrame,
     source: DataFrame,
@@ -188,8 +181,14 @@ def run_date_partitions(spark: SparkSession, run_date: _dt.date, days_back: int
 
 
 def lake_partitions_of_keys(lake: DataFrame, net: DataFrame, table: str | None, key: str = "id") -> DataFrame:
-    """Partitions where the lake currently holds net-updated keys (option for B3)."""
-    ids = _ids_of(net, "U", table).withColumnRenamed("id", key)
+    """Partitions where the lake currently holds any changed key (option for B3).
+
+    Every net action counts. A key updated to a new date and then deleted nets to D,
+    and its delete carries the post-update date, so only the lake knows the partition
+    that still holds the row.
+    """
+    rows = net if table is None else net.filter(F.col("table_name") == table)
+    ids = rows.select(F.col("id").alias(key)).distinct()
     return (
         lake.select(key, *[F.col(c).cast("bigint").alias(c) for c in PARTITION_COLS])
         .join(ids, key, "left_semi")
@@ -289,7 +288,7 @@ def affected_partitions(
     """Set A of a run: the run day(s), net-update dates and net-delete dates.
 
     Options: ``include_insert_dates`` adds the source dates of net-inserted keys (B13);
-    ``include_previous_partition`` adds partitions where ``lake`` still holds net-updated
+    ``include_previous_partition`` adds partitions where ``lake`` still holds changed
     keys, so a row that moved date is removed from its old partition (B3).
     """
     from ..functions.timeutil import day_window

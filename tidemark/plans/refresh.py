@@ -76,7 +76,7 @@ def refresh(
     source join) and one to write them; emptied days are then removed with metadata
     operations only. None of it depends on how many keys changed.
     """
-    current = lake.read_lake(spark, lake_path) if include_previous_partition else None
+    current = lake.read_lake(spark, lake_path, schema=source.schema) if include_previous_partition else None
     keys = resolve_affected(spark, log, source, spec, run_date, days_back, include_insert_dates, current, zone)
     if truncate_marks_all:
         # B15 option: a TRUNCATE in the window makes every lake partition of the table affected

@@ -26,13 +26,12 @@ def shared_root(spark: SparkSession) -> str:
     On a cluster that setting names distributed storage. Only when it is unset (a bare
     local session, as in tests) do we create one and register it with the session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        # spark.checkpoint.dir cannot be changed on a running session; register the
+        # folder with the context instead, which later calls then find
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
         root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

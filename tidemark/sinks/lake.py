@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.timeutil import date_key
 from ..specs import PARTITION_COLS
@@ -43,9 +44,13 @@ def _cast_parts(df: DataFrame, cols=PARTITION_COLS) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("bigint") for c in cols})
 
 
-def read_lake(spark: SparkSession, path: str, cols=PARTITION_COLS) -> DataFrame:
-    """Read a partitioned lake; partition columns come back as bigint."""
-    return _cast_parts(spark.read.parquet(path), cols)
+def read_lake(spark: SparkSession, path: str, cols=PARTITION_COLS, schema: StructType | None = None) -> DataFrame:
+    """Read a partitioned lake; partition columns come back as bigint.
+
+    With ``schema`` nothing is inferred, and a lake with no data files yet reads as empty.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return _cast_parts(reader.parquet(path), cols)
 
 
 def backfill(source: DataFrame, path: str, cols=PARTITION_COLS) -> None:
