@@ -92,3 +92,30 @@ def test_diff_session_columns(spark):
     old, new = snap(spark, [(1, "a", 1.0, 100)]), snap(spark, [])
     r = capture.snapshot_diff(old, new, "t", now=NOW, session_columns=True).first()
     assert r.action == "D" and r.session_user_name and r.application_name == spark.conf.get("spark.app.name")
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_apply_changes_streams_base_when_change_set_is_small(spark):
+    """A change set under the bound is broadcast, so the large sides are never shuffled;
+    above the bound (here 0) the shuffled plan gives the same rows."""
+    base = spark.range(0, 20000).select(
+        F.col("id"), F.lit("x").alias("name"), F.col("id").cast("double").alias("amount"),
+        F.lit(100).cast("bigint").alias("updated_at"), F.lit(2024).cast("bigint").alias("year"),
+        F.lit(1).cast("bigint").alias("month"), F.lit(10).cast("bigint").alias("day"),
+    )
+    new = base.filter(F.col("id") != 5).withColumn(
+        "amount", F.when(F.col("id") == 7, F.lit(-1.0)).otherwise(F.col("amount"))
+    ).unionByName(base.filter(F.col("id") == 0).withColumn("id", F.lit(99999).cast("bigint")))
+    changes = capture.snapshot_diff(base, new, "t", now=NOW)
+    small = capture.apply_changes(base, changes, new)
+    plan = _final_plan(small)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "hashpartitioning(id" not in plan  # neither base nor new is shuffled on the key
+    shuffled = capture.apply_changes(base, changes, new, max_broadcast_keys=0)
+    want = sorted(map(tuple, new.collect()))
+    assert sorted(map(tuple, small.collect())) == want
+    assert sorted(map(tuple, shuffled.collect())) == want

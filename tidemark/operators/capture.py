@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeutil import date_parts, epoch_to_date, now_epoch
+from .keysets import MAX_BROADCAST_KEYS, bounded_broadcast
 
 DIFF_COLS = (
     "event_id",
@@ -134,18 +135,32 @@ def statement_events(
     )
 
 
-def apply_changes(base: DataFrame, changes: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
+def apply_changes(
+    base: DataFrame,
+    changes: DataFrame,
+    new: DataFrame,
+    key: str = "id",
+    max_broadcast_keys: int | None = MAX_BROADCAST_KEYS,
+) -> DataFrame:
     """Replica after applying row events.
 
-    Keys with U or D leave ``base``; keys with I or U come from ``new``. Both steps are
-    joins on the key against the (usually much smaller) change set; AQE broadcasts the
-    change keys at run time only when they are measured small.
+    Keys with U or D leave ``base``; keys with I or U come from ``new``. Each changed key
+    is classified once: one aggregate ORs a two-bit code per key (1 = leaves base,
+    2 = comes from new), partially per task, so a key with many events is combined
+    before the shuffle. That keyed set is cut and counted once (``bounded_broadcast``):
+    up to ``max_broadcast_keys`` it is broadcast and neither ``base`` nor ``new`` is
+    shuffled; above it both joins shuffle on the key. ``max_broadcast_keys=None``
+    leaves the choice to the planner and keeps the result fully lazy.
     """
-    rows = changes.filter(F.col("row_data").isNotNull())
-    gone = rows.filter(F.col("action").isin("U", "D")).select(F.col("row_data").alias(key)).distinct()
-    upsert = rows.filter(F.col("action").isin("I", "U")).select(F.col("row_data").alias(key)).distinct()
-    kept = base.join(gone, key, "left_anti")
-    added = new.join(upsert, key, "left_semi")
+    code = F.when(F.col("action") == "U", 3).when(F.col("action") == "D", 1).when(F.col("action") == "I", 2)
+    keys = (
+        changes.filter(F.col("row_data").isNotNull())
+        .groupBy(F.col("row_data").alias(key))
+        .agg(F.bit_or(code).alias("_code"))
+    )
+    keys, _ = bounded_broadcast(keys, max_broadcast_keys)
+    kept = base.join(keys.filter((F.col("_code").bitwiseAND(1)) == 1).select(key), key, "left_anti")
+    added = new.join(keys.filter((F.col("_code").bitwiseAND(2)) == 2).select(key), key, "left_semi")
     return kept.unionByName(added.select(*base.columns))
 
 
@@ -155,13 +170,17 @@ def touch_rows(
     now: _dt.datetime | None = None,
     key: str = "id",
     date_col: str = "updated_at",
+    max_broadcast_keys: int | None = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """Set ``updated_at`` and the date parts to ``now`` for the rows whose key is in ``keys``.
 
-    Month and day are the real month and day of ``now`` (B4 fixed).
+    Month and day are the real month and day of ``now`` (B4 fixed). The distinct keys
+    are cut and counted once: when at most ``max_broadcast_keys``, they are broadcast
+    and ``df`` is streamed through the join without a shuffle.
     """
     ts = now_epoch(now)
-    flagged = keys.select(F.col(key)).distinct().withColumn("_touch", F.lit(True))
+    flagged, _ = bounded_broadcast(keys.select(F.col(key)).distinct(), max_broadcast_keys)
+    flagged = flagged.withColumn("_touch", F.lit(True))
     j = df.join(flagged, key, "left")
     parts = date_parts(epoch_to_date(ts))
     touched = F.col("_touch").isNotNull()

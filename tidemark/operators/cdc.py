@@ -198,8 +198,8 @@ def lake_partitions_of_keys(lake: DataFrame, net: DataFrame, table: str | None,
 
 
 #: Most net-changed keys that may be broadcast to find their source dates. Above it the
-#: keys meet the source in a shuffled join instead. ~16 bytes a key: 4M keys ~ 64 MB.
-MAX_BROADCAST_KEYS = 4_000_000
+#: keys meet the source in a shuffled join instead.
+from .keysets import MAX_BROADCAST_KEYS  # noqa: E402
 
 
 def update_dates(
