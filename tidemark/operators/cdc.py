@@ -180,15 +180,21 @@ def run_date_partitions(spark: SparkSession, run_date: _dt.date, days_back: int
     return days.select(*date_parts("d"))
 
 
-def lake_partitions_of_keys(lake: DataFrame, net: DataFrame, table: str | None, key: str = "id") -> DataFrame:
+def lake_partitions_of_keys(
+    lake: DataFrame, net: DataFrame, table: str | None, key: str = "id", broadcast_keys: bool = False
+) -> DataFrame:
     """Partitions where the lake currently holds any changed key (option for B3).
 
     Every net action counts. A key updated to a new date and then deleted nets to D,
     and its delete carries the post-update date, so only the lake knows the partition
-    that still holds the row.
+    that still holds the row. Pass ``broadcast_keys=True`` only after counting the keys
+    (``refresh`` does): then the lake (key and partition columns only) is streamed
+    through a map-side semi-join and only its distinct days are shuffled.
     """
     rows = net if table is None else net.filter(F.col("table_name") == table)
     ids = rows.select(F.col("id").alias(key)).distinct()
+    if broadcast_keys:
+        ids = F.broadcast(ids)
     return (
         lake.select(key, *[F.col(c).cast("bigint").alias(c) for c in PARTITION_COLS])
         .join(ids, key, "left_semi")
@@ -253,10 +259,13 @@ def affected_from_net(
     lake: DataFrame | None = None,
     zone: str | None = None,
     broadcast_keys: bool = False,
+    broadcast_lake_keys: bool = False,
 ) -> DataFrame:
     """Set A from resolved net actions and delete dates (see ``affected_partitions``).
 
     ``deletes`` holds ``year, month, day`` (optionally with ``table_name``, then filtered).
+    ``broadcast_keys`` / ``broadcast_lake_keys``: the keys joined with the source / the
+    lake were counted and are within ``MAX_BROADCAST_KEYS``.
     """
     if "table_name" in deletes.columns:
         deletes = deletes.filter(F.col("table_name") == table)
@@ -267,7 +276,7 @@ def affected_from_net(
         deletes.select(*PARTITION_COLS),
     ]
     if lake is not None:
-        parts.append(lake_partitions_of_keys(lake, net, table, key))
+        parts.append(lake_partitions_of_keys(lake, net, table, key, broadcast_lake_keys))
     return reduce(DataFrame.unionByName, parts).distinct()
 
 

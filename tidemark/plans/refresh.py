@@ -32,8 +32,8 @@ def resolve_affected(
     """Affected days of one run, on the driver (bounded by the calendar).
 
     The net actions (one hash aggregate of the log window) are persisted and read twice:
-    to count the keys that need a source date (the size check that allows broadcasting
-    them) and for the join that finds those dates. Delete dates come straight from the
+    to count the keys (the size check that allows broadcasting them to the source join
+    and, with ``lake_df``, to the lake lookup) and for those joins. Delete dates come straight from the
     log's delete rows. A lost cached block is simply recomputed from the log.
     """
     lo, hi = day_window(run_date, days_back)
@@ -46,10 +46,15 @@ def resolve_affected(
         deletes = cdc.delete_dates(log, spec.name, lo, hi, zone)
     try:
         actions = ["U", "I"] if include_insert_dates else ["U"]
-        n_keys = net.filter(F.col("net_action").isin(*actions)).count()
+        # one job: keys that need a source date, and all changed keys (for the lake lookup)
+        n_src, n_all = net.agg(
+            F.count_if(F.col("net_action").isin(*actions)), F.count(F.lit(1))
+        ).first()
         affected = cdc.affected_from_net(
             spark, net, deletes, source, spec.name, run_date, days_back, spec.key, spec.date_col,
-            include_insert_dates, lake_df, zone, broadcast_keys=n_keys <= cdc.MAX_BROADCAST_KEYS,
+            include_insert_dates, lake_df, zone,
+            broadcast_keys=n_src <= cdc.MAX_BROADCAST_KEYS,
+            broadcast_lake_keys=n_all <= cdc.MAX_BROADCAST_KEYS,
         )
         return lake.collect_affected(affected)
     finally:

@@ -11,6 +11,7 @@ store and no watermark are needed.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,12 +53,18 @@ def batch_affected(batch: DataFrame, source: DataFrame, spec: TableSpec, zone: s
     """Affected partitions of one micro-batch of change-log rows.
 
     The batch's own days play the role of the run day; net change is per
-    (table, day, key) exactly as in the batch refresh.
+    (table, day, key) exactly as in the batch refresh. The net-updated keys are counted
+    first (one job over the batch): within ``MAX_BROADCAST_KEYS`` they are broadcast, so
+    the source is streamed through the join instead of being shuffled every batch.
     """
     net = cdc.net_actions(batch, spec.name)
+    n_keys = net.filter(F.col("net_action") == "U").count()
+    small = n_keys <= cdc.MAX_BROADCAST_KEYS
     days = batch.select(*epoch_parts("action_tstamp_tx", zone)).distinct()
     return (
-        days.unionByName(cdc.update_dates(net, source, spec.name, spec.key, spec.date_col, zone=zone))
+        days.unionByName(
+            cdc.update_dates(net, source, spec.name, spec.key, spec.date_col, zone=zone, broadcast_keys=small)
+        )
         .unionByName(cdc.delete_dates(batch, spec.name, zone=zone))
         .distinct()
     )
@@ -82,8 +89,13 @@ def stream_partition_refresh(
     stream = reader.parquet(log_dir).filter(F.col("action").isNotNull())
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        affected = batch_affected(batch, source, spec, zone)
-        lake.rewrite_partitions(batch.sparkSession, source, affected, lake_path)
+        # the batch is read three times (count, net change, days); lost blocks are re-read from its files
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            affected = batch_affected(batch, source, spec, zone)
+            lake.rewrite_partitions(batch.sparkSession, source, affected, lake_path)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if available_now:
