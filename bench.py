@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from tidemark.plans import registry as R  # noqa: E402
 from tidemark.plans.refresh import refresh  # noqa: E402
 from tidemark.operators import cdc  # noqa: E402
-from tidemark.session import scratch_path  # noqa: E402
+from tidemark.session import scratch_path, with_recommended_conf  # noqa: E402
 from tidemark.sinks import lake  # noqa: E402
 from tidemark.sources.canonical import read_changelog, read_snapshot  # noqa: E402
 from tidemark.specs import spec_for  # noqa: E402
@@ -47,12 +47,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        with_recommended_conf(SparkSession.builder.master(f"local[{cpus}]"))
         .appName("tidemark-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(max(8, 2 * cpus)))
-        .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -17,9 +17,18 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # key sets cut with checkpoint() are removed once the driver no longer references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
+def with_recommended_conf(builder):
+    """Apply ``RECOMMENDED_CONF`` to a ``SparkSession.builder`` (some keys only take effect at start)."""
+    for k, v in RECOMMENDED_CONF.items():
+        builder = builder.config(k, v)
+    return builder
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors, taken from ``spark.checkpoint.dir``.
 
