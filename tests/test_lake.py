@@ -170,3 +170,27 @@ def test_large_affected_set_falls_back_to_join(spark, tmpdir_fresh, monkeypatch)
     lake.rewrite_partitions(spark, src_df(spark, [(9, 9, D10)]), aff, path)
     got = _contents(spark, path)
     assert got == {D10: {(9, 9.0)}, D12: {(4, 4.0)}}
+
+
+def test_hot_day_is_split_across_files(spark, tmpdir_fresh):
+    """A day holding 80% of the rows is written by several tasks, not one: the rebalance
+    before each write lets AQE split the hot partition (backfill and rewrite alike)."""
+    src = spark.range(0, 400000, numPartitions=8).select(
+        F.col("id"), F.col("id").cast("double").alias("amount"), F.lit(ep(D10, 60)).alias("updated_at"),
+        F.lit(2024).cast("bigint").alias("year"), F.lit(1).cast("bigint").alias("month"),
+        F.when(F.col("id") % 10 < 8, F.lit(10)).otherwise(F.col("id") % 5 + 11).cast("bigint").alias("day"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        path = f"{tmpdir_fresh}/hot"
+        lake.backfill(src, path)
+        hot = f"{path}/year=2024/month=1/day=10"
+        n_backfill = len([f for f in os.listdir(hot) if f.endswith(".parquet")])
+        lake.rewrite_partitions(spark, src, [(2024, 1, 10), (2024, 1, 11)], path)
+        n_rewrite = len([f for f in os.listdir(hot) if f.endswith(".parquet")])
+    finally:
+        spark.conf.set(key, old)
+    assert n_backfill > 1 and n_rewrite > 1
+    assert lake.read_lake(spark, path).count() == 400000
