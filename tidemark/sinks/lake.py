@@ -82,9 +82,18 @@ def collect_affected(affected: DataFrame, limit: int = MAX_AFFECTED) -> list[tup
 
 
 def slice_days(source: DataFrame, day_keys) -> DataFrame:
-    """Rows of the given days (yyyymmdd keys). On a date-partitioned source the predicate
-    references partition columns only, so it becomes a partition filter (folders pruned)."""
-    return _cast_parts(source).filter(date_key().isin(sorted(day_keys)))
+    """Rows of the given days (yyyymmdd keys).
+
+    On a date-partitioned source the predicate references partition columns only, so it
+    becomes a partition filter (folders pruned). The exact day-key test is an arithmetic
+    expression no scan can take, so the implied ``year IN .. AND month IN .. AND day IN ..``
+    is stated too. Those plain column filters reach a parquet scan (row groups skipped by
+    their min/max) and a JDBC source (a WHERE clause the database can index).
+    """
+    keys = sorted(day_keys)
+    parts = [_split_key(k) for k in keys]
+    implied = [F.col(c).isin(sorted({p[i] for p in parts})) for i, c in enumerate(PARTITION_COLS)]
+    return _cast_parts(source).filter(implied[0] & implied[1] & implied[2] & date_key().isin(keys))
 
 
 def hadoop_fs(spark: SparkSession, path: str):
