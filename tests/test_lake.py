@@ -207,3 +207,25 @@ def test_day_filter_reaches_flat_source_scan(spark, tmpdir_fresh):
     pushed = plan.split("PushedFilters: [", 1)[1].split("], ", 1)[0]
     assert "EqualTo(year,2024)" in pushed and "In(month" in pushed and "In(day" in pushed
     assert sorted(r.id for r in df.collect()) == [1, 2]  # 2024-02-10 and 2024-01-12 are not asked for
+
+
+def test_few_changed_keys_are_looked_up_by_value(spark, tmpdir_fresh):
+    """Under MAX_KEY_LITERALS the source is filtered with key IN (..), pushed to the scan,
+    and gives the same days as the join path."""
+    from tidemark.functions.timeutil import day_window
+    from tidemark.operators import cdc
+    from tidemark.operators.keysets import bounded_key_values
+
+    src_path = f"{tmpdir_fresh}/src"
+    scenario_source_after(spark).write.parquet(src_path)
+    source = spark.read.parquet(src_path)
+    lo, hi = day_window(RUN)
+    net = cdc.net_actions(scenario_log(spark), "order", lo, hi)
+    ui = ("U", "I")  # net-updated key 1, net-inserted keys 5 and 6 (as with include_insert_dates)
+    values = bounded_key_values(net.filter(F.col("net_action").isin(*ui)), "id")
+    assert values == [1, 5, 6] and bounded_key_values(net, "id", max_rows=2) is None
+    by_value = cdc.update_dates(net, source, "order", source_actions=ui, key_values=values)
+    plan = by_value._jdf.queryExecution().executedPlan().toString()
+    assert "In(id, [1,5,6])" in plan.split("PushedFilters: [", 1)[1]
+    by_join = cdc.update_dates(net, source, "order", source_actions=ui)
+    assert sorted(map(tuple, by_value.collect())) == sorted(map(tuple, by_join.collect())) == [(2024, 1, 10), (2024, 1, 15)]

@@ -205,7 +205,7 @@ def lake_partitions_of_keys(
 
 #: Most net-changed keys that may be broadcast to find their source dates. Above it the
 #: keys meet the source in a shuffled join instead.
-from .keysets import MAX_BROADCAST_KEYS  # noqa: E402
+from .keysets import MAX_BROADCAST_KEYS, MAX_KEY_LITERALS  # noqa: E402,F401
 
 
 def update_dates(
@@ -217,6 +217,7 @@ def update_dates(
     source_actions=("U",),
     zone: str | None = None,
     broadcast_keys: bool = False,
+    key_values: list | None = None,
 ) -> DataFrame:
     """Partitions of the *current* ``updated_at`` of net-updated keys.
 
@@ -224,17 +225,21 @@ def update_dates(
     and never shuffled when the key set is broadcast. Pass ``broadcast_keys=True`` only
     after checking the key count (``refresh`` does, against ``MAX_BROADCAST_KEYS``);
     otherwise the planner and AQE choose. Keys gone from the source drop out (B10).
+
+    ``key_values``: the same key set, already collected under a bound (``refresh`` does,
+    against ``MAX_KEY_LITERALS``). The source is then filtered with ``key IN (..)``:
+    a point lookup the source can answer from its key index, instead of a scan of its
+    whole key column.
     """
-    rows = net if table is None else net.filter(F.col("table_name") == table)
-    keyed = rows.filter(F.col("net_action").isin(*source_actions)).select(F.col("id").alias(key)).distinct()
-    if broadcast_keys:
-        keyed = F.broadcast(keyed)
-    return (
-        source.select(key, date_col)
-        .join(keyed, key, "inner")
-        .select(*date_parts(epoch_to_date(date_col, zone)))
-        .distinct()
-    )
+    if key_values is not None:
+        matched = source.select(key, date_col).filter(F.col(key).isin(key_values))
+    else:
+        rows = net if table is None else net.filter(F.col("table_name") == table)
+        keyed = rows.filter(F.col("net_action").isin(*source_actions)).select(F.col("id").alias(key)).distinct()
+        if broadcast_keys:
+            keyed = F.broadcast(keyed)
+        matched = source.select(key, date_col).join(keyed, key, "inner")
+    return matched.select(*date_parts(epoch_to_date(date_col, zone))).distinct()
 
 
 def delete_dates_by_table(log: DataFrame, lo: int | None = None, hi: int | None = None, zone: str | None = None) -> DataFrame:
@@ -260,19 +265,21 @@ def affected_from_net(
     zone: str | None = None,
     broadcast_keys: bool = False,
     broadcast_lake_keys: bool = False,
+    key_values: list | None = None,
 ) -> DataFrame:
     """Set A from resolved net actions and delete dates (see ``affected_partitions``).
 
     ``deletes`` holds ``year, month, day`` (optionally with ``table_name``, then filtered).
     ``broadcast_keys`` / ``broadcast_lake_keys``: the keys joined with the source / the
-    lake were counted and are within ``MAX_BROADCAST_KEYS``.
+    lake were counted and are within ``MAX_BROADCAST_KEYS``. ``key_values``: the keys that
+    need a source date, collected under ``MAX_KEY_LITERALS`` (see ``update_dates``).
     """
     if "table_name" in deletes.columns:
         deletes = deletes.filter(F.col("table_name") == table)
     actions = ("U", "I") if include_insert_dates else ("U",)
     parts = [
         run_date_partitions(spark, run_date, days_back),
-        update_dates(net, source, table, key, date_col, actions, zone, broadcast_keys),
+        update_dates(net, source, table, key, date_col, actions, zone, broadcast_keys, key_values),
         deletes.select(*PARTITION_COLS),
     ]
     if lake is not None:

@@ -21,6 +21,23 @@ from ..session import ensure_checkpoint_dir
 MAX_BROADCAST_KEYS = 4_000_000
 
 
+#: Most keys that are collected and sent to a source as one ``key IN (..)`` filter.
+#: A JDBC source answers it from its primary-key index, and a parquet scan skips row
+#: groups whose key range misses it. Above this, keys meet the source in a join.
+MAX_KEY_LITERALS = 10_000
+
+
+def bounded_key_values(keys: DataFrame, col: str, max_rows: int = MAX_KEY_LITERALS) -> list | None:
+    """The distinct values of ``col`` when there are at most ``max_rows`` of them, else None.
+
+    One job; at most ``max_rows + 1`` values ever reach the driver.
+    """
+    rows = keys.select(col).distinct().limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return sorted(r[0] for r in rows if r[0] is not None)
+
+
 def bounded_broadcast(keys: DataFrame, max_rows: int | None = MAX_BROADCAST_KEYS) -> tuple[DataFrame, int]:
     """``(keys, n)``: the key set cut from its lineage, with a broadcast hint when ``n <= max_rows``.
 

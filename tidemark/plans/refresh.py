@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeutil import day_window
 from ..operators import cdc
+from ..operators.keysets import bounded_key_values
 from ..session import scratch_path
 from ..sinks import lake
 from ..specs import DEFAULT_SPECS, TableSpec
@@ -50,11 +51,16 @@ def resolve_affected(
         n_src, n_all = net.agg(
             F.count_if(F.col("net_action").isin(*actions)), F.count(F.lit(1))
         ).first()
+        # few keys: look them up by value (index / row-group skipping); more: broadcast join
+        values = None
+        if n_src <= cdc.MAX_KEY_LITERALS:
+            values = bounded_key_values(net.filter(F.col("net_action").isin(*actions)), "id", cdc.MAX_KEY_LITERALS)
         affected = cdc.affected_from_net(
             spark, net, deletes, source, spec.name, run_date, days_back, spec.key, spec.date_col,
             include_insert_dates, lake_df, zone,
             broadcast_keys=n_src <= cdc.MAX_BROADCAST_KEYS,
             broadcast_lake_keys=n_all <= cdc.MAX_BROADCAST_KEYS,
+            key_values=values,
         )
         return lake.collect_affected(affected)
     finally:
