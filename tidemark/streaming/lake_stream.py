@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timeutil import epoch_parts
 from ..operators import cdc
+from ..operators.keysets import bounded_key_values
 from ..sinks import lake
 from ..specs import PARTITION_COLS, TableSpec
 
@@ -53,17 +54,21 @@ def batch_affected(batch: DataFrame, source: DataFrame, spec: TableSpec, zone: s
     """Affected partitions of one micro-batch of change-log rows.
 
     The batch's own days play the role of the run day; net change is per
-    (table, day, key) exactly as in the batch refresh. The net-updated keys are counted
-    first (one job over the batch): within ``MAX_BROADCAST_KEYS`` they are broadcast, so
-    the source is streamed through the join instead of being shuffled every batch.
+    (table, day, key) exactly as in the batch refresh. The net-updated keys are sized
+    first, as in ``refresh``: up to ``MAX_KEY_LITERALS`` they are collected and looked up
+    in the source by value; up to ``MAX_BROADCAST_KEYS`` they are broadcast, so the source
+    is streamed through the join instead of being shuffled every batch.
     """
     net = cdc.net_actions(batch, spec.name)
-    n_keys = net.filter(F.col("net_action") == "U").count()
-    small = n_keys <= cdc.MAX_BROADCAST_KEYS
+    updated = net.filter(F.col("net_action") == "U")
+    values = bounded_key_values(updated, "id", cdc.MAX_KEY_LITERALS)
+    small = values is not None or updated.count() <= cdc.MAX_BROADCAST_KEYS
     days = batch.select(*epoch_parts("action_tstamp_tx", zone)).distinct()
     return (
         days.unionByName(
-            cdc.update_dates(net, source, spec.name, spec.key, spec.date_col, zone=zone, broadcast_keys=small)
+            cdc.update_dates(
+                net, source, spec.name, spec.key, spec.date_col, zone=zone, broadcast_keys=small, key_values=values
+            )
         )
         .unionByName(cdc.delete_dates(batch, spec.name, zone=zone))
         .distinct()
