@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from tidemark.plans import registry as R  # noqa: E402
 from tidemark.plans.refresh import refresh  # noqa: E402
 from tidemark.operators import cdc  # noqa: E402
-from tidemark.session import scratch_path, with_recommended_conf  # noqa: E402
+from tidemark.session import scratch_path, sized_conf, with_recommended_conf  # noqa: E402
 from tidemark.sinks import lake  # noqa: E402
 from tidemark.sources.canonical import read_changelog, read_snapshot  # noqa: E402
 from tidemark.specs import spec_for  # noqa: E402
@@ -46,14 +46,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = (
-        with_recommended_conf(SparkSession.builder.master(f"local[{cpus}]"))
-        .appName("tidemark-bench")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", str(max(8, 2 * cpus)))
-        .getOrCreate()
+    input_bytes = sum(
+        os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(sf_dir) for f in fs if f.endswith(".parquet")
     )
+    builder = with_recommended_conf(SparkSession.builder.master(f"local[{cpus}]"))
+    for k, v in sized_conf(input_bytes, cpus).items():
+        builder = builder.config(k, v)
+    spark = builder.appName("tidemark-bench").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
     for name in HEADLINE:

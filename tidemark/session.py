@@ -22,6 +22,27 @@ RECOMMENDED_CONF = {
 }
 
 
+#: Bytes per scan split and the advisory size AQE aims for after a shuffle.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def sized_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Partition settings for jobs reading about ``input_bytes`` on ``total_cores`` cores.
+
+    Scans split files into ``TARGET_PARTITION_BYTES`` tasks. Shuffles start with one
+    partition per target size of input, clamped to 2-8 per core. At 100 TB on 8,000
+    cores that is 64,000, not the 390,000 an uncapped count would give, because the map
+    x reduce file count grows with its square. AQE then merges small partitions up to the
+    advisory size and splits skewed ones, so a hot key does not decide a task's size.
+    """
+    n = max(2 * total_cores, min(8 * total_cores, -(-input_bytes // TARGET_PARTITION_BYTES)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+    }
+
+
 def with_recommended_conf(builder):
     """Apply ``RECOMMENDED_CONF`` to a ``SparkSession.builder`` (some keys only take effect at start)."""
     for k, v in RECOMMENDED_CONF.items():
