@@ -119,3 +119,12 @@ def test_jdbc_options_partitioned(monkeypatch):
     monkeypatch.setenv("DB_URL", "jdbc:x://h/db")
     o = jdbc.jdbc_options('"order"', partition_column="id", lower_bound=0, upper_bound=100, num_partitions=4)
     assert o["url"] == "jdbc:x://h/db" and o["numPartitions"] == "4" and o["dbtable"] == '"order"'
+
+
+def test_sized_conf_clamps_shuffle_partitions():
+    from tidemark.session import TARGET_PARTITION_BYTES, sized_conf
+
+    assert sized_conf(60 * 10**6, 8)["spark.sql.shuffle.partitions"] == "16"  # small input: 2 per core
+    assert sized_conf(100 * TARGET_PARTITION_BYTES, 8)["spark.sql.shuffle.partitions"] == "64"  # capped at 8 per core
+    assert sized_conf(100 * 10**12, 8000)["spark.sql.shuffle.partitions"] == "64000"
+    assert sized_conf(1000 * TARGET_PARTITION_BYTES, 400)["spark.sql.shuffle.partitions"] == "1000"
