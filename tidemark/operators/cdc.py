@@ -181,7 +181,12 @@ def run_date_partitions(spark: SparkSession, run_date: _dt.date, days_back: int
 
 
 def lake_partitions_of_keys(
-    lake: DataFrame, net: DataFrame, table: str | None, key: str = "id", broadcast_keys: bool = False
+    lake: DataFrame,
+    net: DataFrame,
+    table: str | None,
+    key: str = "id",
+    broadcast_keys: bool = False,
+    key_values: list | None = None,
 ) -> DataFrame:
     """Partitions where the lake currently holds any changed key (option for B3).
 
@@ -189,18 +194,20 @@ def lake_partitions_of_keys(
     and its delete carries the post-update date, so only the lake knows the partition
     that still holds the row. Pass ``broadcast_keys=True`` only after counting the keys
     (``refresh`` does): then the lake (key and partition columns only) is streamed
-    through a map-side semi-join and only its distinct days are shuffled.
+    through a map-side semi-join and only its distinct days are shuffled. With
+    ``key_values`` (all changed keys, collected under a bound) the lake is filtered with
+    ``key IN (..)`` instead, which the parquet scan uses to skip row groups.
     """
-    rows = net if table is None else net.filter(F.col("table_name") == table)
-    ids = rows.select(F.col("id").alias(key)).distinct()
-    if broadcast_keys:
-        ids = F.broadcast(ids)
-    return (
-        lake.select(key, *[F.col(c).cast("bigint").alias(c) for c in PARTITION_COLS])
-        .join(ids, key, "left_semi")
-        .select(*PARTITION_COLS)
-        .distinct()
-    )
+    found = lake.select(key, *[F.col(c).cast("bigint").alias(c) for c in PARTITION_COLS])
+    if key_values is not None:
+        found = found.filter(F.col(key).isin(key_values))
+    else:
+        rows = net if table is None else net.filter(F.col("table_name") == table)
+        ids = rows.select(F.col("id").alias(key)).distinct()
+        if broadcast_keys:
+            ids = F.broadcast(ids)
+        found = found.join(ids, key, "left_semi")
+    return found.select(*PARTITION_COLS).distinct()
 
 
 #: Most net-changed keys that may be broadcast to find their source dates. Above it the
@@ -266,13 +273,15 @@ def affected_from_net(
     broadcast_keys: bool = False,
     broadcast_lake_keys: bool = False,
     key_values: list | None = None,
+    lake_key_values: list | None = None,
 ) -> DataFrame:
     """Set A from resolved net actions and delete dates (see ``affected_partitions``).
 
     ``deletes`` holds ``year, month, day`` (optionally with ``table_name``, then filtered).
     ``broadcast_keys`` / ``broadcast_lake_keys``: the keys joined with the source / the
     lake were counted and are within ``MAX_BROADCAST_KEYS``. ``key_values``: the keys that
-    need a source date, collected under ``MAX_KEY_LITERALS`` (see ``update_dates``).
+    need a source date, collected under ``MAX_KEY_LITERALS`` (see ``update_dates``);
+    ``lake_key_values``: all changed keys, likewise, for the lake lookup.
     """
     if "table_name" in deletes.columns:
         deletes = deletes.filter(F.col("table_name") == table)
@@ -283,7 +292,7 @@ def affected_from_net(
         deletes.select(*PARTITION_COLS),
     ]
     if lake is not None:
-        parts.append(lake_partitions_of_keys(lake, net, table, key, broadcast_lake_keys))
+        parts.append(lake_partitions_of_keys(lake, net, table, key, broadcast_lake_keys, lake_key_values))
     return reduce(DataFrame.unionByName, parts).distinct()
 
 

@@ -52,15 +52,18 @@ def resolve_affected(
             F.count_if(F.col("net_action").isin(*actions)), F.count(F.lit(1))
         ).first()
         # few keys: look them up by value (index / row-group skipping); more: broadcast join
-        values = None
+        values = lake_values = None
         if n_src <= cdc.MAX_KEY_LITERALS:
             values = bounded_key_values(net.filter(F.col("net_action").isin(*actions)), "id", cdc.MAX_KEY_LITERALS)
+        if lake_df is not None and n_all <= cdc.MAX_KEY_LITERALS:
+            lake_values = bounded_key_values(net, "id", cdc.MAX_KEY_LITERALS)
         affected = cdc.affected_from_net(
             spark, net, deletes, source, spec.name, run_date, days_back, spec.key, spec.date_col,
             include_insert_dates, lake_df, zone,
             broadcast_keys=n_src <= cdc.MAX_BROADCAST_KEYS,
             broadcast_lake_keys=n_all <= cdc.MAX_BROADCAST_KEYS,
             key_values=values,
+            lake_key_values=lake_values,
         )
         return lake.collect_affected(affected)
     finally:
