@@ -113,8 +113,17 @@ def _jobs_for(spark, fn):
     return len(sc.statusTracker().getJobIdsForGroup(group))
 
 
-def test_jobs_do_not_grow_with_changed_keys(spark, tmpdir_fresh):
-    """A refresh runs the same number of jobs whether 10 or 1000 keys changed."""
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("literal_bound", [10_000, 5])
+def test_jobs_do_not_grow_with_changed_keys(spark, tmpdir_fresh, monkeypatch, literal_bound):
+    """A refresh runs the same number of jobs whether 10 or 1000 keys changed, on the
+    by-value lookup path and (bound lowered to 5) on the broadcast-join path."""
+    from tidemark.operators import cdc
+
+    monkeypatch.setattr(cdc, "MAX_KEY_LITERALS", literal_bound)
+
     def run(n, sub):
         src = spark.range(0, n).select(
             F.col("id"), F.col("id").cast("double").alias("amount"), F.lit(ep(D10, 60)).alias("updated_at"),
@@ -129,7 +138,11 @@ def test_jobs_do_not_grow_with_changed_keys(spark, tmpdir_fresh):
         )
         path = f"{tmpdir_fresh}/{sub}"
         lake.backfill(src, path)
-        return _jobs_for(spark, lambda: refresh(spark, log, src, TableSpec("order"), path, RUN))
+        jobs = _jobs_for(spark, lambda: refresh(spark, log, src, TableSpec("order"), path, RUN))
+        # the refreshed lake holds exactly the source rows
+        got = lake.read_lake(spark, path).select("id", "day")
+        assert got.count() == n and got.exceptAll(src.select("id", "day")).count() == 0
+        return jobs
 
     assert run(10, "a") == run(1000, "b")
 
