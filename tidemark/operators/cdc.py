@@ -14,8 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timeutil import date_parts, epoch_to_date, run_dates
+from ..functions.timeutil import date_parts, epoch_to_date
 from ..specs import PARTITION_COLS
+from .keysets import MAX_BROADCAST_KEYS, MAX_KEY_LITERALS  # noqa: F401 - the bounds refresh checks against
 
 ROW_ACTIONS = ("I", "U", "D")
 CHANGELOG_COLS = ("event_id", "table_name", "action", "action_tstamp_tx", "row_data", "changed_fields")
@@ -210,9 +211,6 @@ def lake_partitions_of_keys(
     return found.select(*PARTITION_COLS).distinct()
 
 
-#: Most net-changed keys that may be broadcast to find their source dates. Above it the
-#: keys meet the source in a shuffled join instead.
-from .keysets import MAX_BROADCAST_KEYS, MAX_KEY_LITERALS  # noqa: E402,F401
 
 
 def update_dates(
