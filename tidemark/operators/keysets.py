@@ -27,12 +27,21 @@ MAX_BROADCAST_KEYS = 4_000_000
 MAX_KEY_LITERALS = 10_000
 
 
-def bounded_key_values(keys: DataFrame, col: str, max_rows: int = MAX_KEY_LITERALS) -> list | None:
+def bounded_key_values(
+    keys: DataFrame, col: str, max_rows: int = MAX_KEY_LITERALS, known_at_most: int | None = None
+) -> list | None:
     """The distinct values of ``col`` when there are at most ``max_rows`` of them, else None.
 
-    One job; at most ``max_rows + 1`` values ever reach the driver.
+    ``known_at_most``: a count the caller already has that bounds the distinct values
+    (e.g. rows of the set). Then, if it is within ``max_rows``, the values are collected
+    by one plain job. Otherwise a ``limit(max_rows + 1)`` collect decides: at most
+    ``max_rows + 1`` values reach the driver. That collect is an incremental take, whose
+    number of jobs depends on how the rows lie over partitions.
     """
-    rows = keys.select(col).distinct().limit(max_rows + 1).collect()
+    if known_at_most is not None and known_at_most > max_rows:
+        return None
+    picked = keys.select(col).distinct()
+    rows = picked.collect() if known_at_most is not None else picked.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return None
     return sorted(r[0] for r in rows if r[0] is not None)

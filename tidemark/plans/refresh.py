@@ -32,9 +32,10 @@ def resolve_affected(
 ) -> list[tuple[int, int, int]]:
     """Affected days of one run, on the driver (bounded by the calendar).
 
-    The net actions (one hash aggregate of the log window) are persisted and read twice:
-    to count the keys (the size check that allows broadcasting them to the source join
-    and, with ``lake_df``, to the lake lookup) and for those joins. Delete dates come straight from the
+    The net actions (one hash aggregate of the log window) are persisted and read more
+    than once: to count the key sets (one job), to collect them when the count is within
+    ``MAX_KEY_LITERALS``, and for the lookups in the source and, with ``lake_df``, in the
+    lake. The number of jobs does not depend on how many keys changed. Delete dates come straight from the
     log's delete rows. A lost cached block is simply recomputed from the log.
     """
     lo, hi = day_window(run_date, days_back)
@@ -47,16 +48,17 @@ def resolve_affected(
         deletes = cdc.delete_dates(log, spec.name, lo, hi, zone)
     try:
         actions = ["U", "I"] if include_insert_dates else ["U"]
-        # one job: keys that need a source date, and all changed keys (for the lake lookup)
+        # one job sizes both key sets: those that need a source date, and all changed keys
         n_src, n_all = net.agg(
             F.count_if(F.col("net_action").isin(*actions)), F.count(F.lit(1))
         ).first()
-        # few keys: look them up by value (index / row-group skipping); more: broadcast join
+        # few keys: collect them (one plain job, the count bounds it) and look them up by
+        # value (index / row-group skipping); more: broadcast join within MAX_BROADCAST_KEYS
         values = lake_values = None
         if n_src <= cdc.MAX_KEY_LITERALS:
-            values = bounded_key_values(net.filter(F.col("net_action").isin(*actions)), "id", cdc.MAX_KEY_LITERALS)
+            values = bounded_key_values(net.filter(F.col("net_action").isin(*actions)), "id", known_at_most=n_src)
         if lake_df is not None and n_all <= cdc.MAX_KEY_LITERALS:
-            lake_values = bounded_key_values(net, "id", cdc.MAX_KEY_LITERALS)
+            lake_values = bounded_key_values(net, "id", known_at_most=n_all)
         affected = cdc.affected_from_net(
             spark, net, deletes, source, spec.name, run_date, days_back, spec.key, spec.date_col,
             include_insert_dates, lake_df, zone,
