@@ -61,8 +61,9 @@ def batch_affected(batch: DataFrame, source: DataFrame, spec: TableSpec, zone: s
     """
     net = cdc.net_actions(batch, spec.name)
     updated = net.filter(F.col("net_action") == "U")
-    values = bounded_key_values(updated, "id", cdc.MAX_KEY_LITERALS)
-    small = values is not None or updated.count() <= cdc.MAX_BROADCAST_KEYS
+    n_keys = updated.count()
+    values = bounded_key_values(updated, "id", cdc.MAX_KEY_LITERALS, known_at_most=n_keys)
+    small = n_keys <= cdc.MAX_BROADCAST_KEYS
     days = batch.select(*epoch_parts("action_tstamp_tx", zone)).distinct()
     return (
         days.unionByName(
