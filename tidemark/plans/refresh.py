@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -140,23 +141,28 @@ def run_all(
     run_date: _dt.date,
     days_back: int = 0,
     specs=DEFAULT_SPECS,
+    max_parallel: int = 4,
 ) -> dict[str, lake.RewriteResult]:
     """Refresh every spec'd table under ``lake_root/<folder>``.
 
     One net-action aggregate and one delete-date set over all tables are persisted and
-    shared; each table then resolves its own days and gets one write.
+    shared; each table then resolves its own days and gets one write. Up to
+    ``max_parallel`` tables run at once from driver threads (Spark runs their jobs
+    concurrently), so one table's small sizing jobs overlap another's write. Every table
+    writes its own folder. All tables are attempted; the first failure is raised after.
     """
     lo, hi = day_window(run_date, days_back)
     net_all = cdc.net_actions(log, None, lo, hi).persist(StorageLevel.MEMORY_AND_DISK)
     dels_all = cdc.delete_dates_by_table(log, lo, hi).persist(StorageLevel.MEMORY_AND_DISK)
-    out = {}
+
+    def one(s: TableSpec) -> lake.RewriteResult:
+        keys = resolve_affected(spark, log, sources[s.name], s, run_date, days_back, net=net_all, deletes=dels_all)
+        return lake.rewrite_partitions(spark, sources[s.name], keys, f"{lake_root.rstrip('/')}/{s.folder}")
+
     try:
-        for s in specs:
-            if s.name not in sources:
-                continue
-            keys = resolve_affected(spark, log, sources[s.name], s, run_date, days_back, net=net_all, deletes=dels_all)
-            out[s.name] = lake.rewrite_partitions(spark, sources[s.name], keys, f"{lake_root.rstrip('/')}/{s.folder}")
+        with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+            futures = {s.name: pool.submit(one, s) for s in specs if s.name in sources}
+        return {name: f.result() for name, f in futures.items()}
     finally:
         net_all.unpersist()
         dels_all.unpersist()
-    return out

@@ -15,6 +15,7 @@ A refresh touches the lake with one write job whatever the number of changed key
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -145,7 +146,7 @@ def rewrite_partitions(
     day_keys = sorted({y * 10000 + m * 100 + d for y, m, d in keys})
     src = _cast_parts(source)
     slice_ = slice_days(source, day_keys)
-    obs = Observation("tidemark_rewrite")
+    obs = Observation(f"tidemark_rewrite_{uuid.uuid4().hex}")  # unique: tables may be rewritten concurrently
     slice_ = slice_.observe(obs, F.collect_set(date_key()).alias("written"))
     (
         slice_.hint("rebalance", *PARTITION_COLS)
