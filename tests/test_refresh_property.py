@@ -61,6 +61,8 @@ def _files(path, d):
 @given(initial_st, ops_st)
 # moved to another day, then deleted: the delete carries the new day, the lake row sits in the old one
 @example({1: (1, DAYS[0]), 2: (2, DAYS[1])}, [("U", 1, 5, DAYS[2]), ("D", 1, 0, DAYS[0])])
+# deleted, then re-inserted on another day: nets to D, yet its new day must be rewritten
+@example({1: (0, DAYS[0]), 2: (0, DAYS[0])}, [("D", 1, 0, DAYS[0]), ("I", 1, 0, DAYS[3])])
 # empty lake (first run) with inserts only
 @example({}, [("I", 3, 1, DAYS[3])])
 def test_refreshed_lake_equals_source(spark, tmpdir_fresh, initial, ops):

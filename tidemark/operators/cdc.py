@@ -255,6 +255,17 @@ def delete_dates_by_table(log: DataFrame, lo: int | None = None, hi: int | None
     return rows.select("table_name", *date_parts(epoch_to_date("changed_fields", zone))).distinct()
 
 
+def source_lookup_actions(include_insert_dates: bool = False) -> tuple[str, ...]:
+    """Net actions whose keys get their *current* source date looked up.
+
+    The reference rule looks up net updates only. With ``include_insert_dates`` every
+    changed key is looked up: a net insert, and also a key deleted and re-inserted in
+    the window, which nets to D (D over I) but is back in the source, perhaps on another
+    day. Keys deleted for good are not in the source and drop out of the join (B10).
+    """
+    return ("U", "I", "D") if include_insert_dates else ("U",)
+
+
 def affected_from_net(
     spark: SparkSession,
     net: DataFrame,
@@ -283,7 +294,7 @@ def affected_from_net(
     """
     if "table_name" in deletes.columns:
         deletes = deletes.filter(F.col("table_name") == table)
-    actions = ("U", "I") if include_insert_dates else ("U",)
+    actions = source_lookup_actions(include_insert_dates)
     parts = [
         run_date_partitions(spark, run_date, days_back),
         update_dates(net, source, table, key, date_col, actions, zone, broadcast_keys, key_values),
@@ -310,7 +321,8 @@ def affected_partitions(
 ) -> DataFrame:
     """Set A of a run: the run day(s), net-update dates and net-delete dates.
 
-    Options: ``include_insert_dates`` adds the source dates of net-inserted keys (B13);
+    Options: ``include_insert_dates`` adds the current source dates of inserted keys,
+    re-inserted ones included (B13; see ``source_lookup_actions``);
     ``include_previous_partition`` adds partitions where ``lake`` still holds changed
     keys, so a row that moved date is removed from its old partition (B3).
     """

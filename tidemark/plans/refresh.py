@@ -48,7 +48,7 @@ def resolve_affected(
     if deletes is None:
         deletes = cdc.delete_dates(log, spec.name, lo, hi, zone)
     try:
-        actions = ["U", "I"] if include_insert_dates else ["U"]
+        actions = cdc.source_lookup_actions(include_insert_dates)
         # one job sizes both key sets: those that need a source date, and all changed keys
         n_src, n_all = net.agg(
             F.count_if(F.col("net_action").isin(*actions)), F.count(F.lit(1))
