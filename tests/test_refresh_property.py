@@ -57,7 +57,12 @@ def _files(path, d):
     return {f: os.stat(os.path.join(folder, f)).st_mtime_ns for f in os.listdir(folder)} if os.path.isdir(folder) else {}
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# TIDEMARK_PROPERTY_EXAMPLES raises the search for a deeper run (each example is a few Spark jobs)
+@settings(
+    max_examples=int(os.environ.get("TIDEMARK_PROPERTY_EXAMPLES", "12")),
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
 @given(initial_st, ops_st)
 # moved to another day, then deleted: the delete carries the new day, the lake row sits in the old one
 @example({1: (1, DAYS[0]), 2: (2, DAYS[1])}, [("U", 1, 5, DAYS[2]), ("D", 1, 0, DAYS[0])])
