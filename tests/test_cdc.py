@@ -189,3 +189,15 @@ def test_latest_delete_orders_by_time_then_event_id(spark):
     rows = [(e, "order", "D", ts, k, cf) for k, evs in cases.items() for e, ts, cf in evs]
     got = {r.id: r.deleted_updated_at for r in cdc.net_changes(log_df(spark, rows), "order", LO, HI).collect()}
     assert got == {1: 100, 2: 400, 3: 600, 4: 700}
+
+
+def test_reinserted_key_gets_its_new_day_with_insert_dates(spark):
+    """Deleted, then re-inserted on another day: nets to D, yet with include_insert_dates
+    its current source day is affected (the reference rule keeps only the old day)."""
+    log = log_df(
+        spark,
+        [(1, "order", "D", ep(RUN, 60), 5, ep(D10, 3600)), (2, "order", "I", ep(RUN, 120), 5, None)],
+    )
+    src = src_df(spark, [(5, 5, D12)])
+    assert _dates(cdc.affected_partitions(spark, log, src, "order", RUN)) == {D10, RUN}
+    assert _dates(cdc.affected_partitions(spark, log, src, "order", RUN, include_insert_dates=True)) == {D10, D12, RUN}
