@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, url_filter
-from .common import table
+from . import compression_quality, quality_rules, token_counts, url_filter
+from .common import crc32_mod, table
+
+
+#: Folder of the public tokenizers' files.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 #: (host, path, verdict): the rules of the url query.
@@ -44,12 +53,28 @@ FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) USING (n)
 """
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.load_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
+    return token_counts.count_tokens(_documents(spark, sf_dir), vocabulary).drop("text")
+
+
+def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    held_out = crc32_mod(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
+    model = compression_quality.train(docs, labels)
+    scored = compression_quality.score(docs, model, threshold=0.3)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
+    "op5_token_counts": op5_token_counts,
+    "op6_compression_quality": op6_compression_quality,
     "op7_quality_rules": op7_quality_rules,
 }
 
