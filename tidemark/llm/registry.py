@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, quality_rules, token_counts, url_filter
+from . import compression_quality, packing, quality_rules, token_counts, url_filter
 from .common import crc32_mod, table
 
 
@@ -71,11 +71,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), f"{TOKENIZERS}/word_bpe_49k.json", capacity=4096, end_id=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op5_token_counts": op5_token_counts,
     "op6_compression_quality": op6_compression_quality,
     "op7_quality_rules": op7_quality_rules,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
