@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, packing, quality_rules, token_counts, url_filter
+from . import compression_quality, packing, pii, quality_rules, token_counts, url_filter
 from .common import crc32_mod, table
 
 
@@ -53,6 +53,11 @@ FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) USING (n)
 """
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return pii.find(docs, pii.train(docs)).drop("text")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_counts.load_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
     return token_counts.count_tokens(_documents(spark, sf_dir), vocabulary).drop("text")
@@ -77,6 +82,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
+    "op4_pii": op4_pii,
     "op5_token_counts": op5_token_counts,
     "op6_compression_quality": op6_compression_quality,
     "op7_quality_rules": op7_quality_rules,
