@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, packing, pii, quality_rules, token_counts, url_filter
+from . import compression_quality, decontamination, packing, pii, quality_rules, token_counts, url_filter
 from .common import crc32_mod, table
 
 
@@ -20,6 +20,44 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontamination.build_index(_documents(spark, sf_dir))
+    found = decontamination.search(index, table(spark, sf_dir, "benchmark").select("item_id", "text"), window=13)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontamination.contaminated().alias("contaminated"),
+    )
+
+
+_ALNUM = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+OP1_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, '{url_filter.UPPER}', '{url_filter.LOWER}'), '{_ALNUM}'), []) AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(text, '{url_filter.UPPER}', '{url_filter.LOWER}'), '{_ALNUM}') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+sizes AS (SELECT DISTINCT least(13, len(w)) AS k FROM b WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, least(13, len(w)) AS k, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS win
+  FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS u(i) WHERE len(w) > 0),
+starts AS (
+  SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS win
+  FROM d, sizes, unnest(range(1, len(w) - k + 2)) AS u(i) WHERE len(w) >= k),
+hits AS (SELECT r, k, i, item FROM starts JOIN windows USING (k, win)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + k)) AS u(p) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT r, item FROM hits WHERE item IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+
 #: (host, path, verdict): the rules of the url query.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -81,6 +119,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op3_url_filter": op3_url_filter,
     "op4_pii": op4_pii,
     "op5_token_counts": op5_token_counts,
@@ -90,5 +129,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
     "op3_url_filter": OP3_SQL,
 }
