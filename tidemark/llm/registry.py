@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, decontamination, packing, pii, quality_rules, token_counts, url_filter
+from . import compression_quality, decontamination, near_duplicates, packing, pii, quality_rules, token_counts, url_filter
 from .common import crc32_mod, table
 
 
@@ -114,6 +114,37 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.groups(_documents(spark, sf_dir), shingle=2, percent=80)
+
+
+OP9_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'),
+         '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+         ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM d),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+-- with so many shingles ignored, a similar pair still shares one of the others; rare ones first
+f AS (SELECT g, count(*) AS df FROM x GROUP BY g),
+p AS (SELECT doc_id, n, g, row_number() OVER (PARTITION BY doc_id ORDER BY df, g) AS k FROM x JOIN f USING (g)),
+c AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM p a JOIN p b USING (g)
+      WHERE a.doc_id < b.doc_id AND a.k <= a.n - ceil(0.8 * a.n) + 1 AND b.k <= b.n - ceil(0.8 * b.n) + 1
+        AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n),
+e AS (
+  SELECT a, b FROM c JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b
+  WHERE 100 * len(list_intersect(x.s, y.s)) >= 80 * (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s)))),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION
+  SELECT u.b, r.root FROM r JOIN u ON u.a = r.doc_id WHERE r.root < u.b)
+SELECT doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+FROM s JOIN r USING (doc_id) GROUP BY doc_id, s.s
+"""
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), f"{TOKENIZERS}/word_bpe_49k.json", capacity=4096, end_id=1)
 
@@ -125,10 +156,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_compression_quality": op6_compression_quality,
     "op7_quality_rules": op7_quality_rules,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op3_url_filter": OP3_SQL,
+    "op9_minhash_near_dedup": OP9_SQL,
 }
