@@ -63,6 +63,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Text that one step of a Python task works on; an Arrow batch is cut into such pieces.
+STEP_BYTES = 8 << 20
+
+
+def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Non-empty pieces of the batches of about ``STEP_BYTES`` each (a single row may be larger)."""
+    for b in batches:
+        rows = max(1, int(b.num_rows * STEP_BYTES / max(b.nbytes, STEP_BYTES)))
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 def append_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array]], ddl: str) -> DataFrame:
     """``df`` with the columns of ``ddl`` added by ``fn``, batch by batch, without a shuffle.
 
@@ -75,13 +87,12 @@ def append_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Ar
     n_kept = {f.name for f in kept}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                new = fn(b)
-                cols = [b.column(i) for i, n in enumerate(b.schema.names) if n in n_kept]
-                yield pa.RecordBatch.from_arrays(
-                    cols + [new[n] for n in names], [n for n in b.schema.names if n in n_kept] + names
-                )
+        for b in steps(batches):
+            new = fn(b)
+            cols = [b.column(i) for i, n in enumerate(b.schema.names) if n in n_kept]
+            yield pa.RecordBatch.from_arrays(
+                cols + [new[n] for n in names], [n for n in b.schema.names if n in n_kept] + names
+            )
 
     return df.mapInArrow(run, T.StructType(kept + list(added.fields)))
 

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, append_columns, covered, raw, rolling, ship, strings, translated, window_starts
+from .common import Words, append_columns, covered, raw, rolling, ship, steps, strings, translated, window_starts
 
 COMMON_SHARE = 0.002
 LANGUAGE_SHARE = 0.01
@@ -104,7 +104,7 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
     ship(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in steps(batches):
             langs = pc.fill_null(b.column(1).cast(pa.string()), "").dictionary_encode()
             of = langs.indices.to_numpy(zero_copy_only=False)
             w = Words(translated(b.column(0), _LOWER))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, decontamination, near_duplicates, packing, pii, quality_rules, token_counts, url_filter
+from . import compression_quality, decontamination, near_duplicates, packing, pii, quality_rules, substring_dedup, token_counts, url_filter
 from .common import crc32_mod, table
 
 
@@ -114,6 +114,25 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(_documents(spark, sf_dir), window=13)
+
+
+OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM d, unnest(range(1, len(w) - 11)) AS u(i)
+      WHERE len(w) >= 13),
+f AS (SELECT win, min(doc_id) AS first_doc FROM s GROUP BY win),
+p AS (SELECT DISTINCT doc_id, p FROM s JOIN f USING (win), unnest(range(i, i + 13)) AS u(p) WHERE first_doc < doc_id),
+g AS (SELECT doc_id, list(p) AS gone, count(*) AS n FROM p GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN n IS NULL THEN w
+         ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.groups(_documents(spark, sf_dir), shingle=2, percent=80)
 
@@ -156,6 +175,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_compression_quality": op6_compression_quality,
     "op7_quality_rules": op7_quality_rules,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
@@ -163,5 +183,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op3_url_filter": OP3_SQL,
+    "op8_substring_dedup": OP8_SQL,
     "op9_minhash_near_dedup": OP9_SQL,
 }
