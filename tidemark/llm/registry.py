@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, decontamination, near_duplicates, packing, pii, quality_rules, substring_dedup, token_counts, url_filter
+from . import compression_quality, decontamination, near_duplicates, packing, pii, pitman_yor, quality_rules, substring_dedup, token_counts, url_filter
 from .common import crc32_mod, table
 
 
@@ -58,6 +58,10 @@ FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
 
+def op2_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(_documents(spark, sf_dir), crc32_mod(F.col("doc_id"), 7) == 2)
+
+
 #: (host, path, verdict): the rules of the url query.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -170,6 +174,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_pitman_yor": op2_pitman_yor,
     "op3_url_filter": op3_url_filter,
     "op4_pii": op4_pii,
     "op5_token_counts": op5_token_counts,
