@@ -138,6 +138,8 @@ class Words:
             ok = ids != empty
             off = np.concatenate(([0], np.cumsum(ok)))[off]
             ids = ids[ok]
+            ids = ids - (ids > empty)
+            self.words = pa.concat_arrays([self.words[:empty], self.words[empty + 1:]])
         self.ids, self.offsets = ids, off
         self.lengths = np.diff(off)
         self.doc = np.repeat(np.arange(len(col)), self.lengths)
