@@ -21,12 +21,12 @@ from pyspark.sql import functions as F  # noqa: E402
 from tidemark.plans import registry as R  # noqa: E402
 from tidemark.plans.refresh import refresh, run_all  # noqa: E402
 from tidemark.operators import cdc  # noqa: E402
-from tidemark.session import scratch_path, sized_conf, with_recommended_conf  # noqa: E402
+from tidemark.session import remove_scratch, scratch_path, sized_conf, with_recommended_conf  # noqa: E402
 from tidemark.sinks import lake  # noqa: E402
 from tidemark.sources.canonical import read_changelog, read_snapshot  # noqa: E402
 from tidemark.specs import DEFAULT_SPECS, spec_for  # noqa: E402
 
-HEADLINE = ["net_changes", "affected_partitions", "snapshot_diff", "apply_changes", "run_all", "dq_fk_orphans"]
+HEADLINE = ["net_changes", "affected_partitions", "snapshot_diff", "apply_changes", "affected_all_tables", "dq_fk_orphans"]
 
 
 def _drain(df) -> None:
@@ -104,6 +104,7 @@ def main() -> None:
         if i > 0:
             best = min(best, el)
     times["refresh_all"] = round(best, 3)
+    remove_scratch(spark)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(

@@ -77,15 +77,6 @@ def test_empty_affected_is_noop(spark, tmpdir_fresh):
     assert res.written == [] and len(_contents(spark, path)) == 3
 
 
-def test_affected_size_guard(spark):
-    big = spark.range(0, 50).select(F.lit(2024).alias("year"), F.lit(1).alias("month"), F.col("id").alias("day"))
-    try:
-        lake.collect_affected(big, limit=10)
-    except ValueError:
-        return
-    raise AssertionError("size guard did not trigger")
-
-
 def test_run_all_tables(spark, tmpdir_fresh):
     """Every spec'd table is refreshed; a table without events gets only the run day."""
     for t in ("order", "product"):
@@ -174,16 +165,30 @@ def test_day_filter_prunes_partitioned_source(spark, tmpdir_fresh):
     assert df.count() == 2
 
 
-def test_large_affected_set_falls_back_to_join(spark, tmpdir_fresh, monkeypatch):
-    """Above the collect bound the rewrite runs as a semi-join and still clears emptied days."""
-    path = f"{tmpdir_fresh}/order"
-    lake.backfill(_before(spark), path)
-    monkeypatch.setattr(lake, "MAX_AFFECTED", 1)
-    aff = spark.createDataFrame([(2024, 1, 10), (2024, 1, 11)], "year bigint, month bigint, day bigint")
-    monkeypatch.setattr(lake, "try_collect_affected", lambda a, limit=1: None)
-    lake.rewrite_partitions(spark, src_df(spark, [(9, 9, D10)]), aff, path)
-    got = _contents(spark, path)
-    assert got == {D10: {(9, 9.0)}, D12: {(4, 4.0)}}
+def test_result_is_complete_at_any_size(spark, tmpdir_fresh):
+    """The same path and the same result object for two affected days and for thirty thousand, given as rows."""
+    days = [(2024, 1, 10), (2024, 1, 11)]
+    many = spark.range(30_000).select(F.date_add(F.lit(D10), F.col("id").cast("int")).alias("d"))
+    many = many.select(*[f("d").cast("bigint").alias(c) for f, c in ((F.year, "year"), (F.month, "month"), (F.dayofmonth, "day"))])
+    small = spark.createDataFrame(days + days + [(None, 1, 1)], "year bigint, month bigint, day bigint")
+    for name, affected in (("small", small), ("large", many)):
+        path = f"{tmpdir_fresh}/{name}"
+        lake.backfill(_before(spark), path)
+        res = lake.rewrite_partitions(spark, src_df(spark, [(9, 9, D10)]), affected, path)
+        assert res.written == [(2024, 1, 10)]
+        assert len(res.affected) == (2 if name == "small" else 30_000)
+        assert set(res.emptied) == set(res.affected) - {(2024, 1, 10)}
+        want = {D10: {(9, 9.0)}} | ({D12: {(4, 4.0)}} if name == "small" else {})
+        assert _contents(spark, path) == want
+        assert not os.path.exists(f"{path}/year=2024/month=1/day=11")
+
+
+def test_clearing_removes_emptied_parents_only(spark, tmpdir_fresh):
+    path = f"{tmpdir_fresh}/t"
+    lake.backfill(src_df(spark, [(1, 1, D10), (2, 2, dt.date(2023, 5, 1)), (3, 3, dt.date(2023, 6, 1))]), path)
+    assert lake.clear_partitions(spark, path, [(2023, 5, 1), (2024, 1, 10), (2022, 1, 1), (2024, 1, 11)]) == 2
+    assert sorted(d for d in os.listdir(path) if d.startswith("year")) == ["year=2023"]
+    assert [d for d in os.listdir(f"{path}/year=2023") if d.startswith("month")] == ["month=6"]
 
 
 def test_hot_day_is_split_across_files(spark, tmpdir_fresh):
@@ -261,3 +266,82 @@ def test_run_all_concurrent_equals_sequential(spark, tmpdir_fresh):
         )
     assert results[1] == results[5]
     assert results[5][1]["order"] == {D10: {(1, 11.0), (2, 2.0)}, D12: {(4, 4.0)}, RUN: {(5, 5.0), (6, 6.0)}}
+
+
+def test_every_spec_needs_a_source(spark, tmpdir_fresh):
+    from tidemark.plans.refresh import affected_all_tables
+
+    specs = (TableSpec("order"), TableSpec("product"))
+    for call in (
+        lambda: run_all(spark, scenario_log(spark), {"order": _before(spark)}, tmpdir_fresh, RUN, specs=specs),
+        lambda: affected_all_tables(spark, scenario_log(spark), {'"order"': _before(spark)}, RUN, specs=specs),
+    ):
+        with pytest.raises(ValueError, match="product"):
+            call()
+    with pytest.raises(ValueError, match="mode"):
+        run_all(spark, None, {"order": _before(spark)}, tmpdir_fresh, specs=specs[:1], mode="other")
+
+
+def test_run_all_backfill_and_options(spark, tmpdir_fresh):
+    """Backfill of all tables, then a refresh with the wider options: a moved row leaves its old day."""
+    from helpers import log_df
+    from tidemark.plans.refresh import Options
+
+    specs = (TableSpec("order"), TableSpec("product"))
+    sources = {s.name: _before(spark) for s in specs}
+    res = run_all(spark, None, sources, tmpdir_fresh, specs=specs, mode="backfill")
+    assert res["order"].written == [(2024, 1, 10), (2024, 1, 11), (2024, 1, 12)]
+    moved = src_df(spark, [(1, 1, D12), (2, 2, D10), (3, 3, D11), (4, 4, D12)])
+    log = log_df(spark, [(1, "order", "U", ep(RUN, 60), 1, None), (2, "product", "T", ep(RUN, 61), None, None)])
+    options = Options(include_insert_dates=True, include_previous_partition=True, truncate_marks_all=True, one_source_state=True)
+    empty = _before(spark).filter(F.lit(False))
+    run_all(spark, log, {"order": moved, "product": empty}, tmpdir_fresh, RUN, specs=specs, options=options)
+    got = _contents(spark, f"{tmpdir_fresh}/order")
+    assert got == {D10: {(2, 2.0)}, D11: {(3, 3.0)}, D12: {(1, 1.0), (4, 4.0)}}
+    assert not [d for d in os.listdir(f"{tmpdir_fresh}/product") if d.startswith("year=")]
+
+
+def test_run_job_reads_by_spec(spark, tmpdir_fresh):
+    """The daily program on parquet sources: tables and log are read by their specs."""
+    from tidemark.plans.refresh import run_job
+
+    specs = (TableSpec("order", source_name="orders_v2"),)
+    _before(spark).write.parquet(f"{tmpdir_fresh}/in0/orders_v2")
+    scenario_source_after(spark).write.parquet(f"{tmpdir_fresh}/in1/orders_v2")
+    scenario_log(spark).write.parquet(f"{tmpdir_fresh}/log")
+    root = f"{tmpdir_fresh}/lakes"
+    at = lambda k: lambda s: f"{tmpdir_fresh}/in{k}/{s.source}"
+    run_job(spark, root, "backfill", specs=specs, fmt="parquet", source_path=at(0))
+    run_job(spark, root, "refresh", RUN, specs=specs, fmt="parquet", source_path=at(1), log_path=f"{tmpdir_fresh}/log")
+    assert _contents(spark, f"{root}/order") == {D10: {(1, 11.0), (2, 2.0)}, D12: {(4, 4.0)}, RUN: {(5, 5.0), (6, 6.0)}}
+
+
+def test_refresh_in_a_zone_covers_its_evening(spark, tmpdir_fresh):
+    """A row inserted late on the zone's 15th (the 16th in UTC) belongs to the run of the 15th."""
+    from helpers import log_df
+
+    path = f"{tmpdir_fresh}/order"
+    t = ep(dt.date(2024, 1, 16), 2 * 3600)  # 21:00 on the 15th in New York
+    lake.backfill(src_df(spark, [(1, 1, RUN)]), path)
+    after = src_df(spark, [(1, 1, RUN), (2, 2, RUN)])
+    log = log_df(spark, [(1, "order", "I", t, 2, None)])
+    res = refresh(spark, log, after, TableSpec("order"), path, RUN, zone="America/New_York")
+    assert res.affected == [(2024, 1, 15)]
+    assert _contents(spark, path) == {RUN: {(1, 1.0), (2, 2.0)}}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from tidemark import session
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_root(Session())

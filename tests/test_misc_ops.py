@@ -110,13 +110,15 @@ def test_single_file_keeps_partition_columns(spark, tmpdir_fresh):
     """A named part file read with basePath keeps year/month/day."""
     df = spark.createDataFrame([(1, 2024, 1, 2)], "id bigint, year bigint, month bigint, day bigint")
     lake.backfill(df, tmpdir_fresh + "/l")
-    f = files.list_files(spark, tmpdir_fresh + "/l")[0]
+    f = files.first_file(spark, tmpdir_fresh + "/l")
     cols = files.scan_parquet_files(spark, [f], tmpdir_fresh + "/l").columns
     assert {"year", "month", "day"}.issubset(cols)
 
 
 def test_jdbc_options_partitioned(monkeypatch):
     monkeypatch.setenv("DB_URL", "jdbc:x://h/db")
+    monkeypatch.setenv("DB_USER", "u")
+    monkeypatch.setenv("DB_PW", "p")
     o = jdbc.jdbc_options('"order"', partition_column="id", lower_bound=0, upper_bound=100, num_partitions=4)
     assert o["url"] == "jdbc:x://h/db" and o["numPartitions"] == "4" and o["dbtable"] == '"order"'
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from helpers import ep, log_df
+from helpers import ep, log_df, src_df
 from test_cdc import D10, D12, RUN, scenario_log, scenario_source_after
 from test_lake import _before, _contents
 from tidemark.sinks import lake
@@ -44,3 +44,58 @@ def test_stream_refresh_replay_is_idempotent(spark, tmpdir_fresh):
             spark, log_dir, CHANGELOG_SCHEMA, scenario_source_after(spark), TableSpec("order"), path, f"{tmpdir_fresh}/{ck}"
         ).awaitTermination()
     assert _contents(spark, path)[RUN] == {(5, 5.0), (6, 6.0)}
+
+
+def _day_files(path):
+    import os
+
+    return {
+        os.path.join(top, f): os.stat(os.path.join(top, f)).st_mtime_ns
+        for top, _, names in os.walk(path) for f in names if f.endswith(".parquet")
+    }
+
+
+def test_refresh_writes_each_partition_once_per_trigger(spark, tmpdir_fresh):
+    """Many small log files: the affected days are gathered and each is rewritten once, not once a file."""
+    log_dir, path = f"{tmpdir_fresh}/log", f"{tmpdir_fresh}/lake"
+    scenario_log(spark).repartition(10).write.option("maxRecordsPerFile", 1).parquet(log_dir)
+    lake.backfill(_before(spark), path)
+    writes = []
+    real = lake.rewrite_partitions
+
+    def counting(session, source, affected, target, **kw):
+        res = real(session, source, affected, target, **kw)
+        writes.extend(res.written)
+        return res
+
+    lake.rewrite_partitions = counting
+    try:
+        stream_partition_refresh(
+            spark, log_dir, CHANGELOG_SCHEMA, scenario_source_after(spark), TableSpec("order"), path, f"{tmpdir_fresh}/ck"
+        ).awaitTermination()
+    finally:
+        lake.rewrite_partitions = real
+    assert writes and len(writes) < 2 * len(set(writes))
+    assert _contents(spark, path)[RUN] == {(5, 5.0), (6, 6.0)}
+
+
+def test_stream_truncate_other_tables_and_unknown_actions(spark, tmpdir_fresh):
+    log_dir, path, ck = f"{tmpdir_fresh}/log", f"{tmpdir_fresh}/lake", f"{tmpdir_fresh}/ck"
+    rows = [
+        (1, "order", "T", ep(RUN, 60), None, None), (2, "order", "X", ep(RUN, 61), 1, None),
+        (3, "product", "D", ep(RUN, 62), 1, ep(D12)),
+    ]
+    log = log_df(spark, rows).unionByName(log_df(spark, [(4, "order", "U", ep(RUN, 63), 1, None)]).withColumn("action", F.lit(None).cast("string")))
+    log.coalesce(1).write.parquet(log_dir)
+    lake.backfill(_before(spark), path)
+    kept = src_df(spark, [(4, 4, D12)])
+    stream_partition_refresh(spark, log_dir, CHANGELOG_SCHEMA, kept, TableSpec("order"), path, ck).awaitTermination()
+    assert _contents(spark, path) == {D12: {(4, 4.0)}}
+    assert sorted(r.event_id for r in spark.read.parquet(f"{ck}-rejected").collect()) == [2, 4]
+
+
+def test_batch_affected_ignores_other_tables(spark):
+    from tidemark.streaming.lake_stream import batch_affected
+
+    log = log_df(spark, [(1, "product", "U", ep(dt.date(2024, 1, 3)), 1, None), (2, "order", "I", ep(RUN), 5, None)])
+    assert [tuple(r) for r in batch_affected(log, _before(spark), TableSpec("order")).collect()] == [(2024, 1, 15)]

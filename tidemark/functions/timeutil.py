@@ -1,12 +1,13 @@
 """Zone-free epoch/date helpers.
 
-Partition dates are computed from epoch seconds in UTC, with no dependence on
-``spark.sql.session.timeZone``: the session belongs to the caller.
+Partition dates are computed from epoch seconds in UTC or in a named zone, with no
+dependence on ``spark.sql.session.timeZone``: the session belongs to the caller.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,15 +20,17 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def day_window(run_date: _dt.date, days_back: int = 0) -> tuple[int, int]:
-    """Inclusive epoch-second bounds ``(lo, hi)`` covering ``run_date - days_back`` .. ``run_date``."""
-    first = (run_date - _dt.timedelta(days=days_back) - _EPOCH).days
-    last = (run_date - _EPOCH).days
-    return first * SECONDS_PER_DAY, last * SECONDS_PER_DAY + SECONDS_PER_DAY - 1
+def day_window(run_date: _dt.date, days_back: int = 0, zone: str | None = None) -> tuple[int, int]:
+    """Inclusive epoch-second bounds ``(lo, hi)`` covering ``run_date - days_back`` .. ``run_date``.
 
-
-def run_dates(run_date: _dt.date, days_back: int = 0) -> list[_dt.date]:
-    return [run_date - _dt.timedelta(days=d) for d in range(days_back, -1, -1)]
+    The days are those of ``zone`` (UTC by default), so they are the days that
+    ``epoch_to_date`` gives under the same zone, also where a day has 23 or 25 hours.
+    """
+    first, after = run_date - _dt.timedelta(days=days_back), run_date + _dt.timedelta(days=1)
+    if zone is None:
+        return (first - _EPOCH).days * SECONDS_PER_DAY, (after - _EPOCH).days * SECONDS_PER_DAY - 1
+    start = lambda d: int(_dt.datetime(d.year, d.month, d.day, tzinfo=ZoneInfo(zone)).timestamp())
+    return start(first), start(after) - 1
 
 
 def ntz_literal(when: _dt.datetime) -> Column:
@@ -50,7 +53,13 @@ def epoch_to_date(epoch, zone: str | None = None) -> Column:
     e = _c(epoch)
     if zone is None:
         return F.date_from_unix_date(F.floor(e / SECONDS_PER_DAY).cast("int"))
-    return F.to_date(F.from_utc_timestamp(F.timestamp_seconds(e), zone))
+    # a wall time without a zone, built from the epoch by plain arithmetic, then moved to
+    # the named zone: the session zone never takes part
+    days = F.floor(e / SECONDS_PER_DAY).cast("int")
+    rest = (e - F.floor(e / SECONDS_PER_DAY) * SECONDS_PER_DAY).cast("decimal(18,6)")
+    zero = F.lit(0)
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days, zero, zero, rest)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc).cast("date")
 
 
 def date_parts(date, prefix: str = "") -> list[Column]:
@@ -77,10 +86,6 @@ def date_key(year="year", month="month", day="day") -> Column:
     return _c(year) * 10000 + _c(month) * 100 + _c(day)
 
 
-def date_key_of(d: _dt.date) -> int:
-    return d.year * 10000 + d.month * 100 + d.day
-
-
 def now_epoch(now: _dt.datetime | None = None) -> Column:
     """Epoch seconds of an injected ``now`` (UTC), or of the current timestamp."""
     if now is None:

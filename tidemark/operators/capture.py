@@ -135,6 +135,14 @@ def statement_events(
     )
 
 
+def audit_events(old: DataFrame, new: DataFrame, spec, now=None) -> DataFrame:
+    """What auditing one table records, by its spec (C10, C13): row events without those that change
+    ignored columns only, or, with ``audit_rows`` off, one statement row per operation."""
+    if spec.audit_rows:
+        return snapshot_diff(old, new, spec.name, spec.key, spec.ignored_cols, now, spec.date_col)
+    return statement_events(old, new, spec.name, spec.key, spec.ignored_cols, spec.date_col)
+
+
 def apply_changes(
     base: DataFrame,
     changes: DataFrame,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeutil import date_parts, epoch_to_date
 from ..specs import PARTITION_COLS
-from .keysets import MAX_BROADCAST_KEYS, MAX_KEY_LITERALS  # noqa: F401 - the bounds refresh checks against
+from .keysets import MAX_BROADCAST_KEYS, MAX_KEY_LITERALS, bounded_broadcast  # noqa: F401 - bounds also read by refresh
 
 ROW_ACTIONS = ("I", "U", "D")
 CHANGELOG_COLS = ("event_id", "table_name", "action", "action_tstamp_tx", "row_data", "changed_fields")
@@ -89,6 +89,7 @@ def net_actions(
     table: str | None = None,
     lo: int | None = None,
     hi: int | None = None,
+    zone: str | None = None,
 ) -> DataFrame:
     """Net action per (table, change day, key) only: ``table_name, change_date, id, net_action``.
 
@@ -97,7 +98,7 @@ def net_actions(
     """
     grouped = (
         _row_events(log, table, lo, hi)
-        .withColumn("change_date", epoch_to_date("action_tstamp_tx"))
+        .withColumn("change_date", epoch_to_date("action_tstamp_tx", zone))
         .groupBy("table_name", "change_date", F.col("row_data").alias("id"))
         .agg(F.max(F.col("action") == "D").alias("_has_d"), F.max(F.col("action") == "I").alias("_has_i"))
     )
@@ -109,6 +110,7 @@ def net_changes(
     table: str | None = None,
     lo: int | None = None,
     hi: int | None = None,
+    zone: str | None = None,
 ) -> DataFrame:
     """Net action per (table, change day, key): D over I over U, whatever the order in time.
 
@@ -124,7 +126,7 @@ def net_changes(
     is_d = F.col("action") == "D"
     grouped = (
         _row_events(log, table, lo, hi)
-        .withColumn("change_date", epoch_to_date("action_tstamp_tx"))
+        .withColumn("change_date", epoch_to_date("action_tstamp_tx", zone))
         .groupBy("table_name", "change_date", F.col("row_data").alias("id"))
         .agg(
             F.max(is_d).alias("_has_d"),
@@ -170,7 +172,7 @@ def delete_dates(
 def affected_delete_dates(
     log: DataFrame, table: str | None = None, lo: int | None = None, hi: int | None = None, zone: str | None = None
 ) -> DataFrame:
-    """Alias of ``delete_dates`` under its inventory name."""
+    """``delete_dates`` under its inventory name."""
     return delete_dates(log, table, lo, hi, zone)
 
 
@@ -186,16 +188,16 @@ def lake_partitions_of_keys(
     net: DataFrame,
     table: str | None,
     key: str = "id",
-    broadcast_keys: bool = False,
+    broadcast_keys: bool | None = None,
     key_values: list | None = None,
 ) -> DataFrame:
     """Partitions where the lake currently holds any changed key (option for B3).
 
     Every net action counts. A key updated to a new date and then deleted nets to D,
     and its delete carries the post-update date, so only the lake knows the partition
-    that still holds the row. Pass ``broadcast_keys=True`` only after counting the keys
-    (``refresh`` does): then the lake (key and partition columns only) is streamed
-    through a map-side semi-join and only its distinct days are shuffled. With
+    that still holds the row. The keys are sized as in ``update_dates``: when they may be
+    broadcast, the lake (key and partition columns only) is streamed through a map-side
+    semi-join and only its distinct days are shuffled. With
     ``key_values`` (all changed keys, collected under a bound) the lake is filtered with
     ``key IN (..)`` instead, which the parquet scan uses to skip row groups.
     """
@@ -204,13 +206,16 @@ def lake_partitions_of_keys(
         found = found.filter(F.col(key).isin(key_values))
     else:
         rows = net if table is None else net.filter(F.col("table_name") == table)
-        ids = rows.select(F.col("id").alias(key)).distinct()
-        if broadcast_keys:
-            ids = F.broadcast(ids)
+        ids = _sized(rows.select(F.col("id").alias(key)).distinct(), broadcast_keys)
         found = found.join(ids, key, "left_semi")
     return found.select(*PARTITION_COLS).distinct()
 
 
+def _sized(keys: DataFrame, broadcast_keys: bool | None) -> DataFrame:
+    """The key set, hinted for broadcast if that is known, or found by counting (None), to be within the bound."""
+    if broadcast_keys is None:
+        return bounded_broadcast(keys, MAX_BROADCAST_KEYS)[0]
+    return F.broadcast(keys) if broadcast_keys else keys
 
 
 def update_dates(
@@ -221,15 +226,15 @@ def update_dates(
     date_col: str = "updated_at",
     source_actions=("U",),
     zone: str | None = None,
-    broadcast_keys: bool = False,
+    broadcast_keys: bool | None = None,
     key_values: list | None = None,
 ) -> DataFrame:
     """Partitions of the *current* ``updated_at`` of net-updated keys.
 
     The source (key and date only) is the streamed side of the join, so it is scanned
-    and never shuffled when the key set is broadcast. Pass ``broadcast_keys=True`` only
-    after checking the key count (``refresh`` does, against ``MAX_BROADCAST_KEYS``);
-    otherwise the planner and AQE choose. Keys gone from the source drop out (B10).
+    and never shuffled when the key set is broadcast. By default the key set is cut, counted
+    and broadcast within ``MAX_BROADCAST_KEYS`` (``keysets.bounded_broadcast``); a caller
+    that has counted it already says so with ``broadcast_keys``. Keys gone from the source drop out (B10).
 
     ``key_values``: the same key set, already collected under a bound (``refresh`` does,
     against ``MAX_KEY_LITERALS``). The source is then filtered with ``key IN (..)``:
@@ -241,9 +246,7 @@ def update_dates(
     else:
         rows = net if table is None else net.filter(F.col("table_name") == table)
         keyed = rows.filter(F.col("net_action").isin(*source_actions)).select(F.col("id").alias(key)).distinct()
-        if broadcast_keys:
-            keyed = F.broadcast(keyed)
-        matched = source.select(key, date_col).join(keyed, key, "inner")
+        matched = source.select(key, date_col).join(_sized(keyed, broadcast_keys), key, "inner")
     return matched.select(*date_parts(epoch_to_date(date_col, zone))).distinct()
 
 
@@ -279,8 +282,8 @@ def affected_from_net(
     include_insert_dates: bool = False,
     lake: DataFrame | None = None,
     zone: str | None = None,
-    broadcast_keys: bool = False,
-    broadcast_lake_keys: bool = False,
+    broadcast_keys: bool | None = None,
+    broadcast_lake_keys: bool | None = None,
     key_values: list | None = None,
     lake_key_values: list | None = None,
 ) -> DataFrame:
@@ -330,9 +333,9 @@ def affected_partitions(
 
     if include_previous_partition and lake is None:
         raise ValueError("include_previous_partition needs the current lake")
-    lo, hi = day_window(run_date, days_back)
+    lo, hi = day_window(run_date, days_back, zone)
     return affected_from_net(
-        spark, net_actions(log, table, lo, hi), delete_dates(log, table, lo, hi, zone), source, table, run_date,
+        spark, net_actions(log, table, lo, hi, zone), delete_dates(log, table, lo, hi, zone), source, table, run_date,
         days_back, key, date_col, include_insert_dates, lake if include_previous_partition else None, zone,
     )
 

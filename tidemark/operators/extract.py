@@ -23,12 +23,6 @@ def audited_tables(log: DataFrame) -> DataFrame:
     )
 
 
-def audited_tables_from_specs(spark, specs) -> DataFrame:
-    """Same listing from the registered table specs, for tables with no events yet."""
-    rows = [("public", s.name) for s in specs]
-    return spark.createDataFrame(rows, "schema string, audited_table string").orderBy("schema", "audited_table")
-
-
 def preview_topn(df: DataFrame, order_cols, n: int = 20) -> DataFrame:
     """First ``n`` rows by ``order_cols`` (O1, K9); add a unique column to make ties deterministic.
 

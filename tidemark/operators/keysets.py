@@ -21,9 +21,11 @@ from ..session import ensure_checkpoint_dir
 MAX_BROADCAST_KEYS = 4_000_000
 
 
-#: Most keys that are collected and sent to a source as one ``key IN (..)`` filter.
-#: A JDBC source answers it from its primary-key index, and a parquet scan skips row
-#: groups whose key range misses it. Above this, keys meet the source in a join.
+#: Most keys that are collected and sent to a source as one ``key IN (..)`` filter. A
+#: JDBC source answers it from its primary-key index. A parquet scan uses more than a few
+#: values (``spark.sql.parquet.pushdown.inFilterThreshold``) only as a range, so scattered
+#: keys still read the whole key column there: what is saved is the join, not the scan.
+#: Above this, keys meet the source in a join.
 MAX_KEY_LITERALS = 10_000
 
 

@@ -12,30 +12,44 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..specs import ACTIONS
+from ..specs import ACTIONS, FOREIGN_KEYS, SCHEMAS, VARCHAR_LENGTHS
 
 CHECK_COLS = ("check", "table_name", "column_name", "n_violations")
 
 
-def _row(df: DataFrame, check: str, table: str, column: str, n) -> DataFrame:
-    return df.select(
-        F.lit(check).alias("check"),
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.coalesce(n, F.lit(0)).cast("bigint").alias("n_violations"),
-    )
+def _rows(agg: DataFrame, checks: list[tuple[str, str, str, str]]) -> DataFrame:
+    """One row per (check, table, column, aggregate column) of a single-row aggregate: the table is scanned once."""
+    rows = F.array(*[
+        F.struct(
+            F.lit(check).alias("check"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
+            F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias("n_violations"),
+        )
+        for check, table, column, n in checks
+    ])
+    return agg.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def _column_checks(df: DataFrame, table: str, not_null, limits: dict[str, int]) -> DataFrame:
+    """NULL counts and over-long values of any columns, in one aggregate."""
+    aggs, checks = [], []
+    for c in not_null:
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_{c}"))
+        checks.append(("not_null", table, c, f"null_{c}"))
+    for c, n in limits.items():
+        aggs.append(F.count_if(F.length(F.col(c)) > n).alias(f"long_{c}"))
+        checks.append((f"length<={n}", table, c, f"long_{c}"))
+    return _rows(df.agg(*aggs), checks)
 
 
 def dq_not_null(df: DataFrame, table: str, cols) -> DataFrame:
     """NULL count per column, all columns in one pass (Q1)."""
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    return reduce(DataFrame.unionByName, [_row(agg, "not_null", table, c, F.col(c)) for c in cols])
+    return _column_checks(df, table, cols, {})
 
 
 def dq_pk_duplicates(df: DataFrame, table: str, key_cols) -> DataFrame:
     """Number of key values that occur more than once."""
     dup = df.groupBy(*key_cols).count().filter(F.col("count") > 1)
-    return _row(dup.agg(F.count(F.lit(1)).alias("n")), "pk_unique", table, ",".join(key_cols), F.col("n"))
+    return _rows(dup.agg(F.count(F.lit(1)).alias("n")), [("pk_unique", table, ",".join(key_cols), "n")])
 
 
 def dq_fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, table: str) -> DataFrame:
@@ -46,18 +60,30 @@ def dq_fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, table:
     """
     per_key = child.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     orphans = per_key.join(parent.select(F.col(pk).alias("_k")), "_k", "left_anti")
-    return _row(orphans.agg(F.sum("_n").alias("n")), "fk_exists", table, fk, F.col("n"))
+    return _rows(orphans.agg(F.sum("_n").alias("n")), [("fk_exists", table, fk, "n")])
 
 
 def dq_action_domain(log: DataFrame, table: str = "logged_actions") -> DataFrame:
     """Rows whose action is outside I, D, U, T (Q4); a NULL passes, as in a CHECK constraint."""
     bad = log.agg(F.count_if(F.col("action").isNotNull() & ~F.col("action").isin(*ACTIONS)).alias("n"))
-    return _row(bad, "action_domain", table, "action", F.col("n"))
+    return _rows(bad, [("action_domain", table, "action", "n")])
 
 
 def dq_length(df: DataFrame, table: str, limits: dict[str, int]) -> DataFrame:
     """Values longer than their varchar limit, per column, in one pass (Q5)."""
-    agg = df.agg(*[F.count_if(F.length(F.col(c)) > n).alias(c) for c, n in limits.items()])
-    return reduce(
-        DataFrame.unionByName, [_row(agg, f"length<={n}", table, c, F.col(c)) for c, n in limits.items()]
-    )
+    return _column_checks(df, table, (), limits)
+
+
+def declared_checks(frames: dict[str, DataFrame]) -> DataFrame:
+    """Every constraint that the specs declare, over the given tables: NOT NULL and lengths
+    (one scan per table), the primary key, and each foreign key whose parent is given too."""
+    parts = []
+    for table, df in frames.items():
+        required = [f.name for f in SCHEMAS[table].fields if not f.nullable and f.name in df.columns]
+        limits = {c: n for c, n in VARCHAR_LENGTHS.get(table, {}).items() if c in df.columns}
+        parts.append(_column_checks(df, table, required, limits))
+        parts.append(dq_pk_duplicates(df, table, ["id"]))
+    for child, column, parent in FOREIGN_KEYS:
+        if child in frames and parent in frames and column in frames[child].columns:
+            parts.append(dq_fk_orphans(frames[child], column, frames[parent], "id", child))
+    return reduce(DataFrame.unionByName, parts)

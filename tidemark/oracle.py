@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from .functions.timeutil import day_window
-from .sources.canonical import BASE_EPOCH, N_DATES
+from .sources.canonical import BASE_EPOCH, N_CREATED, N_DATES
 from .specs import TABLE_NAMES
 
 
@@ -30,9 +30,9 @@ def table_case(k: str) -> str:
     return f"CASE {k} {whens} END"
 
 
-def changelog_cte(n_dates: int | None = N_DATES, name: str = "changelog") -> str:
+def changelog_cte(n_dates: int = N_DATES, name: str = "changelog") -> str:
     k = f"(event_id % {len(TABLE_NAMES)})"
-    off = f"(user_id + {k})" if n_dates is None else f"((user_id + {k}) % {n_dates})"
+    off = f"((user_id + {k}) % {n_dates})"
     upd = f"{BASE_EPOCH} + 86400 * {off}"
     return f"""{name} AS (
   SELECT event_id, 'public' AS schema_name, {table_case(k)} AS table_name,
@@ -44,13 +44,13 @@ def changelog_cte(n_dates: int | None = N_DATES, name: str = "changelog") -> str
   FROM events)"""
 
 
-def snapshot_cte(table: str = "order", n_dates: int | None = N_DATES, name: str = "snapshot") -> str:
+def snapshot_cte(table: str = "order", n_dates: int = N_DATES, name: str = "snapshot") -> str:
     k = TABLE_NAMES.index(table)
-    off = f"(o_orderkey + {k})" if n_dates is None else f"((o_orderkey + {k}) % {n_dates})"
+    off = f"((o_orderkey + {k}) % {n_dates})"
     upd = f"CAST({BASE_EPOCH} + 86400 * {off} AS BIGINT)"
     return f"""{name} AS (
   SELECT o_orderkey AS id, o_custkey AS customer_id, o_totalprice AS amount,
-         epoch_us(o_orderdate) // 1000000 AS created_at,
+         CAST({BASE_EPOCH} + 86400 * (o_orderkey % {N_CREATED}) AS BIGINT) AS created_at,
          {upd} AS updated_at, {parts(upd)}
   FROM orders)"""
 

@@ -21,8 +21,8 @@ from ..operators import capture, cdc, extract, quality, seed
 from ..session import scratch_path
 from ..sinks import lake
 from ..sources import files, jdbc
-from ..sources.canonical import read_changelog, read_edit_pair, read_snapshot, table_path
-from ..specs import CHANGELOG_SCHEMA, PARTITION_COLS, SCHEMAS, TABLE_NAMES, VARCHAR_LENGTHS, TableSpec, spec_for
+from ..sources.canonical import MANY_DATES, read_changelog, read_edit_pair, read_snapshot, table_path
+from ..specs import CHANGELOG_SCHEMA, FOREIGN_KEYS, PARTITION_COLS, LITERAL_DEFAULTS, NOW_EPOCH_DEFAULTS, SCHEMAS, TABLE_NAMES, VARCHAR_LENGTHS, TableSpec, spec_for
 from ..streaming import lake_stream as streams
 from . import refresh as refresh_plan
 
@@ -124,12 +124,12 @@ def q_partition_slice(spark, sf_dir):
     return cdc.partition_slice(read_snapshot(spark, sf_dir, TABLE), 2024, 1, 10)
 
 
-# One row per partition (every key its own day), so net deletes really empty partitions.
+# Keys spread over a hundred years of days, so net deletes really empty partitions.
 @register(
     "emptied_partitions",
     _with(
-        O.changelog_cte(None),
-        O.snapshot_cte(TABLE, None),
+        O.changelog_cte(MANY_DATES),
+        O.snapshot_cte(TABLE, MANY_DATES),
         O.net_cte(TABLE, RUN_DATE),
         O.affected_cte(TABLE, RUN_DATE),
         """after AS (SELECT * FROM snapshot WHERE id NOT IN (SELECT id FROM net WHERE net_action = 'D'))""",
@@ -138,8 +138,8 @@ def q_partition_slice(spark, sf_dir):
   SELECT 1 FROM after s WHERE s.year = a.year AND s.month = a.month AND s.day = a.day)""",
 )
 def q_emptied_partitions(spark, sf_dir):
-    log = read_changelog(spark, sf_dir, LO, HI, n_dates=None)
-    snap = read_snapshot(spark, sf_dir, TABLE, n_dates=None)
+    log = read_changelog(spark, sf_dir, LO, HI, n_dates=MANY_DATES)
+    snap = read_snapshot(spark, sf_dir, TABLE, n_dates=MANY_DATES)
     affected = cdc.affected_partitions(spark, log, snap, TABLE, RUN_DATE)
     deleted = cdc.net_actions(log, TABLE, LO, HI).filter(F.col("net_action") == "D").select("id")
     after = snap.join(deleted, "id", "left_anti")
@@ -221,7 +221,7 @@ def q_backfill(spark, sf_dir):
     return back.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _run_all_sql() -> str:
+def _affected_all_sql() -> str:
     ctes = [O.changelog_cte(), O.net_cte(None, RUN_DATE)]
     sel = []
     for i, t in enumerate(TABLE_NAMES):
@@ -231,13 +231,43 @@ def _run_all_sql() -> str:
     return _with(*ctes) + "\nUNION ALL\n".join(sel)
 
 
-@register("run_all", _run_all_sql())
-def q_run_all(spark, sf_dir):
+@register("affected_all_tables", _affected_all_sql())
+def q_affected_all_tables(spark, sf_dir):
     log = read_changelog(spark, sf_dir, LO, HI)
     sources = {t: read_snapshot(spark, sf_dir, t) for t in TABLE_NAMES}
     return refresh_plan.affected_all_tables(spark, log, sources, RUN_DATE)
 
 
+def _run_all_sql() -> str:
+    ctes, sel = [O.changelog_cte()], []
+    for i, t in enumerate(TABLE_NAMES):
+        ctes += [
+            O.snapshot_cte(t, name=f"snap{i}"), O.net_cte(t, RUN_DATE, name=f"net{i}"),
+            O.affected_cte(t, RUN_DATE, net=f"net{i}", src=f"snap{i}", name=f"aff{i}"),
+            _edited_source_sql(f"net{i}", f"snap{i}", f"src{i}"),
+        ]
+        in_a = _IN_A.replace("affected", f"aff{i}")
+        sel += [f"SELECT '{t}' AS table_name, s.* FROM snap{i} s WHERE NOT {in_a}", f"SELECT '{t}', s.* FROM src{i} s WHERE {in_a}"]
+    return _with(*ctes) + "\nUNION ALL\n".join(sel)
+
+
+@register("run_all", _run_all_sql())
+def q_run_all(spark, sf_dir):
+    """Backfill of all five lakes, one day's refresh of all, every lake read back."""
+    log = read_changelog(spark, sf_dir, LO, HI)
+    root = scratch_path(spark, "run-all")
+    before = {t: read_snapshot(spark, sf_dir, t) for t in TABLE_NAMES}
+    refresh_plan.run_all(spark, None, before, root, mode="backfill")
+    net = cdc.net_changes(log, None, LO, HI)
+    after = {t: _edited_source(before[t], net.filter(F.col("table_name") == t)) for t in TABLE_NAMES}
+    refresh_plan.run_all(spark, log, after, root, RUN_DATE)
+    parts = [
+        lake.read_lake(spark, f"{root}/{spec_for(t).folder}").select(F.lit(t).alias("table_name"), *before[t].columns)
+        for t in TABLE_NAMES
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register(
     "partition_path",
     _with(O.snapshot_cte()) + "SELECT id, printf('year=%d/month=%d/day=%d', year, month, day) AS partition_path FROM snapshot",
@@ -255,6 +285,23 @@ def q_epoch_to_date(spark, sf_dir):
     return log.select("event_id", "action_tstamp_tx", epoch_to_date("action_tstamp_tx").alias("change_date"))
 
 
+ZONE = "America/New_York"
+
+
+@register(
+    "epoch_to_date_zone",
+    _with(O.changelog_cte())
+    + f"""SELECT event_id, CAST(to_timestamp(action_tstamp_tx) AT TIME ZONE '{ZONE}' AS DATE) AS change_date,
+  CAST(to_timestamp(action_tstamp_tx) AT TIME ZONE 'Asia/Tokyo' AS DATE) AS change_date_east FROM changelog""",
+)
+def q_epoch_to_date_zone(spark, sf_dir):
+    log = read_changelog(spark, sf_dir)
+    return log.select(
+        "event_id", epoch_to_date("action_tstamp_tx", ZONE).alias("change_date"),
+        epoch_to_date("action_tstamp_tx", "Asia/Tokyo").alias("change_date_east"),
+    )
+
+
 @register(
     "date_parts",
     _with(O.changelog_cte()) + f"SELECT event_id, {O.parts('action_tstamp_tx')} FROM changelog",
@@ -283,7 +330,7 @@ def q_snapshot_diff(spark, sf_dir):
 )
 def q_snapshot_diff_ignore(spark, sf_dir):
     old, new = read_edit_pair(spark, sf_dir)
-    return capture.snapshot_diff(old, new, TABLE, ignore_cols=("updated_at",), now=NOW).select(*DIFF_OUT)
+    return capture.audit_events(old, new, TableSpec(TABLE, ignored_cols=("updated_at",)), now=NOW).select(*DIFF_OUT)
 
 
 @register(
@@ -296,8 +343,9 @@ SELECT '{TABLE}', 'truncate', 'T', CAST(NULL AS BIGINT), true, count(*) FROM old
 )
 def q_statement_events(spark, sf_dir):
     old, new = read_edit_pair(spark, sf_dir)
-    edit = capture.statement_events(old, new, TABLE).withColumn("batch", F.lit("edit"))
-    trunc = capture.statement_events(old, new.filter(F.lit(False)), TABLE).withColumn("batch", F.lit("truncate"))
+    spec = TableSpec(TABLE, audit_rows=False)
+    edit = capture.audit_events(old, new, spec).withColumn("batch", F.lit("edit"))
+    trunc = capture.audit_events(old, new.filter(F.lit(False)), spec).withColumn("batch", F.lit("truncate"))
     return edit.unionByName(trunc)
 
 
@@ -383,12 +431,11 @@ def q_preview_topn(spark, sf_dir):
 @register(
     "high_watermark",
     _with(O.changelog_cte())
-    + f"SELECT table_name, max(action_tstamp_tx) AS high_watermark FROM changelog WHERE action_tstamp_tx < {LO} GROUP BY table_name",
+    + "SELECT table_name, max(action_tstamp_tx) AS high_watermark FROM changelog GROUP BY table_name",
 )
 def q_high_watermark(spark, sf_dir):
-    """What each table's previous run had seen: the latest change before the run day."""
-    log = read_changelog(spark, sf_dir, hi=LO - 1)
-    return extract.high_watermark(log, "action_tstamp_tx", by=["table_name"])
+    """The latest change of each table in the whole log."""
+    return extract.high_watermark(read_changelog(spark, sf_dir), "action_tstamp_tx", by=["table_name"])
 
 
 @register(
@@ -403,15 +450,12 @@ def q_row_as_json(spark, sf_dir):
 
 @register(
     "incremental_extract",
-    _with(O.changelog_cte(), O.snapshot_cte())
-    + f"""SELECT * FROM snapshot
-WHERE updated_at > (SELECT max(action_tstamp_tx) FROM changelog WHERE table_name = '{TABLE}' AND action_tstamp_tx < {LO})""",
+    _with(O.snapshot_cte()) + "SELECT * FROM snapshot WHERE updated_at > (SELECT max(created_at) FROM snapshot)",
 )
 def q_incremental_extract(spark, sf_dir):
-    """Rows updated after the previous run's high watermark, written as a partitioned slice (K6)."""
-    prev = cdc.changelog_window(read_changelog(spark, sf_dir, hi=LO - 1), TABLE, hi=LO - 1)
-    wm = extract.scalar_watermark(prev, "action_tstamp_tx")
-    slice_ = extract.incremental_extract(read_snapshot(spark, sf_dir, TABLE), wm)
+    """Rows updated after the table's newest creation, written as a partitioned slice (K6)."""
+    snap = read_snapshot(spark, sf_dir, TABLE)
+    slice_ = extract.incremental_extract(snap, extract.scalar_watermark(snap, "created_at"))
     path = scratch_path(spark, "incremental")
     lake.write_incremental(slice_, path)
     return lake.read_lake(spark, path)
@@ -454,10 +498,19 @@ def _lineitem_lake(spark, sf_dir) -> str:
     return path
 
 
-@register("scan_parquet_file", _LI_BY_MONTH)
+@register(
+    "scan_parquet_file",
+    """SELECT CAST(1996 AS BIGINT) AS year, CAST(month(l_shipdate) AS BIGINT) AS month, count(*) AS n_rows
+FROM lineitem WHERE year(l_shipdate) = 1996 GROUP BY 2""",
+)
 def q_scan_parquet_file(spark, sf_dir):
-    path = _lineitem_lake(spark, sf_dir)
-    df = files.scan_parquet_files(spark, files.list_files(spark, path), path)
+    """Lines of one year stored as one file per month folder; each file is read by its name."""
+    li = spark.read.parquet(table_path(sf_dir, "lineitem"))
+    li = li.withColumns({"year": F.year("l_shipdate").cast("bigint"), "month": F.month("l_shipdate").cast("bigint")})
+    path = scratch_path(spark, "lineitem-files")
+    li.repartition("year", "month").write.partitionBy("year", "month").parquet(path)
+    names = [files.first_file(spark, f"{path}/year=1996/month={m}") for m in range(1, 13)]
+    df = files.scan_parquet_files(spark, names, path)
     return df.groupBy(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
@@ -479,7 +532,7 @@ def q_scan_parquet_glob(spark, sf_dir):
 )
 def q_schema_from_sample(spark, sf_dir):
     path = _lineitem_lake(spark, sf_dir)
-    sample = files.list_files(spark, path)[0]
+    sample = files.first_file(spark, path)
     sch = files.schema_from_sample(spark, sample, path, {"year": T.LongType(), "month": T.LongType()})
     df = spark.read.schema(sch).option("basePath", path).parquet(path)
     return df.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("sum_qty"))
@@ -492,7 +545,7 @@ def q_schema_from_sample(spark, sf_dir):
 )
 def q_schema_apply(spark, sf_dir):
     path = _lineitem_lake(spark, sf_dir)
-    sch = files.schema_from_sample(spark, files.list_files(spark, path)[0], path, {"year": T.LongType(), "month": T.LongType()})
+    sch = files.schema_from_sample(spark, files.first_file(spark, path), path, {"year": T.LongType(), "month": T.LongType()})
     return files.schema_apply(spark, sch, path).select("l_orderkey", "l_linenumber", "year", "month")
 
 
@@ -528,24 +581,34 @@ def _dq_sql(rows: list[tuple[str, str, str, str]]) -> str:
     )
 
 
+def _required(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if not f.nullable]
+
+
+# Inputs with real violations, over whole tables: low-priority orders lose their customer,
+# error events their action.
+_DQ_ORDER = "(SELECT o_orderkey AS id, CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS customer_id FROM orders)"
+_DQ_LOG = "(SELECT event_id, schema_name, table_name, CASE WHEN action <> 'D' THEN action END AS action, statement_only FROM changelog)"
+
+
 @register(
     "dq_not_null",
-    _with(O.changelog_cte(), O.snapshot_cte())
+    _with(O.changelog_cte())
     + _dq_sql(
-        [("not_null", "order", c, f"SELECT count(*) FILTER (WHERE {c} IS NULL) FROM snapshot") for c in ("id", "customer_id")]
+        [("not_null", "order", c, f"SELECT count(*) FILTER (WHERE {c} IS NULL) FROM {_DQ_ORDER}") for c in _required(SCHEMAS["order"])]
         + [
-            ("not_null", "logged_actions", c, f"SELECT count(*) FILTER (WHERE {c} IS NULL) FROM changelog")
-            for c in ("event_id", "schema_name", "table_name", "action", "statement_only")
+            ("not_null", "logged_actions", c, f"SELECT count(*) FILTER (WHERE {c} IS NULL) FROM {_DQ_LOG}")
+            for c in _required(CHANGELOG_SCHEMA)
         ]
     ),
 )
 def q_dq_not_null(spark, sf_dir):
-    return quality.dq_not_null(read_snapshot(spark, sf_dir, TABLE), "order", ["id", "customer_id"]).unionByName(
-        quality.dq_not_null(
-            read_changelog(spark, sf_dir),
-            "logged_actions",
-            ["event_id", "schema_name", "table_name", "action", "statement_only"],
-        )
+    orders = spark.read.parquet(table_path(sf_dir, "orders")).select(
+        F.col("o_orderkey").alias("id"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey")).alias("customer_id")
+    )
+    log = read_changelog(spark, sf_dir).withColumn("action", F.when(F.col("action") != "D", F.col("action")))
+    return quality.dq_not_null(orders, "order", _required(SCHEMAS["order"])).unionByName(
+        quality.dq_not_null(log, "logged_actions", _required(CHANGELOG_SCHEMA))
     )
 
 
@@ -568,7 +631,9 @@ def q_dq_pk_duplicates(spark, sf_dir):
 
 
 _FKS = (("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
-        ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"))
+        ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+        # no such constraint exists: these find real orphans
+        ("customer", "c_custkey", "supplier", "s_suppkey"), ("lineitem", "l_orderkey", "customer", "c_custkey"))
 
 
 @register(
@@ -587,31 +652,74 @@ def q_dq_fk_orphans(spark, sf_dir):
 
 @register(
     "dq_action_domain",
-    _with(O.changelog_cte())
-    + _dq_sql([("action_domain", "logged_actions", "action",
-                "SELECT count(*) FILTER (WHERE action IS NOT NULL AND action NOT IN ('I','D','U','T')) FROM changelog")]),
+    _dq_sql([("action_domain", "logged_actions", "action",
+              "SELECT count(*) FILTER (WHERE a IS NOT NULL AND a NOT IN ('I','D','U','T')) "
+              "FROM (SELECT CASE event_type WHEN 'signup' THEN 'I' ELSE event_type END AS a FROM events)")]),
 )
 def q_dq_action_domain(spark, sf_dir):
-    return quality.dq_action_domain(read_changelog(spark, sf_dir))
+    """Event types that nobody mapped to an action letter, but for signups."""
+    ev = spark.read.parquet(table_path(sf_dir, "events"))
+    action = F.when(F.col("event_type") == "signup", "I").otherwise(F.col("event_type"))
+    return quality.dq_action_domain(ev.select(action.alias("action")))
+
+
+_DQ_NAMES = {"name": "text", "address": "source", "contact": "text"}
 
 
 @register(
     "dq_length",
     _dq_sql(
         [
-            ("length<=50", "customer", "name", "SELECT count(*) FILTER (WHERE length(c_name) > 50) FROM customer"),
-            ("length<=50", "manufacturer", "name", "SELECT count(*) FILTER (WHERE length(s_name) > 50) FROM supplier"),
+            (f"length<={n}", t, c, f"SELECT count(*) FILTER (WHERE length({_DQ_NAMES[c]}) > {n}) FROM documents")
+            for t in ("customer", "manufacturer")
+            for c, n in VARCHAR_LENGTHS[t].items()
         ]
     ),
 )
 def q_dq_length(spark, sf_dir):
-    c = spark.read.parquet(table_path(sf_dir, "customer")).select(F.col("c_name").alias("name"))
-    s = spark.read.parquet(table_path(sf_dir, "supplier")).select(F.col("s_name").alias("name"))
-    return quality.dq_length(c, "customer", {"name": VARCHAR_LENGTHS["customer"]["name"]}).unionByName(
-        quality.dq_length(s, "manufacturer", {"name": VARCHAR_LENGTHS["manufacturer"]["name"]})
+    docs = spark.read.parquet(table_path(sf_dir, "documents")).select(*[F.col(c).alias(k) for k, c in _DQ_NAMES.items()])
+    return quality.dq_length(docs, "customer", VARCHAR_LENGTHS["customer"]).unionByName(
+        quality.dq_length(docs, "manufacturer", VARCHAR_LENGTHS["manufacturer"])
     )
 
 
+# The five logical tables over the driver's: parts refer to manufacturers by their size, lines to
+# products by their part, and some keys and texts break the declared rules.
+_DECLARED = {
+    "customer": ("customer", {"id": "nullif(c_custkey, 1)", "name": "c_name || ' in ' || c_mktsegment || ' of nation number ' || c_nationkey"}),
+    "manufacturer": ("supplier", {"id": "s_suppkey", "name": "s_name"}),
+    "product": ("part", {"id": "p_partkey", "manufacture_id": "CAST(nullif(p_size, 7) AS BIGINT)", "color": "p_type"}),
+    "order": ("orders", {"id": "o_custkey", "customer_id": "o_custkey", "reference": "o_orderpriority"}),
+    "order_items": ("lineitem", {"id": "l_orderkey", "order_id": "l_orderkey", "product_id": "l_partkey"}),
+}
+
+
+def _declared_sql() -> str:
+    frame = {t: "(SELECT " + ", ".join(f"{e} AS {c}" for c, e in cols.items()) + f" FROM {src})" for t, (src, cols) in _DECLARED.items()}
+    rows = []
+    for t, (_, cols) in _DECLARED.items():
+        rows += [("not_null", t, c, f"SELECT count(*) FILTER (WHERE {c} IS NULL) FROM {frame[t]}") for c in _required(SCHEMAS[t])]
+        rows += [
+            (f"length<={n}", t, c, f"SELECT count(*) FILTER (WHERE length({c}) > {n}) FROM {frame[t]}")
+            for c, n in VARCHAR_LENGTHS.get(t, {}).items() if c in cols
+        ]
+        rows.append(("pk_unique", t, "id", f"SELECT count(*) FROM (SELECT id FROM {frame[t]} GROUP BY id HAVING count(*) > 1)"))
+    rows += [
+        ("fk_exists", c, k, f"SELECT count(*) FROM {frame[c]} WHERE {k} IS NOT NULL AND {k} NOT IN (SELECT id FROM {frame[p]} WHERE id IS NOT NULL)")
+        for c, k, p in FOREIGN_KEYS
+    ]
+    return _dq_sql(rows)
+
+
+@register("dq_declared", _declared_sql())
+def q_dq_declared(spark, sf_dir):
+    """All constraints that the specs declare, over the five logical tables."""
+    return quality.declared_checks({
+        t: spark.read.parquet(table_path(sf_dir, src)).select(*[F.expr(e).alias(c) for c, e in cols.items()])
+        for t, (src, cols) in _DECLARED.items()
+    })
+
+
 # --- seeds (G1, G2, X9-X11, X13, F11) ---------------------------------------------------
 
 _SEED_KEYS = (
@@ -631,42 +739,49 @@ def _seed_keys(spark, sf_dir, src, key):
     return df, key
 
 
-def _seed_summary(df: DataFrame, table: str) -> DataFrame:
-    fks = _SEED_FKS.get(table, [])
-    fk_sum = reduce(lambda a, b: a + b, [F.sum(c) for c in fks]) if fks else F.lit(0)
-    names = F.count_distinct("name") if "name" in df.columns else F.lit(0)
-    return df.agg(
-        F.lit(table).alias("table_name"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min("id").alias("min_id"),
-        F.max("id").alias("max_id"),
-        fk_sum.cast("bigint").alias("fk_sum"),
-        names.cast("bigint").alias("n_names"),
-        F.max("updated_at").alias("max_updated_at"),
-    )
+#: Common layout of the seeded tables: column -> (type, the tables' columns that fill it).
+_SEED_OUT = {
+    "name": ("string", ("name",)), "fk_a": ("bigint", ("manufacture_id", "customer_id", "order_id")), "fk_b": ("bigint", ("product_id",)),
+    "text_a": ("string", ("address", "reference", "color")), "text_b": ("string", ("contact",)),
+    "amount": ("double", ("credit_limit", "unit_price")), "quality": ("bigint", ("quality",)),
+    "made": ("bigint", ("purchase_date", "warranty")),
+}
+_SEED_COMMON = ("year", "month", "day", "created_at", "updated_at")
 
 
 def _seed_sql() -> str:
     out = []
     for t, src, key in _SEED_KEYS:
         idx = "l_orderkey * 8 + l_linenumber" if key is None else key
-        fks = _SEED_FKS.get(t, [])
-        fk = " + ".join(f"sum(1 + ({idx}) % 101)" for _ in fks) or "0"
-        names = f"count(DISTINCT md5(CAST({idx} AS VARCHAR)))" if t in ("customer", "manufacturer") else "0"
+        own = {c: f"1 + ({idx}) % 101" for c in _SEED_FKS.get(t, [])}
+        if t in ("customer", "manufacturer"):
+            own["name"] = f"md5(CAST({idx} AS VARCHAR))"
+        own |= {c: str(NOW_EPOCH) for c in NOW_EPOCH_DEFAULTS[t]}
+        own |= {c: f"'{v}'" if isinstance(v, str) else f"CAST({v} AS FLOAT)" if c == "unit_price" else str(v) for c, v in LITERAL_DEFAULTS[t].items()}
+        cols = [
+            f"CAST({next((own[c] for c in names if c in own), 'NULL')} AS {'VARCHAR' if kind == 'string' else kind}) AS {o}"
+            for o, (kind, names) in _SEED_OUT.items()
+        ]
         out.append(
-            f"SELECT '{t}' AS table_name, count(*) AS n_rows, min({idx}) AS min_id, max({idx}) AS max_id, "
-            f"CAST({fk} AS BIGINT) AS fk_sum, CAST({names} AS BIGINT) AS n_names, "
-            f"CAST({NOW_EPOCH} AS BIGINT) AS max_updated_at FROM {src}"
+            f"SELECT '{t}' AS table_name, CAST({idx} AS BIGINT) AS id, {', '.join(cols)}, CAST(2024 AS BIGINT) AS year, "
+            f"CAST(1 AS BIGINT) AS month, CAST(15 AS BIGINT) AS day, CAST({NOW_EPOCH} AS BIGINT) AS created_at, "
+            f"CAST({NOW_EPOCH} AS BIGINT) AS updated_at FROM {src}"
         )
     return "\nUNION ALL\n".join(out)
 
 
 @register("seed_tables", _seed_sql())
 def q_seed_tables(spark, sf_dir):
+    """Every seeded row of the five tables, defaults and md5 names included, in one layout."""
     parts = []
     for t, src, key in _SEED_KEYS:
         keys, k = _seed_keys(spark, sf_dir, src, key)
-        parts.append(_seed_summary(seed.seed_table(keys, t, k, NOW), t))
+        df = seed.seed_table(keys, t, k, NOW)
+        cols = []
+        for o, (kind, names) in _SEED_OUT.items():
+            own = next((c for c in names if c in df.columns), None)
+            cols.append((F.col(own) if own else F.lit(None)).cast(kind).alias(o))
+        parts.append(df.select(F.lit(t).alias("table_name"), "id", *cols, *_SEED_COMMON))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -707,7 +822,7 @@ def q_stream_lake_copy(spark, sf_dir):
     ev = ev.select("event_id", "ts", "user_id", "event_type", "value", "props", *epoch_parts("_e"))
     src = scratch_path(spark, "stream-src")
     ev.hint("rebalance", *PARTITION_COLS).write.partitionBy(*PARTITION_COLS).parquet(src)
-    sample = files.list_files(spark, src)[0]
+    sample = files.first_file(spark, src)
     sch = files.schema_from_sample(spark, sample, src, {c: T.LongType() for c in PARTITION_COLS})
     dst, ck = scratch_path(spark, "stream-dst"), scratch_path(spark, "stream-ck")
     streams.stream_lake_copy(spark, src, dst, ck, sch, max_files_per_trigger=8).awaitTermination()
@@ -717,7 +832,7 @@ def q_stream_lake_copy(spark, sf_dir):
 
 def _stream_refresh_sql() -> str:
     aff = f"""affected AS (
-  SELECT DISTINCT {O.parts('action_tstamp_tx')} FROM changelog
+  SELECT DISTINCT {O.parts('action_tstamp_tx')} FROM changelog WHERE table_name = '{TABLE}'
   UNION SELECT DISTINCT s.year, s.month, s.day FROM source s
     WHERE s.id IN (SELECT id FROM net WHERE net_action = 'U')
   UNION SELECT DISTINCT {O.parts('changed_fields')} FROM changelog
@@ -729,7 +844,7 @@ def _stream_refresh_sql() -> str:
 
 @register("stream_partition_refresh", _stream_refresh_sql())
 def q_stream_partition_refresh(spark, sf_dir):
-    """Change-log files, one folder per day, refresh the lake micro-batch by micro-batch."""
+    """Change-log files, one folder per day, refresh the lake in one trigger."""
     snap = read_snapshot(spark, sf_dir, TABLE)
     log = read_changelog(spark, sf_dir)
     source = _edited_source(snap, cdc.net_changes(log, TABLE))
@@ -739,9 +854,6 @@ def q_stream_partition_refresh(spark, sf_dir):
     ).parquet(log_dir)
     path, ck = scratch_path(spark, "stream-lake"), scratch_path(spark, "stream-refresh-ck")
     lake.backfill(snap, path)
-    # ten files per micro-batch; a day small enough for one file is never split across batches
-    q = streams.stream_partition_refresh(
-        spark, log_dir, CHANGELOG_SCHEMA, source, spec_for(TABLE), path, ck, max_files_per_trigger=10
-    )
+    q = streams.stream_partition_refresh(spark, log_dir, CHANGELOG_SCHEMA, source, spec_for(TABLE), path, ck)
     q.awaitTermination()
     return lake.read_lake(spark, path)

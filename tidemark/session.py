@@ -53,11 +53,13 @@ def with_recommended_conf(builder):
 def shared_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors, taken from ``spark.checkpoint.dir``.
 
-    On a cluster that setting names distributed storage. Only when it is unset (a bare
-    local session, as in tests) do we create one and register it with the session.
+    On a cluster that setting must name distributed storage; a cluster session without it
+    is refused. Only a bare local session (as in tests) gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # spark.checkpoint.dir cannot be changed on a running session; register the
         # folder with the context instead, which later calls then find
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
@@ -66,8 +68,18 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under the shared root."""
-    return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A fresh, never reused folder under the shared root, in the application's own part of it."""
+    return f"{_application_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _application_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete every scratch folder of this application; for the end of a job, when its results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -2,11 +2,11 @@
 
 A refresh touches the lake with one write job whatever the number of changed keys:
 
-1. the affected set A (one row per calendar day, so bounded by the calendar, not by
-   the data) is collected with a hard size check;
-2. the source is filtered to A with one ``IN`` over a day key -- a partition filter when
-   the source itself is date-partitioned, a map-side filter otherwise (no shuffle, no
-   broadcast of anything that grows with the data);
+1. the affected set A (distinct calendar days, so bounded by the calendar and not by the
+   data) is collected;
+2. the source meets A in a semi-join with the broadcast day set, after the implied
+   ``year IN .. AND month IN .. AND day IN ..``, which a partitioned source takes as a
+   partition filter and a flat one as pushed filters. The path is the same for any size of A;
 3. the slice is rebalanced on the partition columns (AQE splits a hot day into several
    tasks and merges small ones) and written with dynamic partition overwrite; the same
    job reports, through an ``Observation``, which days it wrote;
@@ -25,11 +25,6 @@ from pyspark.sql.types import StructType
 from ..functions.timeutil import date_key
 from ..specs import PARTITION_COLS
 
-#: Upper bound on the affected set that is brought to the driver. A is one row per
-#: calendar day; 200,000 days is over 500 years of partitions.
-MAX_AFFECTED = 200_000
-
-
 @dataclass
 class RewriteResult:
     affected: list[tuple[int, int, int]] = field(default_factory=list)
@@ -66,35 +61,28 @@ def backfill(source: DataFrame, path: str, cols=PARTITION_COLS) -> None:
     )
 
 
-def try_collect_affected(affected: DataFrame, limit: int = MAX_AFFECTED) -> list[tuple[int, int, int]] | None:
-    """The affected days on the driver, or None when there are more than ``limit``."""
-    rows = affected.select(*PARTITION_COLS).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    return sorted((int(r[0]), int(r[1]), int(r[2])) for r in rows if None not in tuple(r))
-
-
-def collect_affected(affected: DataFrame, limit: int = MAX_AFFECTED) -> list[tuple[int, int, int]]:
-    """Bring the affected days to the driver, refusing a set larger than ``limit``."""
-    keys = try_collect_affected(affected, limit)
-    if keys is None:
-        raise ValueError(f"affected set has more than {limit} partitions; refusing to collect it")
-    return keys
+def collect_affected(affected: DataFrame) -> list[tuple[int, int, int]]:
+    """The affected days on the driver: distinct days, so at most as many as the calendar has."""
+    rows = affected.select(*PARTITION_COLS).dropna().distinct().collect()
+    return sorted((int(r[0]), int(r[1]), int(r[2])) for r in rows)
 
 
 def slice_days(source: DataFrame, day_keys) -> DataFrame:
     """Rows of the given days (yyyymmdd keys).
 
-    On a date-partitioned source the predicate references partition columns only, so it
-    becomes a partition filter (folders pruned). The exact day-key test is an arithmetic
-    expression no scan can take, so the implied ``year IN .. AND month IN .. AND day IN ..``
-    is stated too. Those plain column filters reach a parquet scan (row groups skipped by
+    The exact test is a semi-join with the day set, which is broadcast (one small row per
+    calendar day, and their number is known here). The implied ``year IN .. AND month IN
+    .. AND day IN ..`` is stated first: plain column filters that prune the folders of a
+    date-partitioned source, and that reach a flat parquet scan (row groups skipped by
     their min/max) and a JDBC source (a WHERE clause the database can index).
     """
-    keys = sorted(day_keys)
-    parts = [_split_key(k) for k in keys]
+    parts = [_split_key(k) for k in sorted(day_keys)]
     implied = [F.col(c).isin(sorted({p[i] for p in parts})) for i, c in enumerate(PARTITION_COLS)]
-    return _cast_parts(source).filter(implied[0] & implied[1] & implied[2] & date_key().isin(keys))
+    ddl = ", ".join(f"{c} bigint" for c in PARTITION_COLS)
+    days = F.broadcast(source.sparkSession.createDataFrame(parts, ddl))
+    return _cast_parts(source).filter(implied[0] & implied[1] & implied[2]).join(days, list(PARTITION_COLS), "left_semi").select(
+        *source.columns
+    )
 
 
 def hadoop_fs(spark: SparkSession, path: str):
@@ -107,21 +95,31 @@ def clear_partitions(spark: SparkSession, path: str, parts, cols=PARTITION_COLS)
     """Remove the folders of the given partitions (metadata operations only).
 
     Dynamic overwrite leaves a partition untouched when the new data has no row for it,
-    so a partition that became empty must be removed explicitly (B6, B7).
+    so a partition that became empty must be removed explicitly (B6, B7). One listing per
+    month that holds such a day finds the folders there are; only these are deleted, and
+    a month or year folder left without any child goes too.
     """
+    fs, root = hadoop_fs(spark, path.rstrip("/"))
+    join = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    gone = {"/".join(f"{c}={int(v)}" for c, v in zip(cols, p)) for p in parts}
     n = 0
-    root = path.rstrip("/")
-    for p in parts:
-        sub = "/".join(f"{c}={int(v)}" for c, v in zip(cols, p))
-        fs, hp = hadoop_fs(spark, f"{root}/{sub}")
-        if fs.exists(hp):
-            fs.delete(hp, True)
-            n += 1
-        # drop parent folders (month=, year=) left without any child
-        for depth in range(len(cols) - 1, 0, -1):
-            fs, parent = hadoop_fs(spark, f"{root}/" + "/".join(f"{c}={int(v)}" for c, v in zip(cols[:depth], p)))
-            if fs.exists(parent) and len(fs.listStatus(parent)) == 0:
-                fs.delete(parent, False)
+    for depth in range(len(cols) - 1, -1, -1):
+        emptied = set()
+        for parent in sorted({g.rpartition("/")[0] for g in gone}):
+            folder = join(root, parent) if parent else root
+            if not fs.exists(folder):
+                continue
+            left = 0
+            for st in fs.listStatus(folder):
+                name = f"{parent}/{st.getPath().getName()}".lstrip("/")
+                if name in gone:
+                    fs.delete(st.getPath(), True)
+                    n += depth == len(cols) - 1
+                else:
+                    left += 1
+            if not left and parent:
+                emptied.add(parent)
+        gone = emptied
     return n
 
 
@@ -137,14 +135,11 @@ def rewrite_partitions(
     Partitions outside the set keep their files; affected partitions with no source row
     are removed. One write job regardless of how many keys changed.
     """
-    keys = affected if isinstance(affected, list) else try_collect_affected(affected)
-    if keys is None:
-        return _rewrite_by_join(spark, source, affected, path, clear_emptied)
+    keys = affected if isinstance(affected, list) else collect_affected(affected)
     result = RewriteResult(affected=list(keys))
     if not keys:
         return result
     day_keys = sorted({y * 10000 + m * 100 + d for y, m, d in keys})
-    src = _cast_parts(source)
     slice_ = slice_days(source, day_keys)
     obs = Observation(f"tidemark_rewrite_{uuid.uuid4().hex}")  # unique: tables may be rewritten concurrently
     slice_ = slice_.observe(obs, F.collect_set(date_key()).alias("written"))
@@ -159,7 +154,7 @@ def rewrite_partitions(
     if written is None:
         # the optimizer may drop the metrics node (e.g. a slice it proves empty); ask directly,
         # the answer is bounded by the affected set
-        written = {int(r[0]) for r in src.filter(date_key().isin(day_keys)).select(date_key()).distinct().collect()}
+        written = {int(r[0]) for r in slice_days(source, day_keys).select(date_key()).distinct().collect()}
     result.written = [_split_key(k) for k in sorted(written)]
     result.emptied = [_split_key(k) for k in day_keys if k not in written]
     if clear_emptied and result.emptied:
@@ -167,35 +162,6 @@ def rewrite_partitions(
     return result
 
 
-def _rewrite_by_join(
-    spark: SparkSession, source: DataFrame, affected: DataFrame, path: str, clear_emptied: bool
-) -> RewriteResult:
-    """Rewrite for an affected set too large to collect: a semi-join instead of a literal
-    filter, and emptied days found by an anti-join and streamed to the driver one
-    partition at a time for clearing (never the whole set at once)."""
-    aff = _cast_parts(affected.select(*PARTITION_COLS)).distinct()
-    src = _cast_parts(source)
-    (
-        src.join(aff, list(PARTITION_COLS), "left_semi")
-        .hint("rebalance", *PARTITION_COLS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLS)
-        .parquet(path)
-    )
-    if clear_emptied:
-        # distinct days first (map-side), so a hot day does not move whole into one task
-        emptied = aff.join(src.select(*PARTITION_COLS).distinct(), list(PARTITION_COLS), "left_anti")
-        batch = []
-        for r in emptied.toLocalIterator():
-            batch.append((int(r[0]), int(r[1]), int(r[2])))
-            if len(batch) >= 10_000:
-                clear_partitions(spark, path, batch)
-                batch = []
-        clear_partitions(spark, path, batch)
-    return RewriteResult()
-
-
 def _observed_days(obs: Observation) -> set[int] | None:
     try:
         metrics = obs.get

@@ -19,6 +19,10 @@ from ..specs import TABLE_NAMES
 # seconds 1704067200), 60 dates, event type -> action: signup I, error D, others U.
 BASE_EPOCH = 1704067200
 N_DATES = 60
+#: Created over the first half of these dates, so that later updates lie above the newest creation.
+N_CREATED = 30
+#: For fixtures with (nearly) one key per day: a hundred years, whatever the number of keys.
+MANY_DATES = 36_500
 ACTION_OF_EVENT = {"signup": "I", "error": "D"}
 
 
@@ -30,13 +34,9 @@ def table_index(name: str) -> int:
     return TABLE_NAMES.index(name)
 
 
-def synthetic_updated_at(id_col: Column, k, n_dates: int | None = N_DATES) -> Column:
-    """``updated_at`` of a key in ``snapshot(k)``: one of ``n_dates`` days from the base.
-
-    ``n_dates=None`` gives every key its own day (one row per partition).
-    """
-    offset = id_col + k if n_dates is None else F.pmod(id_col + k, F.lit(n_dates))
-    return F.lit(BASE_EPOCH) + F.lit(86400) * offset
+def synthetic_updated_at(id_col: Column, k, n_dates: int = N_DATES) -> Column:
+    """``updated_at`` of a key in ``snapshot(k)``: one of ``n_dates`` days from the base."""
+    return F.lit(BASE_EPOCH) + F.lit(86400) * F.pmod(id_col + k, F.lit(n_dates))
 
 
 def read_changelog(
@@ -44,7 +44,7 @@ def read_changelog(
     sf_dir: str,
     lo: int | None = None,
     hi: int | None = None,
-    n_dates: int | None = N_DATES,
+    n_dates: int = N_DATES,
 ) -> DataFrame:
     """The audit log over ``events``.
 
@@ -81,7 +81,7 @@ def read_changelog(
     return out
 
 
-def read_snapshot(spark: SparkSession, sf_dir: str, table: str = "order", n_dates: int | None = N_DATES) -> DataFrame:
+def read_snapshot(spark: SparkSession, sf_dir: str, table: str = "order", n_dates: int = N_DATES) -> DataFrame:
     """``orders`` keys as logical table ``table`` with synthetic partition dates."""
     k = table_index(table)
     o = spark.read.parquet(table_path(sf_dir, "orders"))
@@ -90,7 +90,7 @@ def read_snapshot(spark: SparkSession, sf_dir: str, table: str = "order", n_date
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_totalprice").alias("amount"),
-        epoch_seconds("o_orderdate").alias("created_at"),
+        (F.lit(BASE_EPOCH) + F.lit(86400) * F.pmod(F.col("o_orderkey"), F.lit(N_CREATED))).cast("bigint").alias("created_at"),
         upd.cast("bigint").alias("updated_at"),
         *epoch_parts(upd),
     )

@@ -52,16 +52,13 @@ def schema_apply(spark: SparkSession, schema: T.StructType, path: str) -> DataFr
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
-def list_files(spark: SparkSession, root: str, suffix: str = ".parquet") -> list[str]:
-    """Data files below ``root`` (metadata listing, as Spark's own file index does)."""
+def first_file(spark: SparkSession, root: str, suffix: str = ".parquet") -> str:
+    """Some data file below ``root``: the listing stops at the first one found."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    it = fs.listFiles(p, True)
-    out = []
+    it = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
     while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if name.endswith(suffix) and not name.startswith((".", "_")):
-            out.append(st.getPath().toString())
-    return sorted(out)
+        path = it.next().getPath()
+        if path.getName().endswith(suffix) and not path.getName().startswith((".", "_")):
+            return path.toString()
+    raise FileNotFoundError(f"no {suffix} file below {root}")

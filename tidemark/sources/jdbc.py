@@ -14,11 +14,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: The names of the variables that hold the connection settings by default.
+URL_ENV, USER_ENV, PASSWORD_ENV = "DB_URL", "DB_USER", "DB_PW"
+
+
+def _setting(name: str) -> str:
+    value = os.environ.get(name)
+    if not value:
+        raise ValueError(f"environment variable {name} is not set")
+    return value
+
+
 def jdbc_options(
     table: str,
-    url_env: str = "DB_URL",
-    user_env: str = "DB_USER",
-    password_env: str = "DB_PW",
+    url_env: str = URL_ENV,
+    user_env: str = USER_ENV,
+    password_env: str = PASSWORD_ENV,
     driver: str | None = None,
     partition_column: str | None = None,
     lower_bound: int | None = None,
@@ -28,10 +39,10 @@ def jdbc_options(
 ) -> dict[str, str]:
     """Reader options for one table; bounds only shape the split, they filter nothing."""
     opts = {
-        "url": os.environ.get(url_env, ""),
+        "url": _setting(url_env),
         "dbtable": table,
-        "user": os.environ.get(user_env, ""),
-        "password": os.environ.get(password_env, ""),
+        "user": _setting(user_env),
+        "password": _setting(password_env),
         "fetchsize": str(fetch_size),
     }
     if driver:

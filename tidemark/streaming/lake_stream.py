@@ -3,10 +3,13 @@
 ``stream_lake_copy`` is a file source with a supplied schema feeding an append-only
 parquet sink; the checkpoint's offset and sink logs make a restart add nothing twice.
 
-``stream_partition_refresh`` runs the batch refresh on every micro-batch of change-log
-files through ``foreachBatch``. A partition rewrite depends only on the source, never on
-earlier lake state, so replaying a batch after a failure gives the same lake: no state
-store and no watermark are needed.
+``stream_partition_refresh`` runs the batch refresh on the change-log files that each
+trigger finds, through ``foreachBatch``. A partition rewrite costs the whole partition
+however few rows changed, so a trigger takes all the files there are (or as many as a byte
+limit allows) and rewrites each affected partition once; the trigger interval sets how
+much is gathered. A rewrite depends only on the source, never on earlier lake state, so
+replaying a batch after a failure gives the same lake: no state store and no watermark
+are needed.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from ..functions.timeutil import epoch_parts
 from ..operators import cdc
 from ..operators.keysets import bounded_key_values
 from ..sinks import lake
-from ..specs import PARTITION_COLS, TableSpec
+from ..specs import ACTIONS, PARTITION_COLS, TableSpec
 
 
 def stream_lake_copy(
@@ -33,12 +36,17 @@ def stream_lake_copy(
     partition_cols=PARTITION_COLS,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    files_per_day: int = 4,
 ) -> StreamingQuery:
     """Copy new parquet files of ``src_dir`` into a partitioned lake at ``dst_dir``."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(src_dir)
+    # a day's rows of a batch meet in `files_per_day` tasks, instead of one file per task and day
+    rest = [F.col(f"`{f.name}`") for f in schema.fields if f.name not in partition_cols]
+    piece = F.pmod(F.xxhash64(*rest), F.lit(files_per_day))
+    stream = stream.repartition(*[F.col(c) for c in partition_cols], piece)
     writer = (
         stream.writeStream.format("parquet")
         .partitionBy(*partition_cols)
@@ -50,30 +58,38 @@ def stream_lake_copy(
     return writer.start(dst_dir)
 
 
-def batch_affected(batch: DataFrame, source: DataFrame, spec: TableSpec, zone: str | None = None) -> DataFrame:
-    """Affected partitions of one micro-batch of change-log rows.
+def batch_affected(
+    batch: DataFrame, source: DataFrame, spec: TableSpec, zone: str | None = None,
+    include_insert_dates: bool = False, lake_df: DataFrame | None = None,
+) -> DataFrame:
+    """Affected partitions of one micro-batch of change-log rows of the table.
 
     The batch's own days play the role of the run day; net change is per
-    (table, day, key) exactly as in the batch refresh. The net-updated keys are sized
+    (table, day, key) exactly as in the batch refresh. The keys are sized
     first, as in ``refresh``: up to ``MAX_KEY_LITERALS`` they are collected and looked up
-    in the source by value; up to ``MAX_BROADCAST_KEYS`` they are broadcast, so the source
-    is streamed through the join instead of being shuffled every batch.
+    by value; up to ``MAX_BROADCAST_KEYS`` they are broadcast, so the source (and the lake,
+    with ``lake_df``) is streamed through the join instead of being shuffled every batch.
     """
-    net = cdc.net_actions(batch, spec.name)
-    updated = net.filter(F.col("net_action") == "U")
-    n_keys = updated.count()
-    values = bounded_key_values(updated, "id", cdc.MAX_KEY_LITERALS, known_at_most=n_keys)
-    small = n_keys <= cdc.MAX_BROADCAST_KEYS
-    days = batch.select(*epoch_parts("action_tstamp_tx", zone)).distinct()
-    return (
-        days.unionByName(
-            cdc.update_dates(
-                net, source, spec.name, spec.key, spec.date_col, zone=zone, broadcast_keys=small, key_values=values
+    batch = batch.filter(F.col("table_name") == spec.name)
+    net = cdc.net_actions(batch, spec.name, zone=zone)
+    actions = cdc.source_lookup_actions(include_insert_dates)
+    looked_up = net.filter(F.col("net_action").isin(*actions))
+    n_src, n_all = net.agg(F.count_if(F.col("net_action").isin(*actions)), F.count(F.lit(1))).first()
+    days = batch.select(*epoch_parts("action_tstamp_tx", zone))
+    out = days.unionByName(
+        cdc.update_dates(
+            net, source, spec.name, spec.key, spec.date_col, actions, zone,
+            n_src <= cdc.MAX_BROADCAST_KEYS, bounded_key_values(looked_up, "id", cdc.MAX_KEY_LITERALS, known_at_most=n_src),
+        )
+    ).unionByName(cdc.delete_dates(batch, spec.name, zone=zone))
+    if lake_df is not None:
+        out = out.unionByName(
+            cdc.lake_partitions_of_keys(
+                lake_df, net, spec.name, spec.key, n_all <= cdc.MAX_BROADCAST_KEYS,
+                bounded_key_values(net, "id", cdc.MAX_KEY_LITERALS, known_at_most=n_all),
             )
         )
-        .unionByName(cdc.delete_dates(batch, spec.name, zone=zone))
-        .distinct()
-    )
+    return out.distinct()
 
 
 def stream_partition_refresh(
@@ -84,26 +100,46 @@ def stream_partition_refresh(
     spec: TableSpec,
     lake_path: str,
     checkpoint: str,
-    max_files_per_trigger: int | None = 1,
-    available_now: bool = True,
+    max_bytes_per_trigger: str | None = None,
+    processing_time: str | None = None,
     zone: str | None = None,
+    include_insert_dates: bool = False,
+    include_previous_partition: bool = False,
+    truncate_marks_all: bool = True,
+    rejected_path: str | None = None,
 ) -> StreamingQuery:
-    """Keep ``lake_path`` in step with ``source`` as change-log files arrive."""
+    """Keep ``lake_path`` in step with ``source`` as change-log files arrive.
+
+    Takes all files there are and stops, or with ``processing_time`` runs on and gathers the files
+    of each interval. A TRUNCATE of the table affects every lake partition. Rows of the
+    table whose action is none of I, U, D and T (or null) are kept, not dropped: each
+    batch's are written to ``rejected_path`` (by default beside the checkpoint).
+    """
+    rejected = rejected_path or f"{checkpoint.rstrip('/')}-rejected"
     reader = spark.readStream.schema(log_schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(log_dir).filter(F.col("action").isNotNull())
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    stream = reader.parquet(log_dir).filter(F.col("table_name") == spec.name)
+    known = F.coalesce(F.col("action").isin(*ACTIONS), F.lit(False))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        # the batch is read three times (count, net change, days); lost blocks are re-read from its files
+        # the batch is read several times (counts, net change, days); lost blocks are re-read from its files
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            affected = batch_affected(batch, source, spec, zone)
-            lake.rewrite_partitions(batch.sparkSession, source, affected, lake_path)
+            session = batch.sparkSession
+            n_bad, n_truncates = batch.agg(F.count_if(~known), F.count_if(F.col("action") == "T")).first()
+            if n_bad:  # a replayed batch replaces what it wrote before
+                batch.filter(~known).write.mode("overwrite").parquet(f"{rejected}/batch={epoch_id}")
+            current = lake.read_lake(session, lake_path, schema=source.schema)
+            affected = batch_affected(
+                batch.filter(known), source, spec, zone, include_insert_dates, current if include_previous_partition else None
+            )
+            if n_truncates and truncate_marks_all:
+                affected = affected.unionByName(cdc.lake_partitions(current)).distinct()
+            lake.rewrite_partitions(session, source, affected, lake_path)
         finally:
             batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
+    writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
     return writer.start()
