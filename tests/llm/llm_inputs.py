@@ -18,6 +18,13 @@ def prose(n, seed=0, vocabulary=400):
     return " ".join(r.choice(words) for _ in range(n))
 
 
+def common(n, seed):
+    """Words of one language: the same 150 words in every text."""
+    words = sorted(set(prose(2000, seed=0, vocabulary=150).split()))
+    r = random.Random(seed)
+    return " ".join(r.choice(words) for _ in range(n))
+
+
 def odd_texts():
     """Null, empty, blank, one word, very long, repeated, and text beyond ASCII."""
     long = prose(30_000, seed=3)

@@ -1,0 +1,110 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from llm_inputs import docs_df, odd_texts, prose
+from pyspark.sql import functions as F
+from tidemark.llm import pii as P
+
+
+def brute(t):
+    """The patterns as stated, by the regular expression engine."""
+    out = []
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    out += [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)
+            if all(int(p) <= 255 for p in m.group().split("."))]
+    out += [("card", m.start(), m.end()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t)
+            if 16 <= len(digits(m.group())) <= 19 and P.luhn(digits(m.group()))]
+    out += [("phone", m.start(), m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t)
+            if 8 <= len(digits(m.group())) <= 15]
+    return out
+
+
+@pytest.fixture(scope="module")
+def tagger():
+    t = P.Tagger.fresh()
+    t.fit(*P.training_windows([prose(400, seed=i) for i in range(20)], 1200), epochs=14)
+    return t
+
+
+def test_base_spans_match_the_patterns():
+    r = random.Random(3)
+    pieces = ["a@b.c", "@", ".", "x.y@z-1.org", "1.2.3.4", "256.1.1.1", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112",
+              "+1 (212) 555-0100", "+12", "+1234567 8", "0.0.0.0", "007.1.2.3", " ", "-", "é", "1", "+", "(", "a b", "a@b@c.d", "%", "\n", "....", "12345678901234567890"]
+    for _ in range(1500):
+        t = "".join(r.choice(pieces) for _ in range(r.randint(0, 14)))
+        assert P.base_spans(t) == brute(t), t
+    assert P.base_spans("1" * 100_000 + "a" * 100_000 + "." * 1000) == []  # linear time
+
+
+def test_gradients():
+    x, y = P.training_windows([prose(100, seed=1)], 4)
+    t = P.Tagger.fresh()
+    t.weights = {k: v.astype(np.float64) for k, v in t.weights.items()}
+    _, g = t.loss_and_gradients(x, y)
+    for k, w in t.weights.items():
+        at = np.unravel_index(np.abs(g[k]).argmax(), w.shape)
+        old = w[at]
+        w[at] = old + 1e-4
+        up = t.loss_and_gradients(x, y)[0]
+        w[at] = old - 1e-4
+        down = t.loss_and_gradients(x, y)[0]
+        w[at] = old
+        assert abs((up - down) / 2e-4 - g[k][at]) < 1e-3 * max(1, abs(g[k][at]))
+
+
+def test_viterbi_is_the_best_path():
+    t = P.Tagger.fresh(3)
+    x = P.training_windows([prose(50, seed=1)], 3)[0][:, :4]
+    e, _ = t._scores(x)
+    move = t.weights["move"] + P._allowed()
+    for row, tags in enumerate(t.decode(x)):
+        score = lambda y: move[P.N_TAGS, y[0]] + sum(e[i][row][k] for i, k in enumerate(y)) + sum(move[a, b] for a, b in zip(y, y[1:]))
+        paths = np.stack(np.meshgrid(*[range(P.N_TAGS)] * 4)).reshape(4, -1).T
+        assert abs(max(score(p) for p in paths) - score(tags)) < 1e-4
+
+
+def test_tagger_on_held_out_windows(tagger):
+    x, y = P.training_windows([prose(400, seed=i) for i in range(50, 60)], 400, seed=77)
+    assert (tagger.decode(x) == y).mean() > 0.985
+
+
+def test_spans_in_long_texts_are_found_and_clean_text_left_alone(tagger):
+    r = random.Random(9)
+    w = prose(20_000, seed=11).split()
+    planted = []
+    for k in range(100, len(w), 400):
+        kind = P.KINDS[k // 400 % 4]
+        w[k] = P._generated(r, kind)
+        planted.append((kind, w[k]))
+    text = " ".join(w)
+    base, every = (x[0] for x in P.find_all(tagger, [text]))
+    found = {(k, text[s:e]) for k, s, e in every}
+    assert set(base) <= set(every)
+    assert sum(p in found for p in planted) >= 0.8 * len(planted)
+    assert len(every) <= len(planted) + 2
+    clean = prose(5000, seed=12) + " in 1998 and 2004-05-06 at 12:30, 3.5% of 1,200 or 1234567 (v1.2.3)"
+    assert P.find_all(tagger, [clean])[1] == [[]]
+
+
+def test_columns_and_odd_rows(spark, tagger):
+    texts = odd_texts() + ["x@y.org 10.0.0.1, 4111111111111111, +1 212 555 0100", "é😀 a@b.co"]
+    docs = docs_df(spark, texts).withColumn("spans", F.lit(1)).withColumn("base", F.lit(4))
+    out = P.find(docs, tagger, mask="clean").orderBy("doc_id").collect()
+    for r, t in zip(out, texts):
+        spans = brute(t or "")
+        assert [r[f"n_{k}"] for k in P.KINDS] == [sum(s[0] == k for s in spans) for k in P.KINDS]
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
+        assert set(P.joined(spans).split(",")) <= set(r["spans"].split(","))
+        assert r["base"] == 4 and (r["clean"] is None) == (t is None)
+    assert out[-1]["clean"] == "é😀 [EMAIL]"
+    assert out[-2]["clean"] == "[EMAIL] [IP], [CARD], [PHONE]"
+    assert P.find(docs_df(spark, []), tagger).count() == 0
+
+
+def test_training_without_documents(spark):
+    t = P.train(docs_df(spark, [None, ""]), windows=32, epochs=1)
+    assert set(t.weights) == {"xf", "hf", "xb", "hb", "out", "bias", "move"}
