@@ -15,11 +15,16 @@ connected components of the links are the groups.
 3. Banding. ``BANDS`` bands of ``ROWS`` bins: at similarity 0.8 a pair shares no band with
    probability (1 - 0.8^4)^32 < 5e-8.
 4. Verification on the full sets, recomputed from the texts. Instead of all pairs of a
-   bucket, each of up to ``STAR_ROUNDS`` rounds links the members that are not yet in one component with one
-   centre of the bucket (another one each round). What then still shares a bucket across
-   components and could reach the similarity by its sizes is compared pair by pair. Members that are
+   bucket, each of ``STAR_ROUNDS`` rounds tests the members that are not yet in one component against one
+   centre of the bucket (another one each round and bucket). Members that are
    already connected need no further comparison, so no link between components is lost.
-5. Components by alternating large-star and small-star steps, each stored in the shared folder.
+5. The rest. Members that then still share a bucket across components are compared inside the task
+   that holds the bucket (a block of it, if it is large), each pair in the first bucket that it
+   shares, by longer sketches of ``REST_BINS`` bins of
+   which one bit each is kept. By their concentration, a pair at the threshold falls more than
+   ``REST_SIGMAS`` standard deviations short once in millions of pairs; whatever does not is
+   verified on the full sets. So pairs of merely related texts are not written out.
+6. Components by alternating large-star and small-star steps, each stored in the shared folder.
 
 No bucket or component is gathered in one task: buckets are reduced by aggregation with a
 partial step, and joins on hot buckets are left to skew splitting.
@@ -46,6 +51,9 @@ PERCENT = 80
 BINS = 128
 BANDS, ROWS = 32, 4
 STAR_ROUNDS = 3
+REST_BINS, REST_SIGMAS = 4096, 5
+#: Members of a bucket that meet in one step of the rest.
+REST_BLOCK = 1024
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -84,7 +92,12 @@ def sketches(values: np.ndarray, offsets: np.ndarray, bins: int = BINS) -> np.nd
         h = mix(values + np.uint64((i + 1) * int(_ODD) % (1 << 64)))
         at = (h >> (np.uint64(64) - bits)).astype(np.int64) if i < bins else i - bins
         np.minimum.at(out, doc * bins + at, (np.uint64(i) << np.uint64(55)) | (h & low))
-        open_ = (out.reshape(n, bins) == np.iinfo(np.uint64).max).any(axis=1)[doc]
+        if i >= 4 and i % 16:  # further rounds change no filled bin, so the check may wait
+            continue
+        own = np.unique(doc)
+        unfilled = np.zeros(n, bool)
+        unfilled[own] = (out.reshape(n, bins)[own] == np.iinfo(np.uint64).max).any(axis=1)
+        open_ = unfilled[doc]
         if not open_.any():
             break
         if not open_.all():
@@ -150,6 +163,107 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return rows.mapInArrow(run, rows.select("a", "b").schema)
 
 
+def _bits(texts: DataFrame, shingle: int) -> DataFrame:
+    """rep, 32 bits of each of its bucket keys, and one bit of each of ``REST_BINS`` bins."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in steps(batches):
+            for lo in range(0, b.num_rows, 500):
+                own = b.slice(lo, 500)
+                sets = shingle_sets(own.column(1), shingle)
+                tags = (band_keys(sketches(*sets)) & np.uint64(0xFFFFFFFF)).astype("<u4")
+                packed = np.packbits((sketches(*sets, REST_BINS) & np.uint64(1)).astype(np.uint8), axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [own.column(0)] + [pa.array([row.tobytes() for row in x], pa.binary()) for x in (tags, packed)],
+                    ["rep", "tags", "bits"])
+
+    kind = texts.schema["rep"].dataType.simpleString()
+    return texts.select("rep", "text").mapInArrow(run, f"rep {kind}, tags binary, bits binary")
+
+
+def _close(bits, before, comp, n, left, right, least: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of ``left`` and ``right``, of different components, that may reach the similarity
+    and share none of the buckets ``before`` this one."""
+    for lo in range(0, len(left), 32):
+        a = left[lo: lo + 32]
+        ok = comp[a][:, None] != comp[right][None]
+        # a similarity of p needs sizes within a factor of p
+        ok &= (100 * n[a][:, None] >= percent * n[right][None]) & (100 * n[right][None] >= percent * n[a][:, None])
+        i, j = np.nonzero(ok)
+        i, j = a[i], right[j]
+        for band in before.T:
+            new = band[i] != band[j]
+            i, j = i[new], j[new]
+        for k in range(0, len(i), 1 << 14):
+            x, y = i[k: k + (1 << 14)], j[k: k + (1 << 14)]
+            equal = REST_BINS - np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+            yield x[equal >= least], y[equal >= least]
+
+
+def _rest(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a bucket across components and may reach the similarity.
+
+    ``members``: h, rep, n, comp.
+    """
+    mixed = members.groupBy("h").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count("*") / REST_BLOCK).cast("int").alias("blocks")
+    ).where("lo <> hi").select("h", "blocks")
+    own = stored(members.join(mixed, "h"), "rest")
+    bits = _bits(texts.join(own.select("rep").distinct(), "rep"), shingle)
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    rows = (
+        own.withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp", "n")
+        .join(bits, "rep")
+        .select("h", "i", "j", "block", "rep", "comp", "n", "tags", "bits")
+        .repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "rep")
+    )
+    share = (1 + percent / 100) / 2  # a bit agrees by chance every other time
+    least = int(REST_BINS * share - REST_SIGMAS * (REST_BINS * share * (1 - share)) ** 0.5)
+
+    def group(t: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        block, rep, comp, n = (t[c].to_numpy() for c in ("block", "rep", "comp", "n"))
+        bits = np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint64).reshape(len(rep), -1)
+        tags = np.frombuffer(b"".join(t["tags"].to_pylist()), "<u4").reshape(len(rep), -1)
+        band = int((tags[0] == np.uint32(t["h"][0].as_py() & 0xFFFFFFFF)).argmax())
+        names, code, sizes = np.unique(comp, return_inverse=True, return_counts=True)
+        major = code == sizes.argmax()
+        at = np.arange(len(rep))
+        if t["i"][0] == t["j"][0]:
+            sides = [(at[~major], at)]
+        else:
+            first = block == t["i"][0].as_py()
+            sides = [(at[first & ~major], at[~first]), (at[first & major], at[~first & ~major])]
+        for left, right in sides:
+            if len(left) and len(right):
+                for x, y in _close(bits, tags[:, :band], code, n, left, right, least, percent):
+                    yield np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+
+        def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            for a, b in group(t):
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for batch in steps(batches):
+            t = pa.Table.from_batches([batch])
+            t = t if held is None else pa.concat_tables([held, t])
+            keys = [t[c].to_numpy() for c in ("h", "i", "j")]
+            cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            lo = 0
+            for hi in cuts.tolist():
+                yield from pairs(t.slice(lo, hi - lo).combine_chunks())
+                lo = hi
+            held = t.slice(lo)  # its group may go on
+        if held is not None and held.num_rows:
+            yield from pairs(held.combine_chunks())
+
+    return rows.mapInArrow(run, f"a {texts.schema['rep'].dataType.simpleString()}, b {texts.schema['rep'].dataType.simpleString()}")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(a, b) edges to (a, b): each node that is not the least of its component, and that least one."""
     edges = stored(
@@ -203,26 +317,23 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int
             now = members.join(labels.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left").select(
                 "h", "rep", "n", F.coalesce("root", "rep").alias("comp"))
         if turn < STAR_ROUNDS:
-            order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
+            order = F.col("rep") if turn == 0 else F.xxhash64("rep", "h", F.lit(turn))
             centres = now.groupBy("h").agg(
                 F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                 F.min(F.struct(order.alias("o"), "rep", "comp", "n")).alias("c"),
             ).where("lo <> hi").select("h", F.col("c.rep").alias("c_rep"), F.col("c.comp").alias("c_comp"), F.col("c.n").alias("c_n"))
-        else:  # the rest: across components, pair by pair
-            mixed = now.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
-            now = now.join(mixed, "h")
-            centres = now.select("h", F.col("rep").alias("c_rep"), F.col("comp").alias("c_comp"), F.col("n").alias("c_n"))
-        pairs = (
-            now.join(centres, "h").where("comp <> c_comp")
-            # a similarity of p needs sizes within a factor of p
-            .where((100 * F.col("n") >= percent * F.col("c_n")) & (100 * F.col("c_n") >= percent * F.col("n")))
-            .select(F.greatest("rep", "c_rep").alias("a"), F.least("rep", "c_rep").alias("b")).distinct()
-        )
+            pairs = (
+                now.join(centres, "h").where("comp <> c_comp")
+                .where((100 * F.col("n") >= percent * F.col("c_n")) & (100 * F.col("c_n") >= percent * F.col("n")))
+                .select(F.greatest("rep", "c_rep").alias("a"), F.least("rep", "c_rep").alias("b")).distinct()
+            )
+        else:
+            pairs = _rest(now, texts, shingle, percent).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
-            break
+            continue
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = stored(_verified(pairs, texts, shingle, percent), "links")
         links = found if labels is None else labels.unionByName(found)
