@@ -175,10 +175,14 @@ def _candidates(docs: DataFrame, window: int, parts: int) -> DataFrame:
 
 
 def _passages(docs: DataFrame, window: int) -> DataFrame:
-    """The passages that each candidate text sends to shards; ``docs``: id, text, th, owners, blocks."""
+    """The passages that each candidate text sends to shards; ``docs``: id, text, th, and owners and
+    blocks, which are null for other texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches):
+            b = b.filter(b.column(3).is_valid())
+            if not b.num_rows:
+                continue
             ids, th = b.column(0).to_numpy(), b.column(2).to_numpy()
             w = Words(b.column(1))
             h, short = _short_hashes(w)
@@ -294,7 +298,8 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", window:
     candidates = _candidates(own, window, parts).groupBy("id", "th").agg(
         F.first("owners").alias("owners"), F.first("blocks").alias("blocks")
     )
-    passages = _passages(own.join(candidates, ["id", "th"]).select("id", "text", "th", "owners", "blocks"), window)
+    # a left join, like the last one: both read the same shuffle of the texts
+    passages = _passages(own.join(candidates, ["id", "th"], "left").select("id", "text", "th", "owners", "blocks"), window)
     removed = (
         _removed(passages, window, parts).groupBy("id", "th")
         .agg(F.flatten(F.collect_list("starts")).alias("starts"))
