@@ -13,8 +13,8 @@ ancestors. Boundaries and urls are sorted together, and the last boundary before
 carries the stack that is active there.
 
 Scale: distinct (host, path) pairs are swept, not rows. The sweep is cut by rule host and,
-within a host, into salted pieces of about ``ROWS_PER_SWEEP`` keys, each with its own
-copy of that host's boundaries, so a host or domain with a third of all urls is spread
+within a host, into salted pieces of about ``ROWS_PER_SWEEP`` keys (or as many as the host has
+boundaries, if these are more), each with its own copy of that host's boundaries, so a host or domain with a third of all urls is spread
 over many tasks. Nothing is broadcast by hint.
 
 Edge cases: a null url or one without ``://`` has an empty host and path; it is judged by a
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_SWEEP = 20_000
+ROWS_PER_SWEEP = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -93,9 +93,11 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     )
     urls = pages.select("host", "path").distinct()
     points = urls.select("host", "path", F.explode(suffixes).alias("rule_host"))
-    ruled = bounds.select("rule_host").distinct()
-    points = points.join(ruled, "rule_host", "left_semi")
-    pieces = points.groupBy("rule_host").agg(F.ceil(F.count("*") / ROWS_PER_SWEEP).cast("int").alias("pieces"))
+    ruled = bounds.groupBy("rule_host").agg(F.count("*").alias("bounds"))
+    # hosts without a rule drop out here; a piece is no smaller than the boundaries copied to it
+    pieces = points.groupBy("rule_host").agg(F.count("*").alias("n")).join(ruled, "rule_host").select(
+        "rule_host", F.ceil(F.col("n") / F.greatest(F.lit(ROWS_PER_SWEEP), "bounds")).cast("int").alias("pieces")
+    )
 
     events = bounds.join(pieces, "rule_host").select(
         "rule_host", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), "key", "kind", "stack",
@@ -113,6 +115,8 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     top = F.element_at("active", -1)
     verdicts = (
         events.unionByName(swept)
+        # by piece as well, else the sweep would stay where the join put a host as a whole
+        .repartition("rule_host", "piece")
         .withColumn("active", F.last("stack", ignorenulls=True).over(w))
         .where((F.col("kind") == 1) & (F.size("active") > 0))
         .select("host", "path", top.alias("top"))
