@@ -19,10 +19,10 @@ def prose(n, seed=0, vocabulary=400):
 
 
 def common(n, seed):
-    """Words of one language: the same 150 words in every text."""
-    words = sorted(set(prose(2000, seed=0, vocabulary=150).split()))
+    """Words of one language: the same words in every text, a few of them very common."""
+    words = sorted(set(prose(4000, seed=0, vocabulary=1500).split()))
     r = random.Random(seed)
-    return " ".join(r.choice(words) for _ in range(n))
+    return " ".join(r.choices(words[:6], k=1)[0] if r.random() < 0.4 else r.choice(words) for _ in range(n))
 
 
 def odd_texts():

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path, shared_root
+from ..session import scratch_path
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _SHIPPED = "_tidemark_shipped"
@@ -48,9 +48,10 @@ def ship(spark: SparkSession) -> None:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: a cut in the lineage that
-    survives lost executors. zstd keeps the files small."""
+    survives lost executors. zstd keeps the files small. ``session.remove_scratch`` deletes
+    them at the end of a job."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/tidemark/{name}-{os.urandom(8).hex()}"
+    path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -200,6 +201,18 @@ def covered(starts: np.ndarray, k: int, n: int) -> np.ndarray:
     return np.cumsum(d[:n]) > 0
 
 
+def least_hashed(df: DataFrame, id: str, n_rows: int, size: int) -> DataFrame:
+    """The ``size`` rows of ``df`` (of ``n_rows``) with the least hash of their id.
+
+    Rows that can hardly be among them are dropped first, so each task has only a few to offer
+    and what meets in the driver does not grow with the number of tasks.
+    """
+    share = min(1.0, (2 * size + 50) / max(n_rows, 1))
+    at = F.pmod(F.xxhash64(id), F.lit(1 << 30))
+    return df.where(at < int(share * (1 << 30))).orderBy(at, F.xxhash64(id), id).limit(size) if share < 1 else (
+        df.orderBy(at, F.xxhash64(id), id).limit(size))
+
+
 def crc32_mod(col, m: int):
     """Spark column: crc32 of an id written as text, modulo ``m`` (null id: null)."""
     return F.crc32(col.cast("string").cast("binary")) % m

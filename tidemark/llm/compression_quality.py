@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_columns, raw
+from .common import append_columns, least_hashed, raw
 
 SAMPLE = 1500
 MAX_CHARS = 20_000
@@ -100,10 +100,9 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     )
     parts = {}
     for y in (0, 1):
-        picked = (  # at most 2 * sample ids: small enough to broadcast
-            labels.where(F.col("y") == y).join(texts.select("id"), "id", "left_semi")
-            .orderBy(F.xxhash64("id"), "id").limit(2 * sample)
-        )
+        # at most 2 * sample ids: small enough to broadcast
+        usable = labels.where(F.col("y") == y).join(texts.select("id"), "id", "left_semi")
+        picked = least_hashed(usable, "id", counts.get(y, 0), 2 * sample)
         rows = texts.join(F.broadcast(picked), "id").groupBy("id").agg(F.min("t").alias("t")).collect()
         parts[y] = [r["t"].encode() for r in sorted(rows, key=lambda r: xxhash.xxh64_intdigest(str(r["id"])))]
     if not parts[0] or not parts[1]:

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_columns, strings
+from .common import append_columns, least_hashed, strings
 
 KINDS = ["email", "ip", "card", "phone"]
 Span = tuple[str, int, int]
@@ -363,11 +363,12 @@ def train(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int =
           windows: int = 2400, epochs: int = 12) -> Tagger:
     """A tagger from labelled spans of at most ``sample`` documents of at most ``max_chars`` characters."""
     own = docs.select(F.col(id).alias("i"), F.col(text).alias("t")).where(F.length("t").between(40, max_chars))
-    with_data = own.where(F.col("t").rlike("[0-9]{4}|@"))
+    has_data = F.col("t").rlike("[0-9]{4}|@")
+    n_data, n_all = own.agg(F.count_if(has_data), F.count("*")).first()
     rows = [
         r["t"]
-        for part in (with_data, own)
-        for r in part.orderBy(F.xxhash64("i"), "i", "t").limit(sample // 2).collect()
+        for part, n in ((own.where(has_data), n_data), (own, n_all))
+        for r in least_hashed(part, "i", n, sample // 2).collect()
     ]
     tagger = Tagger.fresh()
     x, y = training_windows(rows, windows)
