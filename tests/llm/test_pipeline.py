@@ -23,7 +23,7 @@ def sf(spark, tmp_path_factory):
     passage = common(30, seed=500)
     clean = [common(r.randint(80, 200), seed=i) for i in range(60)]
     texts = clean + [None, "", " \t\n ", "word", "é\u00a0ü 漢字 😀"]
-    texts += [clean[3], clean[3] + " end", clean[5].upper(), "a b c d e " * 40]  # copies, near copy, repetition
+    texts += [clean[3], clean[3] + " end", clean[5].capitalize(), "a b c d e " * 40]  # copies, near copy, repetition
     texts += [common(20, seed=600) + " " + passage + " " + common(20, seed=601)]
     texts += [clean[7][:200] + " mail bob.x@example.org or +1 (212) 555-0100 now " + common(100, seed=602)]
     path = str(tmp_path_factory.mktemp("sf"))
@@ -106,7 +106,7 @@ def test_empty_documents(spark, tmp_path):
 
 
 def test_extra_and_clashing_columns_pass_through(spark):
-    docs = docs_df(spark, [common(60, seed=i) for i in range(3)])
+    docs = docs_df(spark, [common(120, seed=i) for i in range(60)])
     docs = docs.withColumn("kept", F.lit("mine")).withColumn("rank", F.lit(7)).withColumn("spans", F.lit(None).cast("string"))
     bench = "/root/testdata/sf0.001"
     if not os.path.isdir(bench):
