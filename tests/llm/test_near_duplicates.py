@@ -78,6 +78,35 @@ def test_sketch_fills_every_bin_and_estimates_similarity():
     assert abs((two[0] == two[1]).mean() - 2 / 3) < 0.06
 
 
+def test_long_sketches_keep_the_bins_of_earlier_rounds():
+    r = np.random.default_rng(4)
+    sets = [np.sort(r.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 9, 40)]
+    own = N.sketches(np.concatenate(sets), np.cumsum([0] + [len(x) for x in sets]), N.REST_BINS)
+    for got, values in zip(own, sets):
+        want = [None] * N.REST_BINS
+        for i in range(2 * N.REST_BINS):
+            if None not in want:
+                break
+            now = {}
+            for h in N.mix(values + np.uint64((i + 1) * int(N._ODD) % (1 << 64))).tolist():
+                at = h >> 52 if i < N.REST_BINS else i - N.REST_BINS
+                now[at] = min(now.get(at, 1 << 55), h % (1 << 55))
+            for at, v in now.items():
+                want[at] = v if want[at] is None else want[at]
+        assert got.tolist() == want
+
+
+def test_rest_finds_pairs_of_short_texts(spark, monkeypatch):
+    # without stars, each pair has only the long sketches; sets of 9 to 72 at similarity 0.8 exactly, or just below
+    monkeypatch.setattr(N, "STAR_ROUNDS", 0)
+    r, texts = random.Random(9), []
+    for g in range(150):
+        j = 1 + g % 8
+        words = [f"g{g}w{i}" for i in range(10 * j + 1)]
+        texts += [" ".join(r.sample(x, len(x))) for x in (words[: 9 * j], words[:8 * j] + words[9 * j: 10 * j + (g % 5 == 0)])]
+    assert got(N.groups(docs_df(spark, texts), shingle=1)) == brute(range(len(texts)), texts, 1, 80)
+
+
 def test_components(spark):
     edges = [(i + 1, i) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     out = N.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()

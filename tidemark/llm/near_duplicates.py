@@ -5,10 +5,10 @@ fewer words). Documents with intersection / union >= ``percent`` / 100 are linke
 connected components of the links are the groups.
 
 1. Sketch. Each of up to 2t rounds hashes every shingle to a bin and a value: in round
-   i < t the bin is drawn, in round t + j it is bin j, and a round's values lie above those of
-   the rounds before. A bin keeps its least value. Rounds stop once all t bins are filled,
-   usually after one or two; after 2t they are certainly filled, also for a single
-   shingle. Bins agree with probability equal to the similarity, and their number of
+   i < t the bin is drawn, in round t + j it is bin j. A bin keeps the least value of the round
+   that filled it; later rounds leave it alone. Rounds stop once all t bins are filled,
+   after a few with many shingles (about t ln t divided by their number); after 2t they are
+   certainly filled, also for a single shingle. Bins agree with probability equal to the similarity, and their number of
    agreements is concentrated like that of t independent draws.
 2. Documents with equal sets (exact copies above all) become one class before anything
    else; only classes go on.
@@ -85,18 +85,21 @@ def sketches(values: np.ndarray, offsets: np.ndarray, bins: int = BINS) -> np.nd
     """The sketch of each set, a row of ``bins`` values; sets must not be empty."""
     n = len(offsets) - 1
     bits = np.uint64(bins.bit_length() - 1)
-    out = np.full(n * bins, np.iinfo(np.uint64).max, np.uint64)
+    empty = np.iinfo(np.uint64).max
+    out = np.full(n * bins, empty, np.uint64)
     doc = np.repeat(np.arange(n), np.diff(offsets))
-    low = np.uint64((1 << 55) - 1)
+    low = np.uint64((1 << 55) - 1)  # no value is that of an empty bin
     for i in range(2 * bins):
         h = mix(values + np.uint64((i + 1) * int(_ODD) % (1 << 64)))
         at = (h >> (np.uint64(64) - bits)).astype(np.int64) if i < bins else i - bins
-        np.minimum.at(out, doc * bins + at, (np.uint64(i) << np.uint64(55)) | (h & low))
+        place = doc * bins + at
+        free = out[place] == empty  # not filled in an earlier round
+        np.minimum.at(out, place[free], h[free] & low)
         if i >= 4 and i % 16:  # further rounds change no filled bin, so the check may wait
             continue
         own = np.unique(doc)
         unfilled = np.zeros(n, bool)
-        unfilled[own] = (out.reshape(n, bins)[own] == np.iinfo(np.uint64).max).any(axis=1)
+        unfilled[own] = (out.reshape(n, bins)[own] == empty).any(axis=1)
         open_ = unfilled[doc]
         if not open_.any():
             break
