@@ -71,3 +71,10 @@ def test_unlike_text_is_rejected_and_short_text_guarded(spark):
 def test_empty_table(spark):
     assert Q.judge(docs_df(spark, [])).count() == 0
     assert Q.language_references(docs_df(spark, [None, ""])) == []
+
+
+def test_shares_count_all_languages_however_many(spark):
+    texts = [prose(2000, seed=1), "b " * 100] + ["a " * 20] * 500
+    docs = docs_df(spark, texts).withColumn(
+        "lang", F.when(F.col("doc_id") == 0, "main").when(F.col("doc_id") == 1, "rare").otherwise(F.concat(F.lit("x"), "doc_id")))
+    assert len(Q.language_references(docs)) == 1  # 100 of 12,100 words are less than a hundredth

@@ -131,11 +131,12 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
     sizes = {}
     counts = counts.persist()
     try:
-        for r in counts.groupBy("lang", "is_class").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(
-                4 * round(1 / LANGUAGE_SHARE)).collect():
-            sizes[r["lang"], r["is_class"]] = r["n"]
-        total = sum(n for (_, c), n in sizes.items() if not c)
-        langs = [k for (k, c), n in sizes.items() if not c and n > 0 and n >= LANGUAGE_SHARE * total]
+        of = counts.groupBy("lang", "is_class").agg(F.sum("n").alias("n"))
+        total = of.where(~F.col("is_class")).agg(F.sum("n")).first()[0] or 0
+        # at most 1 / LANGUAGE_SHARE rows
+        for r in of.where(~F.col("is_class") & (F.col("n") > 0) & (F.col("n") >= LANGUAGE_SHARE * total)).collect():
+            sizes[r["lang"], False] = r["n"]
+        langs = [k for k, _ in sizes]
         if not langs:
             return []
         least = F.create_map(*[F.lit(x) for k in langs for x in (k, COMMON_SHARE * sizes[k, False])])
