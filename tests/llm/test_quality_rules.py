@@ -78,3 +78,26 @@ def test_shares_count_all_languages_however_many(spark):
     docs = docs_df(spark, texts).withColumn(
         "lang", F.when(F.col("doc_id") == 0, "main").when(F.col("doc_id") == 1, "rare").otherwise(F.concat(F.lit("x"), "doc_id")))
     assert len(Q.language_references(docs)) == 1  # 100 of 12,100 words are less than a hundredth
+
+
+def test_rare_language_in_another_script_is_kept(spark):
+    main = [prose(300, seed=i, vocabulary=60) for i in range(40)]
+    other = str.maketrans("abcdefghijklmnop", "абвгдежзийклмноп")
+    cyrillic = prose(100, seed=1, vocabulary=60).translate(other)  # 100 of some 12,000 words, under a hundredth
+    latin = prose(100, seed=77, vocabulary=60)
+    docs = docs_df(spark, main + [cyrillic, latin]).withColumn(
+        "lang", F.when(F.col("doc_id") == 40, "ru").when(F.col("doc_id") == 41, "xx").otherwise("en"))
+    out = Q.judge(docs).orderBy("doc_id").collect()
+    assert all(r["class_distance"] is not None and r["word_distance"] is not None for r in out[:40])
+    assert [r["kept"] for r in out[40:]] == [not brute(t)[5] for t in (cyrillic, latin)] == [True, True]
+
+
+def test_language_with_few_long_words_has_class_reference(spark):
+    # no spaces inside a sentence: few words, many characters
+    chinese = [" ".join(chr(0x4E00 + (i * 31 + j) % 900) * 29 + chr(0x4E00 + j) for j in range(12)) for i in range(8)]
+    main = [prose(300, seed=i, vocabulary=60) for i in range(40)]
+    docs = docs_df(spark, main + chinese + ["#$%&" * 90 + " a b c d e f g h i j"]).withColumn(
+        "lang", F.when(F.col("doc_id") < 40, "en").otherwise("zh"))
+    refs = {r.lang: r for r in Q.language_references(docs)}
+    assert set(refs) == {"en", "zh"} and len(refs["en"].shares) and not len(refs["zh"].shares)
+    assert [r["kept"] for r in Q.judge(docs).orderBy("doc_id").collect()][40:] == [True] * 8 + [False]

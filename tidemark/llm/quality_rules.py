@@ -7,10 +7,12 @@ classes and of common words lie from those of the languages of the corpus
 The references are counted over all documents, one per language: the share of each
 character class and of each *common word* (a word that makes up at least ``COMMON_SHARE``
 of the language's words, hence at most ``1 / COMMON_SHARE`` of them). Languages with less
-than ``LANGUAGE_SHARE`` of all words get no reference, so there are at most
-``1 / LANGUAGE_SHARE``. That bounds what is sent to the executors whatever the corpus.
-A document is compared with every reference and judged by the nearest, so a wrong or
-missing ``lang`` does it no harm.
+than ``LANGUAGE_SHARE`` of all words get no words, and with less than that of all
+characters as well no reference, so there are at most ``2 / LANGUAGE_SHARE``. That bounds
+what is sent to the executors whatever the corpus. A document is compared with every
+reference and judged by the nearest. If its own language has no reference (of words), it has no
+such distance and is judged by what is left, at least the counting rules, so a rare language
+in another script is not measured against the others.
 
 Guards: the character distance counts from ``MIN_CHARS`` characters on, the word
 distance from ``MIN_WORDS`` words on. Shorter texts are judged by the counting rules alone.
@@ -92,8 +94,10 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Reference:
-    """Shares of one language: of the character classes, of its common words, and of all other words."""
+    """Shares of one language: of the character classes, of its common words, and of all other words
+    (no shares if the language has too few words)."""
 
+    lang: str
     classes: np.ndarray
     words: dict[str, int]
     shares: np.ndarray
@@ -132,27 +136,30 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
     counts = counts.persist()
     try:
         of = counts.groupBy("lang", "is_class").agg(F.sum("n").alias("n"))
-        total = of.where(~F.col("is_class")).agg(F.sum("n")).first()[0] or 0
-        # at most 1 / LANGUAGE_SHARE rows
-        for r in of.where(~F.col("is_class") & (F.col("n") > 0) & (F.col("n") >= LANGUAGE_SHARE * total)).collect():
-            sizes[r["lang"], False] = r["n"]
-        langs = [k for k, _ in sizes]
+        totals = {r["is_class"]: r["n"] for r in of.groupBy("is_class").agg(F.sum("n").alias("n")).collect()}
+        share = F.when(F.col("is_class"), LANGUAGE_SHARE * totals.get(True, 0)).otherwise(LANGUAGE_SHARE * totals.get(False, 0))
+        # at most 2 / LANGUAGE_SHARE rows
+        for r in of.where((F.col("n") > 0) & (F.col("n") >= share)).collect():
+            sizes[r["lang"], r["is_class"]] = r["n"]
+        langs = sorted({k for k, _ in sizes})
         if not langs:
             return []
-        least = F.create_map(*[F.lit(x) for k in langs for x in (k, COMMON_SHARE * sizes[k, False])])
+        # a language without words has none this common
+        least = F.create_map(*[F.lit(x) for k in langs for x in (
+            k, COMMON_SHARE * sizes[k, False] if (k, False) in sizes else float("inf"))])
         rows = counts.where(
             F.col("lang").isin(langs) & (F.col("is_class") | (F.col("n") >= least[F.col("lang")]))
         ).collect()
     finally:
         counts.unpersist()
     out = []
-    for k in sorted(langs):
+    for k in langs:
         cls = {r["item"]: r["n"] for r in rows if r["lang"] == k and r["is_class"]}
         words = sorted((r["item"], r["n"]) for r in rows if r["lang"] == k and not r["is_class"])
         c = np.array([cls.get(x, 0) for x in CLASSES], float)
-        s = np.array([n for _, n in words], float) / sizes[k, False]
-        out.append(Reference(c / max(c.sum(), 1), {x: i for i, (x, _) in enumerate(words)},
-                             np.append(s, max(0.0, 1 - s.sum()))))
+        s = np.array([n for _, n in words], float) / sizes.get((k, False), 1)
+        out.append(Reference(k, c / max(c.sum(), 1), {x: i for i, (x, _) in enumerate(words)},
+                             np.append(s, max(0.0, 1 - s.sum())) if (k, False) in sizes else s))
     return out
 
 
@@ -183,8 +190,9 @@ def base_counts(col: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-def distances(col: pa.Array, references: list[Reference]) -> tuple[np.ndarray, np.ndarray]:
-    """Distance of each text to its nearest reference by classes and by common words; NaN where a guard holds."""
+def distances(col: pa.Array, references: list[Reference], langs: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distance of each text to its nearest reference by classes and by common words; NaN where a guard holds
+    or the text's language (if ``langs`` are given) has no such reference."""
     n = len(col)
     classes = class_counts(col)
     chars = classes.sum(axis=1)
@@ -197,10 +205,18 @@ def distances(col: pa.Array, references: list[Reference]) -> tuple[np.ndarray, n
     for ref in references:
         by_class = np.fmin(by_class, js_distance(shares, ref.classes))
         size = len(ref.shares)
+        if not size:
+            continue
         index = np.fromiter((ref.words.get(x, size - 1) for x in vocabulary), np.int64, len(vocabulary))
         hist = np.bincount(w.doc * size + index[w.ids], minlength=n * size).reshape(n, size)
         by_word = np.fmin(by_word, js_distance(hist / np.maximum(w.lengths, 1)[:, None], ref.shares))
-    return np.where(chars >= MIN_CHARS, by_class, np.nan), np.where(w.lengths >= MIN_WORDS, by_word, np.nan)
+    by_class, by_word = np.where(chars >= MIN_CHARS, by_class, np.nan), np.where(w.lengths >= MIN_WORDS, by_word, np.nan)
+    if langs is not None:
+        names = pc.fill_null(langs.cast(pa.string()), "")
+        for out, own in ((by_class, references), (by_word, [r for r in references if len(r.shares)])):
+            known = pc.is_in(names, value_set=pa.array([r.lang for r in own], pa.string()))
+            out[~known.to_numpy(zero_copy_only=False)] = np.nan
+    return by_class, by_word
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang",
@@ -211,7 +227,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang",
     def fn(b: pa.RecordBatch) -> dict[str, pa.Array]:
         col = strings(b.column(text))
         base = base_counts(col)
-        by_class, by_word = distances(col, refs)
+        by_class, by_word = distances(col, refs, b.column(lang) if lang in b.schema.names else None)
         n = base["n_words"]
         failed = (n < MIN_RULE_WORDS) | (100 * base["n_repeat_words"] > MAX_REPEATED_PERCENT * n)
         far = (np.nan_to_num(by_class) > MAX_CLASS_DISTANCE) | (np.nan_to_num(by_word) > MAX_WORD_DISTANCE)
