@@ -115,6 +115,19 @@ def test_single_file_keeps_partition_columns(spark, tmpdir_fresh):
     assert {"year", "month", "day"}.issubset(cols)
 
 
+def test_scan_by_name_reads_every_file_of_a_month(spark, tmpdir_fresh):
+    from tidemark.plans.registry import q_scan_parquet_file
+
+    li = spark.range(1200).select(F.expr("make_date(1996, 1 + CAST(id % 12 AS INT), 5)").alias("l_shipdate"), "id")
+    li.write.parquet(tmpdir_fresh + "/lineitem.parquet")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "30")
+    try:
+        rows = q_scan_parquet_file(spark, tmpdir_fresh).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert {(r["year"], r["month"]): r["n_rows"] for r in rows} == {(1996, m): 100 for m in range(1, 13)}
+
+
 def test_jdbc_options_partitioned(monkeypatch):
     monkeypatch.setenv("DB_URL", "jdbc:x://h/db")
     monkeypatch.setenv("DB_USER", "u")

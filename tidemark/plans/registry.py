@@ -504,12 +504,12 @@ def _lineitem_lake(spark, sf_dir) -> str:
 FROM lineitem WHERE year(l_shipdate) = 1996 GROUP BY 2""",
 )
 def q_scan_parquet_file(spark, sf_dir):
-    """Lines of one year stored as one file per month folder; each file is read by its name."""
+    """Lines of one year stored by month folder; each file of its folders is read by its name."""
     li = spark.read.parquet(table_path(sf_dir, "lineitem"))
     li = li.withColumns({"year": F.year("l_shipdate").cast("bigint"), "month": F.month("l_shipdate").cast("bigint")})
     path = scratch_path(spark, "lineitem-files")
     li.repartition("year", "month").write.partitionBy("year", "month").parquet(path)
-    names = [files.first_file(spark, f"{path}/year=1996/month={m}") for m in range(1, 13)]
+    names = [f for m in range(1, 13) for f in files.folder_files(spark, f"{path}/year=1996/month={m}")]
     df = files.scan_parquet_files(spark, names, path)
     return df.groupBy(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month")).agg(
         F.count(F.lit(1)).alias("n_rows")

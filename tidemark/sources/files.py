@@ -62,3 +62,12 @@ def first_file(spark: SparkSession, root: str, suffix: str = ".parquet") -> str:
         if path.getName().endswith(suffix) and not path.getName().startswith((".", "_")):
             return path.toString()
     raise FileNotFoundError(f"no {suffix} file below {root}")
+
+
+def folder_files(spark: SparkSession, folder: str, suffix: str = ".parquet") -> list[str]:
+    """Every data file of one folder, not of those below it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    paths = [f.getPath() for f in found if f.isFile()]
+    return [x.toString() for x in paths if x.getName().endswith(suffix) and not x.getName().startswith((".", "_"))]
