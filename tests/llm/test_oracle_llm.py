@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(R.ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = R.QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
@@ -31,4 +31,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in R.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in R.QUERIES) == list(range(1, 14))
