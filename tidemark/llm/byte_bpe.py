@@ -4,18 +4,18 @@ A text is split into pre-tokens by the vocabulary's pattern. A pre-token that is
 becomes that token; in any other, the adjacent pair of the lowest rank is merged, leftmost
 first, until no pair is a token.
 
-The tokens of a pre-token form a linked list by start position. Each adjacent pair that is a token
-lies in the bucket of its rank, and three levels of 64-bit words mark the buckets in use: the lowest rank
+The tokens form a linked list by start position, with walls between the pre-tokens that are merged together. Each adjacent
+pair that is a token lies in the bucket of its rank, and three levels of 64-bit words mark the buckets in use: the lowest rank
 is found by a find-first-set in one word per level, whatever the length. A bucket holds its
-positions as a heap, so equal ranks merge from the left. A merge leaves entries of the two pairs it
-has broken in their buckets; they no longer match the rank noted for their position and are
-skipped when met. So a pre-token of n bytes takes at most 2n pushes of O(log n), and a
-very long one costs no more per byte than a short one.
+positions as a heap, so equal ranks merge from the left; it is emptied in one go unless a merge makes a pair of a lower rank.
+A merge leaves entries of the two pairs it has broken in their buckets; they no longer match the rank noted for their position
+and are skipped when met. So n bytes take at most 2n pushes of O(log n), and a very long pre-token costs no more per byte than
+short ones.
 
 Only texts are read and nothing is shuffled. Ranks (tens of thousands, read by the driver from the
 file given) are broadcast. A worker keeps the ids of at most ``MAX_KNOWN`` pre-tokens of at most
-``MAX_KNOWN_CHARS`` characters; the table is emptied when full. Texts are taken ``PIECES``
-pre-tokens at a time, so beside the text and its ids nothing grows with a text's length.
+``MAX_KNOWN_CHARS`` characters, and forgets the older half when full. Texts are taken ``PIECES``
+pre-tokens at a time, so beside the text and its ids only a single pre-token may grow with a text's length.
 
 Edge cases: a null or empty text has no ids and decodes to no bytes. Any other text decodes to its UTF-8
 bytes. Repeated rows are each encoded. With no rows the result is empty. Other columns, null
@@ -25,7 +25,6 @@ ids among them, pass through; those with the name of an added one are replaced.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
 from heapq import heappop, heappush
 from itertools import islice
 
@@ -37,9 +36,11 @@ from pyspark.sql import DataFrame
 from .common import append_columns, strings
 
 #: Pre-tokens whose ids a worker keeps, and the longest that it keeps.
-MAX_KNOWN, MAX_KNOWN_CHARS = 500_000, 32
-#: Pre-tokens of a text that are held at once.
+MAX_KNOWN, MAX_KNOWN_CHARS = 1_000_000, 32
+#: Pre-tokens that are held at once.
 PIECES = 200_000
+#: Characters of pre-tokens that are merged together (a single longer one by itself).
+AT_ONCE = 300_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -59,38 +60,37 @@ class RankQueue:
             n = -(-n // 64)
             self.levels.append([0] * n)
 
-    def push(self, rank: int, position: int) -> None:
-        own = self.buckets.get(rank)
-        if own is not None:
-            heappush(own, position)
-            return
-        self.buckets[rank] = [position]
-        at = rank
+    def open(self, rank: int, positions: list[int]) -> None:
+        """A bucket that is not in use gets its first positions, in order."""
+        self.buckets[rank] = positions
         for level in self.levels:
-            at, bit = at >> 6, at & 63
-            was, level[at] = level[at], level[at] | 1 << bit
+            rank, bit = rank >> 6, rank & 63
+            was, level[rank] = level[rank], level[rank] | 1 << bit
             if was:
                 return
 
-    def pop(self) -> tuple[int, int] | None:
-        """(rank, position) of the first entry, which is taken out; None when empty."""
-        if not self.buckets:
-            return None
+    def push(self, rank: int, position: int) -> None:
+        if rank in self.buckets:
+            heappush(self.buckets[rank], position)
+        else:
+            self.open(rank, [position])
+
+    def first(self) -> int:
+        """The lowest rank that has entries; the queue must not be empty."""
         rank = 0
         for level in reversed(self.levels):
             word = level[rank]
             rank = rank << 6 | (word & -word).bit_length() - 1
-        own = self.buckets[rank]
-        position = heappop(own)
-        if not own:
-            del self.buckets[rank]
-            at = rank
-            for level in self.levels:
-                at, bit = at >> 6, at & 63
-                level[at] &= ~(1 << bit)
-                if level[at]:
-                    break
-        return rank, position
+        return rank
+
+    def close(self, rank: int) -> None:
+        """An empty bucket goes out of use."""
+        del self.buckets[rank]
+        for level in self.levels:
+            rank, bit = rank >> 6, rank & 63
+            level[rank] &= ~(1 << bit)
+            if level[rank]:
+                return
 
 
 class Codec:
@@ -101,73 +101,143 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.queue = RankQueue(max(ranks.values()) + 1)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             tokens[rank] = token
         self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        ranks, n = self.ranks, len(piece)
-        if piece in ranks:
-            return [ranks[piece]]
-        ends = list(range(1, n + 1))  # of the token that starts at a position
-        before = list(range(-1, n - 1))  # start of the token to its left
-        pair = [-1] * n  # rank of the pair that starts at a position, -1: none
+        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)])
+        self.of_pair = np.full(1 << 16, -1)
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.of_pair[token[0] << 8 | token[1]] = rank
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each of some non-empty pre-tokens, which lie one behind the other in one list."""
+        data, get = b"".join(pieces), self.ranks.get
+        cuts = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
+        n = len(data)
+        body = np.frombuffer(data, np.uint8).astype(np.int64)
+        first_pairs = np.concatenate((self.of_pair[body[:-1] << 8 | body[1:]], [-1]))
+        first_pairs[cuts[1:] - 1] = -1  # no pair across pre-tokens
         queue = self.queue
-        push, pop = queue.push, queue.pop
-        for i in range(n - 1):
-            r = ranks.get(piece[i:i + 2], -1)
-            if r >= 0:
-                pair[i] = r
-                push(r, i)
-        while (first := pop()) is not None:
-            r, i = first
-            if pair[i] != r:
-                continue  # stale
-            gone = ends[i]
-            end = ends[i] = ends[gone]
-            pair[gone] = -1
-            if end < n:
-                before[end] = i
-                r = pair[i] = ranks.get(piece[i:ends[end]], -1)
-                if r >= 0:
-                    push(r, i)
+        order = np.argsort(first_pairs, kind="stable")
+        order = order[np.searchsorted(first_pairs[order], 0):]
+        ranks, at = np.unique(first_pairs[order], return_index=True)
+        for r, lo, hi in zip(ranks.tolist(), at.tolist(), [*at[1:].tolist(), len(order)]):
+            queue.open(r, order[lo:hi].tolist())  # ascending, so a heap
+        pair = first_pairs.tolist()  # rank of the pair that starts at a position, -1: none
+        token = self.of_byte[body].tolist()  # rank of the token that starts there
+        ends = list(range(1, n + 1))
+        left = np.arange(-1, n - 1)  # start of the token before
+        left[cuts[:-1]] = -1
+        before = left.tolist()
+        wall, alive = bytearray(n + 1), bytearray(b"\1") * n
+        for c in cuts.tolist():
+            wall[c] = 1
+        buckets, push = queue.buckets, queue.push
+        while buckets:
+            r = queue.first()
+            own = buckets[r]
+            while own:
+                i = heappop(own)
+                if pair[i] != r:
+                    continue  # stale
+                gone, lower = ends[i], False
+                end = ends[i] = ends[gone]
+                token[i], pair[gone], alive[gone] = r, -1, 0
+                if wall[end]:
+                    pair[i] = -1
+                else:
+                    before[end] = i
+                    x = pair[i] = get(data[i:ends[end]], -1)
+                    if x >= 0:
+                        push(x, i)
+                        lower = x < r
+                j = before[i]
+                if j >= 0:
+                    x = pair[j] = get(data[j:end], -1)
+                    if x >= 0:
+                        push(x, j)
+                        lower = lower or x < r
+                if lower:
+                    break
             else:
-                pair[i] = -1
-            left = before[i]
-            if left >= 0:
-                r = pair[left] = ranks.get(piece[left:end], -1)
-                if r >= 0:
-                    push(r, left)
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i:ends[i]]])
-            i = ends[i]
+                queue.close(r)
+        kept = np.frombuffer(alive, np.uint8).astype(bool)
+        ids = np.array(token, "<u4")[kept].tobytes()
+        stops = (4 * np.concatenate(([0], np.cumsum(kept)))[cuts]).tolist()
+        return [ids[a:b] for a, b in zip(stops[:-1], stops[1:])]
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Put the ids of pre-tokens in the table."""
+        known, older, get = self.known, self.older, self.ranks.get
+        hard: list[str] = []
+        size = 0
+
+        def merged() -> None:
+            known.update(zip(hard, self.merge([p.encode() for p in hard])))
+
+        for p in pieces:
+            if p in older:
+                known[p] = older[p]
+                continue
+            whole = get(p.encode())
+            if whole is not None:
+                known[p] = whole.to_bytes(4, "little")
+                continue
+            hard.append(p)
+            size += len(p)
+            if size > AT_ONCE:
+                merged()
+                hard, size = [], 0
+        if hard:
+            merged()
+
+    def _forget(self) -> None:
+        """Keep the table within its bound: of two halves, the older one goes."""
+        if len(self.known) > MAX_KNOWN // 2:
+            self.older = self.known if len(self.known) <= MAX_KNOWN else {}
+            self.known = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        held: list[list[str]] = []
+        n = 0
+
+        def done() -> None:
+            nonlocal n
+            new = set().union(*held) - self.known.keys()
+            self._learn(new)
+            get = self.known.__getitem__
+            out.extend(b"".join(map(get, pieces)) for pieces in held)
+            for p in new:
+                if len(p) > MAX_KNOWN_CHARS:
+                    del self.known[p]
+            self._forget()
+            held.clear()
+            n = 0
+
+        for t in texts:
+            if len(t) > PIECES:
+                done()
+                found, parts = (m.group() for m in self.pattern.finditer(t)), []
+                while pieces := list(islice(found, PIECES)):
+                    held.append(pieces)
+                    done()
+                    parts.append(out.pop())
+                out.append(b"".join(parts))
+                continue
+            held.append(self.pattern.findall(t))
+            n += len(held[-1])
+            if n > PIECES:
+                done()
+        done()
         return out
 
-    def _ids(self, piece: str) -> bytes:
-        ids = np.array(self.merge(piece.encode()), "<u4").tobytes()
-        if len(piece) <= MAX_KNOWN_CHARS:
-            if len(self.known) >= MAX_KNOWN:
-                self.known.clear()
-            self.known[piece] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
-        get, ids, out = self.known.get, self._ids, []
-        if len(text) <= PIECES:
-            groups: Iterator[list[str]] = iter([self.pattern.findall(text)])
-        else:
-            found = (m.group() for m in self.pattern.finditer(text))
-            groups = iter(lambda: list(islice(found, PIECES)), [])
-        for pieces in groups:
-            out.append(b"".join([get(p) or ids(p) for p in pieces]))
-        return b"".join(out)
-
     def decode(self, ids: bytes) -> bytes:
         """The bytes of ids; each token's bytes are copied out of the joined vocabulary."""
         out = []
@@ -203,7 +273,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded
     with ``decoded``, in the same pass the bytes that ``ids`` decodes to as well."""
 
     def of(b: pa.RecordBatch, codec: Codec) -> dict[str, pa.Array]:
-        ids = [codec.encode(t) for t in strings(b.column(text)).to_pylist()]
+        ids = codec.encode(strings(b.column(text)).to_pylist())
         new = {"ids": pa.array(ids, pa.binary())}
         if decoded:
             new["decoded"] = pa.array([codec.decode(i) for i in ids], pa.binary())
