@@ -13,9 +13,8 @@ split into bits. All parts of a batch are reduced at once, sorted by part.
 
 Each document is a few numbers once its text is read: the failures that it shows by itself, a SHA-256 of the text
 for the failure of being a copy, its part and labels. Copies: the smallest id per text (a partial aggregate, so a text in
-a third of all rows is one row per task), of which only those with a larger id are joined back; the labels are reduced to
-one row per id before their join. Both joins are plain shuffled ones that the adaptive planner may split or broadcast
-by measured size. Tasks hand on one row of counts per part, label and Arrow batch, summed with a partial
+a third of all rows is one row per task) is joined back on text and id, which no two texts and few rows share, and
+what finds no partner is a copy. The labels are reduced to one row per id before their join. Both joins are plain shuffled ones. Tasks hand on one row of counts per part, label and Arrow batch, summed with a partial
 aggregate; the orders are unrolled per part at the end (120 orders of five steps).
 
 Edge cases: a null text is empty; empty texts are copies of each other. A null id is no smaller id, and none is smaller
@@ -65,18 +64,18 @@ def facts(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
         F.unhex(F.sha2(body, 256)).alias("digest"),
         sum((F.when(x, 1 << i).otherwise(0) for i, x in enumerate(failures(body))), F.lit(0)).alias("failed"),
     )
-    first = (
-        own.where("id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-        .where("first < last").select("digest", "first")
-    )
+    # a text's smallest id is joined on the text and the id, so however many copies there are, no join key is hot
+    first = own.where("id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("id")).withColumn("first", F.lit(True))
     labelled = (
         labels.where(F.col(id).isNotNull()).groupBy(F.col(id).alias("id"))
         .agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
-        .where("good OR toxic")
+        .where("good OR toxic").withColumn("spread", F.lit(0).cast("long"))
     )
-    copy = F.when(F.col("id") > F.col("first"), 1 << 4).otherwise(0)
+    # null ids match nothing and are spread over the tasks by their text
+    spread = own.withColumn("spread", F.when(F.col("id").isNull(), F.xxhash64("digest")).otherwise(0))
+    copy = F.when(F.col("id").isNotNull() & F.col("first").isNull(), 1 << 4).otherwise(0)
     return (
-        own.join(first, "digest", "left").join(labelled, "id", "left")
+        spread.join(first, ["digest", "id"], "left").join(labelled, ["id", "spread"], "left")
         .select("part", (F.col("failed") + copy).cast("int").alias("failed"),
                 F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic"))
     )
