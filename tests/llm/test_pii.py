@@ -108,3 +108,27 @@ def test_columns_and_odd_rows(spark, tagger):
 def test_training_without_documents(spark):
     t = P.train(docs_df(spark, [None, ""]), windows=32, epochs=1)
     assert set(t.weights) == {"xf", "hf", "xb", "hb", "out", "bias", "move"}
+
+
+def test_long_runs_of_digits_end_no_job():
+    zeros = "0" * 5000
+    for i in range(4):
+        parts = ["1", "2", "3", "4"]
+        parts[i] = zeros
+        t = ".".join(parts)
+        assert P.base_spans(t) == [("ip", 0, len(t))]
+        parts[i] = "9" * 5000
+        assert P.base_spans(".".join(parts)) == []
+    assert P.base_spans(f"{zeros}.1.2.3 {zeros} 00.0.0.{zeros}1")[0] == ("ip", 0, 5006)
+
+
+def test_many_spans_of_one_text():
+    import time
+
+    text = "x 10.0.0.1 a@b.co " * 100_000
+    began = time.process_time()
+    tagger = P.Tagger.fresh()
+    tagger.decode = lambda x: np.where((x == ord("a") - 31) & (np.arange(P.WINDOW) % 2 == 0), 1, 0)
+    base, every = P.find_all(tagger, [text])
+    assert len(base[0]) == 200_000 and set(base[0]) <= set(every[0])
+    assert time.process_time() - began < 20

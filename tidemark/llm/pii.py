@@ -27,8 +27,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -82,7 +84,8 @@ def base_spans(text: str) -> list[Span]:
         for i in range(0, len(parts) - 3, 4):
             own = parts[i: i + 4]
             size = sum(map(len, own)) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in own):
+            digits = [p.lstrip("0") or "0" for p in own]
+            if all(len(d) <= 3 and int(d) <= 255 for d in digits):
                 out.append(("ip", pos, pos + size))
             pos += size + 1
     for m in _CARD.finditer(text):
@@ -440,10 +443,14 @@ def tag(tagger: Tagger, texts: list[str], batch: int = 512) -> list[list[Span]]:
                 p = e
     out: list[list[Span]] = [[] for _ in texts]
     for i, spans in read.items():
-        taken: list[Span] = []
+        taken: list[Span] = []  # disjoint, so only the neighbours of a span can overlap it
+        starts: list[int] = []
         for _, s in sorted(set(spans), key=lambda x: (-x[0], x[1][1], x[1][2], x[1][0])):
-            if all(s[2] <= o[1] or s[1] >= o[2] for o in taken):
-                taken.append(s)
+            k = bisect_left(starts, s[2])
+            if not k or taken[k - 1][2] <= s[1]:
+                k = bisect_left(starts, s[1])
+                starts.insert(k, s[1])
+                taken.insert(k, s)
         out[i] = sorted((s for s in taken if _valid(s[0], texts[i][s[1]: s[2]])), key=_order)
     return out
 
@@ -462,7 +469,10 @@ def find_all(tagger: Tagger, texts: list[str]) -> tuple[list[list[Span]], list[l
     more = tag(tagger, texts)
     every = []
     for b, m in zip(base, more):
-        new = [s for s in m if all(s[2] <= o[1] or s[1] >= o[2] for o in b)]
+        # pattern spans may overlap each other: before a place, the greatest end counts
+        known = sorted((s, e) for _, s, e in b)
+        starts, reach = [s for s, _ in known], list(accumulate((e for _, e in known), max))
+        new = [x for x in m if not (k := bisect_left(starts, x[2])) or reach[k - 1] <= x[1]]
         every.append(sorted(b + new, key=_order) if new else b)
     return base, every
 
