@@ -6,9 +6,9 @@ import numpy as np
 from llm_inputs import docs_df, odd_texts, prose
 from pyspark.sql import functions as F
 from tidemark.llm import packing as P
-from tidemark.llm.registry import TOKENIZERS
+from tidemark.llm.registry import tokenizer_file
 
-FILE = f"{TOKENIZERS}/word_bpe_49k.json"
+FILE = tokenizer_file("word_bpe_49k.json")
 
 
 def check(rows, capacity):
@@ -92,3 +92,18 @@ def test_many_pieces_of_one_length_and_null_ids(spark):
     rows = P.pack(docs, FILE, capacity=10).collect()
     assert len(rows) == 500 and check(rows, 10) == 167
     assert P.pack(docs_df(spark, []), FILE).count() == 0
+
+
+def test_random_words_match_the_tokenizer():
+    """Capital dotted I and other letters that lower case or normal form breaks up, with stops behind them."""
+    from tokenizers import Tokenizer
+
+    t, r = Tokenizer.from_file(FILE), random.Random(8)
+    encoder = P.Encoder(open(FILE, encoding="utf-8").read())
+    letters = "aBczİIıßẞéÉe\u0301\u0958\u095cΣσς漢ﬁǅʰªⅧ½1२.,.,'!-"
+    words = ["".join(r.choice(letters) for _ in range(r.randint(1, 6))) for _ in range(100_000)]
+    words += [w + x for w in ("İ", "xİ", "\u0958", "ſ", "K", "ΑΣ") for x in (".", ",", "")]
+    want = t.encode_batch_fast(words, add_special_tokens=False)
+    for lo in range(0, len(words), 5000):
+        for w, ids, e in zip(words[lo:], encoder.ids(words[lo: lo + 5000]), want[lo:]):
+            assert np.frombuffer(ids, "<u4").tolist() == e.ids, w

@@ -5,7 +5,7 @@ import pytest
 from llm_inputs import docs_df, odd_texts, prose
 from pyspark.sql import functions as F
 from tidemark.llm import token_counts as C
-from tidemark.llm.registry import TOKENIZERS
+from tidemark.llm.registry import tokenizer_file
 
 SMALL = C.Vocabulary(
     {p: -math.log(r + 2) for r, p in enumerate(["▁", "a", "b", "ab", "▁a", "ba", "▁ab", "aba", "bab", "é", "▁abab"])}, -30.0
@@ -39,7 +39,7 @@ def test_trie_matches_brute_force_and_shares_prefixes():
 
 def test_matches_the_unigram_model_of_the_library():
     tokenizers = pytest.importorskip("tokenizers")
-    v = C.load_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
+    v = C.load_vocabulary(tokenizer_file("piece_bpe_32k.model"))
     model = tokenizers.models.Unigram([("<unk>", -1000.0), *v.scores.items()], unk_id=0)
     words = [w for w in prose(500, seed=3).split()]
     found = C.TrieCounter(v).count(words)

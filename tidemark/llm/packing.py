@@ -26,6 +26,7 @@ documents the result is empty. Ids may be null; they are only carried.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -50,37 +51,43 @@ MAX_NODES = 20_000
 _encoders: dict[str, Encoder] = {}
 
 
+def _letters(word: str) -> bool:
+    """Does the word stay letters throughout in its normal form and lower case?"""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 class Encoder:
     """Ids of white-space separated words as little-endian 32-bit bytes.
 
     The tokenizer never joins across white space, so a text's ids are those of its words. A
     word of letters with one full stop or comma is looked up as two, and ASCII letters in lower
-    case, which the tokenizer does as well.
+    case, which the tokenizer does as well. Letters that its normal form or lower case
+    turns into something else (a combining mark, which it joins with a stop) are left to it whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, source: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(source)
         vocabulary = self.tokenizer.get_vocab()
         self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.word_end[[i for k, i in vocabulary.items() if k.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
-        """The worker's encoder, kept for its later tasks."""
+    def of(cls, path: str, source) -> Encoder:
+        """The worker's encoder, kept for its later tasks; ``source``: the broadcast file of ``path``."""
         if path not in _encoders:
-            _encoders[path] = cls(path)
+            _encoders[path] = cls(source.value)
         return _encoders[path]
 
     @staticmethod
     def _parts(word: str) -> tuple[str, str]:
         body, tail = (word[:-1], word[-1]) if len(word) > 1 and word[-1] in ".," else (word, "")
-        if not body.isalpha():
+        if not _letters(body):
             return word, ""
         return (body.lower() if body.isascii() else body), tail
 
@@ -114,10 +121,10 @@ class Encoder:
         if len(self.known) + len(need) > MAX_KNOWN:
             self.known.clear()
             need = dict.fromkeys(x for p in parts for x in p if x)
-        letters = [k for k in need if k.isalpha()]
+        letters = [k for k in need if _letters(k)]
         for lo in range(0, len(letters), AT_ONCE):
             self._encode_letters(letters[lo: lo + AT_ONCE])
-        others = [k for k in need if not k.isalpha()]
+        others = [k for k in need if not _letters(k)]
         for lo in range(0, len(others), AT_ONCE):
             self._encode_any(others[lo: lo + AT_ONCE])
         known = self.known
@@ -133,9 +140,11 @@ def tokenize(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "t
     length in the task that made it (``part``, ``rank``)."""
     ship(docs.sparkSession)
     end = int(end_id).to_bytes(4, "little")
+    with open(tokenizer, encoding="utf-8") as f:  # on the driver alone
+        source = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(tokenizer)
+        encoder = Encoder.of(tokenizer, source)
         part, ranks = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for b in steps(batches):
             w = Words(b.column(1))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +11,11 @@ from . import byte_bpe, compression_quality, conversation_repair, decontaminatio
 from .common import crc32_mod, table
 
 
-#: Folder of the public tokenizers' files.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file; it is read on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +103,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = token_counts.load_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
+    vocabulary = token_counts.load_vocabulary(tokenizer_file("piece_bpe_32k.model"))
     return token_counts.count_tokens(_documents(spark, sf_dir), vocabulary).drop("text")
 
 
@@ -169,13 +171,13 @@ FROM s JOIN r USING (doc_id) GROUP BY doc_id, s.s
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_documents(spark, sf_dir), f"{TOKENIZERS}/word_bpe_49k.json", capacity=4096, end_id=1)
+    return packing.pack(_documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
     coded = byte_bpe.encode(_documents(spark, sf_dir), path, public_tokenizers.PATTERN, decoded=True)
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
