@@ -11,7 +11,8 @@ again as the next one's ``docs``. All but the last return the columns of ``docum
 5. best-fit packing: the texts' tokens in sequences of at most 4096, one row per piece.
 
 A row with a null id or text is handled by each operator as its module says: a null text has no
-words, so stage 1 rejects it.
+words, so stage 1 rejects it. Rows that repeat an id with different texts are judged each by itself. Extra columns pass
+through the first four stages unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,38 +22,53 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, near_duplicates, packing, pii, quality_rules
 from tidemark.llm.common import stored, table
-from tidemark.llm.registry import TOKENIZERS
+from tidemark.llm.registry import tokenizer_file
+
+
+def _own(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names that no operator uses, and these by the former ones; extra columns stay as they are."""
+    names = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def _back(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(docs).where("kept").select(*docs.columns)
+    own, n = _own(docs)
+    return _back(quality_rules.judge(own, text=n["text"], lang=n["lang"]).where("kept"), n)
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_duplicates.groups(docs, shingle=5, percent=80)
-    gone = found.where("NOT kept").select("doc_id").distinct()
-    return (
-        docs.join(gone, "doc_id", "left_anti").withColumn("text_hash", F.xxhash64("text"))
-        .dropDuplicates(["doc_id", "text_hash"]).select(*docs.columns)
-    )
+    own, n = _own(docs)
+    # a row is told by its id and text: a copy must not take another text of its id along
+    row = [n["doc_id"], "text_hash"]
+    own = own.withColumn("text_hash", F.xxhash64(n["text"]))
+    found = near_duplicates.groups(own, n["doc_id"], n["text"], shingle=5, percent=80, carry=("text_hash",))
+    gone = found.where("NOT kept").select(*row).distinct()
+    return _back(own.join(gone, row, "left_anti").dropDuplicates(row), n)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    own, n = _own(docs)
     # told apart by id and text, so null and repeated ids do no harm
-    keyed = docs.withColumn("doc_key", F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string")))
-    index = decontamination.build_index(keyed, id="doc_key")
+    keyed = own.withColumn("doc_key", F.concat_ws(":", F.col(n["doc_id"]).cast("string"), F.xxhash64(n["text"]).cast("string")))
+    index = decontamination.build_index(keyed, id="doc_key", text=n["text"])
     found = decontamination.search(index, table(spark, sf_dir, "benchmark"), window=13)
     gone = found.where(decontamination.contaminated()).select(F.col("id").alias("doc_key")).distinct()
-    return keyed.join(gone, "doc_key", "left_anti").select(*docs.columns)
+    return _back(keyed.join(gone, "doc_key", "left_anti"), n)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    masked = pii.find(docs, pii.train(docs), mask="text")
+    own, n = _own(docs)
+    tagger = pii.train(own, id=n["doc_id"], text=n["text"])
+    masked = _back(pii.find(own, tagger, text=n["text"], mask=n["text"]), n)
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json", capacity=4096, end_id=1)
+    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
 STAGES = [

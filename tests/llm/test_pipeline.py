@@ -95,7 +95,7 @@ def test_run_is_the_stages_in_order(spark, sf):
     docs = spark.read.parquet(f"{path}/documents.parquet")
     for _, stage in C.STAGES[:4]:
         docs = stage(spark, docs, path)
-    want = packing.tokenize(docs, f"{C.TOKENIZERS}/word_bpe_49k.json").select("doc_id", "piece", "start", "length", "ids_crc32")
+    want = packing.tokenize(docs, C.tokenizer_file("word_bpe_49k.json")).select("doc_id", "piece", "start", "length", "ids_crc32")
     assert sorted(map(tuple, out.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
 
 
@@ -105,14 +105,26 @@ def test_empty_documents(spark, tmp_path):
     assert C.run(spark, str(tmp_path)).count() == 0
 
 
+def test_a_copy_takes_no_other_text_of_its_id_along(spark):
+    a, b = common(60, seed=1), common(60, seed=2)
+    docs = docs_df(spark, [a, a, b, b + " x", a], [2, 5, 5, None, None])
+    left = [tuple(r) for r in C.near_duplicate(spark, docs, "").select("doc_id", "text").collect()]
+    assert sorted(left, key=str) == sorted([(2, a), (5, b), (None, b + " x"), (None, a)], key=str)
+
+
 def test_extra_and_clashing_columns_pass_through(spark):
+    clash = ["kept", "spans", "text_hash", "doc_key", "n_words", "id", "block", "in_1", "base_sha256"]
     docs = docs_df(spark, [common(120, seed=i) for i in range(60)])
-    docs = docs.withColumn("kept", F.lit("mine")).withColumn("rank", F.lit(7)).withColumn("spans", F.lit(None).cast("string"))
+    for c in clash:
+        docs = docs.withColumn(c, F.concat(F.lit(c), F.col("doc_id").cast("string")))
+    docs = docs.withColumn("rank", F.lit(7)).withColumn("n_email", F.lit(None).cast("string"))
     bench = "/root/testdata/sf0.001"
     if not os.path.isdir(bench):
         pytest.skip("driver tables not present")
     for _, stage in C.STAGES[:4]:
         out = stage(spark, docs, bench)
         assert out.schema.names == docs.schema.names
-        got = out.select("rank").distinct().collect()
-        assert [r["rank"] for r in got] == [7]
+        got = out.collect()
+        assert got
+        for r in got:
+            assert [r[c] for c in clash] == [f"{c}{r['doc_id']}" for c in clash] and (r["rank"], r["n_email"]) == (7, None)

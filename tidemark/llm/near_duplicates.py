@@ -117,8 +117,8 @@ def band_keys(sketch: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.nd
     return key
 
 
-def _prepare(docs: DataFrame, id: str, text: str, shingle: int) -> DataFrame:
-    """id, n_shingles, digest of the set (two numbers; null if empty), bucket keys."""
+def _prepare(docs: DataFrame, id: str, text: str, shingle: int, carry: list[str]) -> DataFrame:
+    """id, n_shingles, digest of the set (two numbers; null if empty), bucket keys, and the columns to carry as carry_0, ..."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches):
@@ -137,12 +137,13 @@ def _prepare(docs: DataFrame, id: str, text: str, shingle: int) -> DataFrame:
             ends = np.concatenate(([0], np.cumsum(width))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n), pa.array(digests[0], mask=none), pa.array(digests[1], mask=none),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
-                ["id", "n_shingles", "d1", "d2", "bands"],
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel())), *b.columns[2:]],
+                ["id", "n_shingles", "d1", "d2", "bands", *b.schema.names[2:]],
             )
 
-    kind = docs.schema[id].dataType.simpleString()
-    return docs.select(id, text).mapInArrow(run, f"id {kind}, n_shingles long, d1 long, d2 long, bands array<long>")
+    own = docs.select(id, text, *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)))
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in own.schema.fields[2:])
+    return own.mapInArrow(run, f"id {own.schema[0].dataType.simpleString()}, n_shingles long, d1 long, d2 long, bands array<long>{kinds}")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -295,10 +296,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-           percent: int = PERCENT) -> DataFrame:
-    """id, n_shingles, component_id (the least id of its group) and kept (id is that least one) for each row."""
+           percent: int = PERCENT, carry: tuple[str, ...] = ()) -> DataFrame:
+    """id, n_shingles, component_id (the least id of its group) and kept (id is that least one) for each row,
+    and its columns named by ``carry``."""
     ship(docs.sparkSession)
-    prepared = stored(_prepare(docs, id, text, shingle), "sketches")
+    prepared = stored(_prepare(docs, id, text, shingle, list(carry)), "sketches")
     classes = stored(
         prepared.where("d1 IS NOT NULL AND id IS NOT NULL").groupBy("d1", "d2")
         .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
@@ -353,6 +355,7 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int
         .select(
             F.col("id").alias(id), "n_shingles",
             F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
+            *(F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)),
         )
         .withColumn("kept", F.coalesce(F.col(id) == F.col("component_id"), F.lit(True)))
     )
