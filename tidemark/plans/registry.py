@@ -19,11 +19,13 @@ from ..functions import exprs
 from ..functions.timeutil import day_window, epoch_parts, epoch_seconds, epoch_to_date, partition_path
 from ..operators import capture, cdc, extract, quality, seed
 from ..session import scratch_path
-from ..sinks import lake
+from ..sinks import lake, publish
+from ..sinks.key_index import KeyIndex
 from ..sources import files, jdbc
 from ..sources.canonical import MANY_DATES, read_changelog, read_edit_pair, read_snapshot, table_path
 from ..specs import CHANGELOG_SCHEMA, FOREIGN_KEYS, PARTITION_COLS, LITERAL_DEFAULTS, NOW_EPOCH_DEFAULTS, SCHEMAS, TABLE_NAMES, VARCHAR_LENGTHS, TableSpec, spec_for
 from ..streaming import lake_stream as streams
+from . import recoverable
 from . import refresh as refresh_plan
 
 RUN_DATE = _dt.date(2024, 1, 15)
@@ -210,6 +212,72 @@ def q_refresh(spark, sf_dir):
     return lake.read_lake(spark, path)
 
 
+class _Stopped(Exception):
+    """A run that ends half-way, for the recovery queries."""
+
+
+def _stop_at(what: str, n: int):
+    """A step hook that stops a run before its n-th step of a sort."""
+    left = [n]
+
+    def step(name: str) -> None:
+        left[0] -= name.startswith(what)
+        if not left[0]:
+            raise _Stopped(name)
+
+    return step
+
+
+@register("refresh_recovered", ORACLE["refresh"])
+def q_refresh_recovered(spark, sf_dir):
+    """The refresh stopped between two renames of a swapped day, then resumed from its journal."""
+    snap = read_snapshot(spark, sf_dir, TABLE)
+    log = read_changelog(spark, sf_dir, LO, HI)
+    path = scratch_path(spark, "refresh-recovered")
+    lake.backfill(snap, path)
+    source = _edited_source(snap, cdc.net_changes(log, TABLE, LO, HI))
+    try:
+        recoverable.refresh_published(spark, log, source, spec_for(TABLE), path, RUN_DATE, step=_stop_at("put in place", 2))
+    except _Stopped:
+        publish.recover(spark, path)
+    return lake.read_lake(spark, path)
+
+
+def _moved_source(src: DataFrame, net: DataFrame, day: _dt.date) -> DataFrame:
+    """The source after one day's changes: net-deleted keys gone, net-updated keys moved to that day."""
+    deleted = net.filter(F.col("net_action") == "D").select("id").distinct()
+    updated = net.filter(F.col("net_action") == "U").select("id", F.lit(True).alias("_upd")).distinct()
+    moved = {"updated_at": day_window(day)[0], "year": day.year, "month": day.month, "day": day.day}
+    return src.join(deleted, "id", "left_anti").join(updated, "id", "left").withColumns(
+        {c: F.when(F.col("_upd"), F.lit(v).cast("bigint")).otherwise(F.col(c)) for c, v in moved.items()}
+    ).select(*src.columns)
+
+
+@register(
+    "lake_key_index",
+    _with(O.changelog_cte(), O.snapshot_cte(), O.net_cte(TABLE, RUN_DATE, 2))
+    + """SELECT s.id, CASE WHEN u.d IS NULL THEN s.year ELSE year(u.d) END AS year, CASE WHEN u.d IS NULL THEN s.month ELSE month(u.d) END AS month,
+  CASE WHEN u.d IS NULL THEN s.day ELSE day(u.d) END AS day
+FROM snapshot s LEFT JOIN (SELECT id, max(change_date) AS d FROM net WHERE net_action = 'U' GROUP BY id) u ON u.id = s.id
+WHERE s.id NOT IN (SELECT id FROM net WHERE net_action = 'D')""",
+)
+def q_lake_key_index(spark, sf_dir):
+    """The key index after three daily refreshes whose updates move rows to the day of their change."""
+    root = scratch_path(spark, "indexed")
+    source = read_snapshot(spark, sf_dir, TABLE)
+    spec = spec_for(TABLE)
+    recoverable.backfill_indexed(source, spec, f"{root}/lake", f"{root}/index", span=4096)
+    for back in (2, 1, 0):
+        day = RUN_DATE - _dt.timedelta(days=back)
+        lo, hi = day_window(day)
+        log = read_changelog(spark, sf_dir, lo, hi)
+        path = f"{root}/source-{back}"
+        _moved_source(source, cdc.net_actions(log, TABLE, lo, hi), day).write.parquet(path)
+        source = spark.read.parquet(path)
+        recoverable.refresh_published(spark, log, source, spec, f"{root}/lake", day, index_path=f"{root}/index")
+    return KeyIndex(spark, f"{root}/index").read().select("id", *PARTITION_COLS)
+
+
 @register(
     "backfill",
     _with(O.snapshot_cte()) + "SELECT year, month, day, count(*) AS n_rows FROM snapshot GROUP BY year, month, day",
@@ -498,18 +566,11 @@ def _lineitem_lake(spark, sf_dir) -> str:
     return path
 
 
-@register(
-    "scan_parquet_file",
-    """SELECT CAST(1996 AS BIGINT) AS year, CAST(month(l_shipdate) AS BIGINT) AS month, count(*) AS n_rows
-FROM lineitem WHERE year(l_shipdate) = 1996 GROUP BY 2""",
-)
+@register("scan_parquet_file", _LI_BY_MONTH)
 def q_scan_parquet_file(spark, sf_dir):
-    """Lines of one year stored by month folder; each file of its folders is read by its name."""
-    li = spark.read.parquet(table_path(sf_dir, "lineitem"))
-    li = li.withColumns({"year": F.year("l_shipdate").cast("bigint"), "month": F.month("l_shipdate").cast("bigint")})
-    path = scratch_path(spark, "lineitem-files")
-    li.repartition("year", "month").write.partitionBy("year", "month").parquet(path)
-    names = [f for m in range(1, 13) for f in files.folder_files(spark, f"{path}/year=1996/month={m}")]
+    """Lines stored by year and month folder; each file of every folder is read by its name."""
+    path = _lineitem_lake(spark, sf_dir)
+    names = [f for p in publish.partition_folders(publish.Files(spark, path), path, 2) for f in files.folder_files(spark, f"{path}/{p}")]
     df = files.scan_parquet_files(spark, names, path)
     return df.groupBy(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month")).agg(
         F.count(F.lit(1)).alias("n_rows")
