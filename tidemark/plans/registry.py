@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from .. import oracle as O
 from ..functions import exprs
 from ..functions.timeutil import day_window, epoch_parts, epoch_seconds, epoch_to_date, partition_path
-from ..operators import capture, cdc, extract, quality, seed
+from ..operators import capture, cdc, drift, extract, quality, seed
+from ..operators.watermark import Watermark
 from ..session import scratch_path
 from ..sinks import lake, publish
 from ..sinks.key_index import KeyIndex
@@ -25,7 +26,7 @@ from ..sources import files, jdbc
 from ..sources.canonical import MANY_DATES, read_changelog, read_edit_pair, read_snapshot, table_path
 from ..specs import CHANGELOG_SCHEMA, FOREIGN_KEYS, PARTITION_COLS, LITERAL_DEFAULTS, NOW_EPOCH_DEFAULTS, SCHEMAS, TABLE_NAMES, VARCHAR_LENGTHS, TableSpec, spec_for
 from ..streaming import lake_stream as streams
-from . import recoverable
+from . import ledger, recoverable
 from . import refresh as refresh_plan
 
 RUN_DATE = _dt.date(2024, 1, 15)
@@ -278,6 +279,94 @@ def q_lake_key_index(spark, sf_dir):
     return KeyIndex(spark, f"{root}/index").read().select("id", *PARTITION_COLS)
 
 
+# Hours in which a table had an insert count as covered: gaps of every length, at tables and times the data gives.
+@register(
+    "run_gaps",
+    _with(
+        O.changelog_cte(),
+        """hours AS (SELECT range AS h FROM (SELECT min(action_tstamp_tx) // 3600 AS a, max(action_tstamp_tx) // 3600 AS b FROM changelog), range(a, b + 1))""",
+        """open AS (
+  SELECT table_name, h, h - row_number() OVER (PARTITION BY table_name ORDER BY h) AS g
+  FROM (SELECT DISTINCT table_name FROM changelog), hours
+  WHERE (table_name, h) NOT IN (SELECT (table_name, action_tstamp_tx // 3600) FROM changelog WHERE action = 'I'))""",
+    )
+    + """SELECT table_name, CAST(3600 * min(h) AS BIGINT) AS lo, CAST(3600 * max(h) + 3599 AS BIGINT) AS hi FROM open GROUP BY table_name, g""",
+)
+def q_run_gaps(spark, sf_dir):
+    """What a ledger of runs leaves uncovered, by table, over the whole change log."""
+    log = read_changelog(spark, sf_dir)
+    hour = F.floor(F.col("action_tstamp_tx") / 3600).cast("bigint")
+    lo, hi = log.agg(F.min(hour), F.max(hour)).first()
+    covered = log.where("action = 'I'").select("table_name", (hour * 3600).alias("lo")).distinct().withColumn("hi", F.col("lo") + 3599)
+    path = scratch_path(spark, "ledger")
+    ledger.record(covered, path, "hourly")
+    return ledger.gaps(ledger.read(spark, path), log.select("table_name").distinct(), lo * 3600, hi * 3600 + 3599)
+
+
+@register(
+    "catch_up",
+    _with(O.changelog_cte(), O.snapshot_cte(), O.net_cte(TABLE, RUN_DATE, 2))
+    + """SELECT id, customer_id, amount + (SELECT count(*) FROM net n WHERE n.id = s.id AND net_action = 'U') AS amount,
+  created_at, updated_at, year, month, day
+FROM snapshot s WHERE id NOT IN (SELECT id FROM net WHERE net_action = 'D')""",
+)
+def q_catch_up(spark, sf_dir):
+    """Three days of changes; the run of the second day is missed, and the third day's run catches up."""
+    root = scratch_path(spark, "catch-up")
+    specs, path = (spec_for(TABLE),), f"{root}/ledger"
+    log = read_changelog(spark, sf_dir, day_window(RUN_DATE, 2)[0], HI)
+    source = read_snapshot(spark, sf_dir, TABLE)
+    first = RUN_DATE - _dt.timedelta(days=9)
+    ledger.backfill(spark, path, {TABLE: source}, root, first, RUN_DATE - _dt.timedelta(days=3), "initial", specs)
+    for back in (2, 1, 0):
+        day = RUN_DATE - _dt.timedelta(days=back)
+        _edited_source(source, cdc.net_actions(log, TABLE, *day_window(day))).write.parquet(f"{root}/source-{back}")
+        source = spark.read.parquet(f"{root}/source-{back}")
+        if back != 1:
+            ledger.catch_up(spark, path, log, {TABLE: source}, root, first, day, specs)
+    return lake.read_lake(spark, f"{root}/{specs[0].folder}").select(*source.columns)
+
+
+OVERLAP = 20 * 86_400
+
+
+@register(
+    "incremental_two_runs",
+    _with(*O.edit_pair_ctes())
+    + f"""SELECT id, updated_at, 1 AS run FROM old
+UNION ALL
+SELECT id, updated_at, 2 FROM new WHERE updated_at >= (SELECT max(updated_at) FROM old) - {OVERLAP}
+  AND (id, updated_at) NOT IN (SELECT (id, updated_at) FROM old)""",
+)
+def q_incremental_two_runs(spark, sf_dir):
+    """Two runs over a table that changes in between: new versions and late rows within the overlap come once."""
+    root = scratch_path(spark, "watermark")
+    slices = []
+    for run, source in enumerate(read_edit_pair(spark, sf_dir), 1):
+        mark = Watermark(spark, f"{root}/state", overlap=OVERLAP)  # as a new process would
+        taken = mark.extract(source)
+        taken.rows.write.parquet(f"{root}/run-{run}")
+        mark.commit(taken)
+        slices.append(spark.read.parquet(f"{root}/run-{run}").select("id", "updated_at", F.lit(run).alias("run")))
+    return slices[0].unionByName(slices[1])
+
+
+@register(
+    "lake_drift",
+    _with(*O.edit_pair_ctes())
+    + """SELECT coalesce(o.id, n.id) AS id, coalesce(o.year, n.year) AS year, coalesce(o.month, n.month) AS month, coalesce(o.day, n.day) AS day,
+  CASE WHEN n.id IS NULL THEN 'lake' WHEN o.id IS NULL THEN 'source' ELSE 'both' END AS side
+FROM old o FULL JOIN new n ON o.id = n.id AND o.year = n.year AND o.month = n.month AND o.day = n.day
+WHERE o.id IS NULL OR n.id IS NULL OR o.customer_id <> n.customer_id OR o.amount <> n.amount OR o.updated_at <> n.updated_at""",
+)
+def q_lake_drift(spark, sf_dir):
+    """Rows in which a stored lake has drifted from its source, found without the log."""
+    old, new = read_edit_pair(spark, sf_dir)
+    path = scratch_path(spark, "drifted")
+    lake.backfill(old, path)
+    return drift.drift(lake.read_lake(spark, path, schema=old.schema), new, span=1000)
+
+
 @register(
     "backfill",
     _with(O.snapshot_cte()) + "SELECT year, month, day, count(*) AS n_rows FROM snapshot GROUP BY year, month, day",
