@@ -143,3 +143,19 @@ def test_sized_conf_clamps_shuffle_partitions():
     assert sized_conf(100 * TARGET_PARTITION_BYTES, 8)["spark.sql.shuffle.partitions"] == "64"  # capped at 8 per core
     assert sized_conf(100 * 10**12, 8000)["spark.sql.shuffle.partitions"] == "64000"
     assert sized_conf(1000 * TARGET_PARTITION_BYTES, 400)["spark.sql.shuffle.partitions"] == "1000"
+
+
+def test_fk_orphans_of_several_keys_at_once(spark):
+    child = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, None, "a"), (None, 9, None), (3, 9, "c")], "x long, y int, z string")
+    other = spark.createDataFrame([(1,), (7,), (7,)], "x int")
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, None)], "k long, t string")
+    frames = {"child": child, "other": other, "parent": parent}
+    fks = [("child", "x", "parent", "k"), ("child", "y", "parent", "k"), ("other", "x", "parent", "k"), ("child", "x", "other", "x"),
+           ("parent", "k", "child", "x")]
+    for own in (fks, fks + [("child", "z", "parent", "t")], fks[:1]):
+        df = quality.dq_fk_orphans_all(frames, own)
+        got = {(r["table_name"], r["column_name"], i): r["n_violations"] for i, r in enumerate(df.collect())}
+        want = {(c, k, i): quality.dq_fk_orphans(frames[c], k, frames[p], pk, c).first()["n_violations"] for i, (c, k, p, pk) in enumerate(own)}
+        assert got == want and sum(want.values()) > 0
+    plan = quality.dq_fk_orphans_all(frames, fks)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1

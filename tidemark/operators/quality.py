@@ -63,6 +63,44 @@ def dq_fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, table:
     return _rows(orphans.agg(F.sum("_n").alias("n")), [("fk_exists", table, fk, "n")])
 
 
+def dq_fk_orphans_all(frames: dict[str, DataFrame], fks) -> DataFrame:
+    """``dq_fk_orphans`` of any foreign keys ``(child, column, parent, key column)`` at once.
+
+    Every child is scanned once: its key columns are stacked as ``(column, key)`` and reduced to row counts before they
+    move. Every parent is scanned once per key column it is referred by: a key carries one bit for each
+    constraint that it satisfies. The two meet in one join, with one shuffle each, however many constraints there are.
+    Keys are compared as bigint if all are integers, else as text.
+    """
+    fks = list(fks)
+    whole = all(frames[t].schema[c].dataType.typeName() in ("byte", "short", "integer", "long") for f in fks for t, c in (f[:2], f[2:]))
+    as_key = lambda c: F.col(c).cast("bigint" if whole else "string")
+    columns = list(dict.fromkeys((c, fk) for c, fk, _, _ in fks))
+    place = lambda rows: rows.where("r._k IS NOT NULL").select("r.*")
+
+    def stacked(df: DataFrame, entries) -> DataFrame:
+        return place(df.select(F.explode(F.array(*[F.struct(*e) for e in entries])).alias("r")))
+
+    children = [
+        stacked(frames[t], [(F.lit(i).alias("_c"), as_key(fk).alias("_k")) for i, (own, fk) in enumerate(columns) if own == t])
+        for t in dict.fromkeys(c for c, _ in columns)
+    ]
+    parents = [
+        stacked(frames[t], [
+            (F.lit(columns.index((c, fk))).alias("_c"), as_key(pk).alias("_k"), F.lit(1 << n).cast("bigint").alias("_bit"))
+            for n, (c, fk, p, pk) in enumerate(fks) if (p, pk) == (t, key)])
+        for t, key in dict.fromkeys((p, pk) for _, _, p, pk in fks)
+    ]
+    counts = reduce(DataFrame.unionByName, children).groupBy("_c", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    known = reduce(DataFrame.unionByName, parents).groupBy("_c", "_k").agg(F.bit_or("_bit").alias("_bits"))
+    bits = F.coalesce("_bits", F.lit(0).cast("bigint"))
+    sums = [
+        F.sum(F.when((F.col("_c") == columns.index((c, fk))) & (bits.bitwiseAND(F.lit(1 << n).cast("bigint")) == 0), F.col("_n"))).alias(f"n{n}")
+        for n, (c, fk, _, _) in enumerate(fks)
+    ]
+    agg = counts.join(known, ["_c", "_k"], "left").agg(*sums)
+    return _rows(agg, [("fk_exists", c, fk, f"n{n}") for n, (c, fk, _, _) in enumerate(fks)])
+
+
 def dq_action_domain(log: DataFrame, table: str = "logged_actions") -> DataFrame:
     """Rows whose action is outside I, D, U, T (Q4); a NULL passes, as in a CHECK constraint."""
     bad = log.agg(F.count_if(F.col("action").isNotNull() & ~F.col("action").isin(*ACTIONS)).alias("n"))
@@ -83,7 +121,10 @@ def declared_checks(frames: dict[str, DataFrame]) -> DataFrame:
         limits = {c: n for c, n in VARCHAR_LENGTHS.get(table, {}).items() if c in df.columns}
         parts.append(_column_checks(df, table, required, limits))
         parts.append(dq_pk_duplicates(df, table, ["id"]))
-    for child, column, parent in FOREIGN_KEYS:
-        if child in frames and parent in frames and column in frames[child].columns:
-            parts.append(dq_fk_orphans(frames[child], column, frames[parent], "id", child))
+    fks = [
+        (child, column, parent, "id") for child, column, parent in FOREIGN_KEYS
+        if child in frames and parent in frames and column in frames[child].columns
+    ]
+    if fks:
+        parts.append(dq_fk_orphans_all(frames, fks))
     return reduce(DataFrame.unionByName, parts)

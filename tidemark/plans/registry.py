@@ -797,7 +797,7 @@ _FKS = (("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderk
 )
 def q_dq_fk_orphans(spark, sf_dir):
     rd = lambda t: spark.read.parquet(table_path(sf_dir, t))
-    return reduce(DataFrame.unionByName, [quality.dq_fk_orphans(rd(c), fk, rd(p), pk, c) for c, fk, p, pk in _FKS])
+    return quality.dq_fk_orphans_all({t: rd(t) for f in _FKS for t in (f[0], f[2])}, _FKS)
 
 
 @register(
