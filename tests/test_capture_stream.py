@@ -1,0 +1,80 @@
+"""Stateful capture from snapshots against the differences of consecutive snapshots; session facts."""
+
+import datetime as dt
+import random
+
+from helpers import src_df
+from pyspark.sql import functions as F
+from tidemark.operators import capture
+from tidemark.specs import TableSpec
+from tidemark.streaming import capture_stream as C
+
+D1 = dt.date(2024, 1, 1)
+
+
+def history(n, seed):
+    """Snapshots in which keys come, change, go and come back."""
+    r, rows = random.Random(seed), {}
+    for _ in range(n):
+        for k in range(30):
+            x = r.random()
+            if x < 0.15:
+                rows.pop(k, None)
+            elif x < 0.4:
+                rows[k] = (k, r.randint(1, 9), D1 + dt.timedelta(days=r.randint(0, 5)))
+        yield list(rows.values())
+
+
+def want(spark, snapshots):
+    out, before = [], src_df(spark, [])
+    for n, rows in enumerate(snapshots, 1):
+        now = src_df(spark, rows)
+        out += [(n, r["action"], r["row_data"], r["changed_fields"]) for r in capture.snapshot_diff(before, now, "t", now=dt.datetime(2024, 1, 1)).collect()]
+        before = now
+    return sorted(out, key=str)
+
+
+def run(spark, root, schema, **kw):
+    query = C.stream_capture(spark, f"{root}/in", schema, f"{root}/out", f"{root}/state", **kw)
+    query.awaitTermination()
+    assert query.exception() is None
+    return sorted(map(tuple, spark.read.parquet(f"{root}/out").collect()), key=str)
+
+
+def test_all_snapshots_in_one_batch(spark, tmpdir_fresh):
+    snapshots = list(history(5, 1))
+    for n, rows in enumerate(snapshots, 1):
+        C.write_snapshot(src_df(spark, rows).coalesce(2), f"{tmpdir_fresh}/in", n)
+    assert run(spark, tmpdir_fresh, src_df(spark, []).schema) == want(spark, snapshots)
+
+
+def test_restarts_emit_each_event_once(spark, tmpdir_fresh):
+    snapshots, schema = list(history(4, 2)), src_df(spark, []).schema
+    for n, rows in enumerate(snapshots, 1):
+        C.write_snapshot(src_df(spark, rows).coalesce(1), f"{tmpdir_fresh}/in", n)
+        got = run(spark, tmpdir_fresh, schema, max_files_per_trigger=1)  # rows and mark in batches of their own
+        assert got == want(spark, snapshots[:n])
+    assert run(spark, tmpdir_fresh, schema) == got
+
+
+def test_no_delete_before_the_mark(spark, tmpdir_fresh):
+    """A snapshot that has arrived in part says nothing yet about the keys that it seems to lack."""
+    schema = src_df(spark, []).schema
+    C.write_snapshot(src_df(spark, [(1, 1, D1), (2, 2, D1), (3, 3, D1)]).coalesce(1), f"{tmpdir_fresh}/in", 1)
+    part = src_df(spark, [(1, 1, D1)]).select(F.lit(2).cast("bigint").alias("snapshot"), F.lit(False).alias("complete"), "*")
+    part.coalesce(1).write.mode("append").parquet(f"{tmpdir_fresh}/in")
+    assert [x[1] for x in run(spark, tmpdir_fresh, schema)] == ["I"] * 3
+    C.write_snapshot(src_df(spark, [(2, 5, D1)]).coalesce(1), f"{tmpdir_fresh}/in", 2)
+    got = run(spark, tmpdir_fresh, schema)
+    assert got[3:] and sorted(x[1:3] for x in got if x[0] == 2) == [("D", 3), ("U", 2)]
+
+
+def test_session_facts(spark):
+    old, new = src_df(spark, [(1, 1, D1)]), src_df(spark, [(1, 2, D1)])
+    events = capture.snapshot_diff(old, new, "t", now=dt.datetime(2024, 1, 2))
+    facts = capture.SessionFacts.of(spark, 7, dt.datetime(2024, 1, 2, 3, 4, 5), "UPDATE t")
+    row = capture.with_session_facts(events, facts).first()
+    assert row["application_name"] == spark.conf.get("spark.app.name") and row["session_user_name"] and row["client_addr"]
+    assert (row["transaction_id"], row["client_query"], row["action_tstamp_stm"]) == (7, "UPDATE t", dt.datetime(2024, 1, 2, 3, 4, 5))
+    quiet = capture.with_session_facts(events, capture.SessionFacts(), spec=TableSpec("t", audit_query_text=False)).first()
+    assert quiet["client_query"] is None and quiet["transaction_id"] is None and quiet["action_tstamp_clk"] is not None

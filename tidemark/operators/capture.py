@@ -9,12 +9,13 @@ null-safe). Keys are unique per snapshot, so the join cannot fan out or skew.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timeutil import date_parts, epoch_to_date, now_epoch
+from ..functions.timeutil import date_parts, epoch_to_date, now_epoch, ntz_literal
 from .keysets import MAX_BROADCAST_KEYS, bounded_broadcast
 
 DIFF_COLS = (
@@ -83,14 +84,55 @@ def snapshot_diff(
         "event_id", F.xxhash64("table_name", "row_data", "action", "action_tstamp_tx")
     ).select(*DIFF_COLS)
     if session_columns:
-        # Who and what produced the events; the clock is the injected now
-        app = old.sparkSession.conf.get("spark.app.name", None)
-        out = out.withColumns(
-            {"session_user_name": F.current_user(), "application_name": F.lit(app).cast("string")}
-        )
+        facts = SessionFacts.of(old.sparkSession)
+        out = out.withColumns({"session_user_name": facts.user_column(), "application_name": F.lit(facts.application).cast("string")})
     return out
 
 
+@dataclass(frozen=True)
+class SessionFacts:
+    """Who and what produced a batch of events, as the change log keeps it.
+
+    The statement's and the wall clock's time, the transaction, the application, the client's address and port, the user and the query's
+    text. All are given, so that a rerun of a batch writes the same rows; ``of`` takes them from the session.
+    """
+
+    statement_time: _dt.datetime | None = None
+    clock_time: _dt.datetime | None = None
+    transaction_id: int | None = None
+    application: str | None = None
+    client_addr: str | None = None
+    client_port: int | None = None
+    user: str | None = None
+    query: str | None = None
+
+    @classmethod
+    def of(cls, spark, transaction_id: int | None = None, now: _dt.datetime | None = None, query: str | None = None) -> SessionFacts:
+        """Facts of a Spark session: its application name, the driver's host and port; one clock for both times."""
+        get = lambda k: spark.conf.get(k, None)
+        port = get("spark.driver.port")
+        return cls(now, now, transaction_id, get("spark.app.name"), get("spark.driver.host"), int(port) if port else None, None, query)
+
+    def user_column(self) -> Column:
+        return F.current_user() if self.user is None else F.lit(self.user)
+
+
+def with_session_facts(events: DataFrame, facts: SessionFacts, schema_name: str = "public", spec=None) -> DataFrame:
+    """Events in the whole layout of the change log: their own columns and those of the session.
+
+    Times without a value are the batch's current time. The query's text is left out where the spec says so (F10).
+    """
+    time = lambda t: F.current_timestamp().cast("timestamp_ntz") if t is None else ntz_literal(t)
+    text = facts.query if spec is None or spec.audit_query_text is not False else None
+    return events.select(
+        "event_id", F.lit(schema_name).alias("schema_name"), "table_name", facts.user_column().alias("session_user_name"), "action_tstamp_tx",
+        time(facts.statement_time).alias("action_tstamp_stm"), time(facts.clock_time).alias("action_tstamp_clk"),
+        F.lit(facts.transaction_id).cast("bigint").alias("transaction_id"), F.lit(facts.application).cast("string").alias("application_name"),
+        F.lit(facts.client_addr).cast("string").alias("client_addr"), F.lit(facts.client_port).cast("int").alias("client_port"),
+        F.lit(text).cast("string").alias("client_query"), "action", "row_data", "changed_fields", "statement_only",
+    )
+
+
 def statement_events(
     old: DataFrame,
     new: DataFrame,

@@ -25,6 +25,7 @@ from ..sinks.key_index import KeyIndex
 from ..sources import files, jdbc
 from ..sources.canonical import MANY_DATES, read_changelog, read_edit_pair, read_snapshot, table_path
 from ..specs import CHANGELOG_SCHEMA, FOREIGN_KEYS, PARTITION_COLS, LITERAL_DEFAULTS, NOW_EPOCH_DEFAULTS, SCHEMAS, TABLE_NAMES, VARCHAR_LENGTHS, TableSpec, spec_for
+from ..streaming import capture_stream
 from ..streaming import lake_stream as streams
 from . import ledger, recoverable
 from . import refresh as refresh_plan
@@ -490,6 +491,41 @@ def q_snapshot_diff_ignore(spark, sf_dir):
     return capture.audit_events(old, new, TableSpec(TABLE, ignored_cols=("updated_at",)), now=NOW).select(*DIFF_OUT)
 
 
+FACTS = capture.SessionFacts(
+    NOW, NOW + _dt.timedelta(milliseconds=250), 4711, "nightly-load", "192.0.2.10", 40123, "loader", "UPDATE orders SET amount = amount + 1")
+
+
+@register(
+    "session_facts",
+    _with(*O.edit_pair_ctes(), O.diff_cte(TABLE, NOW_EPOCH))
+    + f"""SELECT 'public' AS schema_name, table_name, 'loader' AS session_user_name, action_tstamp_tx,
+  TIMESTAMP '{NOW}' AS action_tstamp_stm, TIMESTAMP '{NOW}.25' AS action_tstamp_clk, CAST(4711 AS BIGINT) AS transaction_id,
+  'nightly-load' AS application_name, '192.0.2.10' AS client_addr, 40123 AS client_port, '{FACTS.query}' AS client_query, action, row_data,
+  changed_fields, statement_only FROM diff""",
+)
+def q_session_facts(spark, sf_dir):
+    """Row events with every fact of the session that the change log keeps; the event id is a hash and has no SQL form."""
+    old, new = read_edit_pair(spark, sf_dir)
+    return capture.with_session_facts(capture.snapshot_diff(old, new, TABLE, now=NOW), FACTS, spec=spec_for(TABLE)).drop("event_id")
+
+
+@register(
+    "stream_capture",
+    _with(*O.edit_pair_ctes(), "none AS (SELECT * FROM old WHERE false)", O.diff_cte(TABLE, 0, old="none", new="old", name="d1"),
+          O.diff_cte(TABLE, 0, name="d2"), O.diff_cte(TABLE, 0, old="new", new="old", name="d3"))
+    + " UNION ALL ".join(f"SELECT CAST({n} AS BIGINT) AS snapshot, action, row_data, changed_fields FROM d{n}" for n in (1, 2, 3)),
+)
+def q_stream_capture(spark, sf_dir):
+    """Three snapshots, the last like the first, through the stateful stream, which is stopped and started in between."""
+    old, new = read_edit_pair(spark, sf_dir)
+    root = scratch_path(spark, "stream-capture")
+    for n, snapshot in enumerate((old, new, old), 1):
+        capture_stream.write_snapshot(snapshot, f"{root}/in", n)
+        if n > 1:
+            capture_stream.stream_capture(spark, f"{root}/in", old.schema, f"{root}/out", f"{root}/state").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 @register(
     "statement_events",
     _with(*O.edit_pair_ctes(), O.diff_cte(TABLE, NOW_EPOCH))
