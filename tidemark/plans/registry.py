@@ -20,7 +20,7 @@ from ..functions.timeutil import day_window, epoch_parts, epoch_seconds, epoch_t
 from ..operators import capture, cdc, drift, extract, quality, seed
 from ..operators.watermark import Watermark
 from ..session import scratch_path
-from ..sinks import lake, publish
+from ..sinks import changelog_store, lake, publish
 from ..sinks.key_index import KeyIndex
 from ..sources import files, jdbc
 from ..sources.canonical import MANY_DATES, read_changelog, read_edit_pair, read_snapshot, table_path
@@ -603,6 +603,23 @@ def q_audit_history(spark, sf_dir):
     return extract.audit_history(read_changelog(spark, sf_dir), "product")
 
 
+@register(
+    "changelog_by_key",
+    _with(O.changelog_cte(), O.net_cte(TABLE, RUN_DATE))
+    + f"""SELECT * FROM changelog WHERE table_name = '{TABLE}' AND row_data IN (SELECT id FROM net WHERE net_action = 'D')""",
+)
+def q_changelog_by_key(spark, sf_dir):
+    """The whole history of the keys that one day's run deletes, from the stored log; one day is loaded twice."""
+    log = read_changelog(spark, sf_dir)
+    path = scratch_path(spark, "changelog")
+    first, last = (r.date() for r in spark.read.parquet(table_path(sf_dir, "events")).agg(F.min("ts"), F.max("ts")).first())
+    changelog_store.load(log, path, first, last)
+    changelog_store.load(log, path, RUN_DATE, RUN_DATE)
+    today = changelog_store.read(spark, path, log.schema, RUN_DATE, RUN_DATE)
+    deleted = cdc.net_actions(today, TABLE, LO, HI).filter(F.col("net_action") == "D").select("id")
+    return changelog_store.history(changelog_store.read(spark, path, log.schema), TABLE, deleted)
+
+
 @register(
     "audited_tables",
     _with(O.changelog_cte())
