@@ -20,7 +20,7 @@ from ..functions.timeutil import day_window, epoch_parts, epoch_seconds, epoch_t
 from ..operators import capture, cdc, drift, extract, quality, seed
 from ..operators.watermark import Watermark
 from ..session import scratch_path
-from ..sinks import changelog_store, lake, publish
+from ..sinks import changelog_store, compact, lake, publish
 from ..sinks.key_index import KeyIndex
 from ..sources import files, jdbc
 from ..sources.canonical import MANY_DATES, read_changelog, read_edit_pair, read_snapshot, table_path
@@ -1021,6 +1021,13 @@ def q_seed_backdate(spark, sf_dir):
 )
 def q_stream_lake_copy(spark, sf_dir):
     """Events dropped as date-partitioned files, copied by a file stream into a lake, read back."""
+    dst, _ = _streamed_events(spark, sf_dir)
+    back = lake.read_lake(spark, dst)
+    return back.groupBy(*PARTITION_COLS).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("user_id").alias("sum_user"))
+
+
+def _streamed_events(spark, sf_dir):
+    """The events as a streamed copy of a date-partitioned folder, and their schema."""
     ev = spark.read.parquet(table_path(sf_dir, "events")).withColumn("_e", epoch_seconds("ts"))
     ev = ev.select("event_id", "ts", "user_id", "event_type", "value", "props", *epoch_parts("_e"))
     src = scratch_path(spark, "stream-src")
@@ -1029,8 +1036,21 @@ def q_stream_lake_copy(spark, sf_dir):
     sch = files.schema_from_sample(spark, sample, src, {c: T.LongType() for c in PARTITION_COLS})
     dst, ck = scratch_path(spark, "stream-dst"), scratch_path(spark, "stream-ck")
     streams.stream_lake_copy(spark, src, dst, ck, sch, max_files_per_trigger=8).awaitTermination()
-    back = lake.read_lake(spark, dst)
-    return back.groupBy(*PARTITION_COLS).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("user_id").alias("sum_user"))
+    return dst, sch
+
+
+@register(
+    "compact_lake",
+    f"""SELECT event_id, user_id, event_type, value, props, {O.parts('epoch_us(ts) // 1000000')} FROM events""",
+)
+def q_compact_lake(spark, sf_dir):
+    """A lake that got every event twice, in files of their own, packed and read back: the rows that are there exactly twice."""
+    dst, sch = _streamed_events(spark, sf_dir)
+    again = spark.read.schema(sch).parquet(dst)
+    again.hint("rebalance", *PARTITION_COLS).write.mode("append").partitionBy(*PARTITION_COLS).parquet(dst)
+    compact.compact_lake(spark, dst, sch)
+    back = lake.read_lake(spark, dst, schema=sch).groupBy(*[c for c in sch.names if c != "ts"], "ts").agg(F.count(F.lit(1)).alias("n"))
+    return back.where("n = 2").select("event_id", "user_id", "event_type", "value", "props", *PARTITION_COLS)
 
 
 def _stream_refresh_sql() -> str:

@@ -71,6 +71,22 @@ class Files:
     def remove(self, path: str) -> None:
         self.fs.delete(self.path(path), True)
 
+    def remove_empty(self, path: str) -> None:
+        """Remove a folder unless something is in it, also if that comes in just now."""
+        p = self.path(path)
+        try:
+            if self.fs.exists(p) and not self.fs.listStatus(p):
+                self.fs.delete(p, False)
+        except Exception:  # noqa: BLE001 - another run has begun to use it, or has removed it
+            pass
+
+    def sizes(self, path: str, suffix: str = ".parquet") -> dict[str, int]:
+        """Bytes of each data file in a folder, by name."""
+        if not self.exists(path):
+            return {}
+        found = [(s.getPath().getName(), s.getLen()) for s in self.fs.listStatus(self.path(path)) if s.isFile()]
+        return {n: size for n, size in found if n.endswith(suffix) and not n.startswith(("_", "."))}
+
     def prune(self, path: str, root: str) -> None:
         """Remove the empty folders above ``path``, up to ``root``."""
         p = self.path(path).getParent()
@@ -135,6 +151,19 @@ class Run:
                 self.swaps.append(Swap(target, f"{root}/{STAGING}/{self.name}/old/{p}", had, f"{self.stage(root)}/{p}" if p in staged else None))
         return sorted(staged), sorted(asked - staged)
 
+    def add(self, folder: str, names: str) -> list[str]:
+        """Plan to put the staged data files of a partition beside those it has, as ``<names>-<number>.parquet``."""
+        added = []
+        for i, name in enumerate(sorted(self.files.sizes(f"{self.stage()}/{folder}"))):
+            target = f"{folder}/{names}-{i:05d}.parquet"
+            self.swaps.append(Swap(f"{self.root}/{target}", f"{self.root}/{STAGING}/{self.name}/old/{target}", False, f"{self.stage()}/{folder}/{name}"))
+            added.append(target)
+        return added
+
+    def drop(self, paths: Iterable[str]) -> None:
+        """Plan to remove files (relative to the root)."""
+        self.swaps += [Swap(f"{self.root}/{p}", f"{self.root}/{STAGING}/{self.name}/old/{p}", True) for p in paths]
+
     def publish(self) -> None:
         self.step("journal")
         roots = sorted({s.target.rpartition(f"/{p}")[0] for s in self.swaps for p in [_relative(s, self.name)]} | {self.root})
@@ -174,8 +203,7 @@ class Run:
         for root in [r for r in roots if r != self.root] + [self.root]:
             self.step(f"clean {root}")
             self.files.remove(f"{root}/{STAGING}/{self.name}")
-            if not self.files.folders(f"{root}/{STAGING}"):
-                self.files.remove(f"{root}/{STAGING}")
+            self.files.remove_empty(f"{root}/{STAGING}")
 
     def recover(self, mode: str) -> str:
         if self.files.exists(f"{self.folder}/{DONE}"):
@@ -203,16 +231,17 @@ def pending(spark: SparkSession, root: str) -> list[str]:
 
 
 def recover(spark: SparkSession, root: str, mode: str = "resume", also: Iterable[str] = (),
-            step: Callable[[str], None] | None = None) -> dict[str, str]:
+            step: Callable[[str], None] | None = None, prefix: str = "") -> dict[str, str]:
     """Bring what earlier runs have left below ``root`` to an end: run -> resumed, undone, discarded or cleaned.
 
     ``also``: other roots that runs of this one stage in (a key index); what a run without a journal staged there goes
-    as well. Not for use while another run publishes to the same root.
+    as well. Not for use while such a run is at work: with ``prefix``, only runs of that name are looked at, so that
+    jobs which change different files may work side by side.
     """
     if mode not in ("resume", "undo"):
         raise ValueError(f"unknown mode {mode!r}: resume or undo")
-    out = {name: Run(spark, root, name, step).recover(mode) for name in pending(spark, root)}
+    out = {name: Run(spark, root, name, step).recover(mode) for name in pending(spark, root) if name.startswith(prefix)}
     for other in also:
-        for name in pending(spark, other):
+        for name in (n for n in pending(spark, other) if n.startswith(prefix)):
             Run(spark, other, name, step).recover(mode)
     return out

@@ -1,7 +1,9 @@
 """Structured Streaming: lake copy and change-driven partition refresh.
 
-``stream_lake_copy`` is a file source with a supplied schema feeding an append-only
-parquet sink; the checkpoint's offset and sink logs make a restart add nothing twice.
+``stream_lake_copy`` is a file source with a supplied schema. Each batch is written beside the lake, rebalanced on
+its days by size (a day that holds most of a batch gets several tasks, small days share one), and its
+files are then added to the day folders under a journal, together with the batch's number: a batch that
+Spark runs again after a stop adds nothing twice. The lake has no file list of its own, so files may be compacted beside it.
 
 ``stream_partition_refresh`` runs the batch refresh on the change-log files that each
 trigger finds, through ``foreachBatch``. A partition rewrite costs the whole partition
@@ -14,6 +16,10 @@ are needed.
 
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.timeutil import epoch_parts
 from ..operators import cdc
 from ..operators.keysets import bounded_key_values
-from ..sinks import lake
+from ..sinks import lake, publish
 from ..specs import ACTIONS, PARTITION_COLS, TableSpec
 
 
@@ -36,26 +42,42 @@ def stream_lake_copy(
     partition_cols=PARTITION_COLS,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
-    files_per_day: int = 4,
+    step: Callable[[str], None] | None = None,
 ) -> StreamingQuery:
-    """Copy new parquet files of ``src_dir`` into a partitioned lake at ``dst_dir``."""
+    """Copy new parquet files of ``src_dir`` into a partitioned lake at ``dst_dir``.
+
+    Several copies may feed one lake, each with a checkpoint of its own.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(src_dir)
-    # a day's rows of a batch meet in `files_per_day` tasks, instead of one file per task and day
-    rest = [F.col(f"`{f.name}`") for f in schema.fields if f.name not in partition_cols]
-    piece = F.pmod(F.xxhash64(*rest), F.lit(files_per_day))
-    stream = stream.repartition(*[F.col(c) for c in partition_cols], piece)
-    writer = (
-        stream.writeStream.format("parquet")
-        .partitionBy(*partition_cols)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-    )
+    name = f"copy-{hashlib.md5(checkpoint.rstrip('/').encode()).hexdigest()[:12]}"
+    root, state = dst_dir.rstrip("/"), f"_copied/{name}.json"
+
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        publish.recover(spark, root, prefix=f"{name}-", step=step)
+        files = publish.Files(spark, root)
+        had = files.exists(f"{root}/{state}")
+        if had and json.loads(files.read(f"{root}/{state}"))["batch"] >= epoch_id:
+            return  # published before the stop
+        run = publish.Run(spark, root, f"{name}-{epoch_id}", step)
+        conf = batch.sparkSession.conf
+        adaptive = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "true")  # off in a stream's session; it sizes the tasks of this write
+        try:
+            batch.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(run.stage())
+        finally:
+            conf.set("spark.sql.adaptive.enabled", adaptive)
+        for folder in publish.partition_folders(files, run.stage(), len(partition_cols)):
+            run.add(folder, f"{name}-{epoch_id}")
+        files.write(f"{run.stage()}/{state}", json.dumps({"batch": epoch_id}))
+        run.swaps.append(publish.Swap(f"{root}/{state}", f"{run.folder}/old/{state}", had, f"{run.stage()}/{state}"))
+        run.publish()
+
+    writer = reader.parquet(src_dir).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start(dst_dir)
+    return writer.start()
 
 
 def batch_affected(
