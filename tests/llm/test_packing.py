@@ -81,9 +81,51 @@ def test_search_against_exact_packing():
     assert more <= 1
 
 
+def packed(patterns, lengths, capacity):
+    used = Counter()
+    for items, times in patterns:
+        assert times > 0 and sum(v * n for v, n in items) <= capacity
+        for v, n in items:
+            used[v] += n * times
+    assert used == Counter(lengths)
+    return P._sequences(patterns)
+
+
+def test_small_sets_are_packed_exactly():
+    r = random.Random(4)
+    for _ in range(200):
+        top = r.choice([8, 20, 20])
+        lengths = [r.randint(1, top) for _ in range(r.randint(1, 11))]
+        assert packed(P.complete_bins(dict(Counter(lengths)), 20), lengths, 20) == least_bins(lengths, 20)
+
+
+def test_triples_that_fill_their_sequences(caplog):
+    for seed in range(2):
+        r, lengths = random.Random(seed), []
+        while len(lengths) < 900:
+            a, b = r.randint(1000, 1900), r.randint(1000, 1900)
+            if 1000 <= 4096 - a - b <= 1900:
+                lengths += [a, b, 4096 - a - b]
+        n = packed(P.complete_bins(dict(Counter(lengths)), 4096), lengths, 4096)
+        assert n <= 303
+        assert n == 300 or "at least 300 are needed" in caplog.text
+
+
+def test_coarse_lengths_in_large_numbers():
+    r = random.Random(5)
+    histogram = {v: r.randint(20, 200) * 10**6 for v in r.sample(range(300, 2000), 14)}
+    lone = P._sequences(P.complete_bins(histogram, 4096, steps=0))
+    patterns = P.complete_bins(histogram, 4096)
+    used = Counter()
+    for items, times in patterns:
+        for v, n in items:
+            used[v] += n * times
+    assert used == Counter(histogram) and P._sequences(patterns) <= lone
+
+
 def test_beats_best_fit_where_that_wastes():
     lengths = {6: 20, 5: 40, 4: 20}  # 20 sequences of 6 + 5 + 5 + 4; best fit takes 6 + 6 + 6 first
-    assert P._sequences(P.complete_bins(lengths, 20, max_nodes=0)) > 20
+    assert P._sequences(P.complete_bins(lengths, 20, max_nodes=0, steps=0)) > 20
     assert P._sequences(P.complete_bins(lengths, 20)) == 20
 
 

@@ -2,13 +2,15 @@
 
 Texts are tokenized and cut into pieces of at most ``capacity`` tokens (only longer ones are cut).
 How pieces combine depends on their lengths alone, so the search runs on the histogram of
-lengths: at most ``capacity`` numbers, whatever the corpus. For the longest length left, the
-fillings of the rest of its sequence are enumerated, longest piece first and undominated
-(nothing left over would still fit, and equal lengths are used in one order only). The
-incumbent is the best-fit filling; a branch is cut when even a full use of its room
-could not beat it, or when the waste so far exceeds what a better packing than best-fit
-decreasing may waste. The best filling is used as often as the histogram allows. If an attempt can not
-beat best-fit decreasing, that packing stays.
+lengths: at most ``capacity`` numbers, whatever the corpus.
+
+Best-fit decreasing is the first incumbent; a second one takes for the longest length left the filling of the least waste
+found, as often as the histogram allows. Where the incumbent needs more sequences than the total length does, bin completion
+follows: around the longest piece, the fillings that no piece left out could better are enumerated, least waste first, each
+is tried in turn, and a branch ends when its waste passes what one sequence fewer may waste, or when the same pieces have
+failed before. Up to ``EXACT_PIECES`` pieces are searched as a whole, so their packing is the best there is. Of more,
+groups of sequences that together waste one are completed anew with some others, one sequence fewer,
+until the bound is met or ``MAX_STEPS`` are taken, which is logged.
 
 The result of the search is a table of slots: for each (pattern, length) a run of ranks
 and where these go. Pieces get their rank within their length from a count per
@@ -26,9 +28,12 @@ documents the result is empty. Ids may be null; they are only carried.
 
 from __future__ import annotations
 
+import logging
+import random
 import unicodedata
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +50,12 @@ END_ID = 1
 MAX_KNOWN = 600_000
 #: Words given to the tokenizer at once.
 AT_ONCE = 10_000
-#: Nodes that the search for one filling may visit beyond its best-fit incumbent.
+#: Nodes that the search for one filling of the second incumbent may visit.
 MAX_NODES = 20_000
+#: Pieces that are packed exactly; steps of the whole search, and of one group of at most so many sequences and distinct lengths.
+EXACT_PIECES, MAX_STEPS, GROUP_STEPS, MAX_GROUP, MAX_LENGTHS = 40, 2_000_000, 20_000, 60, 400
+
+_log = logging.getLogger(__name__)
 
 _encoders: dict[str, Encoder] = {}
 
@@ -237,8 +246,131 @@ def _sequences(patterns: list[Pattern]) -> int:
     return sum(times for _, times in patterns)
 
 
-def complete_bins(histogram: dict[int, int], capacity: int = CAPACITY, max_nodes: int = MAX_NODES) -> list[Pattern]:
-    """Patterns that pack all pieces of the histogram, in as few sequences as the search finds."""
+class _Budget:
+    """Steps that a search may still take."""
+
+    def __init__(self, steps: int):
+        self.left = steps
+
+
+def _fillings(left: Counter[int], lengths: list[int], room: int, most_waste: int, budget: _Budget) -> list[tuple[int, tuple[int, ...]]]:
+    """(waste, pieces) of the undominated fillings of a room that waste at most ``most_waste``, least waste first.
+
+    A filling is dominated if a piece that it leaves out fits in place of one or two of its own that are together no longer.
+    """
+    found: list[tuple[int, tuple[int, ...]]] = []
+    chosen: list[int] = []
+
+    def go(at: int, room: int, least_out: int) -> None:
+        """Choose among lengths up to ``at``; ``least_out``: the shortest length of which a piece is left out."""
+        budget.left -= 1
+        at = min(at, bisect_right(lengths, room) - 1)
+        if at < 0 or budget.left <= 0:
+            if room <= most_waste and room < least_out:
+                found.append((room, tuple(chosen)))
+            return
+        v = lengths[at]
+        for n in range(min(left[v], room // v), -1, -1):
+            chosen.extend([v] * n)
+            go(at - 1, room - n * v, least_out if n == left[v] else min(least_out, v))
+            del chosen[len(chosen) - n:]
+
+    go(len(lengths) - 1, room, room + 1)
+    out = []
+    for waste, own in sorted(found, key=lambda f: (f[0], [-v for v in f[1]])):
+        used = Counter(own)
+        free = [v for v in lengths if left[v] > used[v]]
+        sums = {v: v + 1 for v in own} | {x + y: x + y for i, x in enumerate(own) for y in own[:i]}  # what may stand in for them: from where on
+        if not waste or not any((k := bisect_left(free, lo)) < len(free) and free[k] <= s + waste for s, lo in sums.items()):
+            out.append((waste, own))
+    return out
+
+
+def _complete(histogram: dict[int, int], capacity: int, sequences: int, budget: _Budget) -> list[tuple[int, ...]] | None:
+    """The pieces in at most so many sequences, or None if there is no way or the budget runs out (then it is 0).
+
+    Branch and bound: the longest piece left is completed by each undominated filling in turn; a branch ends when its
+    waste passes what so many sequences may waste, or when the same pieces have failed with no less waste to spare.
+    """
+    left, failed = Counter(histogram), {}
+
+    def go(waste: int) -> list[tuple[int, ...]] | None:
+        lengths = sorted(v for v in left if left[v])
+        if not lengths:
+            return []
+        key = tuple((v, left[v]) for v in lengths)
+        if budget.left <= 0 or failed.get(key, -1) >= waste:
+            return None
+        longest = lengths[-1]
+        left[longest] -= 1
+        if not left[longest]:
+            lengths.pop()
+        got = None
+        for lost, own in _fillings(left, lengths, capacity - longest, waste, budget):
+            left.subtract(own)
+            rest = go(waste - lost)
+            left.update(own)
+            if rest is not None:
+                got = [(longest, *own), *rest]
+                break
+        left[longest] += 1
+        if got is None and budget.left > 0:
+            failed[key] = waste
+        return got
+
+    waste = sequences * capacity - sum(v * n for v, n in histogram.items())
+    return go(waste) if waste >= 0 else None
+
+
+def _improved(patterns: list[Pattern], capacity: int, least: int, steps: int) -> list[Pattern]:
+    """The packing with groups of sequences completed anew, one fewer each.
+
+    A group has sequences that together waste a whole one, and some others; a completion of it is used as often as its patterns
+    occur.
+    """
+    times: Counter[tuple[int, ...]] = Counter()
+    for items, n in patterns:
+        times[tuple(v for v, k in items for _ in range(k))] += n
+    r, budget = random.Random(1), _Budget(steps)
+    while sum(times.values()) > least and budget.left > 0:
+        waste = {p: capacity - sum(p) for p in times}
+        group: Counter[tuple[int, ...]] = Counter()
+        spare = 0
+        for p in sorted(times, key=lambda p: -waste[p] * r.random()):
+            n = min(times[p], -(-(capacity - spare) // waste[p])) if waste[p] and spare < capacity else 0
+            if n > 0:
+                group[p] = n
+                spare += n * waste[p]
+        if spare < capacity or sum(group.values()) > MAX_GROUP:
+            budget.left -= 1000  # no group to gain from; other draws may be
+            continue
+        others = [p for p in times if times[p] > group[p]]
+        for p in r.sample(others, min(len(others), r.randint(2, 8))):
+            group[p] += 1
+        pieces = Counter(v for p, n in group.items() for v in p for _ in range(n))
+        if len(pieces) > MAX_LENGTHS:
+            budget.left -= 1000
+            continue
+        own = _Budget(min(GROUP_STEPS, budget.left))
+        given = own.left
+        better = _complete(pieces, capacity, sum(group.values()) - 1, own)
+        budget.left -= given - max(own.left, 0) + 1
+        if better is not None:
+            often = min(times[p] // n for p, n in group.items())
+            for p, n in group.items():
+                times[p] -= n * often
+                if not times[p]:
+                    del times[p]
+            for p in better:
+                times[p] += often
+    return [(tuple(sorted(Counter(p).items(), reverse=True)), n) for p, n in times.items()]
+
+
+def complete_bins(histogram: dict[int, int], capacity: int = CAPACITY, max_nodes: int = MAX_NODES, steps: int = MAX_STEPS) -> list[Pattern]:
+    """Patterns that pack all pieces of the histogram, in as few sequences as the search finds.
+
+    A few pieces are packed exactly. Where the steps run out before the bound of the total length is met, that is logged.
+    """
 
     def attempt(max_nodes: int, most_waste: float) -> list[Pattern] | None:
         left = {v: n for v, n in histogram.items() if n > 0}
@@ -265,11 +397,26 @@ def complete_bins(histogram: dict[int, int], capacity: int = CAPACITY, max_nodes
 
     best = attempt(0, float("inf"))
     total = sum(v * n for v, n in histogram.items())
-    if _sequences(best) > -(-total // capacity):
+    least = -(-total // capacity)
+    if _sequences(best) > least and max_nodes:
         # one sequence less may waste this much at most
         other = attempt(max_nodes, capacity * (_sequences(best) - 1) - total + capacity)
         if other is not None and _sequences(other) < _sequences(best):
             best = other
+    if _sequences(best) > least and steps:
+        if sum(histogram.values()) <= EXACT_PIECES:
+            budget, n = _Budget(steps), least
+            while n < _sequences(best) and budget.left > 0:
+                found = _complete(histogram, capacity, n, budget)
+                if found is not None:
+                    return [(tuple(sorted(Counter(p).items(), reverse=True)), 1) for p in found]
+                n += 1
+            proven = budget.left > 0
+        else:
+            best = _improved(best, capacity, least, steps)
+            proven = _sequences(best) == least
+        if not proven:
+            _log.warning("the search of %d steps has ended at %d sequences; at least %d are needed", steps, _sequences(best), least)
     return best
 
 
