@@ -47,7 +47,7 @@ from .common import Words, ship, steps, stored
 CAPACITY = 4096
 END_ID = 1
 #: Encoded words kept by a Python worker.
-MAX_KNOWN = 600_000
+MAX_KNOWN = 900_000
 #: Words given to the tokenizer at once.
 AT_ONCE = 10_000
 #: Nodes that the search for one filling of the second incumbent may visit.
@@ -60,9 +60,9 @@ _log = logging.getLogger(__name__)
 _encoders: dict[str, Encoder] = {}
 
 
-def _letters(word: str) -> bool:
-    """Does the word stay letters throughout in its normal form and lower case?"""
-    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+def _stays_letters(word: str) -> bool:
+    """Does a word of letters stay letters throughout in its normal form and lower case?"""
+    return unicodedata.normalize("NFC", word).lower().isalpha()
 
 
 class Encoder:
@@ -85,6 +85,7 @@ class Encoder:
         self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.word_end[[i for k, i in vocabulary.items() if k.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str, source) -> Encoder:
@@ -93,13 +94,6 @@ class Encoder:
             _encoders[path] = cls(source.value)
         return _encoders[path]
 
-    @staticmethod
-    def _parts(word: str) -> tuple[str, str]:
-        body, tail = (word[:-1], word[-1]) if len(word) > 1 and word[-1] in ".," else (word, "")
-        if not _letters(body):
-            return word, ""
-        return (body.lower() if body.isascii() else body), tail
-
     def _store(self, keys: list[str], ids: list[int], counts: np.ndarray) -> None:
         cuts = (np.concatenate(([0], np.cumsum(counts))) * 4).tolist()
         data = np.array(ids, "<u4").tobytes()
@@ -125,21 +119,38 @@ class Encoder:
                 self._encode_any(own)
 
     def ids(self, words: list[str]) -> list[bytes]:
-        parts = [self._parts(w) for w in words]
-        need = dict.fromkeys(x for p in parts for x in p if x and x not in self.known)
-        if len(self.known) + len(need) > MAX_KNOWN:
-            self.known.clear()
-            need = dict.fromkeys(x for p in parts for x in p if x)
-        letters = [k for k in need if _letters(k)]
-        for lo in range(0, len(letters), AT_ONCE):
-            self._encode_letters(letters[lo: lo + AT_ONCE])
-        others = [k for k in need if not _letters(k)]
-        for lo in range(0, len(others), AT_ONCE):
-            self._encode_any(others[lo: lo + AT_ONCE])
+        parts: list[tuple[str, str]] = []
+        letters, others = {}, {}
+        for w in words:
+            body, tail = (w[:-1], w[-1]) if w[-1] in ".," else (w, "")
+            if body.isalpha() and ((ascii := body.isascii()) or _stays_letters(body)):
+                if ascii:
+                    body = body.lower()
+                letters[body] = None
+                if tail:
+                    others[tail] = None
+                parts.append((body, tail))
+            else:
+                others[w] = None
+                parts.append((w, ""))
+        keys = letters | others
+        new = [k for k in keys if k not in self.known]
+        if len(self.known) + len(new) > MAX_KNOWN // 2:  # of two halves, the older one goes
+            self.older, self.known = self.known, {}
+            new = list(keys)
+        older = self.older
+        self.known.update((k, older[k]) for k in new if k in older)
+        need = [k for k in new if k not in older]
+        plain = [k for k in need if k in letters]
+        for lo in range(0, len(plain), AT_ONCE):
+            self._encode_letters(plain[lo: lo + AT_ONCE])
+        rest = [k for k in need if k not in letters]
+        for lo in range(0, len(rest), AT_ONCE):
+            self._encode_any(rest[lo: lo + AT_ONCE])
         known = self.known
         out = [known[b] + known[t] if t else known[b] for b, t in parts]
         if len(known) > MAX_KNOWN:
-            known.clear()
+            self.known = {}
         return out
 
 
