@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeutil import date_parts, epoch_to_date, now_epoch, ntz_literal
-from .keysets import MAX_BROADCAST_KEYS, bounded_broadcast
+from .keysets import MAX_BROADCAST_KEYS, bounded_broadcast, near_keys
 
 DIFF_COLS = (
     "event_id",
@@ -208,7 +208,9 @@ def apply_changes(
         .groupBy(F.col("row_data").alias(key))
         .agg(F.bit_or(code).alias("_code"))
     )
-    keys, _ = bounded_broadcast(keys, max_broadcast_keys)
+    keys, n = bounded_broadcast(keys, max_broadcast_keys)
+    if max_broadcast_keys is not None and n > max_broadcast_keys:
+        new = near_keys(new, keys, key)  # the base keeps its other rows, so only this side can be cut
     kept = base.join(keys.filter((F.col("_code").bitwiseAND(1)) == 1).select(key), key, "left_anti")
     added = new.join(keys.filter((F.col("_code").bitwiseAND(2)) == 2).select(key), key, "left_semi")
     return kept.unionByName(added.select(*base.columns))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeutil import date_parts, epoch_to_date
 from ..specs import PARTITION_COLS
-from .keysets import MAX_BROADCAST_KEYS, MAX_KEY_LITERALS, bounded_broadcast  # noqa: F401 - bounds also read by refresh
+from .keysets import MAX_BROADCAST_KEYS, MAX_KEY_LITERALS, bounded_broadcast, near_keys  # noqa: F401 - bounds also read by refresh
 
 ROW_ACTIONS = ("I", "U", "D")
 CHANGELOG_COLS = ("event_id", "table_name", "action", "action_tstamp_tx", "row_data", "changed_fields")
@@ -206,16 +206,22 @@ def lake_partitions_of_keys(
         found = found.filter(F.col(key).isin(key_values))
     else:
         rows = net if table is None else net.filter(F.col("table_name") == table)
-        ids = _sized(rows.select(F.col("id").alias(key)).distinct(), broadcast_keys)
+        found, ids = _sized(found, rows.select(F.col("id").alias(key)).distinct(), key, broadcast_keys)
         found = found.join(ids, key, "left_semi")
     return found.select(*PARTITION_COLS).distinct()
 
 
-def _sized(keys: DataFrame, broadcast_keys: bool | None) -> DataFrame:
-    """The key set, hinted for broadcast if that is known, or found by counting (None), to be within the bound."""
+def _sized(df: DataFrame, keys: DataFrame, key: str, broadcast_keys: bool | None) -> tuple[DataFrame, DataFrame]:
+    """``df`` and the key set that it is to be joined with.
+
+    The keys are hinted for broadcast if that is known, or found by counting (None), to be within the bound.
+    Beyond it both sides are shuffled, and ``df`` is first cut to the intervals that the keys lie in.
+    """
     if broadcast_keys is None:
-        return bounded_broadcast(keys, MAX_BROADCAST_KEYS)[0]
-    return F.broadcast(keys) if broadcast_keys else keys
+        keys, n = bounded_broadcast(keys, MAX_BROADCAST_KEYS)
+        broadcast_keys = n <= MAX_BROADCAST_KEYS
+        return (df, keys) if broadcast_keys else (near_keys(df, keys, key), keys)
+    return (df, F.broadcast(keys)) if broadcast_keys else (near_keys(df, keys, key), keys)
 
 
 def update_dates(
@@ -234,7 +240,8 @@ def update_dates(
     The source (key and date only) is the streamed side of the join, so it is scanned
     and never shuffled when the key set is broadcast. By default the key set is cut, counted
     and broadcast within ``MAX_BROADCAST_KEYS`` (``keysets.bounded_broadcast``); a caller
-    that has counted it already says so with ``broadcast_keys``. Keys gone from the source drop out (B10).
+    that has counted it already says so with ``broadcast_keys``. Beyond the bound the source is
+    filtered by the keys' intervals before both are shuffled (``keysets.near_keys``). Keys gone from the source drop out (B10).
 
     ``key_values``: the same key set, already collected under a bound (``refresh`` does,
     against ``MAX_KEY_LITERALS``). The source is then filtered with ``key IN (..)``:
@@ -246,7 +253,8 @@ def update_dates(
     else:
         rows = net if table is None else net.filter(F.col("table_name") == table)
         keyed = rows.filter(F.col("net_action").isin(*source_actions)).select(F.col("id").alias(key)).distinct()
-        matched = source.select(key, date_col).join(_sized(keyed, broadcast_keys), key, "inner")
+        own, keyed = _sized(source.select(key, date_col), keyed, key, broadcast_keys)
+        matched = own.join(keyed, key, "inner")
     return matched.select(*date_parts(epoch_to_date(date_col, zone))).distinct()
 
 

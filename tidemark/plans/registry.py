@@ -21,6 +21,7 @@ from ..operators import capture, cdc, drift, extract, quality, seed
 from ..operators.watermark import Watermark
 from ..session import scratch_path
 from ..sinks import changelog_store, compact, lake, publish
+from ..sinks.constraint_store import ConstraintStore
 from ..sinks.key_index import KeyIndex
 from ..sources import files, jdbc
 from ..sources.canonical import MANY_DATES, read_changelog, read_edit_pair, read_snapshot, table_path
@@ -98,6 +99,19 @@ def q_affected_update_dates(spark, sf_dir):
     return cdc.affected_update_dates(net, read_snapshot(spark, sf_dir, TABLE), TABLE)
 
 
+@register(
+    "affected_beyond_broadcast",
+    _with(O.changelog_cte(), O.snapshot_cte(), O.net_cte(None, None))
+    + f"""SELECT DISTINCT year, month, day FROM snapshot
+WHERE id IN (SELECT id FROM net WHERE net_action = 'U' AND table_name = '{TABLE}')""",
+)
+def q_affected_beyond_broadcast(spark, sf_dir):
+    """Dates of every key ever net-updated, looked up as for key sets too large to broadcast: the
+    source is cut to the keys' intervals, then joined by a shuffle."""
+    net = cdc.net_actions(read_changelog(spark, sf_dir))
+    return cdc.update_dates(net, read_snapshot(spark, sf_dir, TABLE), TABLE, broadcast_keys=False)
+
+
 @register(
     "affected_delete_dates",
     _with(O.changelog_cte())
@@ -923,6 +937,38 @@ def q_dq_declared(spark, sf_dir):
     })
 
 
+# Dates of the logical tables' rows: what the driver's tables date or number.
+_DECLARED_DATES = {
+    "customer": "date_add(DATE '2024-01-01', CAST(c_nationkey AS INT))",
+    "manufacturer": "date_add(DATE '2024-01-01', CAST(s_nationkey AS INT))",
+    "product": "date_add(DATE '2024-01-01', CAST(p_size AS INT))",
+    "order": "CAST(date_trunc('month', o_orderdate) AS DATE)",
+    "order_items": "CAST(date_trunc('month', l_shipdate) AS DATE)",
+}
+
+
+@register("dq_incremental", _declared_sql())
+def q_dq_incremental(spark, sf_dir):
+    """All declared constraints from counts kept per day: January is summarised from an older state of the
+    tables (other ids, keys and texts), then only its days are summarised anew."""
+    columns = {t: list(cols) for t, (_, cols) in _DECLARED.items()}
+    store = ConstraintStore(spark, scratch_path(spark, "constraints"), columns)
+    for t, (src, cols) in _DECLARED.items():
+        now = spark.read.parquet(table_path(sf_dir, src)).withColumn("_date", F.expr(_DECLARED_DATES[t])).select(
+            *[F.expr(e).alias(c) for c, e in cols.items()],
+            *[F.expr(f"CAST({p}(_date) AS BIGINT)").alias(p) for p in PARTITION_COLS],
+        )
+        stale = F.col("month") == 1
+        older = {
+            c: F.when(stale, F.lit(None) if c == "name" else -F.col(c) if now.schema[c].dataType.typeName() != "string" else F.col(c))
+            .otherwise(F.col(c)).cast(now.schema[c].dataType) for c in cols
+        }
+        store.build(t, now.withColumns(older))
+        days = lake.collect_affected(now.where(stale))
+        store.refresh(t, now, days)
+    return store.report()
+
+
 # --- seeds (G1, G2, X9-X11, X13, F11) ---------------------------------------------------
 
 _SEED_KEYS = (
