@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 from llm_inputs import docs_df, odd_texts, prose
 from pyspark.sql import functions as F
 from tidemark.llm import decontamination as D
@@ -71,3 +72,28 @@ def test_empty_tables_and_null_ids(spark):
     one = spark.createDataFrame([(1, "a")], "item_id int, text string")
     assert rows(D.search(D.build_index(docs), one)) == [(2, 1, ["1"])]
     assert D.search(D.build_index(docs_df(spark, [])), one).count() == 0
+
+
+def test_one_long_item_goes_over_several_parts(spark):
+    passage = prose(400, seed=31)
+    w = passage.split()
+    texts = [prose(60, 32) + " " + " ".join(w[90:130]) + " " + prose(20, 33), " ".join(w[95:107]), passage, "", None]
+    items = [(7, passage), (8, "w " + " ".join(w[100:112])), (9, None), (10, "")]
+    index = D.build_index(docs_df(spark, texts))
+    df = spark.createDataFrame(items, "item_id int, text string")
+    want = brute(texts, items, 13)
+    parts = list(D.read_phrases(df.coalesce(1), "item_id", "text", 13, 100))
+    assert [p.n_words for p in parts] == [100, 100, 100, 89] and len({len(p.terms) > 0 for p in parts}) == 1
+    assert rows(D.search(index, df, part_words=100)) == want == rows(D.search(index, df))
+    found = {(r["block"], r["n"]): sorted((m["item_start"], m["start"]) for m in r["matches"] if m["item"] == "7")
+             for r in D.search(index, df.where("item_id = 7"), part_words=100).collect()}
+    assert [(i, i) for i in range(388)] == [x for x in next(v for v in found.values() if len(v) == 388)]
+
+
+def test_a_block_takes_up_only_windows_of_its_anchors(spark):
+    # common words in every window, none of which occurs: each has a term of its own as its anchor
+    pieces = [(i, 0, np.array([0, 1, 2, 3 + i, 4], np.int32)) for i in range(10, 1000)] + [(1000, 0, np.array([0, 1, 2, 5, 4], np.int32))]
+    table = D.Windows(5, pieces, 1003)
+    assert len(table.anchored(np.array([0, 1, 2, 4, 5]))) == 1
+    assert sorted(table.items[table.anchored(np.arange(1003))].tolist()) == sorted(i for i, _, _ in pieces)
+    assert table.terms(table.anchored(np.array([20]))).tolist() == [[0, 1, 2, 20, 4]]

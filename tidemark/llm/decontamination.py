@@ -10,9 +10,11 @@ with fewer words is one window). In each block, a window's lists are intersected
 rarest term on: the rarest term's postings, moved back by the term's place in the
 window, are the candidate starts; each further list, in order of length, keeps the candidates at whose
 place (exact phrases) or within ``slop`` words of it (proximity) the term occurs. All
-windows of a block advance together as sorted arrays.
+windows of a block advance together as sorted arrays. Each window is filed under its anchor, the term that
+the fewest windows hold; a block takes up the windows of the anchors that it has, so its work
+follows the terms that occur in it and not the number of windows.
 
-Test items are read in parts of at most ``PART_WORDS`` words. Each part is sent to the
+Test items are read in parts of at most ``PART_WORDS`` windows; a longer item goes on in the next part. Each part is sent to the
 executors (so its size is bounded) and takes one pass over the index; parts are
 combined by document. Usual benchmarks are one part, and then nothing is shuffled.
 
@@ -28,7 +30,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,8 @@ PART_WORDS = 2_000_000
 GAP = 64
 #: Candidate starts that are held at once.
 CANDIDATES = 2_000_000
+#: Windows whose terms are held at once.
+WINDOWS = 200_000
 
 #: A-Z to lower case; ASCII other than letters and digits to a space.
 _WORD_BYTES = bytes(
@@ -81,92 +84,141 @@ def _one(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+class Windows:
+    """Windows of one length, ordered by their anchor: the term that the fewest windows of the part hold.
+
+    A window can only occur where its anchor does, so a block looks at the windows of those anchors it has.
+    """
+
+    def __init__(self, size: int, pieces: list[tuple[int, int, np.ndarray]], n_terms: int):
+        """``pieces``: item number, place of the first window in the item, words."""
+        self.size = size
+        self.words = np.concatenate([w for _, _, w in pieces])
+        lengths = np.array([len(w) for _, _, w in pieces])
+        n = lengths - size + 1
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        place = np.repeat(np.cumsum(lengths) - lengths, n) + inner
+        held = np.zeros(n_terms, np.int64)
+        for k in range(size):
+            held += np.bincount(self.words[place + k], minlength=n_terms)
+        anchor, least = self.words[place].copy(), held[self.words[place]]
+        for k in range(1, size):
+            term = self.words[place + k]
+            less = held[term] < least
+            anchor[less], least[less] = term[less], held[term[less]]
+        order = np.argsort(anchor, kind="stable")
+        self.place = place[order]
+        self.items = np.repeat(np.array([i for i, _, _ in pieces]), n)[order]
+        self.starts = (np.repeat(np.array([s for _, s, _ in pieces]), n) + inner)[order]
+        self.first = np.searchsorted(anchor[order], np.arange(n_terms + 1))
+
+    def anchored(self, terms: np.ndarray) -> np.ndarray:
+        """The windows whose anchor is among the terms."""
+        lo, n = self.first[terms], self.first[terms + 1] - self.first[terms]
+        return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+    def terms(self, windows: np.ndarray) -> np.ndarray:
+        return self.words[self.place[windows][:, None] + np.arange(self.size)]
+
+
 class Phrases:
-    """Windows of test items as term numbers, by window length."""
+    """A part of the test items: their words as term numbers, and their windows by length."""
 
     def __init__(self, window: int):
         self.window = window
         self.terms: dict[str, int] = {}
         self.items: list[str | None] = []
-        self.rows: dict[int, list[tuple[int, int, list[int]]]] = {}
+        self.pieces: dict[int, list[tuple[int, int, np.ndarray]]] = {}
         self.n_words = 0
 
-    def add(self, item: str | None, text: str) -> None:
-        w = Words(translated(pa.array([text]), _WORD_BYTES))
-        words = [self.terms.setdefault(x, len(self.terms)) for x in w.words.to_pylist()]
-        ids = [words[i] for i in w.ids.tolist()]
-        if not ids:
-            return
+    def add(self, item: str | None, words: list[str], start: int, n: int) -> None:
+        """Take the ``n`` windows of an item from word ``start`` on."""
+        size = min(self.window, len(words))
+        ids = np.array([self.terms.setdefault(x, len(self.terms)) for x in words[start: start + n + size - 1]], np.int32)
+        self.pieces.setdefault(size, []).append((len(self.items), start, ids))
         self.items.append(item)
-        self.n_words += len(ids)
-        size = min(self.window, len(ids))
-        own = self.rows.setdefault(size, [])
-        own.extend((len(self.items) - 1, s, ids[s: s + size]) for s in range(len(ids) - size + 1))
+        self.n_words += n
 
     def close(self) -> Phrases:
-        self.tables = {
-            size: (np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
-            for size, rows in self.rows.items()
-        }
-        self.rows = {}
+        self.tables = [Windows(size, pieces, len(self.terms)) for size, pieces in self.pieces.items()]
+        self.pieces = {}
         return self
 
 
 def read_phrases(items: DataFrame, id: str, text: str, window: int, part_words: int = PART_WORDS) -> Iterator[Phrases]:
-    """The items in parts; the driver holds one part at a time."""
+    """The items in parts of at most ``part_words`` windows; the driver holds one part and one item at a time.
+
+    An item with more windows than a part has left goes on in the next part.
+    """
     part = Phrases(window)
     rows = items.select(F.col(id).cast("string").alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     for r in rows.toLocalIterator():
-        part.add(r["id"], r["text"])
-        if part.n_words >= part_words:
-            yield part.close()
-            part = Phrases(window)
+        w = Words(translated(pa.array([r["text"]]), _WORD_BYTES))
+        names = w.words.to_pylist()
+        words = [names[i] for i in w.ids.tolist()]
+        left, start = (max(len(words) - window, 0) + 1 if words else 0), 0
+        while left:
+            n = min(left, part_words - part.n_words)
+            part.add(r["id"], words, start, n)
+            left, start = left - n, start + n
+            if part.n_words >= part_words:
+                yield part.close()
+                part = Phrases(window)
     yield part.close()
 
 
 class Block:
-    """The postings of a block for the terms of some phrases."""
+    """The postings of a block for the terms of some phrases, numbered by their order in ``present``."""
 
     def __init__(self, terms: pa.Array, ends: np.ndarray, gaps: np.ndarray, wanted: dict[str, int], size: int):
-        number = pc.index_in(terms, pa.array(list(wanted), pa.string())).fill_null(-1).to_numpy(zero_copy_only=False)
+        number = np.array([wanted.get(t, -1) for t in terms.to_pylist()], np.int64)
         rows = np.flatnonzero(number >= 0)
         rows = rows[np.argsort(number[rows])]
+        self.present = number[rows]
         starts = np.concatenate(([0], ends[:-1]))[: len(ends)]
         n = ends[rows] - starts[rows]
         self.size = size
-        self.counts = np.zeros(len(wanted) + 1, np.int64)
-        self.counts[number[rows]] = n
-        self.first = np.concatenate(([0], np.cumsum(self.counts)))
+        self.counts = n
+        self.first = np.concatenate(([0], np.cumsum(n)))
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         picked = np.repeat(starts[rows], n) + inner
         total = np.cumsum(gaps[picked])  # lists begin with their first position: restart the sums there
-        before = np.where(n > 0, np.cumsum(n) - n, 0)
+        before = self.first[:-1]
         base = total[before] - gaps[picked][before] if len(total) else np.zeros(0, np.int64)
         self.places = total - np.repeat(base, n)
-        self.keys = np.repeat(number[rows].astype(np.int64), n) * size + self.places
+        self.keys = np.repeat(np.arange(len(rows)), n) * size + self.places
 
-    def find(self, windows: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def find(self, table: Windows, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(window, start, distance) of each match, lists taken from the rarest on."""
-        counts = self.counts[windows]
-        alive = np.flatnonzero((counts > 0).all(axis=1))
-        order = np.argsort(counts[alive], axis=1, kind="stable")
-        rarest = windows[alive, order[:, 0]] if len(alive) else np.zeros(0, np.int64)
-        n = self.counts[rarest]
         found = []
+        anchored = table.anchored(self.present)
+        for k in range(0, len(anchored), WINDOWS):
+            some = anchored[k: k + WINDOWS]
+            terms = table.terms(some)
+            local = np.searchsorted(self.present, terms)
+            local[local == len(self.present)] = 0
+            whole = (self.present[local] == terms).all(axis=1)
+            found += [(some[whole][at], start, distance) for at, start, distance in self._intersect(local[whole], slop)]
+        if not found:
+            return (np.zeros(0, np.int64),) * 3
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def _intersect(self, windows: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, start, distance) of the matches of windows whose terms all occur in the block."""
+        order = np.argsort(self.counts[windows], axis=1, kind="stable")
+        rarest = windows[np.arange(len(windows)), order[:, 0]]
+        n = self.counts[rarest]
         cuts = np.searchsorted(np.cumsum(n), np.arange(CANDIDATES, n.sum() + CANDIDATES, CANDIDATES), side="left") + 1
         for lo, hi in zip(np.concatenate(([0], cuts[:-1])), cuts):
             m = n[lo:hi]
-            at = np.repeat(np.arange(lo, min(hi, len(n))), m)  # row of alive, order
+            at = np.repeat(np.arange(lo, min(hi, len(n))), m)
             inner = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
             start = self.places[self.first[rarest[at]] + inner] - order[at, 0]
             distance = np.zeros(len(at), np.int64)
             for k in range(1, windows.shape[1]):
-                ok, d = self._near(windows[alive[at], order[at, k]], start + order[at, k], slop)
+                ok, d = self._near(windows[at, order[at, k]], start + order[at, k], slop)
                 at, start, distance = at[ok], start[ok], distance[ok] + d[ok]
-            found.append((alive[at], start, distance))
-        if not found:
-            return (np.zeros(0, np.int64),) * 3
-        return tuple(np.concatenate(x) for x in zip(*found))
+            yield at, start, distance
 
     def _near(self, term: np.ndarray, place: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
         """Does the term occur within ``slop`` of the place, and how far off is the nearest?"""
@@ -190,13 +242,14 @@ def _matches(b: pa.RecordBatch, row: int, phrases: Phrases, slop: int) -> tuple[
         b.column("gaps")[row].values.to_numpy().astype(np.int64), phrases.terms, size,
     )
     cols = []
-    for length, (items, starts, windows) in phrases.tables.items():
-        w, place, distance = block.find(windows, slop)
+    for table in phrases.tables:
+        length = table.size
+        w, place, distance = block.find(table, slop)
         doc = np.searchsorted(first, place, side="right") - 1
         start = place - first[doc] if len(doc) else place
         ok = (doc >= 0) & (start + length <= lengths[doc] if len(doc) else True)
         w, doc, start, distance = w[ok], doc[ok], start[ok], distance[ok]
-        cols.append([doc, items[w], starts[w], start, np.full(len(w), length), distance])
+        cols.append([doc, table.items[w], table.starts[w], start, np.full(len(w), length), distance])
     return lengths, [np.concatenate(c) for c in zip(*cols)] if cols else [np.zeros(0, np.int64)] * 6
 
 
