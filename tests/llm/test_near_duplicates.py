@@ -107,6 +107,27 @@ def test_rest_finds_pairs_of_short_texts(spark, monkeypatch):
     assert got(N.groups(docs_df(spark, texts), shingle=1)) == brute(range(len(texts)), texts, 1, 80)
 
 
+def test_large_component_is_not_copied(spark, monkeypatch):
+    monkeypatch.setattr(N, "REST_BLOCK", 100)
+    # bucket 1: 20,000 members, 3 outside its largest component; bucket 2: one component; bucket 3: all on their own
+    rows = [(1, i, 5, 0 if i >= 3 else i + 1) for i in range(20_000)] + [(2, i, 5, 7) for i in range(500)] + [(3, i, 5, i) for i in range(250)]
+    cells = N._rest_cells(spark.createDataFrame(rows, "h long, rep long, n long, comp long"))
+    got = cells.groupBy("h").agg(F.count("*").alias("n")).collect()
+    assert {r["h"]: r["n"] for r in got} == {1: 20_000 + 3 * 200, 3: 250 * 3 + 249 * 3}
+    # every pair across components meets, the rest need not
+    left, right = cells.where("left"), cells.where("not left")
+    met = left.alias("x").join(right.alias("y"), ["h", "i", "j"]).where("x.comp <> y.comp").select(
+        "h", F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct().groupBy("h").count().collect()
+    assert {r["h"]: r["count"] for r in met} == {1: 3 * 19_997 + 3, 3: 250 * 249 // 2}
+
+
+def test_rest_over_many_small_cells(spark, monkeypatch):
+    monkeypatch.setattr(N, "STAR_ROUNDS", 1)
+    monkeypatch.setattr(N, "REST_BLOCK", 4)
+    texts = near_copies(25, 30) + [prose(60, seed=77)] * 30 + [prose(60, seed=77) + " more"]
+    assert got(N.groups(docs_df(spark, texts), shingle=2)) == brute(range(len(texts)), texts, 2, 80)
+
+
 def test_components(spark):
     edges = [(i + 1, i) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     out = N.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()

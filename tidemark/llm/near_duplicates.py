@@ -18,9 +18,9 @@ connected components of the links are the groups.
    bucket, each of ``STAR_ROUNDS`` rounds tests the members that are not yet in one component against one
    centre of the bucket (another one each round and bucket). Members that are
    already connected need no further comparison, so no link between components is lost.
-5. The rest. Members that then still share a bucket across components are compared inside the task
-   that holds the bucket (a block of it, if it is large), each pair in the first bucket that it
-   shares, by longer sketches of ``REST_BINS`` bins of
+5. The rest. Where a bucket still holds several components, the members outside its largest component are
+   compared with all its members, block by block, each pair in the first bucket that it
+   shares; the largest component's members are not paired with each other nor copied for it. Pairs are compared by longer sketches of ``REST_BINS`` bins of
    which one bit each is kept. By their concentration, a pair at the threshold falls more than
    ``REST_SIGMAS`` standard deviations short once in millions of pairs; whatever does not is
    verified on the full sets. So pairs of merely related texts are not written out.
@@ -185,12 +185,13 @@ def _bits(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.select("rep", "text").mapInArrow(run, f"rep {kind}, tags binary, bits binary")
 
 
-def _close(bits, before, comp, n, left, right, least: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _close(bits, before, comp, rep, minor, n, left, right, least: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of ``left`` and ``right``, of different components, that may reach the similarity
-    and share none of the buckets ``before`` this one."""
+    and share none of the buckets ``before`` this one. Two ``minor`` members meet on either side; one of the two counts."""
     for lo in range(0, len(left), 32):
         a = left[lo: lo + 32]
         ok = comp[a][:, None] != comp[right][None]
+        ok &= ~minor[right][None] | (rep[a][:, None] > rep[right][None])
         # a similarity of p needs sizes within a factor of p
         ok &= (100 * n[a][:, None] >= percent * n[right][None]) & (100 * n[right][None] >= percent * n[a][:, None])
         i, j = np.nonzero(ok)
@@ -204,45 +205,54 @@ def _close(bits, before, comp, n, left, right, least: int, percent: int) -> Iter
             yield x[equal >= least], y[equal >= least]
 
 
+def _rest_cells(members: DataFrame) -> DataFrame:
+    """Each bucket's members dealt out to cells (h, i, j); in one of them every pair across components meets.
+
+    Only pairs with a member outside the bucket's largest component are of interest. So these members make up the
+    left side of the cells, in blocks i, and all members the right one, in blocks j. A member is copied
+    once per block of the other side: a bucket of m members with s outside the largest component gives
+    about m * s / REST_BLOCK rows on either side, and m + m / REST_BLOCK * s if s fits one block.
+    """
+    sizes = members.groupBy("h", "comp").agg(F.count("*").alias("c"))
+    blocks = lambda n: F.ceil(n / REST_BLOCK).cast("int")
+    mixed = sizes.groupBy("h").agg(
+        F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps")
+    ).where("comps > 1").select(
+        "h", F.col("top.comp").alias("major"), blocks(F.col("m") - F.col("top.c")).alias("lefts"), blocks(F.col("m")).alias("rights")
+    )
+    own = members.join(mixed, "h").withColumn("minor", F.col("comp") != F.col("major"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    mine = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    left = own.where("minor").withColumn("i", mine("lefts")).withColumn("j", each("rights")).withColumn("left", F.lit(True))
+    right = own.withColumn("i", each("lefts")).withColumn("j", mine("rights")).withColumn("left", F.lit(False))
+    cells = ["h", "i", "j", "left", "minor", "rep", "comp", "n"]
+    return left.select(*cells).union(right.select(*cells))
+
+
 def _rest(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Pairs (a, b) that share a bucket across components and may reach the similarity.
 
     ``members``: h, rep, n, comp.
     """
-    mixed = members.groupBy("h").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count("*") / REST_BLOCK).cast("int").alias("blocks")
-    ).where("lo <> hi").select("h", "blocks")
-    own = stored(members.join(mixed, "h"), "rest")
-    bits = _bits(texts.join(own.select("rep").distinct(), "rep"), shingle)
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    cells = stored(_rest_cells(members), "rest")
+    bits = _bits(texts.join(cells.select("rep").distinct(), "rep"), shingle)
     rows = (
-        own.withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp", "n")
-        .join(bits, "rep")
-        .select("h", "i", "j", "block", "rep", "comp", "n", "tags", "bits")
+        cells.join(bits, "rep").select("h", "i", "j", "left", "minor", "rep", "comp", "n", "tags", "bits")
         .repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "rep")
     )
     share = (1 + percent / 100) / 2  # a bit agrees by chance every other time
     least = int(REST_BINS * share - REST_SIGMAS * (REST_BINS * share * (1 - share)) ** 0.5)
 
     def group(t: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        block, rep, comp, n = (t[c].to_numpy() for c in ("block", "rep", "comp", "n"))
+        left, minor = (t[c].to_numpy(zero_copy_only=False) for c in ("left", "minor"))
+        if not left.any() or left.all():
+            return
+        rep, comp, n = (t[c].to_numpy() for c in ("rep", "comp", "n"))
         bits = np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint64).reshape(len(rep), -1)
         tags = np.frombuffer(b"".join(t["tags"].to_pylist()), "<u4").reshape(len(rep), -1)
         band = int((tags[0] == np.uint32(t["h"][0].as_py() & 0xFFFFFFFF)).argmax())
-        names, code, sizes = np.unique(comp, return_inverse=True, return_counts=True)
-        major = code == sizes.argmax()
-        at = np.arange(len(rep))
-        if t["i"][0] == t["j"][0]:
-            sides = [(at[~major], at)]
-        else:
-            first = block == t["i"][0].as_py()
-            sides = [(at[first & ~major], at[~first]), (at[first & major], at[~first & ~major])]
-        for left, right in sides:
-            if len(left) and len(right):
-                for x, y in _close(bits, tags[:, :band], code, n, left, right, least, percent):
-                    yield np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y])
+        for x, y in _close(bits, tags[:, :band], comp, rep, minor, n, np.flatnonzero(left), np.flatnonzero(~left), least, percent):
+            yield np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
