@@ -68,10 +68,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 STEP_BYTES = 8 << 20
 
 
-def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Non-empty pieces of the batches of about ``STEP_BYTES`` each (a single row may be larger)."""
+def steps(batches: Iterator[pa.RecordBatch], size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Non-empty pieces of the batches of about ``size`` bytes each (a single row may be larger)."""
     for b in batches:
-        rows = max(1, int(b.num_rows * STEP_BYTES / max(b.nbytes, STEP_BYTES)))
+        rows = max(1, int(b.num_rows * size / max(b.nbytes, size)))
         for lo in range(0, b.num_rows, rows):
             yield b.slice(lo, rows)
 
