@@ -42,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -183,16 +183,30 @@ class Totals:
         self.customers = [np.zeros(n, np.int64) for n in self.SIZES]
         self.tables = [np.zeros(n, np.int64) for n in self.SIZES]
 
+    def __getstate__(self) -> list[bytes]:
+        return [_squeeze(x, "<i8") for x in self.customers + self.tables]
+
+    def __setstate__(self, state: list[bytes]) -> None:
+        x = [_expand(b, "<i8") for b in state]
+        self.customers, self.tables = x[:3], x[3:]
+
 
 class Settings:
-    """What all tasks need: number of known words, and the totals, discounts and strengths after each sweep."""
+    """What all tasks need: number of known words, and the totals, discounts and strengths after each sweep.
+
+    The totals of each sweep are a broadcast of their own, so each travels once.
+    """
 
     def __init__(self, n_words: int, n_tokens: int):
         self.n_words, self.n_tokens = n_words, n_tokens
-        self.history: list[Totals] = []
+        self.history: list[Totals | Broadcast] = []
         self.discounts: list[list[float]] = []
         self.strengths: list[list[float]] = []
 
+    def totals(self, k: int) -> Totals:
+        t = self.history[k]
+        return t.value if isinstance(t, Broadcast) else t
+
 
 class Range:
     """The dishes of a word range in all restaurants, with their tables.
@@ -246,7 +260,7 @@ class Range:
         p0, p1 = self.probabilities(s, number, 2)
         uniform = np.full(len(self.words), 1 / (s.n_words + 1))
         for level, of, base in ((2, self.many, p1[self.up2[self.many]]), (1, slice(None), p0[self.up1]), (0, slice(None), uniform)):
-            others = s.history[number].tables[level][self.rest[level][of]] - self.tables[level][of]
+            others = s.totals(number).tables[level][self.rest[level][of]] - self.tables[level][of]
             self.tables[level][of] = seat(
                 r, self.customers[level][of], others, base, s.discounts[number][level], s.strengths[number][level])
             if level:
@@ -260,7 +274,7 @@ class Range:
 
 
 def _predict(s: Settings, k: int, level: int, rest: np.ndarray, customers, tables, base: np.ndarray) -> np.ndarray:
-    t, d, strength = s.history[k], s.discounts[k][level], s.strengths[k][level]
+    t, d, strength = s.totals(k), s.discounts[k][level], s.strengths[k][level]
     return (customers - d * tables + (strength + d * t.tables[level][rest]) * base) / (strength + t.customers[level][rest])
 
 
@@ -294,16 +308,15 @@ def _ranges(rows: pa.RecordBatch | pa.Table) -> Iterator[Range]:
         yield Range(rows.column("p")[i].as_py(), *_packed(rows.slice(i, 1))[0])
 
 
-def _totals(model: DataFrame, settings: Settings) -> tuple[Totals, dict[str, int]]:
+def _totals(model: DataFrame, s: Settings) -> tuple[Totals, dict[str, int]]:
     """Totals after the next sweep (of the initial seating, if there are none yet), and counts of counts.
 
     Each task sums up its ranges in one vector of fixed length, which travels and is summed in slices.
     """
-    sent = model.sparkSession.sparkContext.broadcast(settings)
     names = [f"{x}{level}" for level in range(3) for x in ("one", "two")] + ["words", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, t, more = sent.value, Totals(), np.zeros(len(names), np.int64)
+        t, more = Totals(), np.zeros(len(names), np.int64)
         for batch in batches:
             for own in _ranges(batch):
                 for _ in own.replay(s, len(s.history)):
@@ -322,7 +335,6 @@ def _totals(model: DataFrame, settings: Settings) -> tuple[Totals, dict[str, int
         return pa.table({"lo": rows["lo"][:1], "sums": pa.array([_squeeze(total, "<i8")], pa.binary())})
 
     rows = model.mapInArrow(run, "lo long, sums binary").groupBy("lo").applyInArrow(add, "lo long, sums binary").collect()
-    sent.unpersist()
     vector = np.zeros(len(names) + 2 * sum(Totals.SIZES), np.int64)
     for r in rows:
         x = _expand(bytes(r["sums"]), "<i8")
@@ -367,7 +379,7 @@ def train(model: DataFrame, sweeps: int = SWEEPS) -> Settings:
         t, n = _totals(model, s)
         s.n_words, s.n_tokens = n["words"], n["tokens"]
         discounts = [float(np.clip(n[f"one{k}"] / max(n[f"one{k}"] + 2 * n[f"two{k}"], 1), 0.05, 0.95)) for k in range(3)]
-        s.history.append(t)
+        s.history.append(model.sparkSession.sparkContext.broadcast(t))
         s.discounts.append(discounts)
         s.strengths.append([draw_strength(r, t.customers[k], t.tables[k], discounts[k]) for k in range(3)])
     return s
@@ -436,16 +448,16 @@ def score(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "te
     sent = stored(_blocks(own, kind, 2 * n_partitions(spark)), "lm-blocks")
     asked = sent.where("p >= 0").select("p", "block", "words", "pairs", "contexts", "counts")
     model = stored(asked.groupBy("p").applyInArrow(_merge, _MODEL), "lm-counts")
-    settings = spark.sparkContext.broadcast(train(model, sweeps))
+    settings = train(model, sweeps)
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         own = next(_ranges(left), None)
         if not right.num_rows:
             return _ANSWER.empty_table()
-        return _answer(settings.value, burn_in, own, right)
+        return _answer(settings, burn_in, own, right)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        s = settings.value
+        s = settings
         left = left.sort_by("p")
         read = lambda c, kind: np.concatenate([_expand(x.as_py(), kind) for x in left[c]])
         scores = read("scores", "<f4").astype(np.float64)
