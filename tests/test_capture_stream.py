@@ -78,3 +78,25 @@ def test_session_facts(spark):
     assert (row["transaction_id"], row["client_query"], row["action_tstamp_stm"]) == (7, "UPDATE t", dt.datetime(2024, 1, 2, 3, 4, 5))
     quiet = capture.with_session_facts(events, capture.SessionFacts(), spec=TableSpec("t", audit_query_text=False)).first()
     assert quiet["client_query"] is None and quiet["transaction_id"] is None and quiet["action_tstamp_clk"] is not None
+
+
+def test_state_is_kept_without_python(spark, tmpdir_fresh):
+    """A Python call per key and batch made 150,000 keys run for minutes: the whole plan must be Spark's own."""
+    C.write_snapshot(src_df(spark, [(1, 1, D1)]), f"{tmpdir_fresh}/in", 1)
+    schema = spark.read.option("mergeSchema", "true").parquet(f"{tmpdir_fresh}/in").schema
+    stream = spark.readStream.schema(schema).parquet(f"{tmpdir_fresh}/in")
+    plan = C.captured(stream)._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "Pandas" not in plan and "Python" not in plan
+
+
+def test_repeated_and_missing_keys(spark, tmpdir_fresh):
+    """States of a repeated key follow one another; equal rows are one state; rows without a key give no event."""
+    first = [(1, 1, D1), (1, 1, D1), (2, 1, D1), (2, 2, D1), (None, 1, D1)]
+    schema = src_df(spark, []).schema
+    for n, rows in enumerate([first, first[:4], [(2, 2, D1), (None, 3, D1)]], 1):
+        C.write_snapshot(src_df(spark, rows), f"{tmpdir_fresh}/in", n)
+    got = [x[:3] for x in run(spark, tmpdir_fresh, schema)]
+    assert [x for x in got if x[0] == 1] == [(1, "I", 1), (1, "I", 2), (1, "U", 2)]
+    # the last state before is the greater digest, so both states of key 2 differ from the one before them
+    assert [x for x in got if x[0] == 2] == [(2, "U", 2), (2, "U", 2)]
+    assert [x[:3] for x in got if x[0] == 3 and x[1] == "D"] == [(3, "D", 1)]
