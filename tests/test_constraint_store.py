@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import log_df, src_df, ep
 from tidemark.operators import capture, cdc, keysets, quality
+from tidemark.sinks import constraint_store
 from tidemark.sinks.constraint_store import ConstraintStore, summarise
 
 COLUMNS = {"customer": ["id", "name"], "order": ["id", "customer_id", "reference"]}
@@ -110,3 +111,13 @@ def test_large_key_sets_reach_the_scan_as_ranges(spark, tmpdir_fresh, monkeypatc
     # all three counted above the bound
     monkeypatch.setattr(cdc, "MAX_BROADCAST_KEYS", 1)
     assert sorted(map(tuple, cdc.update_dates(net, source, "order").collect())) == want
+
+
+def test_entries_are_counted_under_numbers(spark):
+    """Names travel with no entry: what is hashed and shuffled per key is numbers only."""
+    df = customers(spark, [(1, "a", 1), (1, None, 2), (None, "b" * 300, 2)])
+    counts = constraint_store._counts(df, "customer")
+    assert {t for _, t in counts.dtypes} <= {"int", "bigint"}
+    got = sorted(tuple(r) for r in summarise(df, "customer").where("kind <> 'key'").select("kind", "column", "n", "month").collect())
+    assert ("not_null", "name", 1, 2) in got and all(n == 1 for _, _, n, _ in got)
+    assert summarise(df, "customer").where("kind = 'key'").count() == 3

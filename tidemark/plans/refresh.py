@@ -188,7 +188,7 @@ def affected_all_tables(
     return reduce(DataFrame.unionByName, parts)
 
 
-def _each(specs, work: Callable[[TableSpec], object], spark: SparkSession, max_parallel: int) -> dict:
+def each_table(specs, work: Callable[[TableSpec], object], spark: SparkSession, max_parallel: int) -> dict:
     """``work`` for every table, up to ``max_parallel`` at once; all are attempted, then the first failure is raised.
 
     The threads inherit the caller's local properties (job group, scheduler pool).
@@ -228,7 +228,7 @@ def run_all(
             written = lake.collect_affected(lake.read_lake(spark, path(s), schema=sources[s.name].schema))
             return lake.RewriteResult(affected=written, written=written)
 
-        return _each(specs, fill, spark, max_parallel)
+        return each_table(specs, fill, spark, max_parallel)
     if mode != "refresh":
         raise ValueError(f"unknown mode {mode!r}: backfill or refresh")
     if log is None or run_date is None:
@@ -257,7 +257,7 @@ def run_all(
                 net=net, deletes=deletes.get(s.name, []), sizes=sizes.get(s.name, (0, 0)),
             )
 
-        return _each(specs, one, spark, max_parallel)
+        return each_table(specs, one, spark, max_parallel)
     finally:
         net.unpersist()
 

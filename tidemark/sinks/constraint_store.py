@@ -48,28 +48,43 @@ def _references(tables, columns: dict[str, list[str]]) -> list[tuple[str, str, s
     return [(c, fk, p) for c, fk, p in FOREIGN_KEYS if c in tables and p in tables and fk in columns[c]]
 
 
+def _named(table: str, columns) -> list[tuple[str, str, int | None]]:
+    """(kind, column, most characters) of all entries that rows of a table may have."""
+    keys = ["id", *dict.fromkeys(fk for c, fk, _ in FOREIGN_KEYS if c == table and fk in columns)]
+    return [(KEY, c, None) for c in keys] + _column_checks(table, columns)
+
+
+def _counts(df: DataFrame, table: str) -> DataFrame:
+    """``what, key, n`` and the day: the summary rows with their kind and column as a number, so that short rows are
+    hashed, shuffled and sorted."""
+    entries = []
+    for what, (kind, c, most) in enumerate(_named(table, df.columns)):
+        key = F.col(c) if kind == KEY else F.lit(None)
+        entry = F.struct(F.lit(what).alias("what"), key.cast("bigint").alias("key"))
+        if kind == KEY:
+            entries.append(entry if c == "id" else F.when(F.col(c).isNotNull(), entry))
+        else:
+            entries.append(F.when(F.col(c).isNull() if most is None else F.length(F.col(c)) > most, entry))
+    dated = F.col("year").isNotNull() & F.col("month").isNotNull() & F.col("day").isNotNull()
+    days = [F.when(dated, F.col(c)).otherwise(F.lit(0)).cast("bigint").alias(c) for c in PARTITION_COLS]
+    return (
+        df.select(*days, F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL").select("e.*", *PARTITION_COLS)
+        .groupBy("what", "key", *PARTITION_COLS).agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _with_names(counts: DataFrame, named) -> DataFrame:
+    name = lambda j: reduce(
+        lambda rest, e: F.when(F.col("what") == e[0], F.lit(e[1][j])).otherwise(rest), enumerate(named), F.lit(None).cast("string"))
+    return counts.withColumns({"kind": name(0), "column": name(1)}).select(*[f.name for f in _SCHEMA.fields])
+
+
 def summarise(df: DataFrame, table: str) -> DataFrame:
     """The summary rows of a table with date columns: one scan, one aggregate with a partial step.
 
     Each row is stacked into its keys and the checks that it fails, so clean columns add nothing.
     """
-    entry = lambda kind, c, key: F.struct(
-        F.lit(kind).alias("kind"), F.lit(c).alias("column"), key.cast("bigint").alias("key"))
-    none = F.lit(None).cast("bigint")
-    entries = [entry(KEY, "id", F.col("id"))]
-    entries += [
-        F.when(F.col(fk).isNotNull(), entry(KEY, fk, F.col(fk))) for c, fk, _ in FOREIGN_KEYS if c == table and fk in df.columns
-    ]
-    for kind, c, most in _column_checks(table, df.columns):
-        fails = F.col(c).isNull() if most is None else F.length(F.col(c)) > most
-        entries.append(F.when(fails, entry(kind, c, none)))
-    dated = F.col("year").isNotNull() & F.col("month").isNotNull() & F.col("day").isNotNull()
-    days = [F.when(dated, F.col(c)).otherwise(F.lit(0)).cast("bigint").alias(c) for c in PARTITION_COLS]
-    return (
-        df.select(*days, F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*", *PARTITION_COLS)
-        .groupBy("kind", "column", "key", *PARTITION_COLS).agg(F.count(F.lit(1)).alias("n"))
-        .select(*[f.name for f in _SCHEMA.fields])
-    )
+    return _with_names(_counts(df, table), _named(table, df.columns))
 
 
 class ConstraintStore:
@@ -83,7 +98,11 @@ class ConstraintStore:
 
     def build(self, table: str, df: DataFrame) -> None:
         """Summarise the whole table, as a backfill does."""
-        lake.backfill(summarise(df, table), self._path(table))
+        counts = _counts(df, table).hint("rebalance", *PARTITION_COLS)
+        (
+            _with_names(counts, _named(table, df.columns))
+            .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*PARTITION_COLS).parquet(self._path(table))
+        )
 
     def refresh(self, table: str, df: DataFrame, days) -> lake.RewriteResult:
         """Replace the summaries of the given days (``(year, month, day)``); only these days of ``df`` are read.
@@ -111,23 +130,26 @@ class ConstraintStore:
         single = F.broadcast(named).join(failed, ["check", "table_name", "column_name"], "left").withColumn(
             "n_violations", F.coalesce("n_violations", F.lit(0)).cast("bigint"))
 
-        # the keys of one space: a table's ids, and the foreign keys that refer to it
-        refers = {(c, fk): p for c, fk, p in fks}
-        space = reduce(
-            lambda rest, e: F.when((F.col("table_name") == e[0][0]) & (F.col("column") == e[0][1]), F.lit(e[1])).otherwise(rest),
-            refers.items(), F.when(F.col("column") == "id", F.col("table_name")),
-        )
-        is_id = F.col("column") == "id"
-        of = lambda c, fk: F.sum(F.when((F.col("table_name") == c) & (F.col("column") == fk), F.col("n")))
-        keys = (
-            every.where(F.col("kind") == KEY).withColumn("space", space).where("space IS NOT NULL")
-            .groupBy("space", "key")
-            .agg(F.sum(F.when(is_id, F.col("n"))).alias("own"), *[of(c, fk).alias(f"fk{i}") for i, (c, fk, _) in enumerate(fks)])
-        )
+        # the keys of one space: a table's ids, and the foreign keys that refer to it, each in a slot of its own
+        slots: dict[str, list[int]] = {t: [] for t in tables}
+        for i, (_, _, p) in enumerate(fks):
+            slots[p].append(i)
+        places = {(c, fk): (tables.index(p), 1 + slots[p].index(i)) for i, (c, fk, p) in enumerate(fks)}
+
+        def placed(t: str) -> DataFrame:
+            own = {"id": (tables.index(t), 0)} | {fk: at for (c, fk), at in places.items() if c == t}
+            part = lambda j: reduce(
+                lambda rest, e: F.when(F.col("column") == e[0], F.lit(e[1][j])).otherwise(rest), own.items(), F.lit(None).cast("int"))
+            rows = self.read(t).where((F.col("kind") == KEY) & F.col("column").isin(list(own)))
+            return rows.select(part(0).alias("space"), part(1).alias("slot"), "key", "n")
+
+        width = 1 + max((len(x) for x in slots.values()), default=0)
+        keys = reduce(DataFrame.unionByName, [placed(t) for t in tables]).groupBy("space", "key").agg(
+            *[F.sum(F.when(F.col("slot") == j, F.col("n"))).alias(f"n{j}") for j in range(width)])
         sums = keys.agg(
-            *[F.count_if((F.col("space") == t) & (F.col("own") > 1)).alias(f"pk{i}") for i, t in enumerate(tables)],
-            *[F.sum(F.when((F.col("space") == p) & F.col("own").isNull(), F.col(f"fk{i}"))).alias(f"fk{i}")
-              for i, (_, _, p) in enumerate(fks)],
+            *[F.count_if((F.col("space") == i) & (F.col("n0") > 1)).alias(f"pk{i}") for i in range(len(tables))],
+            *[F.sum(F.when((F.col("space") == tables.index(p)) & F.col("n0").isNull(), F.col(f"n{places[c, fk][1]}"))).alias(f"fk{i}")
+              for i, (c, fk, p) in enumerate(fks)],
         )
         across = [("pk_unique", t, "id", f"pk{i}") for i, t in enumerate(tables)]
         across += [("fk_exists", c, fk, f"fk{i}") for i, (c, fk, _) in enumerate(fks)]
