@@ -118,6 +118,7 @@ def test_entries_are_counted_under_numbers(spark):
     df = customers(spark, [(1, "a", 1), (1, None, 2), (None, "b" * 300, 2)])
     counts = constraint_store._counts(df, "customer")
     assert {t for _, t in counts.dtypes} <= {"int", "bigint"}
-    got = sorted(tuple(r) for r in summarise(df, "customer").where("kind <> 'key'").select("kind", "column", "n", "month").collect())
-    assert ("not_null", "name", 1, 2) in got and all(n == 1 for _, _, n, _ in got)
+    named = {(r["kind"], r["column"], r["month"]): r["n"] for r in summarise(df, "customer").where("kind <> 'key'").collect()}
+    want = {(k, c, 2): 1 for k, c, _ in constraint_store._column_checks("customer", ["id", "name"])}
+    assert named == want and want
     assert summarise(df, "customer").where("kind = 'key'").count() == 3
