@@ -10,6 +10,7 @@ from test_cdc import D10, D11, D12, RUN, scenario_log, scenario_source_after
 from tidemark.plans.recoverable import backfill_indexed, refresh_published
 from tidemark.plans.refresh import refresh
 from tidemark.sinks import lake, publish
+from tidemark.sinks import key_index
 from tidemark.sinks.key_index import KeyIndex
 from tidemark.specs import PARTITION_COLS, TableSpec
 
@@ -184,3 +185,18 @@ def test_index_update_rewrites_only_changed_buckets(spark, tmpdir_fresh):
     consistent(spark, root)
     changed = {f.split("bucket=")[1].split("/")[0] for f in set(was) ^ set(stat()) if "bucket=" in f}
     assert changed == {"4", "15"}
+
+
+def test_index_build_makes_few_buckets(spark, tmpdir_fresh, monkeypatch):
+    """A narrow span made a folder per few keys, each swapped on its own; buckets are as wide as their number asks for."""
+    monkeypatch.setattr(key_index, "MAX_BUCKETS", 8)
+    rows = [(k, 1, dt.date(2024, 1, 1 + k % 5)) for k in range(-40, 300)]
+    lake.backfill(src_df(spark, rows), f"{tmpdir_fresh}/lake")
+    whole = lake.read_lake(spark, f"{tmpdir_fresh}/lake")
+    index = KeyIndex.build(whole, f"{tmpdir_fresh}/index", span=4)
+    assert index.span == 64 and index.read().select("bucket").distinct().count() <= 9
+    assert sorted(tuple(r) for r in index.read().select("id", *PARTITION_COLS).collect()) == [(k, d.year, d.month, d.day) for k, _, d in rows]
+    keys = spark.createDataFrame([(-40,), (0,), (299,)], "id bigint")
+    assert sorted(r["id"] for r in index.lookup(keys).collect()) == [-40, 0, 299]
+    monkeypatch.setattr(key_index, "FULL_BUCKET", 4)  # buckets of four places are full: all may stay
+    assert KeyIndex.build(whole, f"{tmpdir_fresh}/full", span=4).span == 4

@@ -11,7 +11,9 @@ touched, and only the buckets of the others are rewritten, staged with the lake'
 journal (``sinks.publish``).
 
 ``span``: keys per bucket. A bucket is rewritten as a whole, so it should hold a few million keys: at a trillion keys and the
-default, 250,000 folders of 4 million keys. Keys are integers.
+default, 250,000 folders of 4 million keys. Each touched bucket costs a few files and renames, one after the other on the driver, whatever it
+holds; so ``build`` widens a span that would make more than ``MAX_BUCKETS`` buckets of less than ``FULL_BUCKET`` places.
+Keys are integers.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from ..specs import PARTITION_COLS
 from .publish import Files, Run
 
 SPAN = 4_000_000
+#: More buckets than this are made only of this many places on average.
+MAX_BUCKETS, FULL_BUCKET = 256, 1_000_000
 #: Most buckets that are named in a partition filter; beyond, the join prunes.
 MAX_NAMED_BUCKETS = 10_000
 _META = "_index.json"
@@ -43,8 +47,9 @@ class KeyIndex:
 
     @classmethod
     def build(cls, lake: DataFrame, path: str, key: str = "id", span: int = SPAN) -> KeyIndex:
-        """Index a whole lake (one scan of its key column)."""
+        """Index a whole lake (two scans of its key column)."""
         spark, path = lake.sparkSession, path.rstrip("/")
+        span = _widened(lake, key, span)
         _write(_places(lake, key), key, span, path)
         Files(spark, path).write(f"{path}/{_META}", json.dumps({"key": key, "span": span}))
         return cls(spark, path)
@@ -108,6 +113,18 @@ def _bucket(key: str, span: int) -> Column:
     return F.expr(f"`{key}` div {span}L - CASE WHEN `{key}` % {span}L < 0 THEN 1 ELSE 0 END")
 
 
+def _widened(lake: DataFrame, key: str, span: int) -> int:
+    """``span``, doubled until the lake's keys make few enough buckets, or full ones."""
+    own = lake.select(F.col(key).cast("bigint").alias(key)).where(F.col(key).isNotNull())
+    sizes = own.groupBy(_bucket(key, span).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.count(F.lit(1)).alias("buckets"), F.sum("n").alias("rows")).first()
+    most = max(MAX_BUCKETS, (found["rows"] or 0) // FULL_BUCKET)
+    while found["buckets"] > most and span < 1 << 61:
+        span *= 2
+        found = {"buckets": (found["buckets"] + 1) // 2}
+    return span
+
+
 def _places(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(F.col(key).cast("bigint").alias(key), *[F.col(c).cast("bigint").alias(c) for c in PARTITION_COLS]).where(
         F.col(key).isNotNull()).distinct()
