@@ -117,15 +117,22 @@ def _blocks(docs: DataFrame, kind: str, parts: int) -> DataFrame:
             # each text's words and its end, and before each the context
             lengths = w.lengths + 1
             close = np.cumsum(lengths) - 1
-            word = np.full(int(lengths.sum()), len(hashes) - 1, np.int64)
+            word = np.full(int(lengths.sum()), len(hashes) - 1, np.int32)
             inside = np.ones(len(word), bool)
             inside[close] = False
             word[inside] = w.ids
-            context = np.empty(len(word), np.int64)
+            context = np.empty(len(word), np.int32)
             context[1:] = as_context[word[:-1]]
             context[close + 1 - lengths] = START
+            del w, inside
             distinct, rank = np.unique(hashes, return_inverse=True)
-            pairs, index = np.unique(rank[word] << CONTEXT_BITS | context, return_inverse=True)
+            key = rank[word]
+            key <<= CONTEXT_BITS
+            key |= context
+            del word, context
+            pairs, index = np.unique(key, return_inverse=True)
+            del key
+            index = index.astype(np.int32)
             held = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
             trained = np.repeat(~held, lengths)
             counts = np.bincount(index[trained], minlength=len(pairs))
