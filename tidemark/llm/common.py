@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import zipfile
@@ -68,12 +69,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 STEP_BYTES = 8 << 20
 
 
+def release() -> None:
+    """Give freed memory back to the system: a reused Python worker would hold on to its largest step's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def steps(batches: Iterator[pa.RecordBatch], size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Non-empty pieces of the batches of about ``size`` bytes each (a single row may be larger)."""
     for b in batches:
         rows = max(1, int(b.num_rows * size / max(b.nbytes, size)))
         for lo in range(0, b.num_rows, rows):
             yield b.slice(lo, rows)
+            release()
 
 
 def append_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array]], ddl: str) -> DataFrame:
