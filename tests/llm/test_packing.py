@@ -149,3 +149,46 @@ def test_random_words_match_the_tokenizer():
     for lo in range(0, len(words), 5000):
         for w, ids, e in zip(words[lo:], encoder.ids(words[lo: lo + 5000]), want[lo:]):
             assert np.frombuffer(ids, "<u4").tolist() == e.ids, w
+
+
+def test_parts_of_words_are_learnt_once():
+    """Case and punctuation behind the letters do not make a new entry, and a step's known words cost no call of the tokenizer."""
+    encoder = P.Encoder(open(FILE, encoding="utf-8").read())
+    words = ["thingor", "Thingor", "THINGOR.", "thingor,###", "thingor!!", "Élanou", "élanou.", "ÉLANOU,###", "###", "слово", "Слово!!"]
+    first = encoder.ids(words)
+    assert set(encoder.known) == {"", "thingor", "élanou", "слово", ".", ",###", "!!", "###"}
+    encoder.tokenizer = encoder.plain = None
+    assert encoder.ids(words) == first
+    assert encoder.ids(["THINGOR!!"]) == [first[4]] and encoder.ids([]) == []
+
+
+def test_every_letter_and_mark_matches_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    t, r = Tokenizer.from_file(FILE), random.Random(3)
+    chars = [chr(c) for c in range(0x21, 0x600) if not chr(c).isspace()]
+    letters = [c for c in chars if c.isalpha()]
+    marks = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    words = [x for c in chars for x in (c, "x" + c, c + "x", c + ".", c + "!!")]
+    for _ in range(30_000):
+        body = "".join(r.choice(letters) for _ in range(r.randint(0, 6)))
+        words.append(body + "".join(r.choice(marks) for _ in range(r.randint(0 if body else 1, 4))))
+        words.append("".join(r.choice(chars) for _ in range(r.randint(1, 6))))
+    words += ["it's", "IT'S", "x's.", "'s", "'", "''ll", "a<|endoftext|>b", "<|endoftext|>", "<|endoftext|>.", "</w>", "x</w>", "x</", "</w>."]
+    encoder = P.Encoder(open(FILE, encoding="utf-8").read())
+    want = [t.encode(w, add_special_tokens=False).ids for w in words]
+    for w, ids, e in zip(words, encoder.ids(words), want):
+        assert np.frombuffer(ids, "<u4").tolist() == e, w
+
+
+def test_forgotten_words_are_learnt_again(monkeypatch):
+    r = random.Random(6)
+    words = ["".join(r.choice("aeinst") for _ in range(3)) + r.choice(["", ".", "7"]) for _ in range(2000)]
+    encoder, whole = (P.Encoder(open(FILE, encoding="utf-8").read()) for _ in range(2))
+    want, got = whole.ids(words), []
+    monkeypatch.setattr(P, "MAX_KNOWN", 20)
+    monkeypatch.setattr(P, "GATHERED", 7)
+    for lo in range(0, len(words), 9):
+        got += encoder.ids(words[lo: lo + 9])
+        assert len(encoder.known) <= 20 and encoder.known[""] == 0
+    assert got == want

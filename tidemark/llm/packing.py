@@ -30,14 +30,15 @@ from __future__ import annotations
 
 import logging
 import random
-import unicodedata
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,10 +47,10 @@ from .common import Words, ship, steps, stored
 
 CAPACITY = 4096
 END_ID = 1
-#: Encoded words kept by a Python worker.
+#: Encoded parts of words kept by a Python worker.
 MAX_KNOWN = 900_000
-#: Words given to the tokenizer at once.
-AT_ONCE = 10_000
+#: Words given to the tokenizer at once; runs of ids that are put together at once.
+AT_ONCE, GATHERED = 10_000, 200_000
 #: Nodes that the search for one filling of the second incumbent may visit.
 MAX_NODES = 20_000
 #: Pieces that are packed exactly; steps of the whole search, and of one group of at most so many sequences and distinct lengths.
@@ -60,32 +61,53 @@ _log = logging.getLogger(__name__)
 _encoders: dict[str, Encoder] = {}
 
 
-def _stays_letters(word: str) -> bool:
-    """Does a word of letters stay letters throughout in its normal form and lower case?"""
-    return unicodedata.normalize("NFC", word).lower().isalpha()
+#: Letters whose lower case and normal form are one letter each, whatever stands beside them.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-žА-Яа-яЁё"
+_PARTS = f"^(?P<body>[{_LETTERS}]*)(?P<tail>[!-/:-@\\[-`{{-~]*)$"
+
+
+def _texts(col: pa.StringArray) -> list[str]:
+    return col.to_numpy(zero_copy_only=False).tolist()
+
+
+def _gathered(pool: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs of ``pool`` with these starts and lengths, one behind the other."""
+    out, done = np.empty(int(counts.sum()), pool.dtype), 0
+    for lo in range(0, len(starts), GATHERED):
+        n = counts[lo: lo + GATHERED]
+        ends = np.cumsum(n)
+        total = int(ends[-1])
+        out[done: done + total] = pool[np.repeat(starts[lo: lo + GATHERED] - (ends - n), n) + np.arange(total)]
+        done += total
+    return out
 
 
 class Encoder:
-    """Ids of white-space separated words as little-endian 32-bit bytes.
+    """Ids of white-space separated words.
 
-    The tokenizer never joins across white space, so a text's ids are those of its words. A
-    word of letters with one full stop or comma is looked up as two, and ASCII letters in lower
-    case, which the tokenizer does as well. Letters that its normal form or lower case
-    turns into something else (a combining mark, which it joins with a stop) are left to it whole.
+    The tokenizer never joins across white space, so a text's ids are those of its words. A word of
+    letters followed by ASCII punctuation is looked up as two parts, the letters in lower case, as the tokenizer parts and lowers them
+    as well; this holds for the letters listed in ``_LETTERS``. Other words (digits, other letters, combining marks, which it joins with
+    a stop) are left to it whole. Parts are told apart, split and put together again by the column; only distinct ones meet Python.
     """
 
     def __init__(self, source: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(source)
+        #: for parts, which are single pre-tokens in normal form: the same model without what looks for those
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.word_end[[i for k, i in vocabulary.items() if k.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.step = 0
+        # the empty part is always known
+        self._keep({"": 0}, np.zeros(1, np.int64), np.full(1, np.iinfo(np.int64).max), np.zeros(0, "<u4"))
 
     @classmethod
     def of(cls, path: str, source) -> Encoder:
@@ -94,64 +116,77 @@ class Encoder:
             _encoders[path] = cls(source.value)
         return _encoders[path]
 
-    def _store(self, keys: list[str], ids: list[int], counts: np.ndarray) -> None:
-        cuts = (np.concatenate(([0], np.cumsum(counts))) * 4).tolist()
-        data = np.array(ids, "<u4").tobytes()
-        self.known.update(zip(keys, map(data.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
+    def _keep(self, known: dict[str, int], counts: np.ndarray, used: np.ndarray, pool: np.ndarray) -> None:
+        """``known``: a part's place in ``counts`` and in ``used`` (its last step); ``pool``: the ids of all, by place."""
+        self.known, self.counts, self.used, self.pool = known, counts, used, pool
+        self.starts = np.cumsum(counts) - counts
+
+    def _forget(self) -> None:
+        """The parts that were not used for longest go."""
+        kept = np.sort(np.argsort(self.used, kind="stable")[-(MAX_KNOWN // 2):])
+        names = list(self.known)
+        pool = _gathered(self.pool, self.starts[kept], self.counts[kept])
+        self._keep({names[i]: k for k, i in enumerate(kept.tolist())}, self.counts[kept], self.used[kept], pool)
 
-    def _encode_any(self, keys: list[str]) -> None:
+    def _encode_any(self, keys: list[str]) -> tuple[list[int], np.ndarray]:
         """Encode any words; tokens are assigned to them by their place in the text."""
         starts = np.cumsum([0] + [len(k) + 1 for k in keys])
         e = self.tokenizer.encode(" ".join(keys), add_special_tokens=False)
         at = np.array([a for a, _ in e.offsets], np.int64)
         of = np.searchsorted(starts, at, side="right") - 1
-        self._store(keys, e.ids, np.bincount(of, minlength=len(keys)))
+        return e.ids, np.bincount(of, minlength=len(keys))
 
-    def _encode_letters(self, keys: list[str]) -> None:
-        """Encode words of letters, which end in one end-of-word token each; faster, as no places are kept."""
+    def _encode_parts(self, keys: list[str]) -> Iterator[tuple[list[int], np.ndarray]]:
+        """Encode parts of words, which end in one end-of-word token each; faster, as no places are kept."""
         texts = [" ".join(keys[i: i + 200]) for i in range(0, len(keys), 200)]
-        for i, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        for i, e in enumerate(self.plain.encode_batch_fast(texts, add_special_tokens=False)):
             own, ids = keys[200 * i: 200 * i + 200], e.ids
             ends = np.flatnonzero(self.word_end[ids])
             if len(ends) == len(own) and (not ids or ends[-1] == len(ids) - 1):
-                self._store(own, ids, np.diff(ends, prepend=-1))
-            else:  # some letter is none to the tokenizer
-                self._encode_any(own)
+                yield ids, np.diff(ends, prepend=-1)
+            else:  # some character is none to the model
+                yield self._encode_any(own)
+
+    def _learn(self, new: pa.StringArray) -> None:
+        """Take up new parts of words, and new words that are left whole."""
+        part = pc.match_substring_regex(new, _PARTS)
+        parts, others = _texts(new.filter(part)), _texts(new.filter(pc.invert(part)))
+        got = [x for lo in range(0, len(parts), AT_ONCE) for x in self._encode_parts(parts[lo: lo + AT_ONCE])]
+        got += [self._encode_any(others[lo: lo + AT_ONCE]) for lo in range(0, len(others), AT_ONCE)]
+        first = len(self.known)
+        self.known.update(zip(parts + others, range(first, first + len(new))))
+        self._keep(
+            self.known, np.concatenate([self.counts, *(n for _, n in got)]),
+            np.concatenate((self.used, np.full(len(new), self.step))),
+            np.concatenate([self.pool, *(np.array(ids, "<u4") for ids, _ in got)]),
+        )
+
+    def encode(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one word behind the other, and how many each has."""
+        self.step += 1
+        split = pc.extract_regex(words, pattern=_PARTS)
+        body = pc.if_else(split.is_valid(), pc.utf8_lower(pc.struct_field(split, "body")), words)
+        tail = pc.fill_null(pc.struct_field(split, "tail"), "")
+        both = pa.concat_arrays([body, tail]).dictionary_encode()
+        keys = _texts(both.dictionary)
+        at = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
+        if (at < 0).any():
+            self._learn(both.dictionary.filter(pa.array(at < 0)))
+            at = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+        self.used[at[at > 0]] = self.step
+        places = at[both.indices.to_numpy()].reshape(2, -1)
+        n = self.counts[places]
+        ids = _gathered(self.pool, self.starts[places].T.ravel(), n.T.ravel())
+        if len(self.known) > MAX_KNOWN:
+            self._forget()
+        return ids, n.sum(axis=0)
 
     def ids(self, words: list[str]) -> list[bytes]:
-        parts: list[tuple[str, str]] = []
-        letters, others = {}, {}
-        for w in words:
-            body, tail = (w[:-1], w[-1]) if w[-1] in ".," else (w, "")
-            if body.isalpha() and ((ascii := body.isascii()) or _stays_letters(body)):
-                if ascii:
-                    body = body.lower()
-                letters[body] = None
-                if tail:
-                    others[tail] = None
-                parts.append((body, tail))
-            else:
-                others[w] = None
-                parts.append((w, ""))
-        keys = letters | others
-        new = [k for k in keys if k not in self.known]
-        if len(self.known) + len(new) > MAX_KNOWN // 2:  # of two halves, the older one goes
-            self.older, self.known = self.known, {}
-            new = list(keys)
-        older = self.older
-        self.known.update((k, older[k]) for k in new if k in older)
-        need = [k for k in new if k not in older]
-        plain = [k for k in need if k in letters]
-        for lo in range(0, len(plain), AT_ONCE):
-            self._encode_letters(plain[lo: lo + AT_ONCE])
-        rest = [k for k in need if k not in letters]
-        for lo in range(0, len(rest), AT_ONCE):
-            self._encode_any(rest[lo: lo + AT_ONCE])
-        known = self.known
-        out = [known[b] + known[t] if t else known[b] for b, t in parts]
-        if len(known) > MAX_KNOWN:
-            self.known = {}
-        return out
+        """The ids of each word as little-endian 32-bit bytes."""
+        ids, n = self.encode(pa.array(words, pa.string()))
+        cuts = (np.concatenate(([0], np.cumsum(n))) * 4).tolist()
+        data = ids.tobytes()
+        return [data[lo:hi] for lo, hi in zip(cuts[:-1], cuts[1:])]
 
 
 def tokenize(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text",
@@ -168,13 +203,13 @@ def tokenize(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "t
         part, ranks = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for b in steps(batches):
             w = Words(b.column(1))
-            ids = encoder.ids(w.words.to_pylist())
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            offsets = np.concatenate(([0], np.cumsum(size[w.ids])))[w.offsets]
-            joined = b"".join(map(ids.__getitem__, w.ids.tolist()))
+            ids, n = encoder.encode(w.words)
+            starts, n = (np.cumsum(n) - n)[w.ids], n[w.ids]
+            offsets = np.concatenate(([0], np.cumsum(n)))[w.offsets]
+            joined = _gathered(ids, starts, n)
             doc, piece, start, length, crc = [], [], [], [], []
             for i, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-                own = joined[lo:hi] + end
+                own = joined[lo:hi].tobytes() + end
                 for k, s in enumerate(range(0, len(own), 4 * capacity)):
                     p = own[s: s + 4 * capacity]
                     doc.append(i), piece.append(k), start.append(s // 4)
