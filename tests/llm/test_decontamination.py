@@ -1,9 +1,12 @@
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from llm_inputs import docs_df, odd_texts, prose
 from pyspark.sql import functions as F
 from tidemark.llm import decontamination as D
+from tidemark.llm.common import arrow_batches
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -97,3 +100,43 @@ def test_a_block_takes_up_only_windows_of_its_anchors(spark):
     assert len(table.anchored(np.array([0, 1, 2, 4, 5]))) == 1
     assert sorted(table.items[table.anchored(np.arange(1003))].tolist()) == sorted(i for i, _, _ in pieces)
     assert table.terms(table.anchored(np.array([20]))).tolist() == [[0, 1, 2, 20, 4]]
+
+
+def test_each_block_is_a_row_group_of_its_own(spark):
+    texts = [prose(30, seed=i) for i in range(60)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "6")  # a block each
+    try:
+        index = D.build_index(docs_df(spark, texts).coalesce(1))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in index.inputFiles()]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert groups == [1] * 10 and index.count() == 10
+    items = [(i, " ".join(words(texts[i])[5:25])) for i in range(0, 60, 7)]
+    assert rows(D.search(index, spark.createDataFrame(items, "item_id int, text string"))) == brute(texts, items, 13)
+
+
+def test_python_is_sent_batches_of_the_given_size_unless_the_session_sets_it(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    df = spark.range(0, 24, 1, 1).selectExpr("repeat('x', 1000000) AS text").mapInArrow(sizes, "n long")
+    with arrow_batches(spark, 4 << 20):
+        assert max(r["n"] for r in df.collect()) < 6 << 20
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, str(2 << 20))
+    try:
+        with arrow_batches(spark, 4 << 20):
+            assert spark.conf.get(key) == str(2 << 20)
+        assert spark.conf.get(key) == str(2 << 20)
+    finally:
+        spark.conf.unset(key)
+
+
+def test_postings_of_a_block(spark):
+    index = D.build_index(docs_df(spark, ["b a b", None, "a c"]).coalesce(1))
+    got = sorted((r["ids"], r["lengths"], r["terms"], r["ends"], r["gaps"]) for r in index.collect())
+    assert got == [([0, 1, 2], [3, 0, 2], ["b", "a", "c"], [2, 4, 5], [0, 2, 1, 2 * D.GAP + 2, 2 * D.GAP + 4])]

@@ -7,6 +7,7 @@ import io
 import os
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from ..session import scratch_path
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _SHIPPED = "_tidemark_shipped"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
@@ -47,16 +49,32 @@ def ship(spark: SparkSession) -> None:
     setattr(sc, _SHIPPED, True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: a cut in the lineage that
-    survives lost executors. zstd keeps the files small. ``session.remove_scratch`` deletes
-    them at the end of a job."""
+    survives lost executors. zstd keeps the files small. ``options`` go to the writer.
+    ``session.remove_scratch`` deletes the files at the end of a job."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs that run inside send Python about ``size`` bytes at once, unless the session says how many.
+
+    The JVM holds a batch (64 MB by default) outside its heap, in buffers that grow by doubling.
+    """
+    own = spark.conf.get(_BATCH_BYTES, None)
+    if own is None:
+        spark.conf.set(_BATCH_BYTES, str(size))
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(_BATCH_BYTES)
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -3,7 +3,8 @@
 ``build_index`` tokenizes the training texts and stores, for every block of documents
 (about ``STEP_BYTES`` of text), the postings of every term: the sorted positions at which
 it occurs. The index is partitioned by documents, so whatever is looked up is answered
-inside a block, and no term, however common, is gathered in one place.
+inside a block, and no term, however common, is gathered in one place. A task holds one block while it
+builds, and one Arrow batch of them while it looks up, whatever its scan split.
 
 ``search`` looks up windows of ``window`` consecutive words of the test items (an item
 with fewer words is one window). In each block, a window's lists are intersected from the
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, covered, ship, steps, stored, translated
+from .common import STEP_BYTES, Words, arrow_batches, covered, ship, steps, stored, translated
 
 WINDOW = 13
 PART_WORDS = 2_000_000
@@ -46,6 +47,10 @@ CANDIDATES = 2_000_000
 #: Windows whose terms are held at once.
 WINDOWS = 200_000
 
+#: Every block is a row group of its own. Else the writer would keep a hundred of these long rows before it looks at
+#: their size, and the reader load them together: a task would hold as many blocks as its scan split has.
+ROW_GROUPS = {"parquet.block.row.count.limit": "1"}
+
 #: A-Z to lower case; ASCII other than letters and digits to a space.
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -61,22 +66,25 @@ def build_index(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
         part = TaskContext.get().partitionId()
         for n, b in enumerate(steps(batches)):
             w = Words(translated(b.column(1), _WORD_BYTES))
-            place = np.arange(len(w.ids)) + w.doc * GAP
-            order = np.argsort(w.ids, kind="stable")
+            place = np.arange(len(w.ids), dtype=np.int32)
+            place += np.repeat(np.arange(len(w.lengths), dtype=np.int32) * GAP, w.lengths)
+            place = place[np.argsort(w.ids, kind="stable")]
             ends = np.cumsum(np.bincount(w.ids, minlength=len(w.words)))
-            gaps = np.diff(place[order], prepend=0)
+            w.ids = w.doc = None  # let go before the lists are made
+            gaps = np.diff(place, prepend=np.int32(0))
             first = np.concatenate(([0], ends[:-1])).astype(np.int64)[: len(ends)]
-            gaps[first] = place[order][first]  # each list starts anew
+            gaps[first] = place[first]  # each list starts anew
             yield pa.RecordBatch.from_arrays(
                 [pa.array([(part << 32) + n]), _one(b.column(0)), _one(pa.array(w.lengths.astype(np.int32))),
-                 _one(w.words), _one(pa.array(ends.astype(np.int32))), _one(pa.array(gaps.astype(np.int32)))],
+                 _one(w.words), _one(pa.array(ends.astype(np.int32))), _one(pa.array(gaps))],
                 ["block", "ids", "lengths", "terms", "ends", "gaps"],
             )
 
     kind = docs.schema[id].dataType.simpleString()
-    return stored(docs.select(id, text).mapInArrow(
-        run, f"block long, ids array<{kind}>, lengths array<int>, terms array<string>, ends array<int>, gaps array<int>"
-    ), "postings")
+    with arrow_batches(docs.sparkSession, STEP_BYTES * 15 // 16):  # one step each: the last row goes beyond the size
+        return stored(docs.select(id, text).mapInArrow(
+            run, f"block long, ids array<{kind}>, lengths array<int>, terms array<string>, ends array<int>, gaps array<int>"
+        ), "postings", **ROW_GROUPS)
 
 
 def _one(values: pa.Array) -> pa.Array:
